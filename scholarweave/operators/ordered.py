@@ -1,0 +1,12 @@
+"""Ordered collect (A2): a list aggregate whose order does not depend on shuffles."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def ordered_collect(order: Column, value: Column) -> Column:
+    """``collect_list`` sorted by ``order``; use only on bounded groups (one record's parts)."""
+    pairs = F.collect_list(F.struct(order.alias("k"), value.alias("v")))
+    return F.transform(F.array_sort(pairs), lambda x: x["v"])
