@@ -147,7 +147,7 @@ def _link_lists(spark: SparkSession, sf: str) -> DataFrame:
     """Per order: author names (``Last, First``) and person-page links ``"F. Last, Title"``."""
     op = _order_parts(spark, sf)
     parts = F.split("p_name", " ")
-    link = F.struct(F.concat(F.upper(F.substring(F.get(parts, 0), 1, 1)), F.lit(". "), F.get(parts, 1),
+    link = F.struct(F.concat(F.substring(F.get(parts, 0), 1, 1), F.lit(". "), F.get(parts, 1),
                              F.lit(", Dr.")).alias("name"),
                     F.concat(F.lit("http://parts.example.org/"), F.col("p_partkey").cast("string")).alias("url"))
     g = op.groupBy("l_orderkey").agg(
