@@ -116,22 +116,29 @@ def gesis_citation(title_and_source, heading) -> Column:
     )
 
 
-def gesis_talk(title_and_source) -> Column:
+TALK_LOCATION_RX = r"([^.]+?)[\s.,]+$"
+TALK_SOURCE_RX = r".\s*([^.]+)\.?$"
+
+
+def parse_talks(df, col: str, out: str = "talk"):
     """Talk citation: strip the trailing date, last sentence = location, the one
-    before = published_in, the rest = title; no location or source -> not ok (P7)."""
-    t2 = F.regexp_replace(_c(title_and_source), TALK_DATE_AT_END, "")
-    loc_rx = r"([^.]+?)[\s.,]+$"
-    loc_ok = t2.rlike(loc_rx)
-    loc = F.regexp_extract(t2, loc_rx, 1)
-    t3 = F.replace(t2, F.regexp_extract(t2, loc_rx, 0), F.lit(""))
-    pub_rx = r".\s*([^.]+)\.?$"
-    pub_ok = t3.rlike(pub_rx)
-    title = F.replace(t3, F.regexp_extract(t3, pub_rx, 0), F.lit(""))
-    ok = loc_ok & pub_ok
-    return F.struct(
-        F.when(ok, strip(title)).alias("title"),
-        F.when(ok, strip(F.regexp_extract(t3, pub_rx, 1))).alias("published_in"),
-        F.when(ok, loc).alias("location"),
+    before = published_in, the rest = title; no location or source -> not ok (P7).
+
+    Staged with ``withColumn`` so each regex runs once per row: Catalyst does not
+    inline a non-cheap expression that is referenced twice.  Capture groups are
+    read from the (short) matched text with the anchored pattern.
+    """
+    t2, l0, t3, p0 = (f"_{out}_{x}" for x in ("t2", "l0", "t3", "p0"))
+    d = df.withColumn(t2, F.regexp_replace(F.col(col), TALK_DATE_AT_END, ""))
+    d = d.withColumn(l0, F.regexp_extract(F.col(t2), TALK_LOCATION_RX, 0))
+    d = d.withColumn(t3, F.replace(F.col(t2), F.col(l0), F.lit("")))
+    d = d.withColumn(p0, F.regexp_extract(F.col(t3), TALK_SOURCE_RX, 0))
+    ok = (F.col(l0) != "") & (F.col(p0) != "")
+    res = F.struct(
+        F.when(ok, strip(F.replace(F.col(t3), F.col(p0), F.lit("")))).alias("title"),
+        F.when(ok, strip(F.regexp_extract(F.col(p0), "^" + TALK_SOURCE_RX, 1))).alias("published_in"),
+        F.when(ok, F.regexp_extract(F.col(l0), "^" + TALK_LOCATION_RX, 1)).alias("location"),
         F.lit("Conference Paper").alias("publication_type"),
         ok.alias("ok"),
     )
+    return d.withColumn(out, res).drop(t2, l0, t3, p0)

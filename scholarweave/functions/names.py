@@ -94,24 +94,35 @@ def link_authors(names, links, link_order: str = FIRST_LAST) -> Column:
     removed from the list and the link URL is recorded.  Returns
     ``struct(author_urls array<string>, author_names array<name>)``: the
     unmatched names are what is left in the list.
+
+    Word-char firstnames are computed once per name and per link before the
+    fold, so the sequential part only compares strings.
     """
-    init = F.struct(_c(names).alias("left"), F.array().cast("array<string>").alias("hit"))
+    def prep(n):
+        return F.struct(n["firstname"].alias("firstname"), n["lastname"].alias("lastname"),
+                        _word_chars(n["firstname"]).alias("fw"))
+
+    def equiv(a, b):
+        prefix = F.when(F.length(a["fw"]) > F.length(b["fw"]), a["fw"].startswith(b["fw"])) \
+                  .otherwise(b["fw"].startswith(a["fw"]))
+        same = (a["firstname"] == b["firstname"]) & (a["lastname"] == b["lastname"])
+        return F.coalesce(same | ((a["lastname"] == b["lastname"]) & prefix), F.lit(False))
+
+    cands = F.transform(_c(links), lambda l: F.struct(
+        prep(split_name(F.substring_index(l["name"], ",", 1), link_order, " ")).alias("n"), l["url"].alias("url")))
+    init = F.struct(F.transform(_c(names), prep).alias("left"), F.array().cast("array<string>").alias("hit"))
 
     def step(acc, link):
-        cand = split_name(F.substring_index(link["name"], ",", 1), link_order, " ")
-        idxs = F.filter(
-            F.transform(acc["left"], lambda n, i: F.when(names_equivalent(n, cand), i).otherwise(-1)),
-            lambda i: i >= 0)
+        idxs = F.filter(F.transform(acc["left"], lambda n, i: F.when(equiv(n, link["n"]), i).otherwise(-1)),
+                        lambda i: i >= 0)
         idx = F.get(idxs, 0)
-        return F.when(
-            idx.isNull(), acc
-        ).otherwise(F.struct(
+        return F.when(idx.isNull(), acc).otherwise(F.struct(
             F.filter(acc["left"], lambda n, i: i != idx).alias("left"),
-            F.concat(acc["hit"], F.array(link["url"])).alias("hit"),
-        ))
+            F.concat(acc["hit"], F.array(link["url"])).alias("hit")))
 
-    out = F.aggregate(_c(links), init, step)
-    return F.struct(out["hit"].alias("author_urls"), out["left"].alias("author_names"))
+    out = F.aggregate(cands, init, step)
+    left = F.transform(out["left"], lambda n: make_name(n["firstname"], n["lastname"]))
+    return F.struct(out["hit"].alias("author_urls"), left.alias("author_names"))
 
 
 # Fixed value: the academic-title prefix recognised before a person's name.
