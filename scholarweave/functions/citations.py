@@ -88,10 +88,14 @@ def hiig_citation(first_text, second_text, em_text, heading) -> Column:
     )
 
 
+# Authors, then the year (optionally in parentheses) at the start of a GESIS citation.
+GESIS_AUTHORS_YEAR = r"^(.+?)\s*\(?(\d{4})\)?"
+
+
 def gesis_authors_year(text) -> Column:
     """``Last, First; Last, First (2012): rest`` -> authors, year, rest (P11, intent)."""
     t = _c(text)
-    rx = r"^(.+?)(\d{4})"
+    rx = GESIS_AUTHORS_YEAR
     hit = t.rlike(rx)
     rest = F.regexp_replace(F.regexp_replace(t, rx, ""), r"^[\s).:,]+", "")
     return F.struct(

@@ -81,8 +81,34 @@ def any_of(*preds: Pred) -> Pred:
     return p
 
 
+def under(pred: Pred, nodes="nodes") -> Pred:
+    """Descendant step by ancestry (H2): some ancestor matches ``pred``.
+
+    ``pred`` is a node predicate, looked up through ``anc`` by index, so a
+    chain of steps costs O(depth) per node and never re-filters the array.
+    """
+    arr = _c(nodes)
+    return lambda n: F.exists(n["anc"], lambda a: pred(F.get(arr, a)))
+
+
+def parent_is(pred: Pred, nodes="nodes") -> Pred:
+    """Child step by ancestry (H3): the parent matches ``pred``."""
+    arr = _c(nodes)
+    return lambda n: (n["parent"] >= 0) & F.coalesce(pred(F.get(arr, n["parent"])), F.lit(False))
+
+
+def self_or_under(pred: Pred, nodes="nodes") -> Pred:
+    """``descendant-or-self`` by ancestry."""
+    u = under(pred, nodes)
+    return lambda n: F.coalesce(pred(n), F.lit(False)) | u(n)
+
+
 def within(ctxs: Column) -> Pred:
-    """Descendant step (H2): inside any context node."""
+    """Descendant step (H2): inside any node of an explicit context array.
+
+    Use for per-row contexts (an exploded node); for selector chains use
+    ``under`` so the context is not re-evaluated for every node.
+    """
     return lambda n: F.exists(ctxs, lambda c: (n["pos"] > c["pos"]) & (n["pos"] <= c["end"]))
 
 
@@ -121,19 +147,31 @@ def texts(nodes, pred: Pred) -> Column:
     return F.transform(F.filter(_c(nodes), lambda n: (n["kind"] == "text") & pred(n)), lambda n: n["text"])
 
 
-def direct_text(nodes, ctxs: Column) -> Column:
-    """``text()`` / ``::text`` of the contexts, joined with '' (H7)."""
-    return F.array_join(texts(nodes, child_of(ctxs)), "")
+def _child_test(nodes, ctxs) -> Pred:
+    return child_of(ctxs) if isinstance(ctxs, Column) else parent_is(ctxs, nodes)
+
+
+def _inside_test(nodes, ctxs) -> Pred:
+    return within(ctxs) if isinstance(ctxs, Column) else under(ctxs, nodes)
+
+
+def direct_text(nodes, ctxs) -> Column:
+    """``text()`` / ``::text`` of the contexts, joined with '' (H7).
+
+    ``ctxs`` is a node predicate (resolved through the parent index) or an
+    explicit context array.
+    """
+    return F.array_join(texts(nodes, _child_test(nodes, ctxs)), "")
 
 
-def direct_texts(nodes, ctxs: Column) -> Column:
+def direct_texts(nodes, ctxs) -> Column:
     """The list form of ``text()`` (one entry per text node)."""
-    return texts(nodes, child_of(ctxs))
+    return texts(nodes, _child_test(nodes, ctxs))
 
 
-def all_text(nodes, ctxs: Column) -> Column:
+def all_text(nodes, ctxs) -> Column:
     """``//text()``: every descendant text, in document order, joined with '' (H8)."""
-    return F.array_join(texts(nodes, within(ctxs)), "")
+    return F.array_join(texts(nodes, _inside_test(nodes, ctxs)), "")
 
 
 def preceding(nodes, ctx: Column, pred: Pred) -> Column:

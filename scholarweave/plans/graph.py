@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from scholarweave.functions.text import present
 from scholarweave.operators import ids as idops
 from scholarweave.operators import triples as tr
+from scholarweave.schemas import conform
 
 
 @dataclass
@@ -37,9 +38,10 @@ def build_graph(orgs: DataFrame, divisions: DataFrame, persons: DataFrame, roles
                 registry: DataFrame | None = None, base: str = tr.LOCAL,
                 partitions: int | None = None) -> Graph:
     # an item without a source_url gets no ID and is not exported.
-    orgs = orgs.where(present("source_url"))
-    divisions = divisions.where(present("source_url"))
-    persons = persons.where(present("source_url"))
+    # IDs and organisation ids are assigned here, whatever the input carries.
+    orgs = conform(orgs, "Organization").drop("id").where(present("source_url"))
+    divisions = conform(divisions, "Division").drop("id", "organization_id").where(present("source_url"))
+    persons = conform(persons, "Person").drop("id", "organization_id").where(present("source_url"))
     valid_roles = roles.where(present("person_url") & present("division_url"))
 
     keys = idops.needed_keys(                                   # U3

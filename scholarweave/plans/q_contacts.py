@@ -121,17 +121,18 @@ FROM supplier""")
 def hcard_fields(spark: SparkSession, sf: str) -> DataFrame:
     """hCard fields selected by class from parsed HTML."""
     n = _hcard_html(table(spark, sf, "supplier")).withColumn("nodes", parse_nodes("html"))
-    vcard = H.select("nodes", H.all_of(H.has_class("vcard"), H.within(H.select("nodes", H.has_id("content_right")))))
+    # Selector chains resolve through each node's ancestor list (no nested re-filtering).
+    vcard = H.all_of(H.has_class("vcard"), H.under(H.has_id("content_right")))
 
     def field(*classes):
-        return H.direct_text("nodes", H.select("nodes", H.all_of(H.has_class(*classes), H.within(vcard))))
+        return H.direct_text("nodes", H.all_of(H.has_class(*classes), H.under(vcard)))
 
     def nested(outer, inner):
-        return H.direct_text("nodes", H.select("nodes", H.all_of(
-            H.has_class(inner), H.within(H.select("nodes", H.all_of(H.has_class(outer), H.within(vcard)))))))
+        return H.direct_text("nodes", H.all_of(
+            H.has_class(inner), H.under(H.all_of(H.has_class(outer), H.under(vcard)))))
 
     fn = nested("name", "fn")
-    url = F.get(H.attr(H.select("nodes", H.all_of(H.element("a"), H.attr_is("class", "url"), H.child_of(vcard))),
+    url = F.get(H.attr(H.select("nodes", H.all_of(H.element("a"), H.attr_is("class", "url"), H.parent_is(vcard))),
                        "href"), 0)
     nm = N.split_name(fn, N.FIRST_LAST)
     return n.select("s_suppkey", fn.alias("fn"), field("title").alias("title"),
@@ -246,8 +247,8 @@ WITH p AS (SELECT p_partkey, {_heading_sql(0)} AS heading,
   {W2} || ', ' || {W1} || '; ' || p_brand || ', Kim (' || CAST(p_size + 1990 AS VARCHAR) || '): ' ||
   CASE WHEN p_size % 2 = 0 THEN 'Titel ' || p_type || '. In: ' || p_brand || ' Zeitschrift, 12, S. 3-4'
        ELSE 'Beitrag ' || p_type || '. In: Muster, M. (Hrsg.): Handbuch ' || p_brand || ', Bonn' END AS text FROM part),
-g AS (SELECT *, regexp_extract(text, '^(.+?)(\\d{{4}})', 1) AS au, regexp_extract(text, '^(.+?)(\\d{{4}})', 2) AS year,
-             regexp_replace(regexp_replace(text, '^(.+?)(\\d{{4}})', ''), '^[\\s).:,]+', '') AS rest FROM p),
+g AS (SELECT *, regexp_extract(text, '{C.GESIS_AUTHORS_YEAR}', 1) AS au, regexp_extract(text, '{C.GESIS_AUTHORS_YEAR}', 2) AS year,
+             regexp_replace(regexp_replace(text, '{C.GESIS_AUTHORS_YEAR}', ''), '^[\\s).:,]+', '') AS rest FROM p),
 c AS (SELECT *, {_class_sql('heading', C.GESIS_TYPES)} AS ptype,
   CASE WHEN regexp_matches(heading, '{C.GESIS_TYPES[0][0]}') THEN 0 WHEN regexp_matches(heading, '{C.GESIS_TYPES[1][0]}') THEN 1
        WHEN regexp_matches(heading, '{C.GESIS_TYPES[2][0]}') THEN 2 END AS idx FROM g)

@@ -25,7 +25,8 @@ def _order_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 # Line numbers repeat within an order in this data; the part key breaks ties
 # (tied rows then carry identical values).
-_LINE_ORDER = F.struct(F.col("l_linenumber"), F.col("l_partkey"))
+def _line_order():
+    return F.struct(F.col("l_linenumber"), F.col("l_partkey"))
 
 _FL = "string_split(p_name, ' ')"
 _SQL_FIRST = f"trim(array_to_string({_FL}[1:len({_FL})-1], ' '))"
@@ -62,7 +63,7 @@ def _author_strings(spark: SparkSession, sf: str) -> DataFrame:
     piece = F.concat(F.get(parts, 1), F.lit(", "), F.get(parts, 0),
                      F.when(F.col("l_linenumber") % 2 == 0, F.lit(";; ")).otherwise(F.lit("; ")))
     return (op.groupBy("l_orderkey")
-              .agg(F.array_join(ordered_collect(_LINE_ORDER, piece), "").alias("authors")))
+              .agg(F.array_join(ordered_collect(_line_order(), piece), "").alias("authors")))
 
 
 _SQL_AUTHORS = """
@@ -100,8 +101,8 @@ def author_names_json(spark: SparkSession, sf: str) -> DataFrame:
     nm = N.split_name(F.col("p_name"), N.FIRST_LAST, " ")
     url = F.concat(F.lit("http://parts.example.org/"), F.col("p_partkey").cast("string"))
     g = op.groupBy("l_orderkey").agg(
-        ordered_collect(_LINE_ORDER, nm).alias("names"),
-        ordered_collect(_LINE_ORDER, url).alias("urls"))
+        ordered_collect(_line_order(), nm).alias("names"),
+        ordered_collect(_line_order(), url).alias("urls"))
     return g.select("l_orderkey", F.to_json(N.names_to_lists("names")).alias("author_names"),
                     F.to_json("urls").alias("author_urls"),
                     F.array_join(F.transform("names", N.name_label), "; ").alias("labels"))
@@ -151,7 +152,7 @@ def _link_lists(spark: SparkSession, sf: str) -> DataFrame:
                              F.lit(", Dr.")).alias("name"),
                     F.concat(F.lit("http://parts.example.org/"), F.col("p_partkey").cast("string")).alias("url"))
     g = op.groupBy("l_orderkey").agg(
-        F.array_join(ordered_collect(_LINE_ORDER,
+        F.array_join(ordered_collect(_line_order(),
                                      F.concat(F.get(parts, 1), F.lit(", "), F.get(parts, 0))), " & ").alias("authors"),
         ordered_collect(F.struct(-F.col("l_linenumber"), -F.col("l_partkey")), link).alias("links"))
     return g

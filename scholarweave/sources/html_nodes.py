@@ -6,6 +6,8 @@ document order.  Elements and text nodes are separate nodes (``kind``), so
 "first text child" stays addressable.  ``end`` is the position of an element's
 last descendant: ``n`` is inside ``e`` iff ``e.pos < n.pos <= e.end``.  ``nth``
 is the 1-based position among same-tag element siblings (XPath ``tag[k]``).
+``anc`` lists the ancestor positions from the root down; ``pos`` equals the
+array index, so an ancestor is an O(1) lookup ``nodes[a]``.
 
 Tree building follows the usual HTML recovery rules: void elements never
 open, ``script``/``style`` are raw text, ``p``/``li``/``tr``/``td``/``dt``/
@@ -28,7 +30,7 @@ NODE_TYPE = T.ArrayType(T.StructType([
     T.StructField("end", T.IntegerType()), T.StructField("depth", T.IntegerType()),
     T.StructField("nth", T.IntegerType()), T.StructField("kind", T.StringType()),
     T.StructField("tag", T.StringType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("text", T.StringType()),
+    T.StructField("text", T.StringType()), T.StructField("anc", T.ArrayType(T.IntegerType())),
 ]))
 
 # HTML element classes that drive tree recovery.
@@ -105,7 +107,8 @@ class _TreeBuilder(HTMLParser):
             if k not in amap:
                 amap[k] = "" if v is None else v
         self.nodes.append({"pos": pos, "parent": self._parent(), "end": pos, "depth": len(self.stack),
-                           "nth": counts[tag], "kind": "element", "tag": tag, "attrs": amap, "text": None})
+                           "nth": counts[tag], "kind": "element", "tag": tag, "attrs": amap, "text": None,
+                           "anc": list(self.stack)})
         if tag not in VOID:
             self.stack.append(pos)
             self.child_tags.append({})
@@ -135,7 +138,8 @@ class _TreeBuilder(HTMLParser):
         self.barrier = False
         pos = len(self.nodes)
         self.nodes.append({"pos": pos, "parent": self._parent(), "end": pos, "depth": len(self.stack),
-                           "nth": None, "kind": "text", "tag": None, "attrs": None, "text": data})
+                           "nth": None, "kind": "text", "tag": None, "attrs": None, "text": data,
+                           "anc": list(self.stack)})
 
     def finish(self) -> list[dict]:
         self.close()
