@@ -122,6 +122,14 @@ def gesis_citation(title_and_source, heading) -> Column:
 
 TALK_LOCATION_RX = r"([^.]+?)[\s.,]+$"
 TALK_SOURCE_RX = r".\s*([^.]+)\.?$"
+# Anchored forms of the two searches.  An unanchored search retries from every
+# start position (quadratic or worse on long citations); but the leftmost match
+# of TALK_LOCATION_RX can only start right after the last '.' before the trailing
+# run of [\s.,], and that of TALK_SOURCE_RX only at the last '.' (ignoring one
+# final '.') or at 0.  One anchored attempt finds that same span; when it finds
+# nothing the original search runs, so the result is always the original's.
+_TALK_LOCATION_FAST = r"^(?s:.*\.)?([^.]*[^\s.,][\s.,]+)$"
+_TALK_SOURCE_TAIL = r"^.\s*([^.]+)\.?$"
 
 
 def parse_talks(df, col: str, out: str = "talk"):
@@ -134,9 +142,16 @@ def parse_talks(df, col: str, out: str = "talk"):
     """
     t2, l0, t3, p0 = (f"_{out}_{x}" for x in ("t2", "l0", "t3", "p0"))
     d = df.withColumn(t2, F.regexp_replace(F.col(col), TALK_DATE_AT_END, ""))
-    d = d.withColumn(l0, F.regexp_extract(F.col(t2), TALK_LOCATION_RX, 0))
+    fast_l0 = F.regexp_extract(F.col(t2), _TALK_LOCATION_FAST, 1)
+    d = d.withColumn(l0, F.when(fast_l0 != "", fast_l0)
+                         .otherwise(F.regexp_extract(F.col(t2), TALK_LOCATION_RX, 0)))
     d = d.withColumn(t3, F.replace(F.col(t2), F.col(l0), F.lit("")))
-    d = d.withColumn(p0, F.regexp_extract(F.col(t3), TALK_SOURCE_RX, 0))
+    u = F.regexp_replace(F.col(t3), r"\.$", "")
+    k = F.locate(".", F.reverse(u))                           # 1-based from the end, 0 = none
+    start = F.when(k == 0, F.lit(0)).otherwise(F.length(u) - k)  # 0-based start of the match
+    cand = F.substring(F.col(t3), start + 1, 1 << 30)
+    d = d.withColumn(p0, F.when(cand.rlike(_TALK_SOURCE_TAIL), cand)
+                         .otherwise(F.regexp_extract(F.col(t3), TALK_SOURCE_RX, 0)))
     ok = (F.col(l0) != "") & (F.col(p0) != "")
     res = F.struct(
         F.when(ok, strip(F.replace(F.col(t3), F.col(p0), F.lit("")))).alias("title"),
@@ -146,3 +161,15 @@ def parse_talks(df, col: str, out: str = "talk"):
         ok.alias("ok"),
     )
     return d.withColumn(out, res).drop(t2, l0, t3, p0)
+
+
+def keep_parsed_talks(df, col: str, out: str = "talk"):
+    """``parse_talks`` and drop the records the reference dropped.
+
+    The drop is a generator over a 0/1-element array rather than a filter: a
+    filter on these columns would be pushed below the projections with every
+    regex inlined, running the chain twice.
+    """
+    d = parse_talks(df, col, out)
+    keep = [c for c in d.columns if c != out]
+    return d.select(*keep, F.inline(F.filter(F.array(F.col(out)), lambda t: t["ok"])))

@@ -174,9 +174,21 @@ def all_text(nodes, ctxs) -> Column:
     return F.array_join(texts(nodes, _inside_test(nodes, ctxs)), "")
 
 
+def subtree(nodes, ctx: Column) -> Column:
+    """Descendants of one node: a contiguous slice, since ``pos`` is the array index."""
+    return F.slice(_c(nodes), ctx["pos"] + 2, F.greatest(ctx["end"] - ctx["pos"], F.lit(0)))
+
+
+def subtree_text(nodes, ctx: Column) -> Column:
+    """``//text()`` of one node, O(size of its subtree) (H8)."""
+    return F.array_join(F.transform(F.filter(subtree(nodes, ctx), lambda n: n["kind"] == "text"),
+                                    lambda n: n["text"]), "")
+
+
 def preceding(nodes, ctx: Column, pred: Pred) -> Column:
     """``preceding::x[1]``: nearest node ending before ``ctx`` starts."""
-    cand = F.filter(_c(nodes), lambda n: pred(n) & (n["end"] < ctx["pos"]))
+    before = F.slice(_c(nodes), 1, F.greatest(ctx["pos"], F.lit(0)))
+    cand = F.filter(before, lambda n: pred(n) & (n["end"] < ctx["pos"]))
     return F.try_element_at(cand, F.lit(-1))
 
 

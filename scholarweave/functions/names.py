@@ -113,11 +113,9 @@ def link_authors(names, links, link_order: str = FIRST_LAST) -> Column:
     init = F.struct(F.transform(_c(names), prep).alias("left"), F.array().cast("array<string>").alias("hit"))
 
     def step(acc, link):
-        idxs = F.filter(F.transform(acc["left"], lambda n, i: F.when(equiv(n, link["n"]), i).otherwise(-1)),
-                        lambda i: i >= 0)
-        idx = F.get(idxs, 0)
-        return F.when(idx.isNull(), acc).otherwise(F.struct(
-            F.filter(acc["left"], lambda n, i: i != idx).alias("left"),
+        idx = F.array_position(F.transform(acc["left"], lambda n: equiv(n, link["n"])), True)  # 1-based, 0 = none
+        return F.when(idx == 0, acc).otherwise(F.struct(
+            F.filter(acc["left"], lambda n, i: i != idx - 1).alias("left"),
             F.concat(acc["hit"], F.array(link["url"])).alias("hit")))
 
     out = F.aggregate(cands, init, step)

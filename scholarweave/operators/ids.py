@@ -89,8 +89,12 @@ def assign_ids(keys: DataFrame, registry: DataFrame | None = None,
     new keys are the anti join (U4) and get dense IDs after the per-type max.
     """
     spark = keys.sparkSession
-    registry = registry if registry is not None else empty_registry(spark)
-    keys = keys.select(*KEY).where(present("source_url")).distinct()
+    # The distinct key set is materialised once: it feeds two joins and two jobs,
+    # and its upstream (page parsing, renders) must not run again for each.
+    keys = cut_lineage(keys.select(*KEY).where(present("source_url")).distinct())
+    if registry is None:                       # first run: every key is new
+        new_rows = _dense_number(keys, max_ids(empty_registry(spark)), partitions)
+        return new_rows, new_rows
     existing = keys.join(registry.select(*KEY, "id"), KEY, "inner")
     new_keys = keys.join(registry.select(*KEY), KEY, "left_anti")
     new_rows = _dense_number(new_keys, max_ids(registry), partitions)

@@ -238,8 +238,8 @@ SELECT o_orderkey,
 FROM c WHERE loc_ok AND pub_ok""")
 def citation_parse_talk(spark: SparkSession, sf: str) -> DataFrame:
     """Talk citation: trailing date cut, location, source, title; unparsable records dropped."""
-    t = C.parse_talks(_talk_text(table(spark, sf, "orders")), "text", "c")
-    return t.where(F.col("c.ok")).select("o_orderkey", "c.title", "c.published_in", "c.location")
+    t = C.keep_parsed_talks(_talk_text(table(spark, sf, "orders")), "text", "c")
+    return t.select("o_orderkey", "title", "published_in", "location")
 
 
 @query("citation_parse_monograph", f"""
