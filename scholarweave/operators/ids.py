@@ -67,7 +67,7 @@ def _dense_number(new_keys: DataFrame, base: DataFrame, partitions: int | None)
               .sortWithinPartitions("item_type", "source_url")
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = cut_lineage(ranged)
+    ranged = cut_lineage(ranged, "ids-ranged")
     stats = ranged.groupBy("_pid", "item_type").agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_min_mid"))
     w = Window.partitionBy("item_type").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -91,14 +91,15 @@ def assign_ids(keys: DataFrame, registry: DataFrame | None = None,
     spark = keys.sparkSession
     # The distinct key set is materialised once: it feeds two joins and two jobs,
     # and its upstream (page parsing, renders) must not run again for each.
-    keys = cut_lineage(keys.select(*KEY).where(present("source_url")).distinct())
+    keys = cut_lineage(keys.select(*KEY).where(present("source_url")).distinct(), "ids-keys")
     if registry is None:                       # first run: every key is new
-        new_rows = _dense_number(keys, max_ids(empty_registry(spark)), partitions)
+        new_rows = cut_lineage(_dense_number(keys, max_ids(empty_registry(spark)), partitions), "ids-new")
         return new_rows, new_rows
     existing = keys.join(registry.select(*KEY, "id"), KEY, "inner")
     new_keys = keys.join(registry.select(*KEY), KEY, "left_anti")
-    new_rows = _dense_number(new_keys, max_ids(registry), partitions)
-    return existing.unionByName(new_rows), new_rows
+    new_rows = cut_lineage(_dense_number(new_keys, max_ids(registry), partitions), "ids-new")
+    # The ID table is read by several joins downstream: materialise it once.
+    return cut_lineage(existing.unionByName(new_rows), "ids-all"), new_rows
 
 
 def attach_id(df: DataFrame, ids: DataFrame, item_type: str, url_col: str = "source_url",

@@ -16,11 +16,11 @@ from scholarweave.session import cut_lineage
 
 def residual_edges(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 10_000) -> DataFrame:
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
-    e = cut_lineage(e)
+    e = cut_lineage(e, "residual-edges")
     n = e.count()
     for _ in range(max_rounds):
         has_in = e.select(F.col("dst").alias("node")).distinct()
-        nxt = cut_lineage(e.join(has_in, e["src"] == has_in["node"], "left_semi"))
+        nxt = cut_lineage(e.join(has_in, e["src"] == has_in["node"], "left_semi"), "residual-edges")
         m = nxt.count()
         if m == n:
             return nxt

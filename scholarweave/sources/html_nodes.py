@@ -21,7 +21,8 @@ from __future__ import annotations
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,11 +160,76 @@ def parse_html(html: str | None) -> list[dict] | None:
         return None
 
 
+_INT_FIELDS = ("pos", "parent", "end", "depth", "nth")
+
+
+def nodes_arrow(htmls: list) -> pa.Array:
+    """Parse a batch of pages straight into an Arrow ``NODE_TYPE`` column.
+
+    Fields are gathered into flat per-field lists and assembled with offsets,
+    so no per-node Python dict is converted by Arrow.  Text nodes get an empty
+    attribute map; an unparsable page gets a NULL node list.
+    """
+    ints = {f: [] for f in _INT_FIELDS}
+    kinds, tags, texts = [], [], []
+    a_off, a_keys, a_vals = [0], [], []
+    anc_off, anc_vals = [0], []
+    node_off, page_null = [0], []
+    for h in htmls:
+        nodes = parse_html(h)
+        if nodes is None:
+            node_off.append(node_off[-1])
+            page_null.append(True)
+            continue
+        for n in nodes:
+            for f in _INT_FIELDS:
+                ints[f].append(n[f])
+            kinds.append(n["kind"])
+            tags.append(n["tag"])
+            texts.append(n["text"])
+            if n["attrs"]:
+                a_keys.extend(n["attrs"].keys())
+                a_vals.extend(n["attrs"].values())
+            a_off.append(len(a_keys))
+            anc_vals.extend(n["anc"])
+            anc_off.append(len(anc_vals))
+        node_off.append(node_off[-1] + len(nodes))
+        page_null.append(False)
+    struct = pa.StructArray.from_arrays(
+        [pa.array(ints[f], pa.int32()) for f in _INT_FIELDS]
+        + [pa.array(kinds, pa.string()), pa.array(tags, pa.string()),
+           pa.MapArray.from_arrays(pa.array(a_off, pa.int32()), pa.array(a_keys, pa.string()),
+                                   pa.array(a_vals, pa.string())),
+           pa.array(texts, pa.string()),
+           pa.ListArray.from_arrays(pa.array(anc_off, pa.int32()), pa.array(anc_vals, pa.int32()))],
+        names=list(_INT_FIELDS) + ["kind", "tag", "attrs", "text", "anc"])
+    return pa.ListArray.from_arrays(pa.array(node_off, pa.int32()), struct, mask=pa.array(page_null))
+
+
 @F.pandas_udf(NODE_TYPE)
 def _parse_nodes_udf(html: pd.Series) -> pd.Series:
     return pd.Series([parse_html(h) for h in html])
 
 
 def parse_nodes(html: Column | str) -> Column:
-    """``html -> nodes`` (H0).  Select only the key and ``html`` before calling it."""
+    """``html -> nodes`` as a Column (H0).  For whole tables prefer ``parse_pages``."""
     return _parse_nodes_udf(F.col(html) if isinstance(html, str) else html)
+
+
+def parse_pages(df: DataFrame, html: str = "html", out: str = "nodes") -> DataFrame:
+    """Replace the ``html`` column by its node array with ``mapInArrow`` (H0).
+
+    Arrow record batches go to the Python worker and come back with the
+    ``nodes`` column built from flat arrays; every other column passes through.
+    """
+    keep = [f for f in df.schema.fields if f.name != html]
+    schema = T.StructType(keep + [T.StructField(out, NODE_TYPE, True)])
+    names = [f.name for f in keep]
+
+    def run(batches):
+        for b in batches:
+            cols = [b.column(n) for n in names]
+            nodes = nodes_arrow(b.column(html).to_pylist())
+            yield pa.RecordBatch.from_arrays(cols + [nodes], names=names + [out])
+
+    return df.mapInArrow(run, schema)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarweave.functions.text import _c
-from scholarweave.sources.html_nodes import parse_nodes
+from scholarweave.sources.html_nodes import parse_pages
 
 SOURCES_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), False),
@@ -83,7 +83,7 @@ def route(url_col, rules: list[tuple[str, str]], default: str | None = None) ->
 
 def with_nodes(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Parse each page once into its node array (H0); other columns are carried through."""
-    return pages.withColumn("nodes", parse_nodes(html)).drop(html)
+    return parse_pages(pages, html, "nodes")
 
 
 def dedup_requests(frontier: DataFrame, url_col: str = "url", dont_filter: bool = False) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from scholarweave.operators import ids as idops
@@ -27,20 +28,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def read_registry_excluding(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
     """Registry as of before ``batch_id`` (its own partition is left out, so a replay
     recomputes exactly the rows it wrote the first time)."""
-    if not _exists(spark, path):
+    try:
+        reg = spark.read.parquet(path)
+    except AnalysisException as exc:          # no registry written yet (S5)
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
         return idops.empty_registry(spark)
-    reg = spark.read.parquet(path)
     if "batch_id" in reg.columns:
         reg = reg.where(F.col("batch_id") != batch_id)
     return reg.select("source_url", "item_type", F.col("id").cast("bigint").alias("id"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def id_batch_writer(registry_path: str, url_col: str, item_type: str):
     """``foreachBatch`` body: register the batch's keys, idempotent per batchId."""
     def run(batch: DataFrame, batch_id: int) -> None:
