@@ -170,3 +170,25 @@ def author_link_greedy(spark: SparkSession, sf: str) -> DataFrame:
     linked = N.link_authors(names, F.col("links"))
     return g.select("l_orderkey", F.to_json(linked["author_urls"]).alias("author_urls"),
                     F.to_json(N.names_to_lists(linked["author_names"])).alias("author_names"))
+
+
+@query("names_without_person", """
+WITH l AS (SELECT p_partkey, split_part(p_name, ' ', 1) AS f, split_part(p_name, ' ', 2) AS la FROM part),
+r AS (SELECT DISTINCT substr(split_part(p_name, ' ', 1), 1, 1) || '.' AS f, split_part(p_name, ' ', 2) AS la
+      FROM part WHERE p_size > 45)
+SELECT p_partkey, f AS firstname, la AS lastname FROM l
+WHERE NOT EXISTS (
+  SELECT 1 FROM r WHERE r.la = l.la AND (r.f = l.f OR (CASE
+    WHEN length(regexp_replace(l.f, '[^\\p{L}\\p{N}_]', '', 'g')) > length(regexp_replace(r.f, '[^\\p{L}\\p{N}_]', '', 'g'))
+    THEN starts_with(regexp_replace(l.f, '[^\\p{L}\\p{N}_]', '', 'g'), regexp_replace(r.f, '[^\\p{L}\\p{N}_]', '', 'g'))
+    ELSE starts_with(regexp_replace(r.f, '[^\\p{L}\\p{N}_]', '', 'g'), regexp_replace(l.f, '[^\\p{L}\\p{N}_]', '', 'g')) END)))""")
+def names_without_person(spark: SparkSession, sf: str) -> DataFrame:
+    """Author names with no equivalent person: the anti form of the equivalence join."""
+    p = table(spark, sf, "part")
+    nm = N.split_name(F.col("p_name"), N.FIRST_LAST)
+    left = p.select("p_partkey", nm.alias("name"))
+    right = (p.where(F.col("p_size") > 45)
+              .select(F.struct(F.concat(F.substring(nm["firstname"], 1, 1), F.lit(".")).alias("firstname"),
+                               nm["lastname"].alias("lastname")).alias("r_name")).distinct())
+    anti = join_equivalent_names(left, right, "name", "r_name", how="left_anti")
+    return anti.select("p_partkey", F.col("name.firstname").alias("firstname"), F.col("name.lastname").alias("lastname"))
