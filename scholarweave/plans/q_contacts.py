@@ -145,7 +145,7 @@ def hcard_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("organ_publisher_join", f"""
 SELECT p_partkey, p_type || ', ' || p_brand AS organ, CASE WHEN p_size % 3 = 0 THEN p_brand ELSE p_type END AS publisher,
-       CASE WHEN p_size % 3 = 0 THEN to_json([[{W2}, {W1}]]) ELSE to_json([[{W2}, {W1}], [p_type, '']]) END AS authors
+       CASE WHEN p_size % 3 = 0 THEN to_json([[{W2}, {W1}]])::VARCHAR ELSE to_json([[{W2}, {W1}], [p_type, '']])::VARCHAR END AS authors
 FROM part""")
 def organ_publisher_join(spark: SparkSession, sf: str) -> DataFrame:
     """List joins: organ with ', ', publisher = last element, authors scalar-or-list."""
@@ -176,7 +176,7 @@ def _article_text(p: DataFrame) -> DataFrame:
 def _sql_names(x: str, sep_rx: str) -> str:
     parts = f"list_filter(list_transform(regexp_split_to_array({x}, '{sep_rx}'), lambda s: trim(s)), lambda s: s <> '')"
     return (f"to_json(list_transform({parts}, lambda s: [trim(string_split(s, ',')[-1]), "
-            f"trim(array_to_string(string_split(s, ',')[1:len(string_split(s, ','))-1], ' '))]))")
+            f"trim(array_to_string(string_split(s, ',')[1:len(string_split(s, ','))-1], ' '))]))::VARCHAR")
 
 
 @query("citation_parse_article", f"""
@@ -402,13 +402,13 @@ def entity_union(spark: SparkSession, sf: str) -> DataFrame:
 @query("unexported_counts", """
 WITH per AS (SELECT c_acctbal, c_mktsegment FROM customer)
 SELECT 'Organization' AS item_type, (SELECT count(*) FROM region) AS n_items, true AS exported,
-       (SELECT sum(8 + CASE WHEN r_name LIKE 'A%' THEN 2 + 2 ELSE 0 END + CASE WHEN r_name LIKE '%A' THEN 1 ELSE 0 END
-                   + CASE WHEN r_name LIKE '%A' AND r_name NOT LIKE 'A%' THEN 2 ELSE 0 END) FROM region) AS n_triples
+       (SELECT CAST(sum(8 + CASE WHEN r_name LIKE 'A%' THEN 2 + 2 ELSE 0 END + CASE WHEN r_name LIKE '%A' THEN 1 ELSE 0 END
+                   + CASE WHEN r_name LIKE '%A' AND r_name NOT LIKE 'A%' THEN 2 ELSE 0 END) AS BIGINT) FROM region) AS n_triples
 UNION ALL SELECT 'Division', (SELECT count(*) FROM nation), true, (SELECT 3 * count(*) FROM nation)
 UNION ALL SELECT 'Person', (SELECT count(*) FROM customer), true,
-       (SELECT sum(8 + 4 + CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 4 ELSE 0 END
+       (SELECT CAST(sum(8 + 4 + CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 4 ELSE 0 END
                    + CASE WHEN c_acctbal > 5000 THEN 3 ELSE 0 END + CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 3 ELSE 0 END)
-        FROM customer)
+                     AS BIGINT) FROM customer)
 UNION ALL SELECT 'Publication', (SELECT count(*) FROM orders), false, CAST(NULL AS BIGINT)""")
 def unexported_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Per-type item counts; exporters exist for three types only, the rest are counted.

@@ -79,7 +79,7 @@ n AS (SELECT l_orderkey, authors,
 
 
 @query("name_collection", _SQL_AUTHORS + """
-SELECT l_orderkey, authors, CAST(len(names) AS INTEGER) AS n_names, to_json(names) AS names_json FROM n""")
+SELECT l_orderkey, authors, CAST(len(names) AS INTEGER) AS n_names, to_json(names)::VARCHAR AS names_json FROM n""")
 def name_collection(spark: SparkSession, sf: str) -> DataFrame:
     """Regex list split, strip, skip blanks, ``Last, First`` each; as ``[[first,last],..]``."""
     a = _author_strings(spark, sf)
@@ -91,8 +91,8 @@ def name_collection(spark: SparkSession, sf: str) -> DataFrame:
 @query("author_names_json", """
 WITH op AS (SELECT l_orderkey, l_linenumber, p_name, p_partkey FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT l_orderkey,
-       to_json(list([split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)] ORDER BY l_linenumber, p_partkey)) AS author_names,
-       to_json(list('http://parts.example.org/' || CAST(p_partkey AS VARCHAR) ORDER BY l_linenumber, p_partkey)) AS author_urls,
+       to_json(list([split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)] ORDER BY l_linenumber, p_partkey))::VARCHAR AS author_names,
+       to_json(list('http://parts.example.org/' || CAST(p_partkey AS VARCHAR) ORDER BY l_linenumber, p_partkey))::VARCHAR AS author_urls,
        string_agg(split_part(p_name, ' ', 2) || ', ' || split_part(p_name, ' ', 1), '; ' ORDER BY l_linenumber, p_partkey) AS labels
 FROM op GROUP BY l_orderkey""")
 def author_names_json(spark: SparkSession, sf: str) -> DataFrame:

@@ -140,8 +140,8 @@ SELECT p_partkey, p_name AS title, p_type AS published_in, p_type || ', ' || p_b
        '{FEED_PAGE_BASE}' || {_quote_sql("p_name || ' ' || p_brand")} || '.html' AS source_url,
        p_type || ',' || {W1} || ',' || p_brand AS phrases, CAST(p_size + 1990 AS VARCHAR) AS year,
        CAST(NULL AS VARCHAR) AS download_link, CAST(p_size AS VARCHAR) AS issue, CAST(NULL AS VARCHAR) AS location,
-       CASE WHEN p_size % 2 = 0 THEN to_json([[{W2}, {W1}]])
-            ELSE to_json([[{W2}, {W1}], [p_brand, '']]) END AS author_names,
+       CASE WHEN p_size % 2 = 0 THEN to_json([[{W2}, {W1}]])::VARCHAR
+            ELSE to_json([[{W2}, {W1}], [p_brand, '']])::VARCHAR END AS author_names,
        {_TYPE_CASE} AS publication_type, 1 AS unknown_features
 FROM part""")
 def feature_pivot(spark: SparkSession, sf: str) -> DataFrame:
