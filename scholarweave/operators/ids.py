@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarweave.functions.text import present
+from scholarweave.operators.joins import lookup_join
 from scholarweave.session import cut_lineage
 
 KEY = ["source_url", "item_type"]
@@ -131,9 +132,10 @@ def assign_organization(entities: DataFrame, orgs: DataFrame, on: str = "source"
                         org_id_col: str = "id") -> DataFrame:
     """Each entity gets its source's organisation id, regardless of arrival order.
 
-    One organisation per source: the org side is keyed on ``on`` and is joined
-    without a hint, so AQE broadcasts it when (and only when) it is small.
+    One organisation per source, and one source may own a third of all
+    entities: the organisation side is broadcast after a bounded row count
+    proves it small (sources are configuration), else salted (``lookup_join``).
     """
     o = orgs.select(F.col(on).alias("_org_src"), F.col(org_id_col).alias("organization_id"))
     base = entities.drop("organization_id") if "organization_id" in entities.columns else entities
-    return base.join(o, base[on] == o["_org_src"], "left").drop("_org_src")
+    return lookup_join(base, o, (on, "_org_src"), "left").drop("_org_src")

@@ -1,0 +1,32 @@
+"""Join helpers: broadcast behind a size check, salting for hot keys."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side we broadcast without thinking twice (rows).
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (a bounded job: ``limit`` stops early)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_join(big: DataFrame, small: DataFrame, cond_cols: tuple[str, str], how: str = "left",
+                max_rows: int = DEFAULT_BROADCAST_ROWS, salt_buckets: int = 16) -> DataFrame:
+    """Join a large table to a lookup side that is unique on its key.
+
+    If the lookup side is proven small it is broadcast: no shuffle, so a key
+    holding a third of the large side costs nothing extra.  Beyond the bound the
+    large side is salted and the lookup side replicated per salt, so a hot key
+    is spread over ``salt_buckets`` tasks.
+    """
+    left_key, right_key = cond_cols
+    if is_small(small, max_rows):
+        return big.join(F.broadcast(small), big[left_key] == small[right_key], how)
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salt_buckets)))
+    s = small.withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
+    return (b.join(s, (b[left_key] == s[right_key]) & (b["_salt"] == s["_salt_r"]), how)
+             .drop("_salt", "_salt_r"))

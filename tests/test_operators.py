@@ -181,3 +181,12 @@ def test_no_cartesian_and_narrow_selectors(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name in ("page_titles", "feature_pivot"):
         assert "Exchange" not in plan      # H0-H12 and the in-row pivot add no shuffle
+
+
+def test_lookup_join_broadcast_and_salted_paths_agree(spark):
+    from scholarweave.operators.joins import lookup_join
+    big = spark.createDataFrame([("hot", i) for i in range(300)] + [("cold", 1), ("none", 2)], "source string, v int")
+    small = spark.createDataFrame([("hot", 7), ("cold", 8)], "_src string, org long")
+    a = sorted(tuple(r) for r in lookup_join(big, small, ("source", "_src"), "left").collect())
+    b = sorted(tuple(r) for r in lookup_join(big, small, ("source", "_src"), "left", max_rows=0).collect())
+    assert a == b and len(a) == 302 and ("none", 2, None, None) in a
