@@ -79,3 +79,44 @@ def backfill_batch(entities: DataFrame, orgs: DataFrame, pending: DataFrame | No
     done = j.where(F.col("organization_id").isNotNull())
     still = j.where(F.col("organization_id").isNull()).drop("organization_id")
     return done, still
+
+
+def _read_or_none(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame | None:
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+        return None
+    if batch_id is not None:
+        df = df.where(F.col("batch_id") == batch_id).drop("batch_id")
+    return df
+
+
+def backfill_batch_writer(orgs_path: str, pending_path: str, out_path: str, on: str = "source"):
+    """``foreachBatch`` body for X3: entities wait in a pending table until their
+    organisation is registered.  Each batch reads the pending rows written by the
+    previous batch id and writes its own partition, so a replay is idempotent."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        orgs = _read_or_none(spark, orgs_path)
+        if orgs is None:
+            orgs = spark.createDataFrame([], f"{on} string, id bigint")
+        pending = _read_or_none(spark, pending_path, batch_id - 1) if batch_id > 0 else None
+        done, still = backfill_batch(batch, orgs, pending, on)
+        for df, path in ((done, out_path), (still, pending_path)):
+            (df.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    return run
+
+
+def stream_organization_backfill(spark: SparkSession, source_dir: str, schema, orgs_path: str,
+                                 pending_path: str, out_path: str, checkpoint: str, on: str = "source",
+                                 max_files_per_trigger: int | None = None):
+    """Start the X3 stream (``availableNow``) and return the ``StreamingQuery``."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return (reader.parquet(source_dir).writeStream
+            .foreachBatch(backfill_batch_writer(orgs_path, pending_path, out_path, on))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -95,3 +95,29 @@ def test_organization_backfill_waits_for_its_organization(spark):
     done, pending = S.backfill_batch(e2, orgs1, pending)
     assert sorted((r.source_url, r.organization_id) for r in done.collect()) == [("p1", 7), ("p2", 7)]
     assert pending.count() == 0
+
+
+def test_stream_backfill_organization_arrives_later(spark):
+    work = _tmp()
+    src = f"{work}/entities"
+    os.makedirs(src)
+    e1 = spark.createDataFrame([("zbw", "p1"), ("hiig", "h1")], "source string, source_url string")
+    e1.coalesce(1).write.parquet(f"{work}/e1")
+    f1 = [f for f in os.listdir(f"{work}/e1") if f.endswith(".parquet")][0]
+    os.link(f"{work}/e1/{f1}", f"{src}/a.parquet")
+    spark.createDataFrame([("hiig", 3)], "source string, id long").write.parquet(f"{work}/orgs")
+    q = S.stream_organization_backfill(spark, src, "source string, source_url string", f"{work}/orgs",
+                                       f"{work}/pending", f"{work}/out", f"{work}/ckpt")
+    q.awaitTermination()
+    out = {r.source_url: r.organization_id for r in spark.read.parquet(f"{work}/out").collect()}
+    assert out == {"h1": 3}                                   # p1 waits for its organisation
+    spark.createDataFrame([("zbw", 7)], "source string, id long").write.mode("append").parquet(f"{work}/orgs")
+    e2 = spark.createDataFrame([("zbw", "p2")], "source string, source_url string")
+    e2.coalesce(1).write.parquet(f"{work}/e2")
+    f2 = [f for f in os.listdir(f"{work}/e2") if f.endswith(".parquet")][0]
+    os.link(f"{work}/e2/{f2}", f"{src}/b.parquet")
+    q = S.stream_organization_backfill(spark, src, "source string, source_url string", f"{work}/orgs",
+                                       f"{work}/pending", f"{work}/out", f"{work}/ckpt")
+    q.awaitTermination()
+    out = {r.source_url: r.organization_id for r in spark.read.parquet(f"{work}/out").collect()}
+    assert out == {"h1": 3, "p1": 7, "p2": 7}
