@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarweave.functions.text import present
-from scholarweave.operators.joins import lookup_join
+from scholarweave.operators.joins import is_small, lookup_join
 from scholarweave.session import cut_lineage
 
 KEY = ["source_url", "item_type"]
@@ -60,8 +60,22 @@ def max_ids(registry: DataFrame) -> DataFrame:
     return registry.groupBy("item_type").agg(F.max("id").alias("base_id"))
 
 
-def _dense_number(new_keys: DataFrame, base: DataFrame, partitions: int | None) -> DataFrame:
-    """Number distinct new keys densely per type after ``base_id`` in source_url order."""
+# Up to this many new keys are numbered with one window per item type.
+SMALL_KEYS = 1_000_000
+
+
+def _dense_number(new_keys: DataFrame, base: DataFrame, partitions: int | None,
+                  small_keys: int = SMALL_KEYS) -> DataFrame:
+    """Number distinct new keys densely per type after ``base_id`` in source_url order.
+
+    A key set proven small (bounded count) is numbered with a window per type;
+    anything larger takes the range-partitioned two-pass path, so no task ever
+    holds more than ``SMALL_KEYS`` keys or a whole hot type.
+    """
+    if small_keys > 0 and is_small(new_keys, small_keys):
+        w = Window.partitionBy("item_type").orderBy("source_url")
+        return (new_keys.join(base, "item_type", "left")
+                .select(*KEY, (F.coalesce("base_id", F.lit(0)) + F.row_number().over(w)).cast("bigint").alias("id")))
     spark = new_keys.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (new_keys.repartitionByRange(n, "item_type", "source_url")
@@ -83,7 +97,7 @@ def _dense_number(new_keys: DataFrame, base: DataFrame, partitions: int | None)
 
 
 def assign_ids(keys: DataFrame, registry: DataFrame | None = None,
-               partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+               partitions: int | None = None, small_keys: int = SMALL_KEYS) -> tuple[DataFrame, DataFrame]:
     """IDs for every needed key: ``(keys_with_id, new_registry_rows)``.
 
     Existing keys keep their registered ID (equi join on the primary key);
@@ -94,11 +108,12 @@ def assign_ids(keys: DataFrame, registry: DataFrame | None = None,
     # and its upstream (page parsing, renders) must not run again for each.
     keys = cut_lineage(keys.select(*KEY).where(present("source_url")).distinct(), "ids-keys")
     if registry is None:                       # first run: every key is new
-        new_rows = cut_lineage(_dense_number(keys, max_ids(empty_registry(spark)), partitions), "ids-new")
+        new_rows = cut_lineage(_dense_number(keys, max_ids(empty_registry(spark)), partitions, small_keys),
+                               "ids-new")
         return new_rows, new_rows
     existing = keys.join(registry.select(*KEY, "id"), KEY, "inner")
     new_keys = keys.join(registry.select(*KEY), KEY, "left_anti")
-    new_rows = cut_lineage(_dense_number(new_keys, max_ids(registry), partitions), "ids-new")
+    new_rows = cut_lineage(_dense_number(new_keys, max_ids(registry), partitions, small_keys), "ids-new")
     # The ID table is read by several joins downstream: materialise it once.
     return cut_lineage(existing.unionByName(new_rows), "ids-all"), new_rows
 

@@ -30,6 +30,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # whole pages travel to the parse stage in Arrow batches: keep a batch bounded
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", os.environ.get("SW_ARROW_BATCH", "1000"))
         .config("spark.driver.memory", os.environ.get("SW_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

@@ -57,14 +57,15 @@ def test_link_authors_matches_brute_force(spark):
 # --------------------------------------------------------------------------- W2 / U4 invariants
 
 
-def test_ids_dense_stable_and_partition_independent(spark):
+@pytest.mark.parametrize("small_keys", [0, 1_000_000])   # 0 forces the range-partitioned path
+def test_ids_dense_stable_and_partition_independent(spark, small_keys):
     urls = [(f"http://x/{i:03d}", "A" if i % 3 else "B") for i in range(120)]
     keys = spark.createDataFrame(urls, "source_url string, item_type string")
     first = keys.where(F.col("source_url") < "http://x/050")
-    _, reg = idops.assign_ids(first, partitions=3)
+    _, reg = idops.assign_ids(first, partitions=3, small_keys=small_keys)
     reg_rows = {(r.source_url, r.item_type): r.id for r in reg.collect()}
     for parts in (1, 7):
-        ids, new = idops.assign_ids(keys, reg, partitions=parts)
+        ids, new = idops.assign_ids(keys, reg, partitions=parts, small_keys=small_keys)
         got = {(r.source_url, r.item_type): r.id for r in ids.collect()}
         assert len(got) == 120
         for k, v in reg_rows.items():                 # a second run changes no existing ID
