@@ -16,9 +16,17 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters Python's ``str.strip()`` removes, from Python's own definition.
+STRIP_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def strip(c: ColumnOrName) -> Column:
-    """Unicode-aware strip (T1).  ``trim`` keeps tabs and NBSP, so use a regex."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()`` (T1): ``btrim`` over the Unicode whitespace set.
+
+    Plain ``trim`` removes only U+0020; ``btrim`` with the full set is exact and
+    runs without a regex.
+    """
+    return F.btrim(_c(c), F.lit(STRIP_CHARS))
 
 
 def ws_split(c: ColumnOrName) -> Column:
