@@ -16,7 +16,7 @@ from scholarweave.plans.q_graph import render_divisions, render_orgs, render_per
 from scholarweave.plans.q_records import HEADINGS, _heading, _heading_sql, _class_sql
 from scholarweave.plans.registry import query
 from scholarweave.session import table
-from scholarweave.sources.html_nodes import parse_nodes
+from scholarweave.sources.html_nodes import parse_pages
 from scholarweave.sources.pages import follow_links
 
 NBSP = " "
@@ -120,7 +120,7 @@ SELECT s_suppkey, replace(s_name, '#', ' ') AS fn, CASE WHEN s_acctbal > 5000 TH
 FROM supplier""")
 def hcard_fields(spark: SparkSession, sf: str) -> DataFrame:
     """hCard fields selected by class from parsed HTML."""
-    n = _hcard_html(table(spark, sf, "supplier")).withColumn("nodes", parse_nodes("html"))
+    n = parse_pages(_hcard_html(table(spark, sf, "supplier")), "html", "nodes")
     # Selector chains resolve through each node's ancestor list (no nested re-filtering).
     vcard = H.all_of(H.has_class("vcard"), H.under(H.has_id("content_right")))
 
@@ -303,7 +303,7 @@ def following_text(spark: SparkSession, sf: str) -> DataFrame:
     html = F.concat(F.lit('<div class="csc-default box"><ul><li><b>'), F.col("p_name"), F.lit(" <i>"),
                     F.col("p_brand"), F.lit("</i></b> "), (F.col("p_size") + 1990).cast("string"),
                     F.lit(", <em>Verlag</em> Seiten</li></ul></div>"))
-    n = p.select("p_partkey", parse_nodes(html).alias("nodes"))
+    n = parse_pages(p.select("p_partkey", html.alias("html")), "html", "nodes")
     items = n.select("p_partkey", "nodes", F.explode(H.select("nodes", H.element("li"))).alias("li"))
     b = H.select("nodes", H.all_of(H.element("b"), H.self_or_within(H.one(F.col("li")))))
     return items.select("p_partkey", H.all_text("nodes", b).alias("title"),
