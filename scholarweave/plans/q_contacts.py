@@ -13,7 +13,7 @@ from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.operators import triples as tr
 from scholarweave.plans.q_graph import render_divisions, render_orgs, render_persons
-from scholarweave.plans.q_records import HEADINGS, _heading, _heading_sql, _class_sql
+from scholarweave.plans.q_records import _class_sql, _heading, _heading_sql
 from scholarweave.plans.registry import query
 from scholarweave.session import table
 from scholarweave.sources.html_nodes import parse_pages

@@ -1,8 +1,8 @@
-"""Name queries on part / lineitem / orders.
+"""Name queries on part / lineitem.
 
-Author lists are rendered per order: each line item contributes its part's
-two-word name, so a list is bounded by the lines of one order and never
-gathers a whole table into one group.
+Author lists are rendered from one lineitem row and its part (three names per
+row), never by grouping rows: a list is bounded by construction, so no group
+of a hot key is ever gathered into one array.
 """
 
 from __future__ import annotations
@@ -12,21 +12,23 @@ from pyspark.sql import functions as F
 
 from scholarweave.functions import names as N
 from scholarweave.operators.name_join import join_equivalent_names
-from scholarweave.operators.ordered import ordered_collect
 from scholarweave.plans.registry import query
 from scholarweave.session import table
 
 
-def _order_parts(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    p = table(spark, sf, "part").select("p_partkey", "p_name")
-    return li.join(p, li.l_partkey == p.p_partkey)
+def _line_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line item with its part's name words and lower-cased type."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    w = F.split("p_name", " ")
+    return (li.join(p, li.l_partkey == p.p_partkey)
+              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                      F.get(w, 0).alias("w1"), F.get(w, 1).alias("w2"), F.lower("p_type").alias("ty")))
 
 
-# Line numbers repeat within an order in this data; the part key breaks ties
-# (tied rows then carry identical values).
-def _line_order():
-    return F.struct(F.col("l_linenumber"), F.col("l_partkey"))
+_SQL_LINE_PARTS = """lp AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2, lower(p_type) AS ty
+  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 _FL = "string_split(p_name, ' ')"
 _SQL_FIRST = f"trim(array_to_string({_FL}[1:len({_FL})-1], ' '))"
@@ -56,56 +58,53 @@ def name_split_last_first(spark: SparkSession, sf: str) -> DataFrame:
                     nm["lastname"].alias("lastname"))
 
 
-def _author_strings(spark: SparkSession, sf: str) -> DataFrame:
-    """``Last, First; Last, First;; ...`` per order, in line order (doubled separators on even lines)."""
-    op = _order_parts(spark, sf)
-    parts = F.split("p_name", " ")
-    piece = F.concat(F.get(parts, 1), F.lit(", "), F.get(parts, 0),
-                     F.when(F.col("l_linenumber") % 2 == 0, F.lit(";; ")).otherwise(F.lit("; ")))
-    return (op.groupBy("l_orderkey")
-              .agg(F.array_join(ordered_collect(_line_order(), piece), "").alias("authors")))
-
-
-_SQL_AUTHORS = """
-WITH op AS (SELECT l_orderkey, l_linenumber, p_name, p_partkey FROM lineitem JOIN part ON l_partkey = p_partkey),
-a AS (SELECT l_orderkey, string_agg(split_part(p_name, ' ', 2) || ', ' || split_part(p_name, ' ', 1) ||
-             CASE WHEN l_linenumber % 2 = 0 THEN ';; ' ELSE '; ' END, '' ORDER BY l_linenumber, p_partkey) AS authors
-      FROM op GROUP BY l_orderkey),
-n AS (SELECT l_orderkey, authors,
+def _author_string() -> F.Column:
+    """``w2, w1; w2, ty; w1, w2`` with a doubled separator on even line numbers."""
+    sep = F.when(F.col("l_linenumber") % 2 == 0, F.lit(";; ")).otherwise(F.lit("; "))
+    return F.concat(F.col("w2"), F.lit(", "), F.col("w1"), F.lit("; "), F.col("w2"), F.lit(", "), F.col("ty"),
+                    sep, F.col("w1"), F.lit(", "), F.col("w2"), F.lit("; "))
+
+
+_SQL_NAMES = """
+n AS (SELECT l_orderkey, l_linenumber, l_partkey, authors,
              list_transform(list_filter(list_transform(string_split_regex(authors, ';'), lambda x: trim(x)), lambda x: x <> ''),
                             lambda x: [trim(string_split(x, ',')[-1]),
                                        trim(array_to_string(string_split(x, ',')[1:len(string_split(x, ','))-1], ' '))]) AS names
-      FROM a)"""
+      FROM (SELECT *, w2 || ', ' || w1 || '; ' || w2 || ', ' || ty ||
+                      CASE WHEN l_linenumber % 2 = 0 THEN ';; ' ELSE '; ' END || w1 || ', ' || w2 || '; ' AS authors FROM lp))"""
 
 
-@query("name_collection", _SQL_AUTHORS + """
-SELECT l_orderkey, authors, CAST(len(names) AS INTEGER) AS n_names, to_json(names)::VARCHAR AS names_json FROM n""")
+@query("name_collection", "WITH " + _SQL_LINE_PARTS + "," + _SQL_NAMES + """
+SELECT l_orderkey, l_linenumber, l_partkey, authors, CAST(len(names) AS INTEGER) AS n_names,
+       to_json(names)::VARCHAR AS names_json FROM n""")
 def name_collection(spark: SparkSession, sf: str) -> DataFrame:
     """Regex list split, strip, skip blanks, ``Last, First`` each; as ``[[first,last],..]``."""
-    a = _author_strings(spark, sf)
+    a = _line_parts(spark, sf).withColumn("authors", _author_string())
     names = N.split_names(F.col("authors"), N.LAST_FIRST, ",", ";")
-    return a.select("l_orderkey", "authors", F.size(names).alias("n_names"),
+    return a.select("l_orderkey", "l_linenumber", "l_partkey", "authors", F.size(names).alias("n_names"),
                     F.to_json(N.names_to_lists(names)).alias("names_json"))
 
 
-@query("author_names_json", """
-WITH op AS (SELECT l_orderkey, l_linenumber, p_name, p_partkey FROM lineitem JOIN part ON l_partkey = p_partkey)
-SELECT l_orderkey,
-       to_json(list([split_part(p_name, ' ', 1), split_part(p_name, ' ', 2)] ORDER BY l_linenumber, p_partkey))::VARCHAR AS author_names,
-       to_json(list('http://parts.example.org/' || CAST(p_partkey AS VARCHAR) ORDER BY l_linenumber, p_partkey))::VARCHAR AS author_urls,
-       string_agg(split_part(p_name, ' ', 2) || ', ' || split_part(p_name, ' ', 1), '; ' ORDER BY l_linenumber, p_partkey) AS labels
-FROM op GROUP BY l_orderkey""")
+@query("author_names_json", "WITH " + _SQL_LINE_PARTS + """
+SELECT l_orderkey, l_linenumber, l_partkey,
+       to_json([[w1, w2], [ty, w2], [w2, w1]])::VARCHAR AS author_names,
+       to_json(['http://parts.example.org/' || CAST(l_partkey AS VARCHAR),
+                'http://parts.example.org/' || CAST(l_partkey AS VARCHAR) || '/t',
+                'http://suppliers.example.org/' || CAST(l_suppkey AS VARCHAR)])::VARCHAR AS author_urls,
+       w2 || ', ' || w1 || '; ' || w2 || ', ' || ty || '; ' || w1 || ', ' || w2 AS labels
+FROM lp""")
 def author_names_json(spark: SparkSession, sf: str) -> DataFrame:
-    """Ordered collect per publication, serialised as JSON and ``Last, First`` labels."""
-    op = _order_parts(spark, sf)
-    nm = N.split_name(F.col("p_name"), N.FIRST_LAST, " ")
-    url = F.concat(F.lit("http://parts.example.org/"), F.col("p_partkey").cast("string"))
-    g = op.groupBy("l_orderkey").agg(
-        ordered_collect(_line_order(), nm).alias("names"),
-        ordered_collect(_line_order(), url).alias("urls"))
-    return g.select("l_orderkey", F.to_json(N.names_to_lists("names")).alias("author_names"),
-                    F.to_json("urls").alias("author_urls"),
-                    F.array_join(F.transform("names", N.name_label), "; ").alias("labels"))
+    """An ordered author list and its URL list serialised as JSON, plus ``Last, First`` labels."""
+    lp = _line_parts(spark, sf)
+    names = F.array(N.make_name(F.col("w1"), F.col("w2")), N.make_name(F.col("ty"), F.col("w2")),
+                    N.make_name(F.col("w2"), F.col("w1")))
+    key = F.col("l_partkey").cast("string")
+    urls = F.array(F.concat(F.lit("http://parts.example.org/"), key),
+                   F.concat(F.lit("http://parts.example.org/"), key, F.lit("/t")),
+                   F.concat(F.lit("http://suppliers.example.org/"), F.col("l_suppkey").cast("string")))
+    return lp.select("l_orderkey", "l_linenumber", "l_partkey",
+                     F.to_json(N.names_to_lists(names)).alias("author_names"), F.to_json(urls).alias("author_urls"),
+                     F.array_join(F.transform(names, N.name_label), "; ").alias("labels"))
 
 
 @query("name_equivalence_join", """
@@ -145,17 +144,20 @@ def name_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _link_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """Per order: author names (``Last, First``) and person-page links ``"F. Last, Title"``."""
-    op = _order_parts(spark, sf)
-    parts = F.split("p_name", " ")
-    link = F.struct(F.concat(F.substring(F.get(parts, 0), 1, 1), F.lit(". "), F.get(parts, 1),
-                             F.lit(", Dr.")).alias("name"),
-                    F.concat(F.lit("http://parts.example.org/"), F.col("p_partkey").cast("string")).alias("url"))
-    g = op.groupBy("l_orderkey").agg(
-        F.array_join(ordered_collect(_line_order(),
-                                     F.concat(F.get(parts, 1), F.lit(", "), F.get(parts, 0))), " & ").alias("authors"),
-        ordered_collect(F.struct(-F.col("l_linenumber"), -F.col("l_partkey")), link).alias("links"))
-    return g
+    """Per line item: three author names and three person-page links ``"F. Last, Title"``."""
+    lp = _line_parts(spark, sf)
+    key = F.col("l_partkey").cast("string")
+    authors = F.concat(F.col("w2"), F.lit(", "), F.col("w1"), F.lit(" & "), F.col("w2"), F.lit(", "), F.col("ty"),
+                       F.lit(" & "), F.col("w1"), F.lit(", "), F.col("w2"))
+    # An initial can fit two authors (greedy takes the first); the last link names nobody on the list.
+    links = F.array(
+        F.struct(F.concat(F.substring("w1", 1, 1), F.lit(". "), F.col("w2"), F.lit(", Dr.")).alias("name"),
+                 F.concat(F.lit("http://parts.example.org/"), key).alias("url")),
+        F.struct(F.concat(F.substring("ty", 1, 1), F.lit(". "), F.col("w2")).alias("name"),
+                 F.concat(F.lit("http://parts.example.org/"), key, F.lit("/t")).alias("url")),
+        F.struct(F.concat(F.col("w1"), F.lit(" Nobody")).alias("name"),
+                 F.concat(F.lit("http://suppliers.example.org/"), F.col("l_suppkey").cast("string")).alias("url")))
+    return lp.select("l_orderkey", "l_linenumber", "l_partkey", authors.alias("authors"), links.alias("links"))
 
 
 @query("author_link_greedy")
@@ -168,7 +170,7 @@ def author_link_greedy(spark: SparkSession, sf: str) -> DataFrame:
     g = _link_lists(spark, sf)
     names = N.split_names(F.col("authors"), N.LAST_FIRST, ",", "&")
     linked = N.link_authors(names, F.col("links"))
-    return g.select("l_orderkey", F.to_json(linked["author_urls"]).alias("author_urls"),
+    return g.select("l_orderkey", "l_linenumber", "l_partkey", F.to_json(linked["author_urls"]).alias("author_urls"),
                     F.to_json(N.names_to_lists(linked["author_names"])).alias("author_names"))
 
 

@@ -191,3 +191,23 @@ def test_lookup_join_broadcast_and_salted_paths_agree(spark):
     a = sorted(tuple(r) for r in lookup_join(big, small, ("source", "_src"), "left").collect())
     b = sorted(tuple(r) for r in lookup_join(big, small, ("source", "_src"), "left", max_rows=0).collect())
     assert a == b and len(a) == 302 and ("none", 2, None, None) in a
+
+
+def test_author_link_greedy_query_matches_brute_force(spark):
+    """The registered query (no SQL oracle) against the Python model, as multisets of rows."""
+    import collections
+    import json
+
+    from scholarweave.plans import q_names
+    sf = "/root/testdata/sf0.001"
+    expected = collections.Counter()
+    for r in q_names._link_lists(spark, sf).collect():
+        parts = [x.strip() for x in r.authors.split("&")]
+        names = [(p.split(",")[-1].strip(), " ".join(p.split(",")[:-1]).strip()) for p in parts if p.strip()]
+        hit, left = _py_link(names, [(l.name, l.url) for l in r.links])
+        expected[(r.l_orderkey, r.l_linenumber, r.l_partkey, json.dumps(hit), json.dumps([list(x) for x in left]))] += 1
+    got = collections.Counter(
+        (r.l_orderkey, r.l_linenumber, r.l_partkey, json.dumps(json.loads(r.author_urls)),
+         json.dumps(json.loads(r.author_names)))
+        for r in q_names.author_link_greedy(spark, sf).collect())
+    assert sum(got.values()) > 0 and got == expected
