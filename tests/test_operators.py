@@ -211,3 +211,39 @@ def test_author_link_greedy_query_matches_brute_force(spark):
          json.dumps(json.loads(r.author_names)))
         for r in q_names.author_link_greedy(spark, sf).collect())
     assert sum(got.values()) > 0 and got == expected
+
+
+def test_page_section_text_query_matches_python_model(spark):
+    import collections
+
+    import pyarrow.parquet as pq
+
+    from scholarweave.plans.q_pages import page_section_text
+    sf = "/root/testdata/sf0.001"
+    expected = collections.Counter()
+    for page_id, html in zip(*pq.read_table(f"{sf}/pages.parquet", columns=["page_id", "html"]).to_pydict().values()):
+        nodes = parse_html(html)
+        for n in nodes:
+            if n["kind"] == "element" and n["tag"] == "p":
+                text = "".join(t["text"] for t in nodes[n["pos"] + 1:n["end"] + 1] if t["kind"] == "text")
+                heads = [h for h in nodes[:n["pos"]] if h["tag"] == "h1" and h["end"] < n["pos"]]
+                heading = ("".join(t["text"] for t in nodes[heads[-1]["pos"] + 1:heads[-1]["end"] + 1]
+                                   if t["kind"] == "text") if heads else "")
+                expected[(page_id, n["pos"], text, heading)] += 1
+    rows = page_section_text(spark, sf).collect()
+    assert all((r.heading or "") == (r.heading_ffill or "") for r in rows)     # W1 agrees with H10
+    got = collections.Counter((r.page_id, r.p_pos, r.text, r.heading or "") for r in rows)
+    assert sum(got.values()) > 0 and got == expected
+
+
+def test_edge_residual_query_matches_brute_force(spark):
+    import pyarrow.parquet as pq
+
+    from scholarweave.plans.q_stream import edge_residual_nodes
+    sf = "/root/testdata/sf0.001"
+    li = pq.read_table(f"{sf}/lineitem.parquet").to_pydict()
+    edges = [(f"p{p}", f"s{s}") for p, s in zip(li["l_partkey"], li["l_suppkey"])]
+    edges += [(f"s{s}", f"p{p}") for p, s, f, n in zip(li["l_partkey"], li["l_suppkey"], li["l_returnflag"],
+                                                      li["l_linenumber"]) if f == "R" and n == 1]
+    got = {r.node for r in edge_residual_nodes(spark, sf).collect()}
+    assert got == _py_residual(edges)
