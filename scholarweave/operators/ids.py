@@ -3,11 +3,12 @@
 IDs are dense per item type, start at 1, never change once registered, and new
 keys of one run are numbered ``max + 1, max + 2, ...`` in ``source_url`` order.
 
-Numbering never funnels a type into one task: new keys are range-partitioned
-on ``(item_type, source_url)``, each partition numbers its rows locally, and a
-tiny per-(partition, type) count table gives every partition its offset.  The
-numbered keys are checkpointed between the two passes because a re-evaluated
-range shuffle may place rows differently.
+A run with at most ``SMALL_KEYS`` new keys (checked with a bounded count) is
+numbered with one window per item type.  Larger runs never funnel a type into
+one task: new keys are range-partitioned on ``(item_type, source_url)``, each
+partition numbers its rows locally, and a tiny per-(partition, type) count table
+gives every partition its offset.  The numbered keys are written out between the
+two passes because a re-evaluated range shuffle may place rows differently.
 """
 
 from __future__ import annotations

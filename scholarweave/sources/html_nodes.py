@@ -1,6 +1,6 @@
 """Page -> node array (H0): the one Python stage of the page pipeline.
 
-Each page's HTML is parsed once, inside an Arrow-batched pandas UDF, into
+Each page's HTML is parsed once, in a ``mapInArrow`` stage (``parse_pages``), into
 ``array<struct<pos, parent, end, depth, nth, kind, tag, attrs, text>>`` in
 document order.  Elements and text nodes are separate nodes (``kind``), so
 "first text child" stays addressable.  ``end`` is the position of an element's
