@@ -1,8 +1,8 @@
 """Name queries on part / lineitem.
 
-Author lists are rendered from one lineitem row and its part (three names per
-row), never by grouping rows: a list is bounded by construction, so no group
-of a hot key is ever gathered into one array.
+Author lists are rendered from one ``part`` row each (three names per row),
+never by grouping rows: a list is bounded by construction, so no group of a
+hot key is ever gathered into one array.
 """
 
 from __future__ import annotations
@@ -17,18 +17,16 @@ from scholarweave.session import table
 
 
 def _line_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """Every line item with its part's name words and lower-cased type."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    """Every part with its name words, lower-cased type and brand tag."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
     w = F.split("p_name", " ")
-    return (li.join(p, li.l_partkey == p.p_partkey)
-              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                      F.get(w, 0).alias("w1"), F.get(w, 1).alias("w2"), F.lower("p_type").alias("ty")))
+    return p.select("p_partkey", "p_size", F.get(w, 0).alias("w1"), F.get(w, 1).alias("w2"),
+                    F.lower("p_type").alias("ty"),
+                    F.lower(F.replace(F.col("p_brand"), F.lit("#"), F.lit(""))).alias("br"))
 
 
-_SQL_LINE_PARTS = """lp AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2, lower(p_type) AS ty
-  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+_SQL_LINE_PARTS = """lp AS (SELECT p_partkey, p_size, split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2,
+       lower(p_type) AS ty, lower(replace(p_brand, '#', '')) AS br FROM part)"""
 
 _FL = "string_split(p_name, ' ')"
 _SQL_FIRST = f"trim(array_to_string({_FL}[1:len({_FL})-1], ' '))"
@@ -59,38 +57,38 @@ def name_split_last_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _author_string() -> F.Column:
-    """``w2, w1; w2, ty; w1, w2`` with a doubled separator on even line numbers."""
-    sep = F.when(F.col("l_linenumber") % 2 == 0, F.lit(";; ")).otherwise(F.lit("; "))
+    """``w2, w1; w2, ty; w1, w2`` with a doubled separator for even part sizes."""
+    sep = F.when(F.col("p_size") % 2 == 0, F.lit(";; ")).otherwise(F.lit("; "))
     return F.concat(F.col("w2"), F.lit(", "), F.col("w1"), F.lit("; "), F.col("w2"), F.lit(", "), F.col("ty"),
                     sep, F.col("w1"), F.lit(", "), F.col("w2"), F.lit("; "))
 
 
 _SQL_NAMES = """
-n AS (SELECT l_orderkey, l_linenumber, l_partkey, authors,
+n AS (SELECT p_partkey, authors,
              list_transform(list_filter(list_transform(string_split_regex(authors, ';'), lambda x: trim(x)), lambda x: x <> ''),
                             lambda x: [trim(string_split(x, ',')[-1]),
                                        trim(array_to_string(string_split(x, ',')[1:len(string_split(x, ','))-1], ' '))]) AS names
       FROM (SELECT *, w2 || ', ' || w1 || '; ' || w2 || ', ' || ty ||
-                      CASE WHEN l_linenumber % 2 = 0 THEN ';; ' ELSE '; ' END || w1 || ', ' || w2 || '; ' AS authors FROM lp))"""
+                      CASE WHEN p_size % 2 = 0 THEN ';; ' ELSE '; ' END || w1 || ', ' || w2 || '; ' AS authors FROM lp))"""
 
 
 @query("name_collection", "WITH " + _SQL_LINE_PARTS + "," + _SQL_NAMES + """
-SELECT l_orderkey, l_linenumber, l_partkey, authors, CAST(len(names) AS INTEGER) AS n_names,
+SELECT p_partkey, authors, CAST(len(names) AS INTEGER) AS n_names,
        to_json(names)::VARCHAR AS names_json FROM n""")
 def name_collection(spark: SparkSession, sf: str) -> DataFrame:
     """Regex list split, strip, skip blanks, ``Last, First`` each; as ``[[first,last],..]``."""
     a = _line_parts(spark, sf).withColumn("authors", _author_string())
     names = N.split_names(F.col("authors"), N.LAST_FIRST, ",", ";")
-    return a.select("l_orderkey", "l_linenumber", "l_partkey", "authors", F.size(names).alias("n_names"),
+    return a.select("p_partkey", "authors", F.size(names).alias("n_names"),
                     F.to_json(N.names_to_lists(names)).alias("names_json"))
 
 
 @query("author_names_json", "WITH " + _SQL_LINE_PARTS + """
-SELECT l_orderkey, l_linenumber, l_partkey,
+SELECT p_partkey,
        to_json([[w1, w2], [ty, w2], [w2, w1]])::VARCHAR AS author_names,
-       to_json(['http://parts.example.org/' || CAST(l_partkey AS VARCHAR),
-                'http://parts.example.org/' || CAST(l_partkey AS VARCHAR) || '/t',
-                'http://suppliers.example.org/' || CAST(l_suppkey AS VARCHAR)])::VARCHAR AS author_urls,
+       to_json(['http://parts.example.org/' || CAST(p_partkey AS VARCHAR),
+                'http://parts.example.org/' || CAST(p_partkey AS VARCHAR) || '/t',
+                'http://brands.example.org/' || br])::VARCHAR AS author_urls,
        w2 || ', ' || w1 || '; ' || w2 || ', ' || ty || '; ' || w1 || ', ' || w2 AS labels
 FROM lp""")
 def author_names_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,11 +96,11 @@ def author_names_json(spark: SparkSession, sf: str) -> DataFrame:
     lp = _line_parts(spark, sf)
     names = F.array(N.make_name(F.col("w1"), F.col("w2")), N.make_name(F.col("ty"), F.col("w2")),
                     N.make_name(F.col("w2"), F.col("w1")))
-    key = F.col("l_partkey").cast("string")
+    key = F.col("p_partkey").cast("string")
     urls = F.array(F.concat(F.lit("http://parts.example.org/"), key),
                    F.concat(F.lit("http://parts.example.org/"), key, F.lit("/t")),
-                   F.concat(F.lit("http://suppliers.example.org/"), F.col("l_suppkey").cast("string")))
-    return lp.select("l_orderkey", "l_linenumber", "l_partkey",
+                   F.concat(F.lit("http://brands.example.org/"), F.col("br")))
+    return lp.select("p_partkey",
                      F.to_json(N.names_to_lists(names)).alias("author_names"), F.to_json(urls).alias("author_urls"),
                      F.array_join(F.transform(names, N.name_label), "; ").alias("labels"))
 
@@ -144,9 +142,9 @@ def name_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _link_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """Per line item: three author names and three person-page links ``"F. Last, Title"``."""
+    """Per part: three author names and three person-page links ``"F. Last, Title"``."""
     lp = _line_parts(spark, sf)
-    key = F.col("l_partkey").cast("string")
+    key = F.col("p_partkey").cast("string")
     authors = F.concat(F.col("w2"), F.lit(", "), F.col("w1"), F.lit(" & "), F.col("w2"), F.lit(", "), F.col("ty"),
                        F.lit(" & "), F.col("w1"), F.lit(", "), F.col("w2"))
     # An initial can fit two authors (greedy takes the first); the last link names nobody on the list.
@@ -156,8 +154,8 @@ def _link_lists(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.concat(F.substring("ty", 1, 1), F.lit(". "), F.col("w2")).alias("name"),
                  F.concat(F.lit("http://parts.example.org/"), key, F.lit("/t")).alias("url")),
         F.struct(F.concat(F.col("w1"), F.lit(" Nobody")).alias("name"),
-                 F.concat(F.lit("http://suppliers.example.org/"), F.col("l_suppkey").cast("string")).alias("url")))
-    return lp.select("l_orderkey", "l_linenumber", "l_partkey", authors.alias("authors"), links.alias("links"))
+                 F.concat(F.lit("http://brands.example.org/"), F.col("br")).alias("url")))
+    return lp.select("p_partkey", authors.alias("authors"), links.alias("links"))
 
 
 @query("author_link_greedy")
@@ -170,7 +168,7 @@ def author_link_greedy(spark: SparkSession, sf: str) -> DataFrame:
     g = _link_lists(spark, sf)
     names = N.split_names(F.col("authors"), N.LAST_FIRST, ",", "&")
     linked = N.link_authors(names, F.col("links"))
-    return g.select("l_orderkey", "l_linenumber", "l_partkey", F.to_json(linked["author_urls"]).alias("author_urls"),
+    return g.select("p_partkey", F.to_json(linked["author_urls"]).alias("author_urls"),
                     F.to_json(N.names_to_lists(linked["author_names"])).alias("author_names"))
 
 
