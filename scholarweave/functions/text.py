@@ -121,7 +121,8 @@ def _dot_segments(path: Column) -> Column:
     folded = F.aggregate(segs, acc0, step)
     last = F.try_element_at(segs, F.lit(-1))
     trailing = F.when((last == ".") | (last == ".."), F.lit("/")).otherwise(F.lit(""))
-    return F.concat(F.array_join(folded, "/"), trailing)
+    # Only paths with a '.' or '..' segment need the fold; the rest pass unchanged.
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(F.array_join(folded, "/"), trailing)).otherwise(path)
 
 
 def url_join(base: ColumnOrName, ref: ColumnOrName) -> Column:

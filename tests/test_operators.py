@@ -247,3 +247,16 @@ def test_edge_residual_query_matches_brute_force(spark):
                                                       li["l_linenumber"]) if f == "R" and n == 1]
     got = {r.node for r in edge_residual_nodes(spark, sf).collect()}
     assert got == _py_residual(edges)
+
+
+def test_url_join_matches_urljoin(spark):
+    from urllib.parse import urljoin
+
+    from scholarweave.functions.text import url_join
+    cases = [("http://a/b/c/d;p?q", r) for r in ["g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", "..",
+                                                 "../", "../g", "../..", "../../", "../../g", ".", "./", "g/./h",
+                                                 "g/../h", "a b/c"]]
+    cases += [("http://www.gesis.org/forschung/x/", "../ki/"), ("http://www.zbw.eu", "de/p/"), ("http://h", "x")]
+    df = spark.createDataFrame(cases, "b string, r string")
+    for row in df.select("b", "r", url_join("b", "r").alias("j")).collect():
+        assert row.j == urljoin(row.b, row.r), (row.b, row.r)
