@@ -93,7 +93,11 @@ def extract_publications(pages: DataFrame) -> DataFrame:
         F.col("ay.author_names").alias("author_names"), F.col("ay.year").alias("year"),
         doi.alias("doi"), F.when(is_talk, F.col("talk.ok")).otherwise(F.lit(True)).alias("_keep"),
         F.col("url").alias("person_url"))
-    return out.where("_keep").drop("_keep")
+    # Drop unparsable talks with a generator: a filter here would be pushed below the
+    # staged regex columns and re-run them.
+    row = F.struct(*[F.col(c) for c in out.columns])
+    kept = out.select(F.inline(F.filter(F.array(row), lambda r: r["_keep"])))
+    return kept.drop("_keep")
 
 
 def crawl(pages: DataFrame) -> dict[str, DataFrame]:
