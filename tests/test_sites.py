@@ -217,3 +217,26 @@ def test_site_entities_feed_the_graph(spark, site, mod):
                                                               "division_url string"))
     g = build_graph(org, div, pers, roles)
     assert g.triples.count() > 8
+
+
+def test_run_site_end_to_end_and_stable_ids(spark):
+    import os
+    import tempfile
+
+    from scholarweave.plans.pipeline import run_site
+    out = tempfile.mkdtemp(prefix="sw-site-", dir="/tmp")
+    reg = f"{out}/registry"
+    first = run_site(spark, "zbw", _pages(spark, ZBW), out, reg)
+    ids1 = {(r.source_url, r.item_type): r.id for r in spark.read.parquet(reg).collect()}
+    assert ("http://www.zbw.eu/de/impressum/", "Organization") in ids1
+    assert ("http://www.zbw.eu/de/personen/kt/", "Person") in ids1
+    lines = spark.read.text(first.paths["rdf"]).collect()
+    assert any("foaf/0.1/NonFacultyAcademic" in r.value for r in lines)
+    assert os.path.isdir(first.paths["Person"]) and os.path.isdir(first.paths["Publication"])
+    second = run_site(spark, "zbw", _pages(spark, ZBW), None, reg)       # a second run: no new IDs
+    assert second.graph.new_registry_rows.count() == 0
+    ids2 = {(r.source_url, r.item_type): r.id for r in spark.read.parquet(reg).collect()}
+    assert ids2 == ids1
+    assert sorted(r.value for r in lines) == sorted(
+        r.line for r in __import__("scholarweave.operators.triples", fromlist=["x"]).ntriples_lines(
+            second.graph.triples).collect())
