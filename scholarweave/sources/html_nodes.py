@@ -13,7 +13,10 @@ Tree building follows the usual HTML recovery rules: void elements never
 open, ``script``/``style`` are raw text, ``p``/``li``/``tr``/``td``/``dt``/
 ``dd``/``option`` close implicitly, and an end tag with no open element of
 that name is ignored instead of draining the stack.  Comments are dropped.
-A page that cannot be parsed yields NULL nodes; the job keeps going.
+A page that cannot be parsed yields NULL nodes; the job keeps going.  Like
+browser parsers, tree depth is bounded (``MAX_DEPTH`` open elements): a deeper
+element is kept as a leaf under the deepest open one, so a page of thousands of
+unclosed tags cannot make the ancestor lists quadratic.  Nothing is dropped.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ NODE_TYPE = T.ArrayType(T.StructType([
     T.StructField("text", T.StringType()), T.StructField("anc", T.ArrayType(T.IntegerType())),
 ]))
 
+MAX_DEPTH = 512
+
 # HTML element classes that drive tree recovery.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr", "keygen", "command", "basefont", "frame", "isindex"}
@@ -110,7 +115,7 @@ class _TreeBuilder(HTMLParser):
         self.nodes.append({"pos": pos, "parent": self._parent(), "end": pos, "depth": len(self.stack),
                            "nth": counts[tag], "kind": "element", "tag": tag, "attrs": amap, "text": None,
                            "anc": list(self.stack)})
-        if tag not in VOID:
+        if tag not in VOID and len(self.stack) < MAX_DEPTH:
             self.stack.append(pos)
             self.child_tags.append({})
 

@@ -260,3 +260,13 @@ def test_url_join_matches_urljoin(spark):
     df = spark.createDataFrame(cases, "b string, r string")
     for row in df.select("b", "r", url_join("b", "r").alias("j")).collect():
         assert row.j == urljoin(row.b, row.r), (row.b, row.r)
+
+
+def test_parser_depth_is_bounded_and_keeps_content():
+    from scholarweave.sources.html_nodes import MAX_DEPTH
+    html = "<div>" * 5000 + "deep text" + "</div>" * 5000 + "<p>after</p>"
+    nodes = parse_html(html)
+    assert max(len(n["anc"]) for n in nodes) <= MAX_DEPTH
+    assert sum(1 for n in nodes if n["tag"] == "div") == 5000
+    texts = [n["text"] for n in nodes if n["kind"] == "text"]
+    assert "deep text" in texts and "after" in texts
