@@ -67,12 +67,14 @@ def test_registry_append_and_second_run(spark):
 
 def test_stream_ids_replay_is_idempotent(spark):
     src = _tmp()
-    spark.createDataFrame([("http://x/2",), ("http://x/1",)], "url string").write.parquet(f"{src}/f1")
-    spark.createDataFrame([("http://x/3",), ("http://x/1",)], "url string").write.parquet(f"{src}/f2")
-    files = sorted(os.path.join(dp, f) for dp, _, fs in os.walk(src) for f in fs if f.endswith(".parquet"))
+    # one file per micro-batch, with increasing modification times (the file source's order)
+    spark.createDataFrame([("http://x/2",), ("http://x/1",)], "url string").coalesce(1).write.parquet(f"{src}/f1")
+    spark.createDataFrame([("http://x/3",), ("http://x/1",)], "url string").coalesce(1).write.parquet(f"{src}/f2")
     flat = _tmp()
-    for i, f in enumerate(files):
-        os.link(f, f"{flat}/part-{i}.parquet")
+    for i, d in enumerate(("f1", "f2")):
+        f = [x for x in os.listdir(f"{src}/{d}") if x.endswith(".parquet")][0]
+        os.link(f"{src}/{d}/{f}", f"{flat}/part-{i}.parquet")
+        os.utime(f"{flat}/part-{i}.parquet", (1_700_000_000 + i * 100, 1_700_000_000 + i * 100))
     work = _tmp()
     q = S.stream_entity_ids(spark, flat, "url string", f"{work}/reg", f"{work}/ckpt", max_files_per_trigger=1)
     q.awaitTermination()
