@@ -28,6 +28,19 @@ class Graph:
     divisions: DataFrame
     organizations: DataFrame
     roles: DataFrame
+    dropped: DataFrame       # F3: items without a source_url, counted per type and reason
+
+
+def _dropped(frames: dict[str, DataFrame]) -> DataFrame:
+    """Count items dropped for a NULL or an empty ``source_url`` (lazy; one aggregate)."""
+    parts = [df.where(~present("source_url")).select(
+                F.lit(t).alias("item_type"),
+                F.when(F.col("source_url").isNull(), F.lit("null")).otherwise(F.lit("blank")).alias("reason"))
+             for t, df in frames.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("item_type", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _typed_keys(df: DataFrame, item_type: str, url_col: str = "source_url") -> DataFrame:
@@ -39,9 +52,12 @@ def build_graph(orgs: DataFrame, divisions: DataFrame, persons: DataFrame, roles
                 partitions: int | None = None) -> Graph:
     # an item without a source_url gets no ID and is not exported.
     # IDs and organisation ids are assigned here, whatever the input carries.
-    orgs = conform(orgs, "Organization").drop("id").where(present("source_url"))
-    divisions = conform(divisions, "Division").drop("id", "organization_id").where(present("source_url"))
-    persons = conform(persons, "Person").drop("id", "organization_id").where(present("source_url"))
+    orgs, divisions, persons = (conform(orgs, "Organization"), conform(divisions, "Division"),
+                                conform(persons, "Person"))
+    dropped = _dropped({"Organization": orgs, "Division": divisions, "Person": persons})
+    orgs = orgs.drop("id").where(present("source_url"))
+    divisions = divisions.drop("id", "organization_id").where(present("source_url"))
+    persons = persons.drop("id", "organization_id").where(present("source_url"))
     valid_roles = roles.where(present("person_url") & present("division_url"))
 
     keys = idops.needed_keys(                                   # U3
@@ -64,4 +80,4 @@ def build_graph(orgs: DataFrame, divisions: DataFrame, persons: DataFrame, roles
         tr.organization_triples(orgs_i, base),
         tr.division_triples(divs_i, base),
     )
-    return Graph(triples, ids, new_rows, pers_i, divs_i, orgs_i, roles_i)
+    return Graph(triples, ids, new_rows, pers_i, divs_i, orgs_i, roles_i, dropped)

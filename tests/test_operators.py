@@ -270,3 +270,17 @@ def test_parser_depth_is_bounded_and_keeps_content():
     assert sum(1 for n in nodes if n["tag"] == "div") == 5000
     texts = [n["text"] for n in nodes if n["kind"] == "text"]
     assert "deep text" in texts and "after" in texts
+
+
+def test_graph_drops_and_counts_items_without_source_url(spark):
+    from scholarweave.plans.graph import build_graph
+    orgs = spark.createDataFrame([("s", "http://o/", "Org")], "source string, source_url string, name string")
+    divs = spark.createDataFrame([("s", None, "D0"), ("s", "http://d/1", "D1")],
+                                 "source string, source_url string, name string")
+    pers = spark.createDataFrame([("s", "", "A B", "A", "B"), ("s", None, "C D", "C", "D"), ("s", "http://p/1", "E F", "E", "F")],
+                                 "source string, source_url string, name string, firstname string, lastname string")
+    roles = spark.createDataFrame([], "source_url string, name string, division_url string, person_url string")
+    g = build_graph(orgs, divs, pers, roles)
+    got = sorted(tuple(r) for r in g.dropped.collect())
+    assert got == [("Division", "null", 1), ("Person", "blank", 1), ("Person", "null", 1)]
+    assert g.persons.count() == 1 and g.divisions.count() == 1
