@@ -18,6 +18,8 @@ from scholarweave.schemas import conform
 from scholarweave.sinks.writers import append_registry, write_entities, write_ntriples
 
 SITES = {"gesis": gesis, "hiig": hiig, "zbw": zbw}
+# Item types a site run can emit; each run rewrites all of them for its source (K2).
+OUTPUT_TYPES = ("Organization", "Division", "DivisionRole", "Person", "Publication")
 
 
 @dataclass
@@ -53,7 +55,10 @@ def run_site(spark: SparkSession, site: str, pages: DataFrame, out_dir: str | No
     graph = build_graph(orgs, divs, pers, roles, registry)
     paths: dict[str, str] = {}
     if out_dir:
-        for item_type, df in ents.items():
+        # Every type is rewritten, empty when this run found none, so nothing from a
+        # previous run of this source survives (the reference deleted its files first).
+        for item_type in OUTPUT_TYPES:
+            df = ents.get(item_type, _empty(spark, item_type))
             paths[item_type] = write_entities(df, out_dir, site, item_type)
         paths["rdf"] = write_ntriples(graph.triples, f"{out_dir.rstrip('/')}/{site}_items.nt")
     if registry_path:

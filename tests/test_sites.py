@@ -240,3 +240,17 @@ def test_run_site_end_to_end_and_stable_ids(spark):
     assert sorted(r.value for r in lines) == sorted(
         r.line for r in __import__("scholarweave.operators.triples", fromlist=["x"]).ntriples_lines(
             second.graph.triples).collect())
+
+
+def test_run_site_replaces_previous_output_of_the_source(spark):
+    import tempfile
+
+    from scholarweave.plans.pipeline import run_site
+    out = tempfile.mkdtemp(prefix="sw-site-", dir="/tmp")
+    run_site(spark, "hiig", _pages(spark, HIIG), out)
+    pub_dir = f"{out}/hiig_Publication"
+    opts = {"header": True, "escape": '"'}
+    assert spark.read.options(**opts).csv(pub_dir).count() == 3
+    no_pubs = {k: v for k, v in HIIG.items() if "publi" not in k}
+    run_site(spark, "hiig", _pages(spark, no_pubs), out)
+    assert spark.read.schema("source_url string").options(**opts).csv(pub_dir).count() == 0
