@@ -95,12 +95,23 @@ def _pages(spark, site):
     return spark.createDataFrame(sorted(site.items()), "url string, html string")
 
 
+_CRAWLS = {}
+
+
+def _crawl(spark, name):
+    """Each mini-site is crawled once per test session; outputs are cached."""
+    if name not in _CRAWLS:
+        mod, site = {"zbw": (zbw, ZBW), "gesis": (gesis, GESIS), "hiig": (hiig, HIIG)}[name]
+        _CRAWLS[name] = {k: v.cache() for k, v in mod.crawl(_pages(spark, site)).items()}
+    return _CRAWLS[name]
+
+
 def _rows(df, key="source_url"):
     return {r[key]: r.asDict(recursive=True) for r in df.collect()}
 
 
 def test_zbw(spark):
-    out = zbw.crawl(_pages(spark, ZBW))
+    out = _crawl(spark, "zbw")
     org = out["Organization"].collect()[0]
     assert (org.name, org.street_address, org.postal_code, org.city) == \
         ("ZBW - Leibniz-Informationszentrum Wirtschaft", "Düsternbrooker Weg 120", "24105", "Kiel")
@@ -125,7 +136,7 @@ def test_zbw(spark):
 
 
 def test_gesis(spark):
-    out = gesis.crawl(_pages(spark, GESIS))
+    out = _crawl(spark, "gesis")
     org = out["Organization"].collect()[0]
     assert (org.name, org.street_address, org.postal_code, org.city) == \
         (gesis.ORG_NAME, "Unter Sachsenhausen 6-8", "50667", "Köln")
@@ -149,7 +160,7 @@ def test_gesis(spark):
 
 
 def test_hiig(spark):
-    out = hiig.crawl(_pages(spark, HIIG))
+    out = _crawl(spark, "hiig")
     assert [r.name for r in out["Organization"].collect()] == ["HIIG Institut"]
     persons = _rows(out["Person"])
     anna = persons["http://www.hiig.de/personen/anna/"]
@@ -196,13 +207,13 @@ def test_knowcenter(spark):
     assert [tuple(x.values()) for x in b["author_names"]] == [("Han", "Solo")]
 
 
-@pytest.mark.parametrize("site,mod", [(ZBW, zbw), (GESIS, gesis), (HIIG, hiig)])
-def test_site_entities_feed_the_graph(spark, site, mod):
+@pytest.mark.parametrize("name", ["zbw", "gesis", "hiig"])
+def test_site_entities_feed_the_graph(spark, name):
     """Site output plugs into the ID/organisation/RDF pipeline unchanged."""
     from pyspark.sql import functions as F
 
     from scholarweave.plans.graph import build_graph
-    out = mod.crawl(_pages(spark, site))
+    out = _crawl(spark, name)
     org = out["Organization"].withColumn("source", F.lit("s"))
     empty_div = spark.createDataFrame([], "source_url string, name string")
     div = out.get("Division", empty_div).withColumn("source", F.lit("s"))
