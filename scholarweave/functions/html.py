@@ -39,12 +39,14 @@ def has_id(value: str) -> Pred:
 
 def has_class(*classes: str) -> Pred:
     """``.a`` / ``.a.b``: every class is a member of the whitespace-split class list (H1)."""
+    wanted = sorted(set(classes))
+
     def p(n):
         toks = F.split(F.coalesce(n["attrs"]["class"], F.lit("")), r"\s+")
-        out = F.lit(True)
-        for c in classes:
-            out = out & F.array_contains(toks, c)
-        return out
+        if len(wanted) == 1:
+            return F.array_contains(toks, wanted[0])
+        # one split per node: every wanted class is present iff the intersection has them all
+        return F.size(F.array_intersect(toks, F.array(*[F.lit(c) for c in wanted]))) == len(wanted)
     return p
 
 
