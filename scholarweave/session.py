@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,3 +77,21 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers: add it once per application as a zip file."""
+    sc = spark.sparkContext
+    if getattr(sc, "_scholarweave_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="sw-ship-")
+    archive = os.path.join(folder, "scholarweave.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for base, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(base, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._scholarweave_shipped = True
