@@ -80,12 +80,16 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, word_offsets): words ``[^\\x20\\x09-\\x0D]+``; text i owns words word_offsets[i:i+2]."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray,
+                separator: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, word_offsets): words ``[^\\x20\\x09-\\x0D]+``; text i owns words word_offsets[i:i+2].
+
+    ``separator`` marks the bytes that part words.
+    """
     if len(data) == 0:
         e = np.zeros(0, np.int64)
         return e, e, np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~separator[data]
     edge = offsets[:-1][np.diff(offsets) > 0]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
