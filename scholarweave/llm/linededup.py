@@ -148,16 +148,19 @@ def recurring_lines(lines: DataFrame) -> DataFrame:
     seen = F.count_distinct("sketch")
     recurs = (F.col("sketches") >= MIN_DOCS) & (2 * F.col("sketches") >= F.col("docs"))
     variants = cut_lineage(
-        lines.groupBy("leaf", "line", "sketch").agg(F.count("*").alias("n"))
-        .groupBy("leaf", "line").agg(F.count("*").alias("sketches"), F.sum("n").alias("docs")), "variants")
+        lines.groupBy("leaf", "line", "sketch").agg(F.count("*").alias("n"), F.min("doc_id").alias("rep"))
+        .groupBy("leaf", "line").agg(F.count("*").alias("sketches"), F.sum("n").alias("docs"),
+                                     F.min("rep").alias("doc_id")), "variants")
     alone = variants.where(recurs).select("leaf", "line")
 
     open_leaves = variants.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("sketches").alias("all")) \
         .where((F.col("n") > 1) & (F.col("all") >= MIN_DOCS)).select("leaf", "all")
+    # tokens come from one document of each variant, so the key of this join is never a hot line
+    key = ["leaf", "line", "doc_id"]
     inner = cut_lineage(
-        lines.select("leaf", "line", "tokens").where(F.size("tokens") >= DEPTH + MIN_FREE)
-        .join(open_leaves, "leaf").dropDuplicates(["leaf", "line"])
-        .join(variants.select("leaf", "line", "sketches"), ["leaf", "line"]), "inner")
+        lines.select(*key, "tokens").where(F.size("tokens") >= DEPTH + MIN_FREE)
+        .join(variants.join(open_leaves, "leaf").select(*key, "sketches", "all"), key)
+        .dropDuplicates(key), "inner")
     votes = inner.select("leaf", "line", "sketches", "all", F.size("tokens").alias("n"),
                          F.posexplode("tokens").alias("pos", "token")).where(F.col("pos") >= DEPTH)
     constants = (votes.groupBy("leaf", "pos", "token", "all").agg(F.sum("sketches").alias("w"))
