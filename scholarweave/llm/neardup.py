@@ -9,8 +9,10 @@
    for chance collisions, is not five standard errors below the threshold.
 4. Full shingle sets confirm the pairs left; components are formed from confirmed links.
 5. Buckets whose members are still in several components are compared exhaustively *across*
-   components, in blocks of at most ``2 * BLOCK`` members per task, again confirmed on full sets.
-   A block task returns a spanning forest of its links, never all pairs.
+   components, in blocks of about ``2 * BLOCK`` members per task, again confirmed on full sets.
+   Buckets that overlap form a family; a family is compared once as a whole where that takes fewer
+   comparisons than its buckets one by one.  A block task returns a spanning forest of its links,
+   never all pairs.
 
 A bucket is compared whole, so the only loss is that of the bands: a pair at similarity 0.85
 (0.80) shares no bucket with probability 7e-8 (1.5e-5).
@@ -33,7 +35,7 @@ SHINGLE = 5
 ROWS, BANDS, BITS = 5, 28, 4
 HASHES = 144                     # ROWS * BANDS, filled up to nine whole longs of low bits
 WORDS = HASHES * BITS // 64
-BLOCK = 128
+BLOCK = 256
 SIGMA = 5.0
 
 _SIG_SCHEMA = "doc_id long, n_shingles long, d1 long, d2 long, sig array<long>, bands array<long>"
@@ -179,8 +181,10 @@ def _block_links(percent: int):
             d |= d >> np.uint64(2)
             d |= d >> np.uint64(1)
             equal = HASHES - np.bitwise_count(d & np.uint64(0x1111111111111111)).sum(axis=1)
-            first = np.argmax(bands[right] == bands[u], axis=1)     # a pair is compared in its first common band
-            for t in right[(equal >= least) & (label[right] != label[u]) & (first == key_band)].tolist():
+            near = (equal >= least) & (label[right] != label[u])
+            if key_band >= 0:                                       # a pair is compared in its first common band
+                near &= np.argmax(bands[right] == bands[u], axis=1) == key_band
+            for t in right[near].tolist():
                 if i == j and t <= u:
                     continue
                 ru, rt = find(label[u]), find(label[t])
@@ -215,7 +219,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 def _labels(docs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, label) of the documents that are linked with another one."""
     valid = sigs.where("n_shingles > 0 and doc_id is not null")
-    classes = valid.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
+    classes = cut_lineage(valid.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
     member = cut_lineage(
         valid.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["n_shingles", "d1", "d2"])
         .where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "class")
@@ -226,8 +230,10 @@ def _labels(docs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         .select("doc_id", "n_shingles", "sig", "bands"), "reps")
     banded = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
 
-    star = (banded.join(banded.groupBy("key").agg(F.min("doc_id").alias("b")), "key")
-            .where("doc_id != b").select(F.col("doc_id").alias("a"), "b").distinct())
+    buckets = cut_lineage(banded.groupBy("key").agg(F.min("doc_id").alias("b"), F.count("*").alias("n"))
+                          .where("n > 1"), "buckets")
+    star = banded.join(buckets, "key").where("doc_id != b").select(F.col("doc_id").alias("a"), "b", "n")
+    star = cut_lineage(star.groupBy("a", "b").agg(F.max("n").alias("n")), "star")
     side = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n{c}"),
                                  F.col("sig").alias(f"sig{c}"))
     pairs = cut_lineage(
@@ -235,17 +241,21 @@ def _labels(docs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
         .where(_equal_low_bits("siga", "sigb") >= _least_matches(percent))
         .select("a", "b").distinct(), "pairs")
-    confirmed = cut_lineage(_confirm(docs, pairs, percent), "links")
+    ends = lambda df: df.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    wanted = ends(pairs).unionByName(ends(star.where("n > 2"))).distinct()
+    sets = _shingles_of(docs, wanted)
+    confirmed = cut_lineage(_confirm(sets, pairs, percent), "links")
     near = cut_lineage(connected_components(confirmed), "near")
 
     # buckets of three or more members in several components: compare across components, in blocks
-    labelled = banded.join(near.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
+    in_wide = banded.join(buckets.where("n > 2").select("key"), "key")
+    labelled = in_wide.join(near.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
         .withColumn("label", F.coalesce("label", "doc_id"))
-    open_keys = (labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("lo"),
-                                             F.max("label").alias("hi"))
-                 .where("n > 2 and lo != hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    open_keys = (labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                             F.min("doc_id").alias("first"), F.count("*").alias("n"))
+                 .where("lo != hi").select("key", "first", "n"))
     members = cut_lineage(labelled.join(open_keys, "key"), "open")
-    more = _block_compare(docs, reps, members, percent)
+    more = _block_compare(sets, reps, members, percent)
     edges = confirmed.unionByName(more).unionByName(member)
     return connected_components(edges).withColumnRenamed("node", "doc_id")
 
@@ -256,24 +266,34 @@ def _shingles_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
         _set_batches, "doc_id long, shingles binary").distinct(), "sets")
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = _shingles_of(docs, ids)
+def _confirm(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     side = lambda c: sets.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
             .mapInArrow(_confirm_batches(percent), "a long, b long").distinct())
 
 
-def _block_compare(docs: DataFrame, reps: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Links across components inside the open buckets; each task holds two blocks of a bucket."""
-    sets = _shingles_of(docs, members.select("doc_id").distinct())
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    spread = (members.withColumn("block", block)
+def _block_compare(sets: DataFrame, reps: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links across components inside the open buckets; each task holds two blocks of a bucket or family."""
+    families = cut_lineage(connected_components(
+        members.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
+        .select(F.col("node").alias("doc_id"), F.col("label").alias("family")), "families")
+    by_bucket = members.select("key", "first", "n").distinct() \
+        .join(families.withColumnRenamed("doc_id", "first"), "first") \
+        .groupBy("family").agg(F.sum(F.col("n") * F.col("n")).alias("bucket_cost"))
+    plan = cut_lineage(families.groupBy("family").agg(F.count("*").alias("size")).join(by_bucket, "family")
+                       .withColumn("whole", F.col("size") * F.col("size") <= F.col("bucket_cost")), "plan")
+    tagged = members.join(families, "doc_id").join(plan, "family")
+    groups = tagged.where("whole").select(
+        F.col("family").alias("key"), F.lit(-1).alias("band"), "doc_id", "label", F.col("size").alias("n")).distinct() \
+        .unionByName(tagged.where("not whole").select("key", "band", "doc_id", "label", "n"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    spread = (groups.withColumn("blocks", blocks)
+              .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("key", "band", "doc_id", "label", "block",
                       F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
     return (spread.join(reps.select("doc_id", "sig", "bands"), "doc_id").join(sets, "doc_id")
-            .groupBy("key", "i", "j").applyInPandas(_block_links(percent), "a long, b long").distinct())
+            .groupBy("key", "band", "i", "j").applyInPandas(_block_links(percent), "a long, b long").distinct())
 
 
 @query("op4_neardup")
