@@ -36,6 +36,7 @@ ROWS, BANDS, BITS = 5, 28, 4
 HASHES = 144                     # ROWS * BANDS, filled up to nine whole longs of low bits
 WORDS = HASHES * BITS // 64
 BLOCK = 256
+FILTER_BITS = 1 << 23
 SIGMA = 5.0
 
 _SIG_SCHEMA = "doc_id long, n_shingles long, d1 long, d2 long, sig array<long>, bands array<long>"
@@ -232,7 +233,8 @@ def _labels(docs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
 
     buckets = cut_lineage(banded.groupBy("key").agg(F.min("doc_id").alias("b"), F.count("*").alias("n"))
                           .where("n > 1"), "buckets")
-    star = banded.join(buckets, "key").where("doc_id != b").select(F.col("doc_id").alias("a"), "b", "n")
+    shared = cut_lineage(banded.join(buckets, "key"), "shared")
+    star = shared.where("doc_id != b").select(F.col("doc_id").alias("a"), "b", "n")
     star = cut_lineage(star.groupBy("a", "b").agg(F.max("n").alias("n")), "star")
     side = lambda c: reps.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n{c}"),
                                  F.col("sig").alias(f"sig{c}"))
@@ -248,8 +250,7 @@ def _labels(docs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     near = cut_lineage(connected_components(confirmed), "near")
 
     # buckets of three or more members in several components: compare across components, in blocks
-    in_wide = banded.join(buckets.where("n > 2").select("key"), "key")
-    labelled = in_wide.join(near.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
+    labelled = shared.where("n > 2").select("key", "band", "doc_id").join(near.withColumnRenamed("node", "doc_id"), "doc_id", "left") \
         .withColumn("label", F.coalesce("label", "doc_id"))
     open_keys = (labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                              F.min("doc_id").alias("first"), F.count("*").alias("n"))
@@ -260,9 +261,27 @@ def _labels(docs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     return connected_components(edges).withColumnRenamed("node", "doc_id")
 
 
+def _maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id may be in ``ids``: a hashed bitmap of FILTER_BITS bits, 1 MB, is broadcast.
+
+    It spares most texts a shuffle.  Where ids outgrow the bitmap more rows pass; none is ever lost.
+    """
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = ids.select((h / 32768).cast("long").alias("part"), (h % 32768).alias("bit")) \
+        .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    at = (h % 32768).cast("int")
+    byte = F.conv(F.hex(F.expr("substring(bitmap, 1 + cast(_at / 8 as int), 1)")), 16, 10).cast("int")
+    return (docs.withColumn("part", (h / 32768).cast("long")).withColumn("_at", at)
+            .join(F.broadcast(bits), "part")
+            .where(F.expr("_at is not null") & (byte.bitwiseAND(
+                F.expr("cast(pow(2, _at % 8) as int)")) != 0))
+            .select("doc_id", "text"))
+
+
 def _shingles_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, shingles) of the documents in ``ids``; one row per distinct set of a repeated doc_id."""
-    return cut_lineage(docs.join(ids, "doc_id", "left_semi").mapInArrow(
+    ids = cut_lineage(ids, "wanted")
+    return cut_lineage(_maybe_in(docs, ids).join(ids, "doc_id", "left_semi").mapInArrow(
         _set_batches, "doc_id long, shingles binary").distinct(), "sets")
 
 
