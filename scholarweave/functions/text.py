@@ -197,10 +197,11 @@ def stable_record_key(base_url: ColumnOrName, *fields: ColumnOrName) -> Column:
     """Process-independent hash key ``base#HEX`` over a canonical field concat.
 
     The reference hashed a Python tuple, which differs between processes; an
-    md5 over the fields joined with a unit separator is stable.
+    md5 over the fields joined with a unit separator is stable.  A present field
+    is led by ``=``, so NULL and the empty text give different keys.
     """
-    canon = F.concat_ws("\u001f", *[F.coalesce(_c(f), F.lit("")) for f in fields])
-    return url_join(_c(base_url), F.concat(F.lit("#"), F.upper(F.substring(F.md5(canon), 1, 16))))
+    canon = F.concat_ws("\u001f", *[F.coalesce(F.concat(F.lit("="), _c(f)), F.lit("")) for f in fields])
+    return url_join(_c(base_url), F.concat(F.lit("#"), F.upper(F.md5(canon))))
 
 
 # Fixed value: the DOI proxy prefix recognised in publication links.

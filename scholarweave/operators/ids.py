@@ -3,9 +3,7 @@
 IDs are dense per item type, start at 1, never change once registered, and new
 keys of one run are numbered ``max + 1, max + 2, ...`` in ``source_url`` order.
 
-A run with at most ``SMALL_KEYS`` new keys (checked with a bounded count) is
-numbered with one window per item type.  Larger runs never funnel a type into
-one task: new keys are range-partitioned on ``(item_type, source_url)``, each
+No item type is funnelled into one task, whatever its size: new keys are range-partitioned on ``(item_type, source_url)``, each
 partition numbers its rows locally, and a tiny per-(partition, type) count table
 gives every partition its offset.  The numbered keys are written out between the
 two passes because a re-evaluated range shuffle may place rows differently.
@@ -18,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarweave.functions.text import present
-from scholarweave.operators.joins import is_small, lookup_join
 from scholarweave.session import cut_lineage
 
 KEY = ["source_url", "item_type"]
@@ -61,22 +58,8 @@ def max_ids(registry: DataFrame) -> DataFrame:
     return registry.groupBy("item_type").agg(F.max("id").alias("base_id"))
 
 
-# Up to this many new keys are numbered with one window per item type.
-SMALL_KEYS = 1_000_000
-
-
-def _dense_number(new_keys: DataFrame, base: DataFrame, partitions: int | None,
-                  small_keys: int = SMALL_KEYS) -> DataFrame:
-    """Number distinct new keys densely per type after ``base_id`` in source_url order.
-
-    A key set proven small (bounded count) is numbered with a window per type;
-    anything larger takes the range-partitioned two-pass path, so no task ever
-    holds more than ``SMALL_KEYS`` keys or a whole hot type.
-    """
-    if small_keys > 0 and is_small(new_keys, small_keys):
-        w = Window.partitionBy("item_type").orderBy("source_url")
-        return (new_keys.join(base, "item_type", "left")
-                .select(*KEY, (F.coalesce("base_id", F.lit(0)) + F.row_number().over(w)).cast("bigint").alias("id")))
+def _dense_number(new_keys: DataFrame, base: DataFrame, partitions: int | None) -> DataFrame:
+    """Number distinct new keys densely per type after ``base_id`` in source_url order."""
     spark = new_keys.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (new_keys.repartitionByRange(n, "item_type", "source_url")
@@ -98,7 +81,7 @@ def _dense_number(new_keys: DataFrame, base: DataFrame, partitions: int | None,
 
 
 def assign_ids(keys: DataFrame, registry: DataFrame | None = None,
-               partitions: int | None = None, small_keys: int = SMALL_KEYS) -> tuple[DataFrame, DataFrame]:
+               partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """IDs for every needed key: ``(keys_with_id, new_registry_rows)``.
 
     Existing keys keep their registered ID (equi join on the primary key);
@@ -109,12 +92,14 @@ def assign_ids(keys: DataFrame, registry: DataFrame | None = None,
     # and its upstream (page parsing, renders) must not run again for each.
     keys = cut_lineage(keys.select(*KEY).where(present("source_url")).distinct(), "ids-keys")
     if registry is None:                       # first run: every key is new
-        new_rows = cut_lineage(_dense_number(keys, max_ids(empty_registry(spark)), partitions, small_keys),
+        new_rows = cut_lineage(_dense_number(keys, max_ids(empty_registry(spark)), partitions),
                                "ids-new")
         return new_rows, new_rows
-    existing = keys.join(registry.select(*KEY, "id"), KEY, "inner")
-    new_keys = keys.join(registry.select(*KEY), KEY, "left_anti")
-    new_rows = cut_lineage(_dense_number(new_keys, max_ids(registry), partitions, small_keys), "ids-new")
+    # one pass over the registry; the result is split into old and new keys
+    matched = cut_lineage(keys.join(registry.select(*KEY, "id"), KEY, "left"), "ids-matched")
+    existing = matched.where(F.col("id").isNotNull())
+    new_keys = matched.where(F.col("id").isNull()).select(*KEY)
+    new_rows = cut_lineage(_dense_number(new_keys, max_ids(registry), partitions), "ids-new")
     # The ID table is read by several joins downstream: materialise it once.
     return cut_lineage(existing.unionByName(new_rows), "ids-all"), new_rows
 
@@ -149,9 +134,9 @@ def assign_organization(entities: DataFrame, orgs: DataFrame, on: str = "source"
     """Each entity gets its source's organisation id, regardless of arrival order.
 
     One organisation per source, and one source may own a third of all
-    entities: the organisation side is broadcast after a bounded row count
-    proves it small (sources are configuration), else salted (``lookup_join``).
+    entities: the join is left to AQE, which broadcasts the organisations where
+    their measured size allows and otherwise splits the hot source's partition.
     """
     o = orgs.select(F.col(on).alias("_org_src"), F.col(org_id_col).alias("organization_id"))
     base = entities.drop("organization_id") if "organization_id" in entities.columns else entities
-    return lookup_join(base, o, (on, "_org_src"), "left").drop("_org_src")
+    return base.join(o, base[on] == o["_org_src"], "left").drop("_org_src")

@@ -14,21 +14,20 @@ from pyspark.sql import functions as F
 from scholarweave.session import cut_lineage
 
 
-def residual_edges(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 10_000) -> DataFrame:
+def residual_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
     e = cut_lineage(e, "residual-edges")
     n = e.count()
-    for _ in range(max_rounds):
+    while True:
         has_in = e.select(F.col("dst").alias("node")).distinct()
         nxt = cut_lineage(e.join(has_in, e["src"] == has_in["node"], "left_semi"), "residual-edges")
         m = nxt.count()
         if m == n:
             return nxt
         e, n = nxt, m
-    raise RuntimeError(f"residual_edges did not converge in {max_rounds} rounds")
 
 
-def residual_nodes(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 10_000) -> DataFrame:
+def residual_nodes(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Nodes on a cycle or reachable from one (the reference's cycle check, on data)."""
-    e = residual_edges(edges, src, dst, max_rounds)
+    e = residual_edges(edges, src, dst)
     return e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()

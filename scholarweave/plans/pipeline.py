@@ -15,6 +15,7 @@ from scholarweave.operators import ids as idops
 from scholarweave.plans.graph import Graph, build_graph
 from scholarweave.plans.sites import gesis, hiig, knowcenter, zbw
 from scholarweave.schemas import conform
+from scholarweave.sources.pages import domain_source, seed_domains
 from scholarweave.sinks.writers import append_registry, write_entities, write_ntriples
 
 SITES = {"gesis": gesis, "hiig": hiig, "zbw": zbw}
@@ -39,13 +40,15 @@ def run_site(spark: SparkSession, site: str, pages: DataFrame, out_dir: str | No
     site, assign IDs against the registry, attach the organisation, export triples.
 
     With ``out_dir`` the per-type CSV files (K1, K2) and the N-Triples graph (K5) are
-    written under it; with ``registry_path`` new IDs are appended there (K6), so a
-    second run keeps every existing ID.
+    written under it; with ``registry_path`` new IDs are appended there (K6) before any
+    output, so a second run keeps every existing ID.  Pages off the site's domains are
+    neither extracted nor followed (F1).
     """
     if site == "knowcenter":
         ents = knowcenter.crawl(feeds if feeds is not None else pages)
     else:
-        ents = SITES[site].crawl(pages)
+        domains = [(s, d) for s, d in seed_domains() if s == site]
+        ents = SITES[site].crawl(pages.where(domain_source("url", domains).isNotNull()))
     tag = F.lit(site)
     orgs = ents.get("Organization", _empty(spark, "Organization")).withColumn("source", tag)
     divs = ents.get("Division", _empty(spark, "Division")).withColumn("source", tag)
@@ -54,6 +57,9 @@ def run_site(spark: SparkSession, site: str, pages: DataFrame, out_dir: str | No
     registry = idops.read_registry(spark, registry_path) if registry_path else None
     graph = build_graph(orgs, divs, pers, roles, registry)
     paths: dict[str, str] = {}
+    if registry_path:
+        # IDs are registered before anything that holds them is published
+        append_registry(graph.new_registry_rows, registry_path)
     if out_dir:
         # Every type is rewritten, empty when this run found none, so nothing from a
         # previous run of this source survives (the reference deleted its files first).
@@ -61,6 +67,4 @@ def run_site(spark: SparkSession, site: str, pages: DataFrame, out_dir: str | No
             df = ents.get(item_type, _empty(spark, item_type))
             paths[item_type] = write_entities(df, out_dir, site, item_type)
         paths["rdf"] = write_ntriples(graph.triples, f"{out_dir.rstrip('/')}/{site}_items.nt")
-    if registry_path:
-        append_registry(graph.new_registry_rows, registry_path)
     return SiteRun(ents, graph, paths)

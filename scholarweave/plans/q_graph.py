@@ -255,17 +255,14 @@ def _nt_obj_sql() -> str:
             f"ELSE '\"' || {esc} || '\"' END")
 
 
-_ORG_DIV_ONLY = ("WITH " + _SQL_RENDER.replace("c.c_nationkey = n.n_nationkey)", "c.c_nationkey = n.n_nationkey WHERE false)") + ","
-                 + _SQL_IDS + ",\nt AS (\n" + "\nUNION\n".join(_org_sql() + _division_sql()) + ")\n"
-                 + f"SELECT '<' || s || '> <' || p || '> ' || {_nt_obj_sql()} || ' .' AS line FROM t")
+_LINES_SQL = (f"WITH t AS ({RDF_TRIPLES_SQL})\n"
+              f"SELECT '<' || s || '> <' || p || '> ' || {_nt_obj_sql()} || ' .' AS line FROM t")
 
 
-@query("rdf_ntriples_lines", _ORG_DIV_ONLY)
+@query("rdf_ntriples_lines", _LINES_SQL)
 def rdf_ntriples_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Organisations and divisions as N-Triples lines (K5, K7)."""
-    empty_p = render_persons(spark, sf).where(F.lit(False))
-    g = build_graph(render_orgs(spark, sf), render_divisions(spark, sf), empty_p, render_roles(empty_p))
-    return tr.ntriples_lines(g.triples)
+    """The whole graph, persons and roles included, as N-Triples lines (K5)."""
+    return tr.ntriples_lines(_graph(spark, sf).triples)
 
 
 def _customer_keys(spark: SparkSession, sf: str) -> DataFrame:

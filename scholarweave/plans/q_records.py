@@ -77,7 +77,7 @@ def content_hash_key(spark: SparkSession, sf: str) -> DataFrame:
 WITH d AS (SELECT doc_id, text, source, lang, n_chars, {_SQL_DOC_FIELDS} FROM documents)
 SELECT doc_id, doi, download, coalesce(download, doi, base || md5(text)) AS source_url,
        'http://docs.example.org/' || source || '/#' ||
-         upper(substr(md5(concat_ws(chr(31), lang, CAST(n_chars AS VARCHAR))), 1, 16)) AS record_key
+         upper(md5(concat_ws(chr(31), coalesce('=' || lang, ''), coalesce('=' || CAST(n_chars AS VARCHAR), '')))) AS record_key
 FROM d""")
 def doi_download_key(spark: SparkSession, sf: str) -> DataFrame:
     """DOI and download link out of a link list, key fallback, stable record hash."""

@@ -114,7 +114,10 @@ def crawl(pages: DataFrame) -> dict[str, DataFrame]:
                                            p, "url"))
     fetched = person_pages.select(F.col("url").alias("source_url"))
     merged = linked.join(fetched, linked.link == fetched.source_url, "inner")
-    persons = (merged.select("source_url", "name", "firstname", "lastname", "title")
+    # a person linked by several contacts is one person: the first division's contact counts
+    once = merged.groupBy("source_url").agg(
+        F.min_by(F.struct("name", "firstname", "lastname", "title"), "division_url").alias("c"))
+    persons = (once.select("source_url", "c.*")
                .unionByName(people.where(F.col("link").isNull())
                             .select(F.lit(None).cast("string").alias("source_url"), "name", "firstname",
                                     "lastname", "title")))

@@ -111,10 +111,16 @@ def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     person_pages = with_nodes(follow_links(dedup_requests(contacts.select(F.col("person_url").alias("url")), "url"),
                                            p, "url"))
     pinfo = extract_person_page(person_pages)
+    # a person linked from several divisions is one person: the first division's contact box counts
+    fields = ["name", "firstname", "lastname", "title", "phone", "street_address", "postal_code", "city"]
+    contacts = (contacts.groupBy("person_url")
+                .agg(F.min_by(F.struct(*fields), "division_url").alias("c")).select("person_url", "c.*"))
     persons = contacts.join(pinfo, contacts.person_url == pinfo.source_url, "inner").select(
         "source_url", "name", "firstname", "lastname", "title", "phone", "street_address", "postal_code", "city",
         "position")
     pub_req = pinfo.select(F.col("publications_url").alias("url"), F.col("source_url").alias("person_url"))
+    # a publications page that several persons share is requested once (A5)
+    pub_req = pub_req.groupBy("url").agg(F.min("person_url").alias("person_url"))
     pub_pages = with_nodes(follow_links(pub_req, p, "url"))
     pubs = extract_publications(pub_pages)
     return {"Organization": orgs, "Division": division, "DivisionRole": roles, "Person": persons,

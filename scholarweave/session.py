@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "scholarweave") -> SparkSession:
+              app: str = "scholarweave", driver_memory: str | None = None) -> SparkSession:
     """Session with AQE on, UI off and UTC time.
 
     On a cluster the master, memory and ``spark.checkpoint.dir`` come from
@@ -20,21 +20,22 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("SW_SHUFFLE_PARTITIONS", "8"))
     builder = (
         builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # whole pages travel to the parse stage in Arrow batches: keep a batch bounded
-        .config("spark.sql.execution.arrow.maxRecordsPerBatch", os.environ.get("SW_ARROW_BATCH", "1000"))
-        .config("spark.driver.memory", os.environ.get("SW_DRIVER_MEMORY", "8g"))
     )
+    # Sizes are the cluster's to set; only what the caller or the environment names is passed on.
+    for key, value in (("spark.sql.shuffle.partitions", shuffle_partitions or os.environ.get("SW_SHUFFLE_PARTITIONS")),
+                       ("spark.sql.execution.arrow.maxRecordsPerBatch", os.environ.get("SW_ARROW_BATCH")),
+                       ("spark.driver.memory", os.environ.get("SW_DRIVER_MEMORY") or driver_memory)):
+        if value:
+            builder = builder.config(key, str(value))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -55,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3)")
     local = tempfile.mkdtemp(prefix="sw-ckpt-", dir="/tmp")
     sc.setCheckpointDir(local)

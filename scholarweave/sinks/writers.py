@@ -66,16 +66,22 @@ def prefix_lines() -> list[str]:
     return [f"@prefix {k}: <{v}> ." for k, v in PREFIXES.items()]
 
 
+# Registry folder of batch runs; micro-batches are numbered from 0.
+BATCH_RUNS = -1
+
+
 def append_registry(new_rows: DataFrame, registry_path: str, batch_id: int | None = None) -> None:
     """Add newly assigned IDs to the registry table (K6).
 
-    With a ``batch_id`` the rows go to that batch's partition, overwritten as a
-    whole, so replaying a micro-batch writes the same rows again instead of
-    appending duplicates.  The path being read is never overwritten wholesale.
+    The table always has one ``batch_id=`` folder per writer, so batch runs and
+    streams can share it: batch runs append to ``BATCH_RUNS``, and a micro-batch
+    overwrites its own folder as a whole, so replaying it writes the same rows
+    again instead of duplicates.
     """
     rows = new_rows.select("source_url", "item_type", "id")
     if batch_id is None:
-        rows.write.mode("append").parquet(registry_path)
+        (rows.withColumn("batch_id", F.lit(BATCH_RUNS)).write.mode("append")
+             .partitionBy("batch_id").parquet(registry_path))
         return
     (rows.withColumn("batch_id", F.lit(int(batch_id)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

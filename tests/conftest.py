@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from scholarweave.session import ensure_checkpoint_dir, get_spark
 
-    s = get_spark("local[4]", shuffle_partitions=8, app="scholarweave-tests")
+    s = get_spark("local[4]", shuffle_partitions=8, app="scholarweave-tests", driver_memory="8g")
     ensure_checkpoint_dir(s)
     yield s
     s.stop()

@@ -57,15 +57,14 @@ def test_link_authors_matches_brute_force(spark):
 # --------------------------------------------------------------------------- W2 / U4 invariants
 
 
-@pytest.mark.parametrize("small_keys", [0, 1_000_000])   # 0 forces the range-partitioned path
-def test_ids_dense_stable_and_partition_independent(spark, small_keys):
+def test_ids_dense_stable_and_partition_independent(spark):
     urls = [(f"http://x/{i:03d}", "A" if i % 3 else "B") for i in range(120)]
     keys = spark.createDataFrame(urls, "source_url string, item_type string")
     first = keys.where(F.col("source_url") < "http://x/050")
-    _, reg = idops.assign_ids(first, partitions=3, small_keys=small_keys)
+    _, reg = idops.assign_ids(first, partitions=3)
     reg_rows = {(r.source_url, r.item_type): r.id for r in reg.collect()}
     for parts in (1, 7):
-        ids, new = idops.assign_ids(keys, reg, partitions=parts, small_keys=small_keys)
+        ids, new = idops.assign_ids(keys, reg, partitions=parts)
         got = {(r.source_url, r.item_type): r.id for r in ids.collect()}
         assert len(got) == 120
         for k, v in reg_rows.items():                 # a second run changes no existing ID
@@ -184,13 +183,12 @@ def test_no_cartesian_and_narrow_selectors(spark, name):
         assert "Exchange" not in plan      # H0-H12 and the in-row pivot add no shuffle
 
 
-def test_lookup_join_broadcast_and_salted_paths_agree(spark):
-    from scholarweave.operators.joins import lookup_join
+def test_assign_organization_keeps_every_entity_of_a_hot_source(spark):
     big = spark.createDataFrame([("hot", i) for i in range(300)] + [("cold", 1), ("none", 2)], "source string, v int")
-    small = spark.createDataFrame([("hot", 7), ("cold", 8)], "_src string, org long")
-    a = sorted(tuple(r) for r in lookup_join(big, small, ("source", "_src"), "left").collect())
-    b = sorted(tuple(r) for r in lookup_join(big, small, ("source", "_src"), "left", max_rows=0).collect())
-    assert a == b and len(a) == 302 and ("none", 2, None, None) in a
+    orgs = spark.createDataFrame([("hot", 7), ("cold", 8)], "source string, id long")
+    got = sorted(idops.assign_organization(big, orgs).select("source", "v", "organization_id").collect())
+    assert len(got) == 302
+    assert {(r.source, r.organization_id) for r in got} == {("hot", 7), ("cold", 8), ("none", None)}
 
 
 def test_author_link_greedy_query_matches_brute_force(spark):

@@ -19,7 +19,7 @@ def test_expand_two_levels():
 
 
 def test_unknown_name():
-    with pytest.raises(P.PatternNotInDictionaryError) as ei:
+    with pytest.raises(P.UnknownPatternError) as ei:
         P.expand("%{TEST1}", {})
     assert "'TEST1'" in str(ei.value)
 
@@ -30,7 +30,7 @@ def test_cycle():
     assert "'TEST1'" in str(ei.value)
 
 
-def test_subname_renames_or_wraps():
+def test_label_renames_or_wraps():
     cp = P.compile_pattern("%{A:x}-%{B:y}", {"A": r"(?P<old>\d+)", "B": r"\w+"})
     assert cp.regex == r"(\d+)-(\w+)"
     assert cp.groups == {"x": [1], "y": [2]}
