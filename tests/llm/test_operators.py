@@ -1,0 +1,374 @@
+"""Each operator against brute force, and on odd rows: nulls, empty, long, repeated, clashing columns, no rows."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from scholarweave.llm import (bpe, decontam, licenses, linededup, neardup, pii, quality_gam, quality_rules, sharding,
+                              warc)
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+
+
+# ---------------------------------------------------------------- 1 licenses
+
+def test_license_with_a_changed_word_and_a_clean_text(spark):
+    t = licenses.TEMPLATES["MIT"][1].replace("associated documentation", "related documentation")
+    rows = spark.createDataFrame([(1, "Intro words. " + t + " more"), (2, "nothing of the kind here")], "doc_id long, text string")
+    got = licenses.scan_licenses(rows).collect()
+    assert [(r.doc_id, r.license) for r in got] == [(1, "MIT")]
+    assert 0.9 < got[0].coverage < 1 and got[0].start == 13 and "," in got[0].spans
+
+
+def test_license_alignment_is_a_longest_common_subsequence():
+    rng = random.Random(3)
+    for _ in range(200):
+        a = [rng.randrange(4) for _ in range(rng.randrange(1, 9))]
+        b = [rng.randrange(4) for _ in range(rng.randrange(0, 9))]
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + (a[i] == b[j]))
+        pairs = licenses.align(a, b, 0, 20)
+        assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+        assert pairs == sorted(pairs)
+
+
+# ---------------------------------------------------------------- 2 sharding
+
+def test_shard_table_is_full_even_and_stable():
+    names = [f"n{i}" for i in range(13)]
+    owner = sharding.fill_table(names, 1009)
+    count = Counter(owner)
+    assert set(owner) == set(range(13)) and max(count.values()) - min(count.values()) <= 1
+    fewer = sharding.fill_table(names[:-1], 1009)
+    moved = sum(a != b for a, b in zip(owner, fewer, strict=True) if a != 12)
+    assert moved < 0.2 * 1009
+    with pytest.raises(ValueError):
+        sharding.fill_table(names, 1000)
+
+
+def test_placement_matches_the_table(odd, none):
+    names = ["a", "b", "c"]
+    owner = sharding.fill_table(names, 101)
+    rows = sharding.place(odd, "doc_id", names, 101).collect()
+    assert len(rows) == 10 and sharding.place(none, "doc_id", names, 101).count() == 0
+    for r in rows:
+        key = "" if r.doc_id is None else str(r.doc_id)
+        slot = int(hashlib.md5(key.encode()).hexdigest()[:15], 16) % 101
+        assert (r.slot, r.shard) == (slot, names[owner[slot]])
+
+
+# ---------------------------------------------------------------- 3 personal data
+
+def _base(text):
+    out = []
+    for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+                          ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"),
+                          ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            d = re.sub("[^0-9]", "", m.group())
+            double = [int(c) * 2 if i % 2 else int(c) for i, c in enumerate(reversed(d))]
+            ok = {"email": True, "ip": all(int(p) <= 255 for p in m.group().split(".") if kind == "ip"),
+                  "card": 16 <= len(d) <= 19 and sum(x - 9 if x > 9 else x for x in double) % 10 == 0,
+                  "phone": 8 <= len(d) <= 15}[kind]
+            if ok:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(2)
+    parts = ["a", ".", "@", "1", "25", "+", " ", "-", "(", ")", "_", "é", "255.", "4111 1111 1111 1111", "0.0.0.0"]
+    for _ in range(5000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(1, 25)))
+        assert pii.base_spans(t) == _base(t), t
+    assert pii.base_spans("a" * 200_000 + "1" * 200_000 + "@") == []          # linear on long runs
+
+
+def test_personal_data_rows(odd, none, docs, texts):
+    got = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    assert all([tuple(s) for s in got[i].base] == _base(t) for i, t in texts.items())
+    assert all(set(map(tuple, r.base)) <= set(map(tuple, r.spans)) for r in got.values())
+    rows = pii.find_personal_data(odd).collect()
+    assert len(rows) == 10 and pii.find_personal_data(none).count() == 0
+    seven = next(r for r in rows if r.doc_id == 7)
+    assert [s.kind for s in seven.base] == ["email", "ip", "card", "phone"]
+
+
+def test_model_adds_undecided_forms_only():
+    rng = random.Random(5)
+    x, y = [], []
+    for _ in range(600):
+        good = rng.random() < 0.5
+        t = f"call +1 ({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)} now" if good else f"no {rng.randint(10**7, 10**8)} x"
+        for (k, a, b), label in pii.labelled(t, pii.base_spans(t)):
+            x.append(pii.features(t, k, a, b))
+            y.append(float(label == 1))
+    model = pii.Model(np.array(x), np.array(y))
+    assert model.threshold["phone"] <= 1 and model.threshold["email"] > 1
+    t = "call (523) 555-1055 now"
+    (c, label), = pii.labelled(t, [])
+    assert label == -1 and model.probability(np.array([pii.features(t, *c)]))[0] >= model.threshold["phone"]
+    assert pii.merge([("ip", 0, 3)], [("phone", 5, 9, 0.9), ("phone", 8, 12, 0.95)]) == [("ip", 0, 3), ("phone", 8, 12)]
+    assert pii.redact("ab cd", [("x", 0, 2)]) == "<x> cd"
+
+
+# ---------------------------------------------------------------- 4 near duplicates
+
+def _shingles(text):
+    w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return set(zip(*[w[j:] for j in range(5)])) if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def _components(texts, percent):
+    sets = {i: _shingles(t) for i, t in texts.items()}
+    root = {i: i for i in sets}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def _noisy_family(n, seed):
+    rng = random.Random(seed)
+    words = [f"t{rng.randrange(10**6)}" for _ in range(120)]
+    out = []
+    for _ in range(n):
+        w = list(words)
+        for _ in range(rng.randrange(0, 4)):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("block", [2, 256])       # 2: the family is spread over many block pairs
+def test_near_duplicates_match_brute_force(spark, texts, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    all_texts = dict(texts) | {10_000 + i: t for i, t in enumerate(_noisy_family(40, 1))}
+    df = spark.createDataFrame(list(all_texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(df, 85).collect()}
+    assert got == _components(all_texts, 85)
+
+
+def test_near_duplicates_odd_rows(odd, none):
+    rows = neardup.near_duplicates(odd).collect()
+    assert len(rows) == 10 and neardup.near_duplicates(none).count() == 0
+    by = {r.doc_id: r for r in rows}
+    assert by[1].component_id == 0 and not by[1].kept and by[0].kept
+    assert by[None].kept and by[None].component_id is None
+    assert all(by[i].n_shingles == 0 and by[i].kept for i in (2, 3, 4))
+
+
+# ---------------------------------------------------------------- 5 decontamination
+
+def test_edit_distance_matches_dynamic_programming():
+    rng = random.Random(1)
+    for _ in range(300):
+        p = "".join(rng.choice("abc") for _ in range(rng.randint(1, 12)))
+        t = "".join(rng.choice("abc") for _ in range(rng.randint(0, 20)))
+        row = [0] * (len(t) + 1)
+        for i in range(1, len(p) + 1):
+            new = [i]
+            for j in range(1, len(t) + 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (p[i - 1] != t[j - 1])))
+            row = new
+        assert decontam.edit_distance_in(p, t) == (min(row), row.index(min(row)))
+
+
+def test_contamination_exact_and_edited(spark, docs, texts):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    bench = {r.item_id: r.text for r in items.collect()}
+    got = {(r.doc_id, r.item_id) for r in decontam.find_contamination(docs, items).collect()}
+    planted = {(i, k) for i, t in texts.items() for k, b in bench.items() if b in t}
+    assert planted and planted <= got
+    rng = random.Random(4)
+    rows = []
+    for k, b in bench.items():
+        w = b.split()
+        for _ in range(max(1, len(w) // 20)):
+            w[rng.randrange(len(w))] = "changed"
+        rows.append((k, "some words before " + " ".join(w) + " and after"))
+    found = {(r.doc_id, r.item_id) for r in decontam.find_contamination(
+        spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert len(found & {(k, k) for k in bench}) >= 0.95 * len(bench)
+
+
+def test_contamination_odd_rows(spark, odd, none):
+    items = spark.createDataFrame([(1, None), (2, ""), (3, "two words"), (None, "quick brown fox jumps over the lazy dog near"),
+                                   (4, "quick brown fox jumps over the lazy dog near")], "item_id long, text string")
+    got = Counter((r.doc_id, r.item_id) for r in decontam.find_contamination(odd, items).collect())
+    assert got == {(0, None): 1, (0, 4): 1, (1, None): 2, (1, 4): 2}
+    kept = decontam.drop_contaminated(odd, items)
+    assert kept.columns == odd.columns and kept.count() == 7
+    assert decontam.drop_contaminated(none, items).count() == 0
+    assert decontam.find_contamination(odd, items.where("false")).count() == 0
+
+
+# ---------------------------------------------------------------- 6 line dedup
+
+def test_recurring_templates_go_and_copies_stay(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    prose = lambda: " ".join(word() for _ in range(40))
+    rows = [(i, f"{prose()}\nthis page was printed by user {word()} on the main office machine\n{prose()}") for i in range(8)]
+    rows += [(100 + i, f"{prose()}\nrelease 1.{i} of the shared notice text\n{prose()}") for i in range(8)]
+    copy = f"{prose()}\n{prose()}"
+    rows += [(200 + i, copy) for i in range(8)]
+    rows += [(300 + i, f"All rights\n{prose()}") for i in range(5)]
+    got = {r.doc_id: r for r in linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    source = dict(rows)
+    for i, r in got.items():
+        if i < 200:                       # a variable word, and a variable number
+            assert r.n_dropped == 1 and r.text == "\n".join(source[i].split("\n")[::2]), (i, r.text)
+        else:
+            assert r.n_dropped == 0 and r.text == source[i]
+
+
+def test_line_dedup_odd_rows(odd, none):
+    out = linededup.drop_recurring_lines(odd)
+    assert [c for c in out.columns if c not in ("n_lines", "n_dropped")] == [c for c in odd.columns if c != "n_dropped"]
+    rows = out.collect()
+    assert len(rows) == 10 and sum(r.n_dropped for r in rows) == 0
+    assert next(r for r in rows if r.doc_id == 2).text is None
+    assert linededup.drop_recurring_lines(none).count() == 0
+
+
+# ---------------------------------------------------------------- 7 BPE
+
+def test_bpe_equals_the_library(spark, odd, none, texts):
+    from tokenizers import Tokenizer
+
+    path = bpe.default_path()
+    lib = Tokenizer.from_file(path)
+    vocab = bpe.Vocabulary(open(path, encoding="utf-8").read())
+    extra = ["a" * 300, "x<|endoftext|><|endoftext|> y", "it's we'LL 12³ 　 \x85z ​", "é" * 500 + " " * 99 + "q"]
+    cases = [t for t in texts.values() if t] + extra + [chr(c) + "a" for c in range(1, 0x3000, 7)]
+    for mine, e in zip(vocab.encode(cases), lib.encode_batch(cases, add_special_tokens=False), strict=True):
+        assert mine.tolist() == e.ids
+        assert vocab.decode(mine) == lib.decode(e.ids, skip_special_tokens=False)
+    rows = bpe.decode(bpe.encode(odd, path), path).collect()
+    assert len(rows) == 10 and bpe.digests(none, path).count() == 0
+    want = Counter((r.doc_id, r.text or "") for r in odd.select("doc_id", "text").collect())
+    assert Counter((r.doc_id, r.decoded) for r in rows) == want
+
+
+def test_bpe_forgets_and_goes_on(monkeypatch, texts):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 50)
+    vocab = bpe.Vocabulary(open(bpe.default_path(), encoding="utf-8").read())
+    some = [t for t in texts.values() if t][:20]
+    assert [vocab.decode(vocab.encode([t])[0]) for t in some] == some
+
+
+# ---------------------------------------------------------------- 8 quality rules
+
+def _rules(text):
+    t = text or ""
+    w = WORD.findall(t)
+    n = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+    inside = {p for i in range(len(w) - 7) if n[tuple(w[i:i + 8])] > 1 for p in range(i, i + 8)}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(inside),
+            len(w) < 20 or 100 * len(inside) > 30 * len(w))
+
+
+def test_quality_rules(docs, texts, odd, none):
+    keys = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    rows = quality_rules.quality_rules(docs).collect()
+    assert all(tuple(r[k] for k in keys) == _rules(texts[r.doc_id]) for r in rows)
+    assert all(not (r.kept and r.base_failed) for r in rows)
+    rows = quality_rules.quality_rules(odd).collect()
+    assert len(rows) == 10 and quality_rules.quality_rules(none).count() == 0
+    source = {r.doc_id: r.text for r in odd.select("doc_id", "text").collect()}
+    assert all(tuple(r[k] for k in keys) == _rules(source[r.doc_id]) for r in rows)
+
+
+def test_robust_fit_is_not_moved_by_outliers(spark):
+    rng = np.random.default_rng(0)
+    clean = rng.normal([1.6, 0.5, 0.2, 0.1], [0.1, 0.3, 0.05, 0.05], (900, 4))
+    bad = rng.normal([4, 5, 1.2, 1.2], 0.05, (100, 4))
+    rows = spark.createDataFrame([("l", "s", *map(float, r)) for r in np.vstack([clean, bad])],
+                                 "lang_g string, source_g string, x0 double, x1 double, x2 double, x3 double")
+    fit = quality_rules.fit_groups(rows).first()
+    assert np.allclose([fit[f"m{i}"] for i in range(4)], [1.6, 0.5, 0.2, 0.1], atol=0.06)
+    d2 = quality_rules._with_distance(rows, quality_rules.fit_groups(rows)).where(f"d2 > {quality_rules.CUTOFF}").count()
+    assert d2 == 100
+
+
+# ---------------------------------------------------------------- 9 WARC
+
+def test_warc_round_trip(spark, tmp_path):
+    long = "<p>" + "x" * 200
+    pages = spark.createDataFrame(
+        [(3, "http://a/\r\nX: y", long), (1, None, long), (1, "http://b", long), (2, "u", "short"), (4, "v", "short"),
+         (5, "w", None), (6, "w", ""), (None, "n", long), (7, "ü", "ü" * 50), (8, "ü", "ü" * 50)],
+        "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
+    path = str(tmp_path / "a")
+    warc.write_archive(pages, path)
+    records = warc.read_archive(spark, path)
+    assert spark.read.parquet(path + "/payloads").count() == 4
+    got = Counter(tuple(r) for r in warc.record_index(records).select(
+        "page_id", "payload_bytes", "record_type", "refers_to").collect())
+    assert got == {(3, 203, "revisit", 1): 1, (1, 203, "response", None): 2, (2, 5, "response", None): 1,
+                   (4, 5, "response", None): 1, (5, 0, "response", None): 1, (6, 0, "response", None): 1,
+                   (None, 203, "revisit", 1): 1, (7, 100, "response", None): 1, (8, 100, "revisit", 7): 1}
+    for r in records.collect():
+        head, _, rest = bytes(r.record).partition(b"\r\n\r\n")
+        size = int(re.search(rb"Content-Length: (\d+)$", head).group(1))
+        assert rest[size:] == b"\r\n\r\n" and (size == 0 or hashlib.sha256(rest[:size]).hexdigest() == r.digest)
+    warc.write_archive(pages.where("false"), path + "0")
+    assert warc.read_archive(spark, path + "0").count() == 0
+
+
+# ---------------------------------------------------------------- 10 quality classifier
+
+def test_classifier_held_out_accuracy_and_odd_rows(spark, odd, none):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = quality_gam.classify(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert sum(r.predicted == r.quality for r in rows) >= 0.93 * len(rows)
+    out = quality_gam.classify(odd, labels).collect()
+    assert len(out) == 10 and all(0 <= r.score <= 1 for r in out)
+    assert quality_gam.classify(none, labels).count() == 0
+    assert {r.score for r in quality_gam.classify(odd, labels.where("false")).collect()} == {0.5}
+
+
+# ---------------------------------------------------------------- pipeline
+
+def test_pipeline_stages_keep_clean_documents(spark):
+    import corpus_pipeline as cp
+
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    ids = {r.doc_id for r in d.collect()}
+    for name, stage in cp.STAGES[:-1]:
+        kept = stage(spark, d, SF)
+        assert kept.columns == d.columns, name
+    out = cp.run(spark, SF).collect()
+    assert len(out) == len({r.doc_id for r in out}) and 0.6 * len(ids) < len(out) < len(ids)
+    assert all(r.n_tokens > 0 or r.decoded_sha256 == hashlib.sha256(b"").hexdigest() for r in out)
