@@ -112,7 +112,7 @@ def test_personal_data_rows(odd, none, docs, texts):
     assert [s.kind for s in seven.base] == ["email", "ip", "card", "phone"]
 
 
-def test_model_adds_undecided_forms_only():
+def test_model_thresholds_and_undecided_forms():
     rng = random.Random(5)
     x, y = [], []
     for _ in range(600):
@@ -122,10 +122,11 @@ def test_model_adds_undecided_forms_only():
             x.append(pii.features(t, k, a, b))
             y.append(float(label == 1))
     model = pii.Model(np.array(x), np.array(y))
-    assert model.threshold["phone"] <= 1 and model.threshold["email"] > 1
-    t = "call (523) 555-1055 now"
-    (c, label), = pii.labelled(t, [])
-    assert label == -1 and model.probability(np.array([pii.features(t, *c)]))[0] >= model.threshold["phone"]
+    assert 0.9 <= model.threshold["phone"] <= 1 and model.threshold["email"] > 1
+    p = model.probability(np.array(x))
+    assert ((p >= model.threshold["phone"]) == (np.array(y) == 1)).all()
+    t = "call (523) 555-1055 now, not 12345678"
+    assert [label for _, label in pii.labelled(t, [])] == [-1, 0]
     assert pii.merge([("ip", 0, 3)], [("phone", 5, 9, 0.9), ("phone", 8, 12, 0.95)]) == [("ip", 0, 3), ("phone", 8, 12)]
     assert pii.redact("ab cd", [("x", 0, 2)]) == "<x> cd"
 
