@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from scholarweave.llm import boosting as bo
 from scholarweave.llm import textbatch as tb
 from scholarweave.llm.registry import query
+from scholarweave.llm.sampling import smallest_hash
 from scholarweave.session import cut_lineage, ship_package, table
 
 TRAIN_ROWS = 20_000         # bound of the training sample: the labelled rows with the smallest key hash
@@ -171,8 +172,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     measured = cut_lineage(docs.mapInArrow(_measure_batches, "doc_id long, x array<double>"), "features")
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")) \
         .where("quality is not null and doc_id is not null").where(~held_out(F.col("doc_id"))).distinct()
-    sample = (measured.join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "x")
-              .limit(TRAIN_ROWS).select("quality", "x").collect())
+    sample = smallest_hash(measured.join(marked, "doc_id").select("doc_id", "quality", "x"), ["doc_id"], TRAIN_ROWS)
     x = np.array([r.x for r in sample], dtype=np.float64).reshape(-1, len(FEATURES))
     model = spark.sparkContext.broadcast(Model(x, np.array([float(r.quality > 0) for r in sample])))
 
