@@ -251,9 +251,32 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """doc_id, ids and decoded of every text of (doc_id, text): ``encode`` and ``decode`` in one worker.
+
+    Nulls, empty texts and repeated rows as there.  Two chained stages would keep two workers, with a
+    vocabulary each, for every task and send the ids through the JVM in between.
+    """
+    ship_package(docs.sparkSession)
+    spec = _spec(docs.sparkSession, tokenizer_path)
+
+    def run(batches):
+        vocab = _vocabulary(spec.value)
+        for batch in batches:
+            for part in tb.chunks(batch, "text", _CHUNK):
+                ids = vocab.encode([t or "" for t in part.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
+                     pa.array([vocab.decode(x) for x in ids], pa.string())],
+                    names=["doc_id", "ids", "decoded"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .mapInArrow(run, "doc_id long, ids binary, decoded string")
+
+
 def digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Encode then decode every text: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    return decode(encode(docs, tokenizer_path), tokenizer_path).select(
+    return round_trip(docs, tokenizer_path).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
