@@ -90,7 +90,11 @@ def under(pred: Pred, nodes="nodes") -> Pred:
     chain of steps costs O(depth) per node and never re-filters the array.
     """
     arr = _c(nodes)
-    return lambda n: F.exists(n["anc"], lambda a: pred(F.get(arr, a)))
+
+    def ancestors(n):
+        higher = F.flatten(F.transform(n["far"], lambda a: F.concat(F.array(a), F.get(arr, a)["anc"])))
+        return F.when(F.size(n["far"]) == 0, n["anc"]).otherwise(F.concat(higher, n["anc"]))
+    return lambda n: F.exists(ancestors(n), lambda a: pred(F.get(arr, a)))
 
 
 def parent_is(pred: Pred, nodes="nodes") -> Pred:
@@ -187,6 +191,26 @@ def subtree_text(nodes, ctx: Column) -> Column:
                                     lambda n: n["text"]), "")
 
 
+def children(nodes, ctx: Column, pred: Pred) -> Column:
+    """Child step of one node, O(size of its subtree) (H3)."""
+    return F.filter(subtree(nodes, ctx), lambda n: (n["parent"] == ctx["pos"]) & pred(n))
+
+
+def step(nodes, ctxs: Column, pred: Pred) -> Column:
+    """Child step of several nodes that do not contain each other, in document order."""
+    return F.flatten(F.transform(ctxs, lambda c: children(nodes, c, pred)))
+
+
+def child_texts(nodes, ctx: Column) -> Column:
+    """``text()`` of one node as a list, O(size of its subtree) (H7)."""
+    return F.transform(children(nodes, ctx, text_node()), lambda n: n["text"])
+
+
+def step_text(nodes, ctxs: Column) -> Column:
+    """``text()`` of several nodes that do not contain each other, joined with '' (H7)."""
+    return F.array_join(F.flatten(F.transform(ctxs, lambda c: child_texts(nodes, c))), "")
+
+
 def preceding(nodes, ctx: Column, pred: Pred) -> Column:
     """``preceding::x[1]``: nearest node ending before ``ctx`` starts."""
     before = F.slice(_c(nodes), 1, F.greatest(ctx["pos"], F.lit(0)))
@@ -196,6 +220,7 @@ def preceding(nodes, ctx: Column, pred: Pred) -> Column:
 
 def following_text_sibling(nodes, ctx: Column) -> Column:
     """``following-sibling::text()[1]``."""
-    cand = F.filter(_c(nodes), lambda n: (n["kind"] == "text") & (n["parent"] == ctx["parent"])
-                    & (n["pos"] > ctx["end"]))
-    return F.get(cand, 0)
+    arr = _c(nodes)
+    last = F.coalesce(F.get(arr, ctx["parent"])["end"], F.size(arr) - 1)
+    after = F.slice(arr, ctx["end"] + 2, F.greatest(last - ctx["end"], F.lit(0)))
+    return F.get(F.filter(after, lambda n: (n["kind"] == "text") & (n["parent"] == ctx["parent"])), 0)

@@ -3,9 +3,9 @@
 A feed is ``{"DataSet":{"documents":{"document":[{"features":{"feature":[{"@id":..,
 "values":..}]}}]}}}``; ``values`` is ``{"value": scalar-or-list}`` or a plain
 string.  ``values`` is declared ``string`` so whichever shape it has arrives
-as raw JSON text.  Documents are exploded (one row each); the pivot then runs
-inside each row over its own feature array -- "a later duplicate wins" is the
-last matching element -- so it needs no shuffle at all.
+as raw JSON text.  Documents are exploded (one row each) and dealt over the
+tasks; the pivot is then one fold over the row's own feature array -- "a later
+duplicate wins" -- and needs no shuffle.
 """
 
 from __future__ import annotations
@@ -22,15 +22,19 @@ FEATURE = "struct<`@id`:string,values:string>"
 DOCUMENT = f"struct<features:struct<feature:array<{FEATURE}>>>"
 FEED = f"struct<DataSet:struct<documents:struct<document:array<{DOCUMENT}>>>>"
 
-Hook = Callable[[Column, Column], Column]   # (raw value, the document's features) -> value
+Hook = Callable[[Column, Callable[[str], Column]], Column]   # (value, value of another feature id) -> value
 
 
 def explode_feed(df: DataFrame, json_col: str = "doc") -> DataFrame:
-    """One row per document of a nested feed, with its position in the feed (S3)."""
+    """One row per document of a nested feed, with its position in the feed (S3).
+
+    A feed is one input row: its documents are dealt over the tasks by position.
+    """
     parsed = df.withColumn("_feed", F.from_json(json_col, FEED))
     return (parsed.select("*", F.posexplode("_feed.DataSet.documents.document").alias("doc_pos", "_d"))
                   .select(*[c for c in df.columns if c != json_col], "doc_pos",
-                          F.col("_d.features.feature").alias("features")))
+                          F.col("_d.features.feature").alias("features"))
+                  .repartition("doc_pos"))
 
 
 def parse_document(json_col: str = "doc") -> Column:
@@ -48,10 +52,13 @@ def feature_value(values: Column) -> Column:
         F.when(values != "", values))
 
 
-def raw_feature(features: Column, feature_id: str) -> Column:
-    """Raw value of the last feature with that id (a later duplicate overwrites) (A1)."""
-    last = F.try_element_at(F.filter(features, lambda f: f["@id"] == feature_id), F.lit(-1))
-    return feature_value(last["values"])
+def last_values(features: Column, feature_ids: list[str]) -> Column:
+    """struct(v0, v1, ...): ``values`` of the last feature with each id, in one fold over the list (A1)."""
+    def take(acc, f):
+        return F.struct(*[F.when(f["@id"] == fid, f["values"]).otherwise(acc[f"v{k}"]).alias(f"v{k}")
+                          for k, fid in enumerate(feature_ids)])
+    none = F.struct(*[F.lit(None).cast("string").alias(f"v{k}") for k in range(len(feature_ids))])
+    return F.aggregate(features, none, take)
 
 
 def json_list(v: Column) -> Column:
@@ -74,20 +81,22 @@ def pivot_features(docs: DataFrame, features_col: str, field_map: dict[str, str
                    hooks: dict[str, Hook] | None = None, keep: list[str] | None = None) -> DataFrame:
     """Wide rows: one column per mapped feature, ``None`` targets dropped.
 
-    ``hooks[feature_id](raw, features)`` turns the raw value into the column
-    value; the default is identity.  ``unknown_features`` is added for counting.
+    ``hooks[feature_id](value, value_of)`` turns a value into the column value;
+    the default is identity.  ``unknown_features`` is added for counting.  The
+    list is folded once and each value parsed once, as columns of their own.
     """
     hooks = hooks or {}
-    feats = F.col(features_col)
-    cols = [F.col(c) for c in (keep or [])]
-    for fid, target in field_map.items():
-        if target is None:
-            continue
-        raw = raw_feature(feats, fid)
-        hook = hooks.get(fid)
-        cols.append((hook(raw, feats) if hook else raw).alias(target))
-    cols.append(F.size(unknown_features(feats, field_map)).alias("unknown_features"))
-    return docs.select(*cols)
+    ids = list(field_map)
+    value_of = lambda fid: F.col(f"_value{ids.index(fid)}")
+    staged = docs.select(*[F.col(c) for c in (keep or [])], last_values(F.col(features_col), ids).alias("_last"),
+                         F.size(unknown_features(F.col(features_col), field_map)).alias("unknown_features"))
+    staged = staged.withColumns({f"_value{k}": feature_value(F.col(f"_last.v{k}")) for k in range(len(ids))})
+    identity: Hook = lambda value, _: value
+    return staged.select(
+        *[F.col(c) for c in (keep or [])],
+        *[hooks.get(fid, identity)(value_of(fid), value_of).alias(target)
+          for fid, target in field_map.items() if target is not None],
+        "unknown_features")
 
 
 # --------------------------------------------------------------------------- the feed's fixed values
@@ -114,28 +123,28 @@ def publication_type_of(code: Column) -> Column:
     return F.coalesce(F.try_element_at(m, code.try_cast("int")), F.lit(DEFAULT_PUBLICATION_TYPE))
 
 
-def _hook_type(v: Column, _f: Column) -> Column:
+def _hook_type(v: Column, _other) -> Column:
     return publication_type_of(v)
 
 
-def _hook_page(v: Column, _f: Column) -> Column:
+def _hook_page(v: Column, _other) -> Column:
     return quoted_page_url(v, FEED_PAGE_BASE)
 
 
-def _hook_authors(v: Column, _f: Column) -> Column:
+def _hook_authors(v: Column, _other) -> Column:
     return name_or_split_list(v, LAST_FIRST, " ")
 
 
-def _hook_publisher(v: Column, _f: Column) -> Column:
+def _hook_publisher(v: Column, _other) -> Column:
     lst = json_list(v)
     return F.when(F.size(lst) > 0, F.try_element_at(lst, F.lit(-1))).otherwise(v)
 
 
-def _hook_phrases(v: Column, feats: Column) -> Column:
-    return F.array_join(F.concat(as_list(v), as_list(raw_feature(feats, "phrases"))), ",")
+def _hook_phrases(v: Column, value_of: Callable[[str], Column]) -> Column:
+    return F.array_join(F.concat(as_list(v), as_list(value_of("phrases"))), ",")
 
 
-def _hook_organ(v: Column, _f: Column) -> Column:
+def _hook_organ(v: Column, _other) -> Column:
     return F.coalesce(F.array_join(json_list(v), ", "), v)
 
 

@@ -49,7 +49,7 @@ def _typed_keys(df: DataFrame, item_type: str, url_col: str = "source_url") -> D
 
 def build_graph(orgs: DataFrame, divisions: DataFrame, persons: DataFrame, roles: DataFrame,
                 registry: DataFrame | None = None, base: str = tr.LOCAL,
-                partitions: int | None = None) -> Graph:
+                partitions: int | None = None, publications: DataFrame | None = None) -> Graph:
     # an item without a source_url gets no ID and is not exported.
     # IDs and organisation ids are assigned here, whatever the input carries.
     orgs, divisions, persons = (conform(orgs, "Organization"), conform(divisions, "Division"),
@@ -60,12 +60,14 @@ def build_graph(orgs: DataFrame, divisions: DataFrame, persons: DataFrame, roles
     persons = persons.drop("id", "organization_id").where(present("source_url"))
     valid_roles = roles.where(present("person_url") & present("division_url"))
 
+    published = [] if publications is None else [_typed_keys(publications.where(present("source_url")), "Publication")]
     keys = idops.needed_keys(                                   # U3
         _typed_keys(orgs, "Organization"),
         _typed_keys(divisions, "Division"),
         _typed_keys(persons, "Person"),
         _typed_keys(valid_roles, "DivisionRole"),
         _typed_keys(valid_roles, "Division", "division_url"),
+        *published,
     )
     ids, new_rows = idops.assign_ids(keys, registry, partitions)  # S4, U4, W2
 

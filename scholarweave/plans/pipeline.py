@@ -15,6 +15,7 @@ from scholarweave.operators import ids as idops
 from scholarweave.plans.graph import Graph, build_graph
 from scholarweave.plans.sites import gesis, hiig, knowcenter, zbw
 from scholarweave.schemas import conform
+from scholarweave.session import cut_lineage
 from scholarweave.sources.pages import domain_source, seed_domains
 from scholarweave.sinks.writers import append_registry, write_entities, write_ntriples
 
@@ -49,13 +50,15 @@ def run_site(spark: SparkSession, site: str, pages: DataFrame, out_dir: str | No
     else:
         domains = [(s, d) for s, d in seed_domains() if s == site]
         ents = SITES[site].crawl(pages.where(domain_source("url", domains).isNotNull()))
+    # the crawl runs once; IDs, triples and files are made from the written entities
+    ents = {item_type: cut_lineage(df, f"{site}-{item_type}") for item_type, df in ents.items()}
     tag = F.lit(site)
     orgs = ents.get("Organization", _empty(spark, "Organization")).withColumn("source", tag)
     divs = ents.get("Division", _empty(spark, "Division")).withColumn("source", tag)
     pers = ents.get("Person", _empty(spark, "Person")).withColumn("source", tag)
     roles = ents.get("DivisionRole", conform(spark.createDataFrame([], "source_url string"), "DivisionRole"))
     registry = idops.read_registry(spark, registry_path) if registry_path else None
-    graph = build_graph(orgs, divs, pers, roles, registry)
+    graph = build_graph(orgs, divs, pers, roles, registry, publications=ents.get("Publication"))
     paths: dict[str, str] = {}
     if registry_path:
         # IDs are registered before anything that holds them is published

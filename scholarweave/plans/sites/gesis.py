@@ -11,6 +11,7 @@ from scholarweave.functions import html as H
 from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
+from scholarweave.session import cut_lineage
 from scholarweave.sources.pages import dedup_requests, follow_links, route, with_nodes
 
 ROOT = "http://www.gesis.org/"
@@ -44,21 +45,28 @@ def extract_division(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     info = desc(desc(main, H.has_id("col3")), H.has_class("csc-default"))
     desc_nodes = H.select(NODES, H.any_of(H.under(kids(info, el("p"))),
                                          H.under(kids(kids(info, el("div")), el("p")))))
-    division = pages.select(
+    contacts = desc(desc(main, H.has_id("col2")), H.has_class("contact"))
+
+    def contact(c):
+        a = H.step(NODES, H.step(NODES, H.children(NODES, c, el("p")), el("strong")), el("a"))
+        return F.struct(H.step_text(NODES, a).alias("a_text"), F.array_join(H.attr(a, "href"), "").alias("more"))
+
+    # each division page is parsed once; both results come from what was cut out of it
+    cut = cut_lineage(pages.select(
         F.col("url").alias("source_url"), text(desc(info, el("h1"))).alias("name"),
         F.array_join(F.transform(F.filter(desc_nodes, lambda n: n["kind"] == "text"), lambda n: n["text"]), "")
-         .alias("description"))
-    contacts = desc(desc(main, H.has_id("col2")), H.has_class("contact"))
-    rows = pages.select("url", "nodes", F.posexplode(nodes_of(contacts)).alias("contact_pos", "c"))
-    a = kids(kids(kids(H.one(F.col("c")), el("p")), el("strong")), el("a"))
-    t = N.split_academic_title(text(a))
+         .alias("description"),
+        F.transform(nodes_of(contacts), contact).alias("contacts")), "divisions")
+    division = cut.select("source_url", "name", "description")
+    rows = cut.select("source_url", F.posexplode("contacts").alias("contact_pos", "c")) \
+        .select("source_url", "contact_pos", "c.*")
+    t = N.split_academic_title("a_text")
     nm = N.split_name(t["name"], N.FIRST_LAST)
-    more = F.array_join(hrefs(a), "")
     people = rows.select(
-        F.col("url").alias("division_url"), "contact_pos", t["title"].alias("title"),
+        F.col("source_url").alias("division_url"), "contact_pos", t["title"].alias("title"),
         F.concat(nm["lastname"], F.lit(", "), nm["firstname"]).alias("name"),
         nm["firstname"].alias("firstname"), nm["lastname"].alias("lastname"),
-        F.when(more != "", T.resolve_url(more, None, ROOT)).alias("link"))
+        F.when(F.col("more") != "", T.resolve_url(F.col("more"), None, ROOT)).alias("link"))
     return division, people
 
 
@@ -66,14 +74,19 @@ def extract_publications(pages: DataFrame) -> DataFrame:
     """Sections under ``.gs_publication > .gs_publication_list .gs_publication_list``; one row per ``p``."""
     outer = kids(find(H.has_class("gs_publication")), H.has_class("gs_publication_list"))
     lists = desc(outer, H.has_class("gs_publication_list"))
-    sec = pages.select("url", "nodes", F.explode(nodes_of(lists)).alias("sec"))
-    sec = sec.withColumn("heading", text(kids(H.one(F.col("sec")), el("h3"))))
-    ps = sec.select("url", "nodes", "heading", F.explode(nodes_of(kids(H.one(F.col("sec")), el("p")))).alias("p"))
-    one_p = H.one(F.col("p"))
-    links = nodes_of(kids(one_p, el("a")))
-    link_info = F.transform(links, lambda a: F.struct(a["attrs"]["href"].alias("href"),
-                                                      H.direct_text(NODES, F.array(a)).alias("text")))
-    t = ps.select("url", "heading", F.get(H.direct_texts(NODES, one_p), 0).alias("text"), link_info.alias("links"))
+
+    def item(p):
+        links = F.transform(H.children(NODES, p, el("a")), lambda a: F.struct(
+            a["attrs"]["href"].alias("href"), F.array_join(H.child_texts(NODES, a), "").alias("text")))
+        return F.struct(F.get(H.child_texts(NODES, p), 0).alias("text"), links.alias("links"))
+
+    def section(s):
+        return F.struct(H.step_text(NODES, H.children(NODES, s, el("h3"))).alias("heading"),
+                        F.transform(H.children(NODES, s, el("p")), item).alias("items"))
+
+    # only finished items are exploded, never the page's nodes
+    sec = pages.select("url", F.inline(F.transform(nodes_of(lists), section)))
+    t = sec.select("url", "heading", F.inline("items"))
     ay = C.gesis_authors_year("text")
     t = t.withColumn("ay", ay)
     cit = C.gesis_citation(F.col("ay.rest"), F.col("heading"))
@@ -102,16 +115,15 @@ def extract_publications(pages: DataFrame) -> DataFrame:
 
 def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     p = pages.select("url", "html")
-    seeds = with_nodes(p.where(F.col("url").isin(SEEDS))
-                       .withColumn("kind", route("url", [("institut", "organization")], "overview")))
+    seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(SEEDS)).withColumn(
+        "kind", route("url", [("institut", "organization")], "overview"))), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     div_pages = with_nodes(follow_links(dedup_requests(division_links(seeds.where(F.col("kind") == "overview")),
                                                        "url"), p, "url"))
     division, people = extract_division(div_pages)
     linked = people.where(F.col("link").isNotNull())
     # Each person page is fetched and parsed once, however many contacts link to it.
-    person_pages = with_nodes(follow_links(dedup_requests(linked.select(F.col("link").alias("url")), "url"),
-                                           p, "url"))
+    person_pages = follow_links(dedup_requests(linked.select(F.col("link").alias("url")), "url"), p, "url")
     fetched = person_pages.select(F.col("url").alias("source_url"))
     merged = linked.join(fetched, linked.link == fetched.source_url, "inner")
     # a person linked by several contacts is one person: the first division's contact counts
@@ -123,6 +135,6 @@ def crawl(pages: DataFrame) -> dict[str, DataFrame]:
                                     "lastname", "title")))
     roles = merged.select(F.col("division_url").alias("source_url"), F.lit("Leiter").alias("name"),
                           F.col("source_url").alias("person_url"), "division_url")
-    pubs = extract_publications(person_pages)
+    pubs = extract_publications(with_nodes(person_pages))
     return {"Organization": orgs, "Division": division, "DivisionRole": roles, "Person": persons,
             "Publication": pubs}

@@ -11,6 +11,7 @@ from scholarweave.functions import html as H
 from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
+from scholarweave.session import cut_lineage
 from scholarweave.sources.pages import dedup_requests, follow_links, route, with_nodes
 
 SEEDS = ["http://www.hiig.de/institute/organisation/", "http://www.hiig.de/personen/",
@@ -55,13 +56,22 @@ def extract_person(pages: DataFrame) -> DataFrame:
 
 def extract_publication_list(pages: DataFrame) -> DataFrame:
     items = desc(find(H.has_id("content")), H.has_class("publication-APA"))
-    rows = pages.select("nodes", F.posexplode(nodes_of(items)).alias("item_pos", "it"))
-    one = H.one(F.col("it"))
-    heading = H.direct_text(NODES, H.one(H.preceding(NODES, F.col("it"), H.element("h3"))))
-    t = texts(one)
-    cit = C.hiig_citation(F.get(t, 0), F.get(t, 1), text(kids(one, el("em"))), heading)
+    heads = F.transform(H.select(NODES, H.element("h3")), lambda h: F.struct(
+        h["end"].alias("end"), F.array_join(H.child_texts(NODES, h), "").alias("text")))
+
+    def item(it):
+        before = F.filter("heads", lambda h: h["end"] < it["pos"])        # H10
+        return F.struct(
+            H.child_texts(NODES, it).alias("t"), H.step_text(NODES, H.children(NODES, it, el("em"))).alias("em"),
+            F.get(H.children(NODES, it, el("a")), 0)["attrs"]["href"].alias("source_url"),
+            F.coalesce(F.try_element_at(before, F.lit(-1))["text"], F.lit("")).alias("heading"))
+
+    # only finished items are exploded, never the page's nodes
+    rows = (pages.select("nodes", heads.alias("heads"))
+            .select(F.posexplode(F.transform(nodes_of(items), item)).alias("item_pos", "it")).select("item_pos", "it.*"))
+    cit = C.hiig_citation(F.get("t", 0), F.get("t", 1), F.col("em"), F.col("heading"))
     return rows.select(
-        F.get(hrefs(kids(one, el("a"))), 0).alias("source_url"), "item_pos",
+        "source_url", "item_pos",
         cit["author_names"].alias("author_names"), cit["year"].alias("year"), cit["title"].alias("title"),
         cit["published_in"].alias("published_in"), cit["publication_type"].alias("publication_type"),
         cit["startpage"].alias("startpage"), cit["endpage"].alias("endpage"), cit["parsed_ok"].alias("parsed_ok"))
@@ -93,12 +103,13 @@ def extract_publication_detail(pages: DataFrame) -> DataFrame:
 
 def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     p = pages.select("url", "html")
-    seeds = with_nodes(p.where(F.col("url").isin(SEEDS)).withColumn("kind", route("url", ROUTES, "overview")))
+    seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(SEEDS))
+                                   .withColumn("kind", route("url", ROUTES, "overview"))), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     person_pages = with_nodes(follow_links(dedup_requests(staff_links(seeds.where(F.col("kind") == "overview")),
                                                           "url"), p, "url"))
     persons = extract_person(person_pages)
-    lst = extract_publication_list(seeds.where(F.col("kind") == "publications"))
+    lst = cut_lineage(extract_publication_list(seeds.where(F.col("kind") == "publications")), "publications")
     # Details are requested per list item (dont_filter): fetch each URL's page once, join back per item.
     detail_pages = with_nodes(follow_links(lst.select(F.col("source_url").alias("url")).distinct(), p, "url"))
     det = extract_publication_detail(detail_pages)

@@ -11,6 +11,7 @@ from scholarweave.functions import html as H
 from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.plans.sites._sel import NODES, all_text, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
+from scholarweave.session import cut_lineage
 from scholarweave.sources.pages import dedup_requests, follow_links, route, with_nodes
 
 ROOT = "http://www.zbw.eu"
@@ -86,11 +87,15 @@ def extract_person_page(pages: DataFrame) -> DataFrame:
 def extract_publications(pages: DataFrame) -> DataFrame:
     """``li`` items: bold text = title, first text after the bold = year."""
     lis = desc(_boxes(find(H.has_id("content"))), el("li"))
-    items = pages.select("url", "person_url", "nodes", F.explode(nodes_of(lis)).alias("li"))
-    b = H.select(NODES, H.all_of(H.element("b"), H.self_or_within(H.one(F.col("li")))))
-    year = F.array_join(F.transform(b, lambda x: F.coalesce(H.following_text_sibling(NODES, x)["text"], F.lit(""))), "")
-    title = F.array_join(F.transform(b, lambda x: H.all_text(NODES, F.array(x))), "")
-    out = items.select("url", "person_url", title.alias("title"), year.alias("year"))
+
+    def item(li):
+        bold = F.filter(H.subtree(NODES, li), H.element("b"))
+        year = F.transform(bold, lambda x: F.coalesce(H.following_text_sibling(NODES, x)["text"], F.lit("")))
+        title = F.transform(bold, lambda x: H.subtree_text(NODES, x))
+        return F.struct(F.array_join(title, "").alias("title"), F.array_join(year, "").alias("year"))
+
+    # only finished items are exploded, never the page's nodes
+    out = pages.select("url", "person_url", F.inline(F.transform(nodes_of(lis), item)))
     return out.select(T.stable_record_key(F.col("url"), F.col("title"), F.col("year")).alias("source_url"),
                       "title", "year", "person_url")
 
@@ -99,18 +104,18 @@ def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     """All ZBW entities from a page table ``(url, html)``."""
     p = pages.select("url", "html")
     seeds = p.where(F.col("url").isin(SEEDS)).withColumn("kind", route("url", [("impressum", "organization")], "overview"))
-    seeds = with_nodes(seeds)
+    seeds = cut_lineage(with_nodes(seeds), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     div_urls = dedup_requests(division_links(seeds.where(F.col("kind") == "overview")), "url")
     div_pages = with_nodes(follow_links(div_urls, p, "url"))
-    divs = extract_division(div_pages)
+    divs = cut_lineage(extract_division(div_pages), "divisions")
     division = divs.select("source_url", "name", "description")
     roles = divs.select(F.col("source_url"), F.lit("Leiter").alias("name"),
                         F.col("contact.person_url").alias("person_url"), F.col("source_url").alias("division_url"))
     contacts = divs.select(F.col("contact.*"), F.col("source_url").alias("division_url"))
     person_pages = with_nodes(follow_links(dedup_requests(contacts.select(F.col("person_url").alias("url")), "url"),
                                            p, "url"))
-    pinfo = extract_person_page(person_pages)
+    pinfo = cut_lineage(extract_person_page(person_pages), "persons")
     # a person linked from several divisions is one person: the first division's contact box counts
     fields = ["name", "firstname", "lastname", "title", "phone", "street_address", "postal_code", "city"]
     contacts = (contacts.groupBy("person_url")

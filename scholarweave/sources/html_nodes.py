@@ -6,17 +6,17 @@ document order.  Elements and text nodes are separate nodes (``kind``), so
 "first text child" stays addressable.  ``end`` is the position of an element's
 last descendant: ``n`` is inside ``e`` iff ``e.pos < n.pos <= e.end``.  ``nth``
 is the 1-based position among same-tag element siblings (XPath ``tag[k]``).
-``anc`` lists the ancestor positions from the root down; ``pos`` equals the
-array index, so an ancestor is an O(1) lookup ``nodes[a]``.
+``anc`` lists ancestor positions from the root down; ``pos`` equals the array
+index, so an ancestor is an O(1) lookup ``nodes[a]``.  Below depth ``LEVELS`` it
+holds only the ancestors past the last multiple of ``LEVELS``, and ``far`` the
+last ancestor before each multiple, whose own ``anc`` goes on from there: all
+ancestors stay reachable and no node stores more than its share of a deep chain.
 
 Tree building follows the usual HTML recovery rules: void elements never
 open, ``script``/``style`` are raw text, ``p``/``li``/``tr``/``td``/``dt``/
 ``dd``/``option`` close implicitly, and an end tag with no open element of
 that name is ignored instead of draining the stack.  Comments are dropped.
-A page that cannot be parsed yields NULL nodes; the job keeps going.  Like
-browser parsers, tree depth is bounded (``MAX_DEPTH`` open elements): a deeper
-element is kept as a leaf under the deepest open one, so a page of thousands of
-unclosed tags cannot make the ancestor lists quadratic.  Nothing is dropped.
+A page that cannot be parsed yields NULL nodes; the job keeps going.
 """
 
 from __future__ import annotations
@@ -35,9 +35,10 @@ NODE_TYPE = T.ArrayType(T.StructType([
     T.StructField("nth", T.IntegerType()), T.StructField("kind", T.StringType()),
     T.StructField("tag", T.StringType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("text", T.StringType()), T.StructField("anc", T.ArrayType(T.IntegerType())),
+    T.StructField("far", T.ArrayType(T.IntegerType())),
 ]))
 
-MAX_DEPTH = 512
+LEVELS = 512    # ancestors a node lists itself; a storage unit, not a limit
 
 # HTML element classes that drive tree recovery.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
@@ -73,6 +74,10 @@ class _TreeBuilder(HTMLParser):
     def _parent(self) -> int:
         return self.stack[-1] if self.stack else -1
 
+    def _ancestors(self) -> dict:
+        depth = len(self.stack)
+        return {"anc": self.stack[depth - depth % LEVELS:], "far": self.stack[LEVELS - 1::LEVELS]}
+
     def _close_to(self, idx: int) -> None:
         """Pop the open elements down to and including stack index ``idx``."""
         last = len(self.nodes) - 1
@@ -114,8 +119,8 @@ class _TreeBuilder(HTMLParser):
                 amap[k] = "" if v is None else v
         self.nodes.append({"pos": pos, "parent": self._parent(), "end": pos, "depth": len(self.stack),
                            "nth": counts[tag], "kind": "element", "tag": tag, "attrs": amap, "text": None,
-                           "anc": list(self.stack)})
-        if tag not in VOID and len(self.stack) < MAX_DEPTH:
+                           **self._ancestors()})
+        if tag not in VOID:
             self.stack.append(pos)
             self.child_tags.append({})
 
@@ -145,7 +150,7 @@ class _TreeBuilder(HTMLParser):
         pos = len(self.nodes)
         self.nodes.append({"pos": pos, "parent": self._parent(), "end": pos, "depth": len(self.stack),
                            "nth": None, "kind": "text", "tag": None, "attrs": None, "text": data,
-                           "anc": list(self.stack)})
+                           **self._ancestors()})
 
     def finish(self) -> list[dict]:
         self.close()
@@ -178,7 +183,7 @@ def nodes_arrow(htmls: list) -> pa.Array:
     ints = {f: [] for f in _INT_FIELDS}
     kinds, tags, texts = [], [], []
     a_off, a_keys, a_vals = [0], [], []
-    anc_off, anc_vals = [0], []
+    lists = {f: ([0], []) for f in ("anc", "far")}
     node_off, page_null = [0], []
     for h in htmls:
         nodes = parse_html(h)
@@ -196,8 +201,9 @@ def nodes_arrow(htmls: list) -> pa.Array:
                 a_keys.extend(n["attrs"].keys())
                 a_vals.extend(n["attrs"].values())
             a_off.append(len(a_keys))
-            anc_vals.extend(n["anc"])
-            anc_off.append(len(anc_vals))
+            for f, (offsets, values) in lists.items():
+                values.extend(n[f])
+                offsets.append(len(values))
         node_off.append(node_off[-1] + len(nodes))
         page_null.append(False)
     struct = pa.StructArray.from_arrays(
@@ -205,9 +211,10 @@ def nodes_arrow(htmls: list) -> pa.Array:
         + [pa.array(kinds, pa.string()), pa.array(tags, pa.string()),
            pa.MapArray.from_arrays(pa.array(a_off, pa.int32()), pa.array(a_keys, pa.string()),
                                    pa.array(a_vals, pa.string())),
-           pa.array(texts, pa.string()),
-           pa.ListArray.from_arrays(pa.array(anc_off, pa.int32()), pa.array(anc_vals, pa.int32()))],
-        names=list(_INT_FIELDS) + ["kind", "tag", "attrs", "text", "anc"])
+           pa.array(texts, pa.string())]
+        + [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+           for offsets, values in lists.values()],
+        names=[*_INT_FIELDS, "kind", "tag", "attrs", "text", *lists])
     return pa.ListArray.from_arrays(pa.array(node_off, pa.int32()), struct, mask=pa.array(page_null))
 
 

@@ -260,14 +260,28 @@ def test_url_join_matches_urljoin(spark):
         assert row.j == urljoin(row.b, row.r), (row.b, row.r)
 
 
-def test_parser_depth_is_bounded_and_keeps_content():
-    from scholarweave.sources.html_nodes import MAX_DEPTH
-    html = "<div>" * 5000 + "deep text" + "</div>" * 5000 + "<p>after</p>"
-    nodes = parse_html(html)
-    assert max(len(n["anc"]) for n in nodes) <= MAX_DEPTH
-    assert sum(1 for n in nodes if n["tag"] == "div") == 5000
-    texts = [n["text"] for n in nodes if n["kind"] == "text"]
-    assert "deep text" in texts and "after" in texts
+def test_deep_pages_give_the_answers_of_shallow_ones(spark):
+    from scholarweave.functions import html as H
+    from scholarweave.sources.html_nodes import LEVELS, parse_pages
+    depth = 2000
+    pages = [(k, '<div id="top">' + "<div>" * k + "<p>x<b>y</b></p><p>z</p>" + "</div>" * k + "</div><p>after</p>")
+             for k in (1, LEVELS - 2, LEVELS - 1, LEVELS, depth)]
+    top = H.has_id("top")
+    rows = parse_pages(spark.createDataFrame(pages, "k int, html string")).select(
+        "k", "nodes",
+        H.direct_text("nodes", H.all_of(H.element("p"), H.under(top))).alias("direct"),
+        H.all_text("nodes", H.all_of(H.element("p"), H.nth(2))).alias("second"),
+        H.all_text("nodes", top).alias("all"), H.select("nodes", H.element("p")).alias("ps")).collect()
+    assert {r.k for r in rows} == {k for k, _ in pages}
+    for r in rows:
+        assert (r.direct, r.second, r["all"], len(r.ps)) == ("xz", "z", "xyz", 3)
+        assert max(len(n.anc) for n in r.nodes) <= LEVELS
+        for n in r.nodes:
+            up, at = [], n.parent
+            while at >= 0:
+                up.append(at)
+                at = r.nodes[at].parent
+            assert sorted(up) == sorted({a for f in n.far for a in (f, *r.nodes[f].anc)} | set(n.anc)) and len(up) == n.depth
 
 
 def test_graph_drops_and_counts_items_without_source_url(spark):

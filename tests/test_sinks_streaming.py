@@ -123,3 +123,39 @@ def test_stream_backfill_organization_arrives_later(spark):
     q.awaitTermination()
     out = {r.source_url: r.organization_id for r in spark.read.parquet(f"{work}/out").collect()}
     assert out == {"h1": 3, "p1": 7, "p2": 7}
+
+
+def _entity_batch(spark, entities, orgs):
+    rows = [((s, u), None) for s, u in entities] + [(None, o) for o in orgs]
+    return spark.createDataFrame(rows, "entity struct<source string, source_url string>, "
+                                       "organization struct<source string, id bigint>")
+
+
+def test_backfill_replay_emits_each_entity_once(spark):
+    work = _tmp()
+    run = S.backfill_batch_writer(f"{work}/state", f"{work}/out")
+    batches = [([("zbw", "p1"), ("hiig", "h1")], [("hiig", 3)]), ([], [("zbw", 7), ("zbw", 9)]), ([("zbw", "p2")], [("zbw", 8)])]
+
+    def out():
+        return sorted((r.batch_id, r.source_url, r.organization_id) for r in spark.read.parquet(f"{work}/out").collect())
+
+    for k, (entities, orgs) in enumerate(batches):
+        run(_entity_batch(spark, entities, orgs), k)
+    expected = [(0, "h1", 3), (1, "p1", 7), (2, "p2", 7)]       # the first registered id of a source stays
+    assert out() == expected
+    for k, (entities, orgs) in enumerate(batches):              # replays after later batches have been written
+        run(_entity_batch(spark, entities, orgs), k)
+    assert out() == expected
+
+
+def test_stream_backfill_late_organization_needs_no_later_entity(spark):
+    work = _tmp()
+    entity, org = "source string, source_url string", "source string, id bigint"
+    spark.createDataFrame([("zbw", "p1")], entity).write.parquet(f"{work}/entities")
+    spark.createDataFrame([("hiig", 3)], org).write.parquet(f"{work}/orgs")
+    args = (spark, f"{work}/entities", entity, f"{work}/orgs", f"{work}/state", f"{work}/out", f"{work}/ckpt")
+    S.stream_organization_backfill(*args).awaitTermination()
+    assert spark.read.parquet(f"{work}/out").count() == 0
+    spark.createDataFrame([("zbw", 7)], org).write.mode("append").parquet(f"{work}/orgs")
+    S.stream_organization_backfill(*args).awaitTermination()
+    assert [(r.source_url, r.organization_id) for r in spark.read.parquet(f"{work}/out").collect()] == [("p1", 7)]

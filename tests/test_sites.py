@@ -265,3 +265,28 @@ def test_run_site_replaces_previous_output_of_the_source(spark):
     no_pubs = {k: v for k, v in HIIG.items() if "publi" not in k}
     run_site(spark, "hiig", _pages(spark, no_pubs), out)
     assert spark.read.schema("source_url string").options(**opts).csv(pub_dir).count() == 0
+
+
+def test_long_list_pages_are_cut_in_linear_time(spark):
+    """2,000 list items under 40 headings on one page; only those under every other heading have a page range."""
+    import time
+
+    from scholarweave.sources.pages import with_nodes
+    n, heads = 2000, ("Buchbeiträge", "Sonstige Publikationen")
+    body = "".join((f"<h3>{heads[k // 50 % 2]}</h3>" if k % 50 == 0 else "") +
+                   f'<div class="publication-APA">Roe, J. (2015). T{k} In E, <em>B{k}</em>, pp.{k}-{k + 1}. X.'
+                   f'<a href="http://www.hiig.de/publication/{k}/">m</a></div>' for k in range(n))
+    pages = spark.createDataFrame([(hiig.SEEDS[2], f'<div id="content">{body}</div>')], "url string, html string")
+    start = time.monotonic()
+    rows = hiig.extract_publication_list(with_nodes(pages)).collect()
+    assert time.monotonic() - start < 60
+    got = {(r.item_pos, r.source_url, r.published_in, r.startpage) for r in rows}
+    assert got == {(k, f"http://www.hiig.de/publication/{k}/", f"B{k}", None if k // 50 % 2 else str(k))
+                   for k in range(n)}
+
+
+def test_publications_get_ids(spark):
+    from scholarweave.plans.pipeline import run_site
+    run = run_site(spark, "zbw", _pages(spark, ZBW))
+    keys = {r.source_url for r in run.graph.ids.where("item_type = 'Publication'").collect()}
+    assert keys == {r.source_url for r in run.entities["Publication"].collect()} and len(keys) == 2
