@@ -290,3 +290,23 @@ def test_publications_get_ids(spark):
     run = run_site(spark, "zbw", _pages(spark, ZBW))
     keys = {r.source_url for r in run.graph.ids.where("item_type = 'Publication'").collect()}
     assert keys == {r.source_url for r in run.entities["Publication"].collect()} and len(keys) == 2
+
+
+def test_sites_share_one_registry_and_one_graph(spark, tmp_path):
+    from scholarweave.plans.pipeline import run_sites
+    off = {"http://evil.example.com/d3": "<html><head><title>x</title></head></html>"}
+    inputs = {"zbw": _pages(spark, {**ZBW, **off}), "hiig": _pages(spark, HIIG), "gesis": _pages(spark, GESIS)}
+    run = run_sites(spark, inputs, str(tmp_path / "out"), str(tmp_path / "registry"))
+    ids = [(r.item_type, r.source_url, r.id) for r in run.graph.ids.collect()]
+    assert len({(t, i) for t, _, i in ids}) == len(ids) == len({(t, u) for t, u, _ in ids})
+    assert {u for _, u, _ in ids} >= {r.source_url for r in run.entities["Publication"].collect()}
+    counts = {(r.source, r.item_type): (r.n_items, r.exported) for r in run.counts.collect()}
+    assert {s for s, _ in counts} == {"zbw", "hiig", "gesis"}
+    assert counts["zbw", "Publication"] == (2, False) and counts["hiig", "Person"] == (2, True)
+    people = {r.source_url: r.organization_id for r in run.graph.persons.collect()}
+    orgs = {r.source: r.id for r in run.graph.organizations.collect()}
+    assert len(orgs) == 3 and people["http://www.hiig.de/personen/bob/"] == orgs["hiig"]
+    assert people["http://www.zbw.eu/de/personen/kt/"] == orgs["zbw"]
+    again = run_sites(spark, inputs, None, str(tmp_path / "registry"))
+    assert again.graph.new_registry_rows.count() == 0
+    assert sorted((r.item_type, r.source_url, r.id) for r in again.graph.ids.collect()) == sorted(ids)
