@@ -276,6 +276,9 @@ def test_bpe_equals_the_library(spark, odd, none, texts):
         assert vocab.decode(mine) == lib.decode(e.ids, skip_special_tokens=False)
     rows = bpe.decode(bpe.encode(odd, path), path).collect()
     assert len(rows) == 10 and bpe.digests(none, path).count() == 0
+    whole = bpe.round_trip(odd, path).collect()
+    key = lambda r: (r.doc_id is None, r.doc_id, bytes(r.ids), r.decoded)
+    assert sorted(map(key, whole)) == sorted(map(key, rows))
     want = Counter((r.doc_id, r.text or "") for r in odd.select("doc_id", "text").collect())
     assert Counter((r.doc_id, r.decoded) for r in rows) == want
 
