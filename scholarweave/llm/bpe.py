@@ -51,11 +51,16 @@ class Vocabulary:
         spec = json.loads(text)
         vocab = spec["model"]["vocab"]
         symbols = _byte_symbols()
-        self.byte_id = [vocab[s] for s in symbols]
-        self.merge = {}
+        self.byte_id = np.array([vocab[s] for s in symbols])
+        self.bits = max(vocab.values()).bit_length()
+        self.rank = {}                              # left << bits | right -> rank of that merge
+        self.parts: list[tuple[int, int, int]] = []  # rank -> (left, right, merged symbol)
         for rank, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
-            self.merge.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.rank.setdefault(vocab[a] << self.bits | vocab[b], rank)
+            self.parts.append((vocab[a], vocab[b], vocab[a + b]))
+        self.byte_rank = np.array([[self.rank.get(a << self.bits | b, -1) for b in self.byte_id.tolist()]
+                                   for a in self.byte_id.tolist()])
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         byte_of = {s: b for b, s in enumerate(symbols)}
         self.bytes_of = {i: bytes(byte_of[c] for c in s) for s, i in vocab.items() if all(c in byte_of for c in s)}
@@ -70,73 +75,70 @@ class Vocabulary:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.bounds = np.zeros(1 << 14, np.int64)
         for s, i in self.special.items():
-            self._store([s], [[i]])
+            self._store([s], np.array([i], np.uint32), np.array([1]))
 
-    def _store(self, pieces: list[str], encoded: list[list[int]]) -> None:
+    def _store(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         n = len(self.slot)
-        flat = np.fromiter((i for e in encoded for i in e), np.uint32)
-        ends = self.bounds[n] + np.cumsum([len(e) for e in encoded])
+        ends = self.bounds[n] + np.cumsum(counts)
         while len(self.ids) < ends[-1]:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while len(self.bounds) < n + len(pieces) + 1:
             self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
-        self.ids[self.bounds[n]:ends[-1]] = flat
+        self.ids[self.bounds[n]:ends[-1]] = ids
         self.bounds[n + 1:n + 1 + len(pieces)] = ends
         self.slot.update(zip(pieces, range(n, n + len(pieces)), strict=True))
 
-    def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of each piece, by one ascending sweep over the ranks that occur in any of them."""
-        merge, byte_id = self.merge, self.byte_id
-        sym: list[int] = []             # symbol at a position; -1: merged away, or the gap after a piece
-        starts = []
-        for p in pieces:
-            starts.append(len(sym))
-            sym.extend([byte_id[b] for b in p.encode()])
-            sym.append(-1)
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in a row, ids per piece), by one ascending sweep over the ranks that occur."""
+        raw = [p.encode() for p in pieces]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        owner = np.repeat(np.arange(len(raw)), size)
+        at = np.arange(len(data)) + owner           # one gap after each piece
+        symbols = np.full(len(data) + len(raw), -1)  # -1: merged away, or a gap
+        symbols[at] = self.byte_id[data]
+        ranks = np.where(owner[1:] == owner[:-1], self.byte_rank[data[:-1], data[1:]], -1)
+        found = np.flatnonzero(ranks >= 0)
+        found = found[np.argsort(ranks[found], kind="stable")]
+        heap, cut = np.unique(ranks[found], return_index=True)
+        heap = heap.tolist()                        # ascending, so a heap
+        where = dict(zip(heap, map(np.ndarray.tolist, np.split(at[found], cut[1:])), strict=False))
+        sym = symbols.tolist()
         after = list(range(1, len(sym) + 1))        # position of the next symbol
         before = list(range(-1, len(sym) - 1))
-        where: dict[int, list[int]] = {}            # rank of a pair -> positions of its left symbol
-        pair: dict[int, tuple[int, int, int]] = {}
-        get = merge.get
-        for i in range(len(sym) - 1):
-            if (m := get((sym[i], sym[i + 1]))) is not None:
-                if m[0] in where:
-                    where[m[0]].append(i)
-                else:
-                    where[m[0]] = [i]
-                    pair[m[0]] = (sym[i], sym[i + 1], m[1])
-        heap = list(where)
-        heapq.heapify(heap)
+        get, bits, push, pop = self.rank.get, self.bits, heapq.heappush, heapq.heappop
         while heap:
-            rank = heapq.heappop(heap)
-            left, right, made = pair[rank]
+            rank = pop(heap)
+            left, right, made = self.parts[rank]
             positions = where.pop(rank)
             positions.sort()
+            high = made << bits
             for i in positions:
                 j = after[i]
                 if sym[i] != left or sym[j] != right:       # an overlapping or lower rank took one of them
                     continue
                 k = after[j]
+                h = before[i]
                 sym[i], sym[j] = made, -1
                 after[i], before[k] = k, i
-                h = before[i]
-                for at, m, x, y in ((h, get((sym[h], made)) if h >= 0 else None, sym[h], made),
-                                    (i, get((made, sym[k])), made, sym[k])):
-                    if m is not None:
-                        if m[0] in where:
-                            where[m[0]].append(at)
-                        else:
-                            where[m[0]] = [at]
-                            pair[m[0]] = (x, y, m[1])
-                            heapq.heappush(heap, m[0])
-        out = []
-        for i in starts:
-            ids = []
-            while sym[i] != -1:
-                ids.append(sym[i])
-                i = after[i]
-            out.append(ids)
-        return out
+                r = get(sym[h] << bits | made)              # a gap gives a negative key, which has no rank
+                if r is not None:
+                    if r in where:
+                        where[r].append(h)
+                    else:
+                        where[r] = [h]
+                        push(heap, r)
+                r = get(high | sym[k])
+                if r is not None:
+                    if r in where:
+                        where[r].append(i)
+                    else:
+                        where[r] = [i]
+                        push(heap, r)
+        symbols = np.array(sym, np.int64)
+        left_over = symbols >= 0
+        counts = np.bincount(np.repeat(np.arange(len(raw)), size + 1)[left_over], minlength=len(raw))
+        return symbols[left_over].astype(np.uint32), counts
 
     def pieces(self, text: str) -> list[str]:
         if self.cut is None or not self.cut.search(text):
@@ -158,10 +160,11 @@ class Vocabulary:
         long = {p for p in new if len(p) > CACHE_PIECE_CHARS}
         short = [p for p in new if p not in long]
         if short:
-            self._store(short, self.encode_pieces(short))
+            self._store(short, *self.encode_pieces(short))
         if not long:
             return [self._gather(c) for c in cut]
-        lone = dict(zip(long, (np.array(e, np.uint32) for e in self.encode_pieces(list(long))), strict=True))
+        ids, counts = self.encode_pieces(list(long))
+        lone = dict(zip(long, np.split(ids, np.cumsum(counts)[:-1]), strict=True))
         out = []
         for c in cut:
             parts, run = [], []
