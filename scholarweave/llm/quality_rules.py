@@ -4,7 +4,8 @@ Statistics and rules are column expressions within a row.  The verdict on the re
 (lang, source), location and scatter by minimum covariance determinant: from a median start,
 concentration steps re-estimate mean and covariance on the ALPHA share of rows with the smallest
 Mahalanobis distance.  All of it is partial aggregation (sums, approximate quantiles) over a narrow
-table, so a source with a third of all rows is combined map-side.
+table, so a source with a third of all rows is combined map-side; group values come back to the rows
+by a broadcast of checked size, or by salted keys.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ MIN_GROUP = 100                     # smaller sources of a language are fitted t
 FULL_EVIDENCE_WORDS = 200           # a shorter text's squared distance counts in proportion to its words
 FLOOR = (0.05, 0.5, 0.2, 0.2)      # least standard deviation of each dimension
 DIMS = len(FLOOR)
+BROADCAST_GROUPS = 100_000          # tables of at most so many groups (15 numbers and two keys each) are broadcast
+SALTS = 64                          # parts of a group where there are more
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -80,6 +83,18 @@ def _vector() -> list[Column]:
             share("n_dup_lines", "n_lines"), share("n_repeat_words", "n_words")]
 
 
+def _with_group(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of ``rows`` to the written table ``groups`` (one row per key) that no large group heats up.
+
+    Up to BROADCAST_GROUPS groups are broadcast; beyond that each group is spread over SALTS tasks.
+    """
+    if groups.count() <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(groups), keys, "left")
+    salted = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in keys]), F.lit(SALTS)).cast("int")
+    return rows.withColumn("_salt", salt).join(salted, [*keys, "_salt"], "left").drop("_salt")
+
+
 def _cholesky(fit: DataFrame) -> DataFrame:
     """Adds the lower Cholesky factor l{i}{j} of the covariance columns c{i}{j}."""
     for i in range(DIMS):
@@ -95,7 +110,7 @@ def _cholesky(fit: DataFrame) -> DataFrame:
 
 def _with_distance(rows: DataFrame, fit: DataFrame) -> DataFrame:
     """Adds d2, the squared Mahalanobis distance to the row's group (groups are null-safe keys)."""
-    d = rows.join(fit, ["lang_g", "source_g"], "left")
+    d = _with_group(rows, fit, ["lang_g", "source_g"])
     for i in range(DIMS):
         y = F.col(f"x{i}") - F.col(f"m{i}")
         for j in range(i):
@@ -118,7 +133,7 @@ def _moments(rows: DataFrame, factor: float) -> DataFrame:
 def fit_groups(rows: DataFrame) -> DataFrame:
     """Minimum-covariance-determinant location and scatter (mean, Cholesky factor) of each group of ``rows``.
 
-    ``rows`` has lang_g, source_g and x0..x3.  The start is the coordinate-wise median with the
+    ``rows`` has lang_g, source_g, x0..x3 and, to tell copies apart, doc_id.  The start is the coordinate-wise median with the
     floors as scale; each concentration step keeps the nearest ALPHA of a group.
     """
     start = rows.groupBy("lang_g", "source_g").agg(
@@ -128,8 +143,10 @@ def fit_groups(rows: DataFrame) -> DataFrame:
     fit = cut_lineage(_cholesky(start), "mcd")
     for _ in range(STEPS):
         near = _with_distance(rows, fit)
-        limit = near.groupBy("lang_g", "source_g").agg(F.percentile_approx("d2", ALPHA, 1000).alias("limit"))
-        fit = cut_lineage(_moments(near.join(limit, ["lang_g", "source_g"]).where("d2 <= limit"), CONSISTENCY), "mcd")
+        limit = cut_lineage(near.groupBy("lang_g", "source_g").agg(
+            F.percentile_approx("d2", ALPHA, 1000).alias("limit")), "limits")
+        kept = _with_group(near, limit, ["lang_g", "source_g"]).where("d2 <= limit")
+        fit = cut_lineage(_moments(kept, CONSISTENCY), "mcd")
     return fit
 
 
@@ -146,10 +163,11 @@ def quality_rules(docs: DataFrame) -> DataFrame:
                                      *[x.alias(f"x{i}") for i, x in enumerate(_vector())],
                                      F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")).alias("lang_g"),
                                      F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("source_0")), "stats")
-    sizes = stats.where(~F.col("base_failed")).groupBy("lang_g", "source_0").agg(F.count("*").alias("n"))
-    rows = stats.join(sizes, ["lang_g", "source_0"], "left").withColumn(
+    sizes = cut_lineage(stats.where(~F.col("base_failed")).groupBy("lang_g", "source_0")
+                        .agg(F.count("*").alias("n")), "sizes")
+    rows = _with_group(stats, sizes, ["lang_g", "source_0"]).withColumn(
         "source_g", F.when(F.col("n") >= MIN_GROUP, F.col("source_0")).otherwise(F.lit("*")))
-    passing = rows.where(~F.col("base_failed")).select("lang_g", "source_g", *[f"x{i}" for i in range(DIMS)])
+    passing = rows.where(~F.col("base_failed")).select("doc_id", "lang_g", "source_g", *[f"x{i}" for i in range(DIMS)])
     fit = fit_groups(passing)
     judged = _with_distance(rows, fit)
     weight = F.least(F.lit(1.0), F.col("n_words") / FULL_EVIDENCE_WORDS)

@@ -313,6 +313,12 @@ def test_quality_rules(docs, texts, odd, none):
     assert all(tuple(r[k] for k in keys) == _rules(source[r.doc_id]) for r in rows)
 
 
+def test_more_groups_than_a_broadcast_may_hold(docs, monkeypatch):
+    rows = [sorted(map(tuple, quality_rules.quality_rules(docs).drop("outlier_d2").collect()))]
+    monkeypatch.setattr(quality_rules, "BROADCAST_GROUPS", 0)
+    assert rows == [sorted(map(tuple, quality_rules.quality_rules(docs).drop("outlier_d2").collect()))]
+
+
 def test_robust_fit_is_not_moved_by_outliers(spark):
     rng = np.random.default_rng(0)
     clean = rng.normal([1.6, 0.5, 0.2, 0.1], [0.1, 0.3, 0.05, 0.05], (900, 4))
