@@ -1,8 +1,8 @@
 """Name queries on part / lineitem.
 
-Author lists are rendered from one ``part`` row each (three names per row),
-never by grouping rows: a list is bounded by construction, so no group of a
-hot key is ever gathered into one array.
+Author lists are rendered from one ``part`` row each (one to nine names, repeats
+among them, by the part's size), never by grouping rows: no group of a hot key is
+ever gathered into one array.
 """
 
 from __future__ import annotations
@@ -25,8 +25,20 @@ def _line_parts(spark: SparkSession, sf: str) -> DataFrame:
                     F.lower(F.replace(F.col("p_brand"), F.lit("#"), F.lit(""))).alias("br"))
 
 
-_SQL_LINE_PARTS = """lp AS (SELECT p_partkey, p_size, split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2,
-       lower(p_type) AS ty, lower(replace(p_brand, '#', '')) AS br FROM part)"""
+def _people() -> F.Column:
+    """Ordered list of 1 to 9 names (struct firstname, lastname) of a row of ``_line_parts``, some of them repeated."""
+    first, last = F.array("w1", "w2", "ty"), F.array("w2", "w1")
+    return F.transform(
+        F.sequence(F.lit(1), F.col("p_size").cast("int") % 9 + 1),
+        lambda i: N.make_name(F.get(first, ((i + i * i % 5 + F.col("p_partkey")) % 3).cast("int")),
+                              F.get(last, ((i + F.col("p_size")) % 2).cast("int"))))
+
+
+_SQL_LINE_PARTS = """lw AS (SELECT p_partkey, p_size, split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2,
+       lower(p_type) AS ty, lower(replace(p_brand, '#', '')) AS br FROM part),
+lp AS (SELECT *, list_transform(range(1, p_size % 9 + 2), lambda i:
+       {'f': [w1, w2, ty][CAST((i + i * i % 5 + p_partkey) % 3 + 1 AS BIGINT)],
+        'l': [w2, w1][CAST((i + p_size) % 2 + 1 AS BIGINT)]}) AS people FROM lw)"""
 
 _FL = "string_split(p_name, ' ')"
 _SQL_FIRST = f"trim(array_to_string({_FL}[1:len({_FL})-1], ' '))"
@@ -57,10 +69,10 @@ def name_split_last_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _author_string() -> F.Column:
-    """``w2, w1; w2, ty; w1, w2`` with a doubled separator for even part sizes."""
+    """``Last, First; Last, First; `` of the row's names, with a doubled separator for even part sizes."""
     sep = F.when(F.col("p_size") % 2 == 0, F.lit(";; ")).otherwise(F.lit("; "))
-    return F.concat(F.col("w2"), F.lit(", "), F.col("w1"), F.lit("; "), F.col("w2"), F.lit(", "), F.col("ty"),
-                    sep, F.col("w1"), F.lit(", "), F.col("w2"), F.lit("; "))
+    labels = F.transform(_people(), lambda n, i: F.concat(F.when(i > 0, sep).otherwise(F.lit("")), N.name_label(n)))
+    return F.concat(F.array_join(labels, ""), F.lit("; "))
 
 
 _SQL_NAMES = """
@@ -68,8 +80,10 @@ n AS (SELECT p_partkey, authors,
              list_transform(list_filter(list_transform(string_split_regex(authors, ';'), lambda x: trim(x)), lambda x: x <> ''),
                             lambda x: [trim(string_split(x, ',')[-1]),
                                        trim(array_to_string(string_split(x, ',')[1:len(string_split(x, ','))-1], ' '))]) AS names
-      FROM (SELECT *, w2 || ', ' || w1 || '; ' || w2 || ', ' || ty ||
-                      CASE WHEN p_size % 2 = 0 THEN ';; ' ELSE '; ' END || w1 || ', ' || w2 || '; ' AS authors FROM lp))"""
+      FROM (SELECT *, CASE WHEN p_size % 2 = 0
+                      THEN array_to_string(list_transform(people, lambda x: x.l || ', ' || x.f), ';; ')
+                      ELSE array_to_string(list_transform(people, lambda x: x.l || ', ' || x.f), '; ') END || '; ' AS authors
+            FROM lp))"""
 
 
 @query("name_collection", "WITH " + _SQL_LINE_PARTS + "," + _SQL_NAMES + """
@@ -85,24 +99,21 @@ def name_collection(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("author_names_json", "WITH " + _SQL_LINE_PARTS + """
 SELECT p_partkey,
-       to_json([[w1, w2], [ty, w2], [w2, w1]])::VARCHAR AS author_names,
-       to_json(['http://parts.example.org/' || CAST(p_partkey AS VARCHAR),
-                'http://parts.example.org/' || CAST(p_partkey AS VARCHAR) || '/t',
-                'http://brands.example.org/' || br])::VARCHAR AS author_urls,
-       w2 || ', ' || w1 || '; ' || w2 || ', ' || ty || '; ' || w1 || ', ' || w2 AS labels
+       to_json(list_transform(people, lambda x: [x.f, x.l]))::VARCHAR AS author_names,
+       to_json(list_transform(people, lambda x, i: 'http://parts.example.org/' || CAST(p_partkey AS VARCHAR) || '/' ||
+                                                   CAST(i AS VARCHAR) || '/' || br))::VARCHAR AS author_urls,
+       array_to_string(list_transform(people, lambda x: x.l || ', ' || x.f), '; ') AS labels
 FROM lp""")
 def author_names_json(spark: SparkSession, sf: str) -> DataFrame:
     """An ordered author list and its URL list serialised as JSON, plus ``Last, First`` labels."""
-    lp = _line_parts(spark, sf)
-    names = F.array(N.make_name(F.col("w1"), F.col("w2")), N.make_name(F.col("ty"), F.col("w2")),
-                    N.make_name(F.col("w2"), F.col("w1")))
-    key = F.col("p_partkey").cast("string")
-    urls = F.array(F.concat(F.lit("http://parts.example.org/"), key),
-                   F.concat(F.lit("http://parts.example.org/"), key, F.lit("/t")),
-                   F.concat(F.lit("http://brands.example.org/"), F.col("br")))
+    lp = _line_parts(spark, sf).withColumn("people", _people())
+    urls = F.transform("people", lambda _, i: F.concat(
+        F.lit("http://parts.example.org/"), F.col("p_partkey").cast("string"), F.lit("/"),
+        (i + 1).cast("string"), F.lit("/"), F.col("br")))
     return lp.select("p_partkey",
-                     F.to_json(N.names_to_lists(names)).alias("author_names"), F.to_json(urls).alias("author_urls"),
-                     F.array_join(F.transform(names, N.name_label), "; ").alias("labels"))
+                     F.to_json(N.names_to_lists(F.col("people"))).alias("author_names"),
+                     F.to_json(urls).alias("author_urls"),
+                     F.array_join(F.transform("people", N.name_label), "; ").alias("labels"))
 
 
 @query("name_equivalence_join", """
@@ -142,28 +153,52 @@ def name_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _link_lists(spark: SparkSession, sf: str) -> DataFrame:
-    """Per part: three author names and three person-page links ``"F. Last, Title"``."""
-    lp = _line_parts(spark, sf)
-    key = F.col("p_partkey").cast("string")
-    authors = F.concat(F.col("w2"), F.lit(", "), F.col("w1"), F.lit(" & "), F.col("w2"), F.lit(", "), F.col("ty"),
-                       F.lit(" & "), F.col("w1"), F.lit(", "), F.col("w2"))
-    # An initial can fit two authors (greedy takes the first); the last link names nobody on the list.
-    links = F.array(
-        F.struct(F.concat(F.substring("w1", 1, 1), F.lit(". "), F.col("w2"), F.lit(", Dr.")).alias("name"),
-                 F.concat(F.lit("http://parts.example.org/"), key).alias("url")),
-        F.struct(F.concat(F.substring("ty", 1, 1), F.lit(". "), F.col("w2")).alias("name"),
-                 F.concat(F.lit("http://parts.example.org/"), key, F.lit("/t")).alias("url")),
-        F.struct(F.concat(F.col("w1"), F.lit(" Nobody")).alias("name"),
-                 F.concat(F.lit("http://brands.example.org/"), F.col("br")).alias("url")))
+    """Per part: its author names and one to seven person-page links ``"F. Last, Dr."``.
+
+    An initial can fit several authors (greedy takes the first); every third link names nobody on the list.
+    """
+    lp = _line_parts(spark, sf).withColumn("people", _people())
+    authors = F.array_join(F.transform("people", N.name_label), " & ")
+
+    def link(j):
+        n = F.get("people", ((2 * j + F.col("p_size")) % F.size("people")).cast("int"))
+        name = F.when(j % 3 == 0, F.concat(F.col("w1"), F.lit(" Nobody"))).otherwise(
+            F.concat(F.substring(n["firstname"], 1, 1), F.lit(". "), n["lastname"], F.lit(", Dr.")))
+        url = F.concat(F.lit("http://parts.example.org/"), F.col("p_partkey").cast("string"), F.lit("/"),
+                       j.cast("string"))
+        return F.struct(name.alias("name"), url.alias("url"))
+
+    links = F.transform(F.sequence(F.lit(1), (F.col("p_partkey") % 7 + 1).cast("int")), link)
     return lp.select("p_partkey", authors.alias("authors"), links.alias("links"))
 
 
-@query("author_link_greedy")
+@query("author_link_greedy", "WITH RECURSIVE " + _SQL_LINE_PARTS + """,
+t AS (SELECT p_partkey, people, list_transform(range(1, p_partkey % 7 + 2), lambda j: CASE WHEN j % 3 = 0
+             THEN {'f': w1, 'l': 'Nobody', 'u': 'http://parts.example.org/' || CAST(p_partkey AS VARCHAR) || '/' || CAST(j AS VARCHAR)}
+             ELSE {'f': substr(people[CAST((2 * j + p_size) % len(people) + 1 AS BIGINT)].f, 1, 1) || '.',
+                   'l': people[CAST((2 * j + p_size) % len(people) + 1 AS BIGINT)].l,
+                   'u': 'http://parts.example.org/' || CAST(p_partkey AS VARCHAR) || '/' || CAST(j AS VARCHAR)} END) AS links
+      FROM lp),
+g(p_partkey, j, rest, hit) AS (
+  SELECT p_partkey, 0, people, CAST([] AS VARCHAR[]) FROM t
+  UNION ALL
+  SELECT p_partkey, j + 1, CASE WHEN pos > 0 THEN list_concat(rest[:pos - 1], rest[pos + 1:]) ELSE rest END,
+         CASE WHEN pos > 0 THEN list_append(hit, k.u) ELSE hit END
+  FROM (SELECT g.*, t.links[j + 1] AS k,
+               coalesce(list_position(list_transform(rest, lambda x: x.l = t.links[j + 1].l AND
+                 (starts_with(regexp_replace(x.f, '[^\\p{L}\\p{N}_]', '', 'g'),
+                              regexp_replace(t.links[j + 1].f, '[^\\p{L}\\p{N}_]', '', 'g')) OR
+                  starts_with(regexp_replace(t.links[j + 1].f, '[^\\p{L}\\p{N}_]', '', 'g'),
+                              regexp_replace(x.f, '[^\\p{L}\\p{N}_]', '', 'g')))), true), 0) AS pos
+        FROM g JOIN t USING (p_partkey) WHERE j < len(t.links)))
+SELECT g.p_partkey, to_json(hit)::VARCHAR AS author_urls,
+       to_json(list_transform(rest, lambda x: [x.f, x.l]))::VARCHAR AS author_names
+FROM g JOIN t ON g.p_partkey = t.p_partkey AND g.j = len(t.links)""")
 def author_link_greedy(spark: SparkSession, sf: str) -> DataFrame:
     """Greedy one-to-one linking of author names to person links, per publication.
 
-    Sequential by nature, so it runs as one ``aggregate`` fold inside each row;
-    checked against a brute-force Python model in tests.
+    Sequential by nature, so it runs as one ``aggregate`` fold inside each row; the oracle does a
+    recursion step per link.
     """
     g = _link_lists(spark, sf)
     names = N.split_names(F.col("authors"), N.LAST_FIRST, ",", "&")
