@@ -111,7 +111,7 @@ def gesis_citation(title_and_source, heading) -> Column:
     idx = classify(heading, GESIS_TYPES)
     in_parts = F.split(t, "In:")
     src = F.when(t.rlike(r"(Hrsg.)"), strip(F.get(F.split(t, r"\):"), 1))) \
-           .otherwise(strip(strip(F.get(F.split(F.get(in_parts, 1), ","), 0))))
+           .otherwise(strip(F.get(F.split(F.get(in_parts, 1), ","), 0)))
     return F.struct(
         F.when(idx == 0, strip(F.get(F.split(t, r"\."), 0)))
          .when(idx == 1, strip(F.get(in_parts, 0))).alias("title"),
