@@ -218,12 +218,15 @@ WHERE NOT EXISTS (
     THEN starts_with(regexp_replace(l.f, '[^\\p{L}\\p{N}_]', '', 'g'), regexp_replace(r.f, '[^\\p{L}\\p{N}_]', '', 'g'))
     ELSE starts_with(regexp_replace(r.f, '[^\\p{L}\\p{N}_]', '', 'g'), regexp_replace(l.f, '[^\\p{L}\\p{N}_]', '', 'g')) END)))""")
 def names_without_person(spark: SparkSession, sf: str) -> DataFrame:
-    """Author names with no equivalent person: the anti form of the equivalence join."""
+    """Author names with no equivalent person: the anti form of the equivalence join.
+
+    Persons are rendered from the parts above size 45, so that some names have none.
+    """
     p = table(spark, sf, "part")
     nm = N.split_name(F.col("p_name"), N.FIRST_LAST)
     left = p.select("p_partkey", nm.alias("name"))
     right = (p.where(F.col("p_size") > 45)
               .select(F.struct(F.concat(F.substring(nm["firstname"], 1, 1), F.lit(".")).alias("firstname"),
                                nm["lastname"].alias("lastname")).alias("r_name")).distinct())
-    anti = join_equivalent_names(left, right, "name", "r_name", how="left_anti")
+    anti = join_equivalent_names(left, right, "name", "r_name", how="left_anti", salt_buckets=4)
     return anti.select("p_partkey", F.col("name.firstname").alias("firstname"), F.col("name.lastname").alias("lastname"))

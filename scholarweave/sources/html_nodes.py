@@ -25,6 +25,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,7 @@ NODE_TYPE = T.ArrayType(T.StructType([
 ]))
 
 LEVELS = 512    # ancestors a node lists itself; a storage unit, not a limit
+PARSE_BYTES = 16 << 20    # page text parsed at once
 
 # HTML element classes that drive tree recovery.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
@@ -228,20 +230,34 @@ def parse_nodes(html: Column | str) -> Column:
     return _parse_nodes_udf(F.col(html) if isinstance(html, str) else html)
 
 
+def _slices(batch: pa.RecordBatch, column: str, limit: int):
+    """Parts of a batch with at most ``limit`` bytes in a column each, or one longer value."""
+    lo = total = 0
+    for i, size in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        if i > lo and total + (size or 0) > limit:
+            yield batch.slice(lo, i - lo)
+            lo, total = i, 0
+        total += size or 0
+    if lo < batch.num_rows:
+        yield batch.slice(lo)
+
+
 def parse_pages(df: DataFrame, html: str = "html", out: str = "nodes") -> DataFrame:
     """Replace the ``html`` column by its node array with ``mapInArrow`` (H0).
 
     Arrow record batches go to the Python worker and come back with the
     ``nodes`` column built from flat arrays; every other column passes through.
+    A batch of large pages is parsed in slices of about PARSE_BYTES.
     """
     keep = [f for f in df.schema.fields if f.name != html]
     schema = T.StructType(keep + [T.StructField(out, NODE_TYPE, True)])
     names = [f.name for f in keep]
 
     def run(batches):
-        for b in batches:
-            cols = [b.column(n) for n in names]
-            nodes = nodes_arrow(b.column(html).to_pylist())
-            yield pa.RecordBatch.from_arrays(cols + [nodes], names=names + [out])
+        for batch in batches:
+            for b in _slices(batch, html, PARSE_BYTES):
+                cols = [b.column(n) for n in names]
+                nodes = nodes_arrow(b.column(html).to_pylist())
+                yield pa.RecordBatch.from_arrays(cols + [nodes], names=names + [out])
 
     return df.mapInArrow(run, schema)

@@ -55,3 +55,12 @@ def test_attribute_values_and_absent_attribute(spark):
     r = _one(spark, H.attr(H.select("nodes", H.element("a")), "href").alias("hrefs"),
              H.attr(H.select("nodes", H.element("li")), "href").alias("none"))
     assert r.hrefs == ["/x"] and r.none == [None, None]
+
+
+def test_large_pages_are_parsed_in_slices():
+    import pyarrow as pa
+
+    from scholarweave.sources.html_nodes import _slices
+    batch = pa.RecordBatch.from_pydict({"k": [0, 1, 2, 3, 4], "html": ["x" * 3, None, "y" * 9, "", "z"]})
+    assert [b.column("k").to_pylist() for b in _slices(batch, "html", 5)] == [[0, 1], [2], [3, 4]]
+    assert [b.num_rows for b in _slices(batch.slice(0, 0), "html", 5)] == []

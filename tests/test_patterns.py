@@ -59,3 +59,8 @@ def test_extract_patterns_columns(spark):
     df = spark.createDataFrame([("held WS 2010/2011 in Kiel",)], "s string")
     r = P.extract_patterns(df, "s", P.DATE_PATTERNS, "DATE").first()
     assert r["date_match"] == "WS 2010/2011" and r["date_year"] == "2011"
+
+
+def test_unknown_flag_is_refused():
+    with pytest.raises(ValueError):
+        P.compile_pattern("a", {}, "iq")
