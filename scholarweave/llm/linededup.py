@@ -8,8 +8,9 @@ match enough constants belong to the template.  Templates, and single variants,
 least MIN_DOCS documents are dropped from every document.
 
 Documents that are copies of each other must not make their own text a template: documents count by
-a one-value MinHash sketch of their 5-word shingles, and a template counts only if its documents
-have at least half as many sketches as there are documents.
+the near-copy group they are in (operator 4 at COPY_PERCENT, confirmed on whole shingle sets), so no
+single hash of a shared passage can merge the documents that hold it.  A template counts only if its
+documents are in at least half as many groups as there are documents.
 
 Everything after the line pass is aggregation and equi joins on hashes; a leaf is never gathered.
 """
@@ -22,18 +23,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarweave.llm import textbatch as tb
+from scholarweave.llm.neardup import near_duplicates
 from scholarweave.llm.registry import query
 from scholarweave.session import cut_lineage, ship_package, table
 
 DEPTH = 3               # leading tokens that choose a leaf, after the token count
-MIN_DOCS = 3            # documents in which a template recurs
+MIN_DOCS = 3            # documents, near copies counted once, in which a template recurs
+COPY_PERCENT = 80       # similarity of near copies, as in the pipeline's near_dups stage
 MIN_CONSTANTS = 4       # a line with fewer tokens that are not variables is never dropped
 MIN_FREE = 3            # lines need so many tokens past the leading ones to be generalised
 SIMILARITY = 0.7        # share of the tokens past the leading ones that must equal a constant
 
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[0x30:0x3A] = True
-_LINES = "doc_id long, sketch long, leaf long, line long, tokens array<int>"
+_LINES = "doc_id long, leaf long, line long, tokens array<int>"
 
 
 def _lines(data: np.ndarray, off: np.ndarray):
@@ -67,22 +70,6 @@ def _line_keys(data: np.ndarray, off: np.ndarray):
     return leaf, line, droppable, wlo, whi, words, lo, hi
 
 
-def _sketches(words: np.ndarray, woff: np.ndarray) -> np.ndarray:
-    """Least 5-word shingle hash of each text; texts with fewer words: a hash of all of them."""
-    weight = tb.constants(5, 31)
-    out = np.zeros(len(woff) - 1, dtype=np.uint64)
-    n = len(words) - 4
-    s = np.zeros(0, np.uint64)
-    if n > 0:
-        s = np.zeros(n, np.uint64)
-        for j in range(5):
-            s += words[j:j + n] * weight[j]
-        s = tb.mix(s)
-    for i, (a, b) in enumerate(zip(woff[:-1].tolist(), woff[1:].tolist(), strict=True)):
-        out[i] = s[a:b - 4].min() if b - a >= 5 else (words[a:b] * weight[:b - a]).sum(dtype=np.uint64)
-    return out
-
-
 def _line_batches(batches):
     for batch in batches:
         for part in tb.chunks(batch, "text"):
@@ -91,7 +78,6 @@ def _line_batches(batches):
                 continue
             leaf, line, droppable, wlo, whi, words, lo, _ = _line_keys(data, off)
             doc = np.searchsorted(off, lo, side="right") - 1
-            sketch = _sketches(words, np.append(_word_offsets(off, lo, wlo, whi), len(words)))
             rows = np.flatnonzero(droppable)
             _, first = np.unique(np.stack([doc[rows].astype(np.uint64), line[rows]]), axis=1, return_index=True)
             rows = rows[np.sort(first)]
@@ -100,17 +86,10 @@ def _line_batches(batches):
             at = np.repeat(wlo[rows] - ends[:-1], n) + np.arange(ends[-1])
             short = (words[at] >> np.uint64(48)).astype(np.int32)       # 16 bits tell tokens of a position apart
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(doc[rows])), pa.array(sketch[doc[rows]].view(np.int64)),
+                [part.column("doc_id").take(pa.array(doc[rows])),
                  pa.array(leaf[rows].view(np.int64)), pa.array(line[rows].view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(short))],
-                names=["doc_id", "sketch", "leaf", "line", "tokens"])
-
-
-def _word_offsets(off: np.ndarray, lo: np.ndarray, wlo: np.ndarray, whi: np.ndarray) -> np.ndarray:
-    """First word of each text."""
-    at = np.searchsorted(lo, off[:-1])
-    end = whi[-1] if len(whi) else 0
-    return np.append(wlo, end)[at]
+                names=["doc_id", "leaf", "line", "tokens"])
 
 
 def _rewrite_batches(batches):
@@ -143,33 +122,37 @@ def _rewrite_batches(batches):
                  pa.array(dropped, pa.int64())], names=["row", "text", "n_lines", "n_dropped"])
 
 
-def recurring_lines(lines: DataFrame) -> DataFrame:
-    """(leaf, line) of the variants to drop, from the line table."""
-    seen = F.count_distinct("sketch")
-    recurs = (F.col("sketches") >= MIN_DOCS) & (2 * F.col("sketches") >= F.col("docs"))
+def recurring_lines(lines: DataFrame, copies: DataFrame) -> DataFrame:
+    """(leaf, line) of the variants to drop, from the line table and the near copies (doc_id, group) in it.
+
+    Documents that ``copies`` does not name are groups of their own.
+    """
+    recurs = (F.col("groups") >= MIN_DOCS) & (2 * F.col("groups") >= F.col("docs"))
+    grouped = lambda df: df.join(copies, "doc_id", "left").withColumn("group", F.coalesce("group", "doc_id"))
     variants = cut_lineage(
-        lines.groupBy("leaf", "line", "sketch").agg(F.count("*").alias("n"), F.min("doc_id").alias("rep"))
-        .groupBy("leaf", "line").agg(F.count("*").alias("sketches"), F.sum("n").alias("docs"),
+        grouped(lines.select("doc_id", "leaf", "line"))
+        .groupBy("leaf", "line", "group").agg(F.count("*").alias("n"), F.min("doc_id").alias("rep"))
+        .groupBy("leaf", "line").agg(F.count("*").alias("groups"), F.sum("n").alias("docs"),
                                      F.min("rep").alias("doc_id")), "variants")
     alone = variants.where(recurs).select("leaf", "line")
 
-    open_leaves = variants.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("sketches").alias("all")) \
+    open_leaves = variants.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("groups").alias("all")) \
         .where((F.col("n") > 1) & (F.col("all") >= MIN_DOCS)).select("leaf", "all")
     # tokens come from one document of each variant, so the key of this join is never a hot line
     key = ["leaf", "line", "doc_id"]
     inner = cut_lineage(
         lines.select(*key, "tokens").where(F.size("tokens") >= DEPTH + MIN_FREE)
-        .join(variants.join(open_leaves, "leaf").select(*key, "sketches", "all"), key)
+        .join(variants.join(open_leaves, "leaf").select(*key, "groups", "all"), key)
         .dropDuplicates(key), "inner")
-    votes = inner.select("leaf", "line", "sketches", "all", F.size("tokens").alias("n"),
+    votes = inner.select("leaf", "line", "groups", "all", F.size("tokens").alias("n"),
                          F.posexplode("tokens").alias("pos", "token")).where(F.col("pos") >= DEPTH)
-    constants = (votes.groupBy("leaf", "pos", "token", "all").agg(F.sum("sketches").alias("w"))
+    constants = (votes.groupBy("leaf", "pos", "token", "all").agg(F.sum("groups").alias("w"))
                  .where(2 * F.col("w") > F.col("all")).select("leaf", "pos", "token"))
     fits = (votes.join(constants, ["leaf", "pos", "token"]).groupBy("leaf", "line", "n").agg(F.count("*").alias("same"))
             .where(F.col("same") >= SIMILARITY * (F.col("n") - DEPTH)).select("leaf", "line"))
     fits = cut_lineage(fits, "fits")
-    recurring = (lines.select("doc_id", "leaf", "line", "sketch").join(fits, ["leaf", "line"])
-                 .groupBy("leaf").agg(seen.alias("sketches"), F.count_distinct("doc_id").alias("docs"))
+    recurring = (grouped(lines.select("doc_id", "leaf", "line").join(fits, ["leaf", "line"]))
+                 .groupBy("leaf").agg(F.count_distinct("group").alias("groups"), F.count_distinct("doc_id").alias("docs"))
                  .where(recurs).select("leaf"))
     return alone.unionByName(fits.join(recurring, "leaf")).distinct()
 
@@ -178,18 +161,20 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of ``text``, plus n_lines and n_dropped.
 
     Lines are the \\n-separated parts of a text.  Lines with fewer than MIN_CONSTANTS words without a
-    digit stay, and so do all lines of rows with a null doc_id.  Every row is returned with all its
+    digit stay, and so do all lines of rows with a null doc_id, which count as evidence.  Every row is returned with all its
     columns (columns named n_lines or n_dropped are replaced); a text may become empty, a null text
     stays null with n_lines 0.  Repeats of a line within a document count once and go together; rows
     that repeat a doc_id count once each and lose the same lines.
     """
     ship_package(docs.sparkSession)
     docs = docs.drop("n_lines", "n_dropped")
-    lines = cut_lineage(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .mapInArrow(_line_batches, _LINES), "lines")
-    gone = recurring_lines(lines)
-    drops = (lines.select("doc_id", "leaf", "line").where("doc_id is not null").join(gone, ["leaf", "line"])
+    text = F.col("text").cast("string")
+    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc_id"), text.alias("text"))
+    lines = cut_lineage(named.mapInArrow(_line_batches, _LINES), "lines")
+    copies = cut_lineage(near_duplicates(named, COPY_PERCENT).where("not kept")
+                         .select("doc_id", F.col("component_id").alias("group")).distinct(), "copies")
+    gone = recurring_lines(lines, copies)
+    drops = (lines.select("doc_id", "leaf", "line").join(gone, ["leaf", "line"])
              .groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("line").alias("drops")))
     rest = [c for c in docs.columns if c != "text"]
     row = F.struct(*[F.col(f"`{c}`") for c in rest])

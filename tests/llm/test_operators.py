@@ -252,6 +252,19 @@ def test_recurring_templates_go_and_copies_stay(spark):
             assert r.n_dropped == 0 and r.text == source[i]
 
 
+def _prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(n))
+
+
+def test_a_long_shared_passage_does_not_make_its_documents_copies(spark):
+    rng = random.Random(8)
+    passages = [_prose(rng, 60) for _ in range(12)]
+    rows = [(100 * k + i, f"{_prose(rng, 35)}\n{p}\n{_prose(rng, 35)}") for k, p in enumerate(passages) for i in range(6)]
+    out = linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    source = dict(rows)
+    assert all(r.text == "\n".join(source[r.doc_id].split("\n")[::2]) for r in out)
+
+
 def test_line_dedup_odd_rows(odd, none):
     out = linededup.drop_recurring_lines(odd)
     assert [c for c in out.columns if c not in ("n_lines", "n_dropped")] == [c for c in odd.columns if c != "n_dropped"]
