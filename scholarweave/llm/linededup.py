@@ -9,8 +9,8 @@ least MIN_DOCS documents are dropped from every document.
 
 Documents that are copies of each other must not make their own text a template: documents count by
 the near-copy group they are in (operator 4 at COPY_PERCENT, confirmed on whole shingle sets), so no
-single hash of a shared passage can merge the documents that hold it.  A template counts only if its
-documents are in at least half as many groups as there are documents.
+single hash of a shared passage can merge the documents that hold it.  However many documents a group
+has, it counts once and takes nothing from the count of the others.
 
 Everything after the line pass is aggregation and equi joins on hashes; a leaf is never gathered.
 """
@@ -127,13 +127,12 @@ def recurring_lines(lines: DataFrame, copies: DataFrame) -> DataFrame:
 
     Documents that ``copies`` does not name are groups of their own.
     """
-    recurs = (F.col("groups") >= MIN_DOCS) & (2 * F.col("groups") >= F.col("docs"))
+    recurs = F.col("groups") >= MIN_DOCS
     grouped = lambda df: df.join(copies, "doc_id", "left").withColumn("group", F.coalesce("group", "doc_id"))
     variants = cut_lineage(
         grouped(lines.select("doc_id", "leaf", "line"))
-        .groupBy("leaf", "line", "group").agg(F.count("*").alias("n"), F.min("doc_id").alias("rep"))
-        .groupBy("leaf", "line").agg(F.count("*").alias("groups"), F.sum("n").alias("docs"),
-                                     F.min("rep").alias("doc_id")), "variants")
+        .groupBy("leaf", "line", "group").agg(F.min("doc_id").alias("rep"))
+        .groupBy("leaf", "line").agg(F.count("*").alias("groups"), F.min("rep").alias("doc_id")), "variants")
     alone = variants.where(recurs).select("leaf", "line")
 
     open_leaves = variants.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("groups").alias("all")) \
@@ -152,7 +151,7 @@ def recurring_lines(lines: DataFrame, copies: DataFrame) -> DataFrame:
             .where(F.col("same") >= SIMILARITY * (F.col("n") - DEPTH)).select("leaf", "line"))
     fits = cut_lineage(fits, "fits")
     recurring = (grouped(lines.select("doc_id", "leaf", "line").join(fits, ["leaf", "line"]))
-                 .groupBy("leaf").agg(F.count_distinct("group").alias("groups"), F.count_distinct("doc_id").alias("docs"))
+                 .groupBy("leaf").agg(F.count_distinct("group").alias("groups"))
                  .where(recurs).select("leaf"))
     return alone.unionByName(fits.join(recurring, "leaf")).distinct()
 

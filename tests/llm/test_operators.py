@@ -265,6 +265,17 @@ def test_a_long_shared_passage_does_not_make_its_documents_copies(spark):
     assert all(r.text == "\n".join(source[r.doc_id].split("\n")[::2]) for r in out)
 
 
+def test_a_group_of_copies_keeps_no_line_of_other_documents(spark):
+    rng = random.Random(9)
+    foot = "this footer stands below every page of the site"
+    rows = [(i, f"{_prose(rng, 50)}\n{foot}") for i in range(10)]
+    copy = _prose(rng, 50)
+    rows += [(100 + i, f"{copy}\n{foot}") for i in range(40)]
+    out = linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    source = dict(rows)
+    assert all(r.text == source[r.doc_id].split("\n")[0] for r in out)
+
+
 def test_line_dedup_odd_rows(odd, none):
     out = linededup.drop_recurring_lines(odd)
     assert [c for c in out.columns if c not in ("n_lines", "n_dropped")] == [c for c in odd.columns if c != "n_dropped"]
