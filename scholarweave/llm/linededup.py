@@ -30,17 +30,20 @@ from scholarweave.session import cut_lineage, ship_package, table
 DEPTH = 3               # leading tokens that choose a leaf, after the token count
 MIN_DOCS = 3            # documents, near copies counted once, in which a template recurs
 COPY_PERCENT = 80       # similarity of near copies, as in the pipeline's near_dups stage
-MIN_CONSTANTS = 4       # a line with fewer tokens that are not variables is never dropped
+MIN_CONSTANTS = 4       # a line with fewer tokens that are not variables recurs only as it is, digits included
+SHORT_DOCS = (40, 20, 10)   # documents in which such a line recurs if it has one, two, or more words
 MIN_FREE = 3            # lines need so many tokens past the leading ones to be generalised
 SIMILARITY = 0.7        # share of the tokens past the leading ones that must equal a constant
 
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[0x30:0x3A] = True
-_LINES = "doc_id long, leaf long, line long, tokens array<int>"
+_UNSPACED = np.zeros(256, dtype=bool)
+_UNSPACED[0xE3:0xEA] = True             # first bytes of Chinese and Japanese characters: each counts as a word
+_LINES = "doc_id long, least int, leaf long, line long, tokens array<int>"
 
 
 def _lines(data: np.ndarray, off: np.ndarray):
-    """(word hashes, first word of each line, text of each line, line bounds) of all lines of a batch."""
+    """(word hashes, their hashes with variables as 0, words that are no variables, line bounds in words and bytes)."""
     lo = np.unique(np.concatenate([off[:-1], np.flatnonzero(data == 10) + 1]))
     lo = lo[lo < len(data)]
     hi = np.append(lo[1:], len(data))
@@ -49,25 +52,31 @@ def _lines(data: np.ndarray, off: np.ndarray):
     digits = np.zeros(len(data) + 1, dtype=np.int64)
     np.cumsum(_DIGIT[data], out=digits[1:])
     variable = digits[end] > digits[start]
-    words[variable] = 0
-    return words, variable, np.searchsorted(start, lo), np.searchsorted(start, hi), lo, hi
+    units = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum(_UNSPACED[data], out=units[1:])
+    return words, np.where(variable, np.uint64(0), words), np.maximum(units[end] - units[start], 1) * ~variable, np.searchsorted(start, lo), np.searchsorted(start, hi), lo, hi
 
 
 def _line_keys(data: np.ndarray, off: np.ndarray):
-    """Per line: (leaf, line, droppable, first word, last word), and the words, line starts and ends."""
-    words, variable, wlo, whi, lo, hi = _lines(data, off)
+    """Per line: (leaf, line, documents that make it recur, first word, last word), and the words, line starts and ends.
+
+    A blank line has 0 for the documents and never recurs.
+    """
+    exact, words, units, wlo, whi, lo, hi = _lines(data, off)
     n = whi - wlo
     fixed = np.zeros(len(words) + 1, dtype=np.int64)
-    np.cumsum(~variable, out=fixed[1:])
-    droppable = fixed[whi] - fixed[wlo] >= MIN_CONSTANTS
+    np.cumsum(units, out=fixed[1:])
+    short = fixed[whi] - fixed[wlo] < MIN_CONSTANTS
+    least = np.where(short, np.array((0, *SHORT_DOCS), dtype=np.int32)[np.minimum(n, len(SHORT_DOCS))], MIN_DOCS)
     at = np.arange(len(words), dtype=np.int64) - np.repeat(wlo, n)
     place = tb.mix(at.astype(np.uint64) + np.uint64(77)) | np.uint64(1)
+    words = np.where(np.repeat(short, n), exact, words)
     total = np.zeros(len(words) + 1, dtype=np.uint64)
     np.cumsum(tb.mix((words + np.uint64(1)) * place), out=total[1:])
-    line = tb.mix(total[whi] - total[wlo] + n.astype(np.uint64))
+    line = tb.mix(total[whi] - total[wlo] + n.astype(np.uint64) + (short.astype(np.uint64) << np.uint64(40)))
     head = np.minimum(wlo + DEPTH, whi)
     leaf = tb.mix((total[head] - total[wlo]) * np.uint64(3) + n.astype(np.uint64))
-    return leaf, line, droppable, wlo, whi, words, lo, hi
+    return np.where(short, line, leaf), line, least, wlo, whi, words, lo, hi
 
 
 def _line_batches(batches):
@@ -76,9 +85,9 @@ def _line_batches(batches):
             data, off = tb.utf8(part.column("text"))
             if not len(data):
                 continue
-            leaf, line, droppable, wlo, whi, words, lo, _ = _line_keys(data, off)
+            leaf, line, least, wlo, whi, words, lo, _ = _line_keys(data, off)
             doc = np.searchsorted(off, lo, side="right") - 1
-            rows = np.flatnonzero(droppable)
+            rows = np.flatnonzero(least)
             _, first = np.unique(np.stack([doc[rows].astype(np.uint64), line[rows]]), axis=1, return_index=True)
             rows = rows[np.sort(first)]
             n = (whi - wlo)[rows]
@@ -86,10 +95,10 @@ def _line_batches(batches):
             at = np.repeat(wlo[rows] - ends[:-1], n) + np.arange(ends[-1])
             short = (words[at] >> np.uint64(48)).astype(np.int32)       # 16 bits tell tokens of a position apart
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(doc[rows])),
+                [part.column("doc_id").take(pa.array(doc[rows])), pa.array(least[rows].astype(np.int32)),
                  pa.array(leaf[rows].view(np.int64)), pa.array(line[rows].view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(short))],
-                names=["doc_id", "leaf", "line", "tokens"])
+                names=["doc_id", "least", "leaf", "line", "tokens"])
 
 
 def _rewrite_batches(batches):
@@ -104,13 +113,13 @@ def _rewrite_batches(batches):
                 dropped.append(0)
             if hit:
                 data, off = tb.utf8(pa.array([texts[i] for i in hit], pa.string()))
-                _, line, droppable, _, _, _, lo, hi = _line_keys(data, off)
+                _, line, least, _, _, _, lo, hi = _line_keys(data, off)
                 signed = line.view(np.int64)
                 bounds = np.searchsorted(lo, off)
                 raw = data.tobytes()
                 for k, i in enumerate(hit):
                     a, b = bounds[k], bounds[k + 1]
-                    gone = np.isin(signed[a:b], np.array(drops[i], dtype=np.int64)) & droppable[a:b]
+                    gone = np.isin(signed[a:b], np.array(drops[i], dtype=np.int64)) & (least[a:b] > 0)
                     kept = [raw[lo[x]:hi[x]] for x in range(a, b) if not gone[x - a]]
                     dropped[i] = int(gone.sum())
                     if dropped[i]:
@@ -130,10 +139,11 @@ def recurring_lines(lines: DataFrame, copies: DataFrame) -> DataFrame:
     recurs = F.col("groups") >= MIN_DOCS
     grouped = lambda df: df.join(copies, "doc_id", "left").withColumn("group", F.coalesce("group", "doc_id"))
     variants = cut_lineage(
-        grouped(lines.select("doc_id", "leaf", "line"))
-        .groupBy("leaf", "line", "group").agg(F.min("doc_id").alias("rep"))
-        .groupBy("leaf", "line").agg(F.count("*").alias("groups"), F.min("rep").alias("doc_id")), "variants")
-    alone = variants.where(recurs).select("leaf", "line")
+        grouped(lines.select("doc_id", "least", "leaf", "line"))
+        .groupBy("leaf", "line", "group").agg(F.min("doc_id").alias("rep"), F.min("least").alias("least"))
+        .groupBy("leaf", "line").agg(F.count("*").alias("groups"), F.min("rep").alias("doc_id"),
+                                     F.min("least").alias("least")), "variants")
+    alone = variants.where("groups >= least").select("leaf", "line")
 
     open_leaves = variants.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("groups").alias("all")) \
         .where((F.col("n") > 1) & (F.col("all") >= MIN_DOCS)).select("leaf", "all")
@@ -160,7 +170,8 @@ def drop_recurring_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines of recurring templates taken out of ``text``, plus n_lines and n_dropped.
 
     Lines are the \\n-separated parts of a text.  Lines with fewer than MIN_CONSTANTS words without a
-    digit stay, and so do all lines of rows with a null doc_id, which count as evidence.  Every row is returned with all its
+    digit go only as they are, from SHORT_DOCS documents on; blank lines stay, and so do all lines of
+    rows with a null doc_id, which count as evidence.  Every row is returned with all its
     columns (columns named n_lines or n_dropped are replaced); a text may become empty, a null text
     stays null with n_lines 0.  Repeats of a line within a document count once and go together; rows
     that repeat a doc_id count once each and lose the same lines.

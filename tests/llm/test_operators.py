@@ -276,6 +276,20 @@ def test_a_group_of_copies_keeps_no_line_of_other_documents(spark):
     assert all(r.text == source[r.doc_id].split("\n")[0] for r in out)
 
 
+def test_short_and_unspaced_lines_recur(spark):
+    rng = random.Random(10)
+    cjk = "\u7248\u6743\u6240\u6709\u4fb5\u6743\u5fc5\u7a76"
+    rows = [(i, "\n".join([_prose(rng, 30), "Share", "", "read more", "all rights reserved.", cjk, f"no {i}"][:7 if i < 45 else 4]))
+            for i in range(50)]
+    rows += [(100 + i, f"{_prose(rng, 30)}\nhome\nnext page") for i in range(12)]
+    out = linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    source = dict(rows)
+    for r in out:
+        lines = source[r.doc_id].split("\n")
+        gone = set() if r.doc_id >= 100 else {"Share", "read more", "all rights reserved.", cjk}
+        assert r.text == "\n".join(x for x in lines if x not in gone), r
+
+
 def test_line_dedup_odd_rows(odd, none):
     out = linededup.drop_recurring_lines(odd)
     assert [c for c in out.columns if c not in ("n_lines", "n_dropped")] == [c for c in odd.columns if c != "n_dropped"]
