@@ -2,9 +2,11 @@
 
 A line's tokens are its words, lower-cased, with words that contain a digit read as a variable.
 The tree has two levels of fixed depth: token count, then the first DEPTH tokens.  Within a leaf,
-identical token sequences are one variant; positions on which more than half of the leaf's documents
-agree are the template's constants and the other positions its variable fields, and variants that
-match enough constants belong to the template.  Templates, and single variants, that recur in at
+identical token sequences are one variant.  A leaf holds any number of templates: each variant stands
+in MASKS groups, in each with the variants that have the same tokens at MASKED_TO sampled positions
+(the others are masked).  Positions on which more than half of a group's documents agree are its
+template's constants and the other positions its variable fields, and variants that match enough
+constants belong to the template.  Templates, and single variants, that recur in at
 least MIN_DOCS documents are dropped from every document.
 
 Documents that are copies of each other must not make their own text a template: documents count by
@@ -34,6 +36,7 @@ MIN_CONSTANTS = 4       # a line with fewer tokens that are not variables recurs
 SHORT_DOCS = (40, 20, 10)   # documents in which such a line recurs if it has one, two, or more words
 MIN_FREE = 3            # lines need so many tokens past the leading ones to be generalised
 SIMILARITY = 0.7        # share of the tokens past the leading ones that must equal a constant
+MASKS, MASKED_TO = 12, 3    # a variant with that share of constants misses all groups of its template with chance 0.01
 
 _DIGIT = np.zeros(256, dtype=bool)
 _DIGIT[0x30:0x3A] = True
@@ -146,24 +149,35 @@ def recurring_lines(lines: DataFrame, copies: DataFrame) -> DataFrame:
     alone = variants.where("groups >= least").select("leaf", "line")
 
     open_leaves = variants.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("groups").alias("all")) \
-        .where((F.col("n") > 1) & (F.col("all") >= MIN_DOCS)).select("leaf", "all")
+        .where((F.col("n") > 1) & (F.col("all") >= MIN_DOCS)).select("leaf")
     # tokens come from one document of each variant, so the key of this join is never a hot line
     key = ["leaf", "line", "doc_id"]
     inner = cut_lineage(
         lines.select(*key, "tokens").where(F.size("tokens") >= DEPTH + MIN_FREE)
-        .join(variants.join(open_leaves, "leaf").select(*key, "groups", "all"), key)
-        .dropDuplicates(key), "inner")
-    votes = inner.select("leaf", "line", "groups", "all", F.size("tokens").alias("n"),
-                         F.posexplode("tokens").alias("pos", "token")).where(F.col("pos") >= DEPTH)
-    constants = (votes.groupBy("leaf", "pos", "token", "all").agg(F.sum("groups").alias("w"))
-                 .where(2 * F.col("w") > F.col("all")).select("leaf", "pos", "token"))
-    fits = (votes.join(constants, ["leaf", "pos", "token"]).groupBy("leaf", "line", "n").agg(F.count("*").alias("same"))
-            .where(F.col("same") >= SIMILARITY * (F.col("n") - DEPTH)).select("leaf", "line"))
+        .join(variants.join(open_leaves, "leaf").select(*key, "groups"), key)
+        .dropDuplicates(key).withColumn("mask", F.explode(F.array(*[_masked(k) for k in range(MASKS)]))), "inner")
+    shared = inner.groupBy("mask").agg(F.count("*").alias("n"), F.sum("groups").alias("all")) \
+        .where((F.col("n") > 1) & (F.col("all") >= MIN_DOCS)).select("mask", "all")
+    votes = inner.join(shared, "mask").select(
+        "mask", "leaf", "line", "groups", "all", F.size("tokens").alias("n"),
+        F.posexplode("tokens").alias("pos", "token")).where(F.col("pos") >= DEPTH)
+    constants = (votes.groupBy("mask", "pos", "token", "all").agg(F.sum("groups").alias("w"))
+                 .where(2 * F.col("w") > F.col("all")).select("mask", "pos", "token"))
+    fits = (votes.join(constants, ["mask", "pos", "token"]).groupBy("mask", "leaf", "line", "n")
+            .agg(F.count("*").alias("same"))
+            .where(F.col("same") >= SIMILARITY * (F.col("n") - DEPTH)).select("mask", "leaf", "line"))
     fits = cut_lineage(fits, "fits")
     recurring = (grouped(lines.select("doc_id", "leaf", "line").join(fits, ["leaf", "line"]))
-                 .groupBy("leaf").agg(F.count_distinct("group").alias("groups"))
-                 .where(recurs).select("leaf"))
-    return alone.unionByName(fits.join(recurring, "leaf")).distinct()
+                 .groupBy("mask").agg(F.count_distinct("group").alias("groups"))
+                 .where(recurs).select("mask"))
+    return alone.unionByName(fits.join(recurring, "mask").select("leaf", "line")).distinct()
+
+
+def _masked(k: int):
+    """Column: key of the k-th group of a line in its leaf, its tokens at positions that k and its length choose."""
+    free = F.size("tokens") - DEPTH
+    at = lambda j: (DEPTH + F.pmod(F.xxhash64(F.lit(k), F.lit(j), free), free)).cast("int")
+    return F.xxhash64("leaf", F.lit(k), *[F.get("tokens", at(j)) for j in range(MASKED_TO)])
 
 
 def drop_recurring_lines(docs: DataFrame) -> DataFrame:

@@ -290,6 +290,17 @@ def test_short_and_unspaced_lines_recur(spark):
         assert r.text == "\n".join(x for x in lines if x not in gone), r
 
 
+def test_several_templates_and_prose_share_a_leaf(spark):
+    rng = random.Random(11)
+    kinds = [lambda: f"see also the {_prose(rng, 1)} page on our main office site",
+             lambda: f"see also the {_prose(rng, 1)} list of all past yearly reports",
+             lambda: f"see also the other big file that user {_prose(rng, 1)} sent"]
+    rows = [(100 * k + i, f"{_prose(rng, 40)}\n{line()}") for k, line in enumerate(kinds) for i in range(8)]
+    rows += [(1000 + i, f"{_prose(rng, 40)}\nsee also the {_prose(rng, 7 + i % 2)}") for i in range(60)]
+    out = linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.n_dropped == (r.doc_id < 1000) for r in out)
+
+
 def test_line_dedup_odd_rows(odd, none):
     out = linededup.drop_recurring_lines(odd)
     assert [c for c in out.columns if c not in ("n_lines", "n_dropped")] == [c for c in odd.columns if c != "n_dropped"]
