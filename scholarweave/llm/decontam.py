@@ -9,8 +9,10 @@ positions; WALKS independent walks with TABLES keys each make up the target reca
 Items of [l, 2l) words (l the shortest item's length times a power of two) are one class.  Its
 windows have w = l - l/2 + 1 words (l/2 rounded down); the windows of a text start at every l/2-th word and those of an item at every word, so any occurrence
 of an item holds windows that are aligned with item windows (at least two from 1.5 l words on).  All
-windows with an equal key are candidates; those that hold half of the item's words are verified by
-the exact edit distance between the item and its best substring around the aligned place.
+windows with an equal key are candidates, and so are all places where SEED bytes in a row of the
+normalised text stand in an item, which finds passages whose words are nearly all changed.  A candidate
+region that holds too few of the item's GRAM-byte substrings for SIMILARITY (a bound that rejects no
+match) goes; all others are verified by the exact edit distance between the item and its best substring.
 """
 
 from __future__ import annotations
@@ -29,9 +31,13 @@ from scholarweave.session import ship_package, table
 SIMILARITY = 0.8            # distance <= (1 - SIMILARITY) * length of the item, in characters
 MIN_ITEM_WORDS = 8          # shorter items occur by chance and are not searched
 WALKS, TABLES, SAMPLE = 2, 14, 6
-SHARED_WORDS = 0.5          # a candidate region must hold so many of its item's words, in parts of the item's length
+SEED = 8                    # bytes in a row that a passage shares with its item, where no walk finds it
+GRAM = 3                    # length of the substrings that are counted before the exact check
+SEEDS, SEED_SHARE = 4, 0.06  # seeds that make a candidate: so many, and in parts of the item's bytes
+BAND = 16                   # candidates whose alignments lie so close are one
 BLOCK_CHARS = 4_000_000     # items searched in one pass over the texts; more items take more passes
 _BITS = 20                  # size of the table that tells most keys apart from all item keys
+_GRAM_BITS = 23             # size of the table of (item, substring) pairs
 
 _PART = np.ones(256, dtype=bool)
 _PART[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
@@ -100,8 +106,27 @@ def _normal(raw: bytes, start: np.ndarray, end: np.ndarray) -> list[str]:
 _FOLD = {c: c + 32 for c in range(65, 91)}
 
 
+def _stream(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words, A-Z lower-cased, with one space after each, and where each word starts and ends in that."""
+    size = end - start + 1
+    ends = np.cumsum(size)
+    out = np.full(int(ends[-1]) if len(ends) else 0, 0x20, dtype=np.uint8)
+    at = np.arange(len(out)) + np.repeat(start - (ends - size), size)
+    body = np.ones(len(out), dtype=bool)
+    body[ends - 1] = False
+    out[body] = tb._LOWER[data[at[body]]]
+    return out, ends - size, ends - 1
+
+
+def _grams(stream: np.ndarray, n: int) -> np.ndarray:
+    """The n <= 8 bytes from each position on as one number."""
+    padded = np.concatenate([stream, np.zeros(8, np.uint8)])
+    whole = np.ndarray((len(stream),), dtype="<u8", buffer=padded, strides=(1,))
+    return whole & np.uint64((1 << 8 * n) - 1)
+
+
 class Index:
-    """Item windows of a block of items by LSH key."""
+    """Item windows of a block of items by LSH key, and their seeds."""
 
     def __init__(self, items: list[tuple[int, str]]):
         data, off = tb.utf8(pa.array([t for _, t in items], pa.string()))
@@ -111,8 +136,25 @@ class Index:
         self.ids = [i for i, _ in items]
         self.size = np.diff(woff)
         self.text = [" ".join(_normal(raw, start[a:b], end[a:b])) for a, b in zip(woff[:-1], woff[1:], strict=True)]
-        self.holds = np.zeros(1 << _BITS, dtype=bool)       # (item, word) pairs
-        self.holds[self._pair(np.repeat(np.arange(len(items)), self.size), words)] = True
+        stream, first, last = _stream(data, start, end)
+        some = np.flatnonzero(self.size >= MIN_ITEM_WORDS)
+        self.lo, self.bytes = np.zeros(len(items), np.int64), np.zeros(len(items), np.int64)
+        self.lo[some] = first[woff[some]]
+        self.bytes[some] = last[woff[some + 1] - 1] - self.lo[some]
+        chars = np.array([len(t) for t in self.text], dtype=np.int64)
+        wide = np.array([max((len(c.encode()) for c in set(t)), default=1) for t in self.text], dtype=np.int64)
+        edits = np.floor((1 - SIMILARITY) * chars).astype(np.int64)
+        self.slack = edits * wide + 2
+        self.least = self.bytes - (GRAM - 1) - edits * (wide + GRAM - 1)    # an edit changes so many substrings at most
+        self.holds = np.zeros(1 << _GRAM_BITS, dtype=bool)      # (item, substring) pairs
+        of, at = self._places(some, GRAM)
+        self.holds[self._pair(of, _grams(stream, GRAM)[at])] = True
+        of, at = self._places(some, SEED)
+        seeds = tb.mix(_grams(stream, SEED)[at])
+        order = np.argsort(seeds, kind="stable")
+        self.seeds, self.seed_item, self.seed_at = seeds[order], of[order], (at - self.lo[of])[order]
+        self.maybe = np.zeros(1 << _GRAM_BITS, dtype=bool)
+        self.maybe[seeds & np.uint64((1 << _GRAM_BITS) - 1)] = True
         self.classes: dict[int, list] = {}
         sizes = [n for n in self.size.tolist() if n >= MIN_ITEM_WORDS]
         of = {k: min(sizes) << int(math.log2(n / min(sizes))) for k, n in enumerate(self.size.tolist())
@@ -156,28 +198,71 @@ class Index:
                         found.append(np.stack([text[a], item[k], at[a] - shift[k]], axis=1))
         return np.concatenate(found) if found else np.zeros((0, 3), np.int64)
 
-    @staticmethod
-    def _pair(item: np.ndarray, words: np.ndarray) -> np.ndarray:
-        return tb.mix(words + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64((1 << _BITS) - 1)
+    def _places(self, items: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(item, place) of all n-byte substrings of the items."""
+        size = np.maximum(self.bytes[items] - n + 1, 0)
+        ends = np.cumsum(size)
+        return np.repeat(items, size), np.arange(size.sum()) + np.repeat(self.lo[items] - (ends - size), size)
 
-    def regions(self, words: np.ndarray, woff: np.ndarray) -> list[list[int]]:
-        """Candidates as [text, item, first word, last word + 1] whose region holds enough of the item's words."""
-        found = self.candidates(words, woff)
-        text, item, begin = found.T
+    @staticmethod
+    def _pair(item: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        return tb.mix(grams + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64((1 << _GRAM_BITS) - 1)
+
+    def seeded(self, stream: np.ndarray, first: np.ndarray, last: np.ndarray, woff: np.ndarray) -> np.ndarray:
+        """Rows (text, item, first word, last word + 1) around the seeds of items in the texts."""
+        keys = tb.mix(_grams(stream, SEED))
+        hit = np.flatnonzero(self.maybe[(keys & np.uint64((1 << _GRAM_BITS) - 1)).view(np.int64)])
+        lo, hi = np.searchsorted(self.seeds, keys[hit]), np.searchsorted(self.seeds, keys[hit], side="right")
+        size = hi - lo
+        k = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
+        hit = np.repeat(hit, size)
+        text = np.searchsorted(woff, np.searchsorted(first, hit, side="right") - 1, side="right") - 1
+        item, shift = self.seed_item[k], hit - self.seed_at[k]
+        span = np.int64(len(stream) + int(self.bytes.max(initial=0)) + 1)       # alignments of an item in a chunk
+        place = (text * len(self.ids) + item) * 2 * span + shift + span
+        order = np.argsort(place, kind="stable")
+        place, item = place[order], item[order]
+        near = np.searchsorted(place, place + self.slack[item], side="right") - np.arange(len(place))
+        some = order[near >= np.maximum(SEEDS, SEED_SHARE * self.bytes[item])]
+        rows = np.unique(np.stack([text[some], self.seed_item[k[some]], shift[some] // BAND], axis=1), axis=0)
+        text, item, begin = rows[:, 0], rows[:, 1], rows[:, 2] * BAND
+        a = np.searchsorted(last, begin - self.slack[item], side="right")
+        b = np.searchsorted(first, begin + BAND + self.bytes[item] + self.slack[item])
+        return np.stack([text, item, np.maximum(a, woff[text]), np.minimum(b, woff[text + 1])], axis=1)
+
+    def regions(self, words: np.ndarray, woff: np.ndarray, spans: tuple) -> list[list[int]]:
+        """Candidates as [text, item, first word, last word + 1] whose region may hold the item."""
+        stream, first, last = spans
+        text, item, begin = self.candidates(words, woff).T
         slack = np.ceil((1 - SIMILARITY) * self.size[item]).astype(np.int64) + 1
         a = np.maximum(woff[text], begin - slack)
         b = np.minimum(woff[text + 1], begin + self.size[item] + slack)
-        rows = np.stack([text, item, a, b], axis=1)[b > a]
-        rows = rows[np.lexsort(rows.T[::-1])]
-        rows = rows[np.append(True, (rows[1:] != rows[:-1]).any(axis=1))[:len(rows)]]
-        text, item, a, b = rows.T
-        ends = np.cumsum(b - a)
-        if not len(ends):
-            return []
-        at = np.repeat(a - ends + (b - a), b - a) + np.arange(ends[-1])
-        held = self.holds[self._pair(np.repeat(item, b - a), words[at])]
-        count = np.add.reduceat(held, ends - (b - a), dtype=np.int64)
-        return rows[count >= SHARED_WORDS * self.size[item]].tolist()
+        rows = np.concatenate([np.stack([text, item, a, b], axis=1), self.seeded(stream, first, last, woff)])
+        rows = np.unique(rows[rows[:, 3] > rows[:, 2]], axis=0)
+        held = []
+        grams = _grams(stream, GRAM)
+        for part in np.array_split(rows, len(rows) // 4096 + 1):
+            _, item, a, b = part.T
+            size = last[b - 1] - first[a]
+            ends = np.cumsum(size)
+            at = np.arange(size.sum()) + np.repeat(first[a] - (ends - size), size)
+            found = np.append(0, np.cumsum(self.holds[self._pair(np.repeat(item, size), grams[at])]))
+            held.append(part[found[ends] - found[ends - size] >= self.least[item]])
+        out: list[list[int]] = []
+        for row in np.concatenate(held).tolist():               # overlapping regions of an item become one
+            if out and out[-1][:2] == row[:2] and row[2] <= out[-1][3]:
+                out[-1][3] = max(out[-1][3], row[3])
+            else:
+                out.append(row)
+        return out
+
+    def _may_hold(self, item: int, joined: str) -> bool:
+        """Whether enough of the item's substrings of GRAM characters stand in ``joined``; no match is rejected."""
+        grams = lambda t: [t[i:i + GRAM] for i in range(len(t) - GRAM + 1)]
+        pattern = self.text[item]
+        have = set(grams(joined))
+        least = len(pattern) - (GRAM - 1) - GRAM * math.floor((1 - SIMILARITY) * len(pattern))
+        return sum(g in have for g in grams(pattern)) >= least
 
     def matches(self, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """(text, item, distance, start, end) of the first verified occurrence of each item in each text."""
@@ -187,11 +272,13 @@ class Index:
         raw = data.tobytes()
         out: list[tuple[int, int, int, int, int]] = []
         done = (-1, -1)
-        for text, item, a, b in self.regions(words, woff):
+        for text, item, a, b in self.regions(words, woff, _stream(data, start, end)):
             if (text, item) == done:
                 continue
             pattern, region = self.text[item], _normal(raw, start[a:b], end[a:b])
             joined = " ".join(region)
+            if not self._may_hold(item, joined):
+                continue
             distance, stop = edit_distance_in(pattern, joined)
             if distance <= (1 - SIMILARITY) * len(pattern):
                 done = (text, item)

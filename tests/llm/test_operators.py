@@ -221,6 +221,19 @@ def test_contamination_exact_and_edited(spark, docs, texts):
     assert len(found & {(k, k) for k in bench}) >= 0.95 * len(bench)
 
 
+@pytest.mark.parametrize("rate", [0.1, 0.15, 0.18])
+def test_contamination_with_changed_letters(spark, rate):
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    index, rng = decontam.Index(bench), random.Random(4)
+    edited = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") if c.isalpha() and rng.random() < rate else c for c in t)
+              for _, t in bench]
+    plain = decontam.Index(list(enumerate(edited))).text
+    near = {k for k, t in enumerate(plain) if decontam.edit_distance_in(index.text[k], t)[0] <= 0.2 * len(index.text[k])}
+    column = decontam.pa.array(["some words before " + t + " and after" for t in edited])
+    found = {text for text, item, *_ in index.matches(column) if text == item}
+    assert near and len(found & near) >= 0.95 * len(near)
+
+
 def test_contamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "two words"), (None, "quick brown fox jumps over the lazy dog near"),
                                    (4, "quick brown fox jumps over the lazy dog near")], "item_id long, text string")
