@@ -27,7 +27,6 @@ CONSISTENCY = 1.487                 # ALPHA / P(chi2_6 <= chi2_4 quantile of ALP
 STEPS = 3
 CUTOFF = 28.47                      # chi-square quantile, 4 degrees of freedom, tail 1e-5
 MIN_GROUP = 100                     # smaller sources of a language are fitted together
-FULL_EVIDENCE_WORDS = 200           # a shorter text's squared distance counts in proportion to its words
 FLOOR = (0.05, 0.5, 0.2, 0.2)      # least standard deviation of each dimension
 DIMS = len(FLOOR)
 BROADCAST_GROUPS = 100_000          # tables of at most so many groups (15 numbers and two keys each) are broadcast
@@ -170,8 +169,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     passing = rows.where(~F.col("base_failed")).select("doc_id", "lang_g", "source_g", *[f"x{i}" for i in range(DIMS)])
     fit = fit_groups(passing)
     judged = _with_distance(rows, fit)
-    weight = F.least(F.lit(1.0), F.col("n_words") / FULL_EVIDENCE_WORDS)
-    d2 = F.when(~F.col("base_failed"), F.col("d2") * weight)
+    d2 = F.when(~F.col("base_failed"), F.col("d2"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", d2.alias("outlier_d2")) \
         .withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("outlier_d2"), F.lit(0.0)) <= CUTOFF))

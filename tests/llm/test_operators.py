@@ -375,6 +375,15 @@ def test_quality_rules(docs, texts, odd, none):
     assert all(tuple(r[k] for k in keys) == _rules(source[r.doc_id]) for r in rows)
 
 
+def test_short_symbol_junk_is_an_outlier(spark):
+    rng = random.Random(12)
+    rows = [(i, _prose(rng, 80), "en", "s") for i in range(300)]
+    junk = " ".join(f"{w}##" if k % 2 else "$$%#" for k, w in enumerate(_prose(rng, 27).split()))
+    rows += [(1000, junk, "en", "s"), (1001, _prose(rng, 27), "en", "s")]
+    got = quality_rules.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    assert [r.doc_id for r in got.where("not kept").collect()] == [1000]
+
+
 def test_more_groups_than_a_broadcast_may_hold(docs, monkeypatch):
     rows = [sorted(map(tuple, quality_rules.quality_rules(docs).drop("outlier_d2").collect()))]
     monkeypatch.setattr(quality_rules, "BROADCAST_GROUPS", 0)
