@@ -25,8 +25,8 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every operator module and the corpus pipeline, which register their queries."""
     import corpus_pipeline
-    from scholarweave.llm import (bpe, decontam, licenses, linededup, neardup, pii, quality_gam,  # noqa: F401
-                                  quality_rules, sharding, warc)
+    from scholarweave.llm import (bpe, decontam, licenses, linededup, neardup, pii, prefix_trie,  # noqa: F401
+                                  quality_gam, quality_rules, sharding, warc)
 
     if "pipeline" not in QUERIES:
         query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
