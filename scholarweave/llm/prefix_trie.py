@@ -371,7 +371,7 @@ def trie_of_paths(paths: DataFrame, shards: int | None = None) -> DataFrame:
 def prefix_trie(conversations: DataFrame, shards: int | None = None) -> DataFrame:
     """Trie of the rebuilt ``conversations`` (conv_id, turn, role, text): one row per node, ``COLUMNS``.
 
-    A null role or text is the empty string; rows with a null conv_id belong to no conversation; equal
+    The remainder of a negative conv_id is negative, as in SQL.  A null role or text is the empty string; rows with a null conv_id belong to no conversation; equal
     turns of a conversation, repeated rows too, are all kept, ordered by the digest of role and text.
     A conversation is one row of 16 bytes a turn, so its texts are never gathered and may be of any
     length.  Other columns are ignored; an empty table gives no nodes.

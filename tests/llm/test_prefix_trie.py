@@ -26,7 +26,7 @@ def _rebuilt(rows):
     out = {}
     for c, turns in own.items():
         h = zlib.crc32(str(c).encode()) % 6
-        out[c] = own.get(c - c % 100, [])[:h] + turns[h:]
+        out[c] = own.get(int(c / 100) * 100, [])[:h] + turns[h:]
     return out
 
 
