@@ -30,7 +30,7 @@ HOST_STEP = 100         # conversation c takes its head from c - c % HOST_STEP
 HEAD_TURNS = 6          # of h = crc32(c) % HEAD_TURNS turns
 OVERSAMPLE = 16         # sampled conversations a shard
 DIGEST = 16             # bytes of a turn's digest
-SEGMENT_BYTES = 1 << 16
+SEGMENT_IDS = 8192
 BATCH_ROWS = 8192
 NO_ENDS = hashlib.sha256(b"").hexdigest()
 _LOWEST = -(1 << 63)
@@ -141,8 +141,8 @@ def skeleton_ids(cuts: list[tuple[bytes, int]]) -> list[list[int]]:
 class _Rows:
     """Output rows of a task, given out in batches."""
 
-    def __init__(self, names: list[str]):
-        self.names, self.rows = names, []
+    def __init__(self):
+        self.rows = []
 
     def add(self, *row) -> None:
         self.rows.append(row)
@@ -163,8 +163,8 @@ def _schema(ddl: str) -> pa.Schema:
 class _Shard:
     """The open nodes of the last path read, by depth; nodes are given out when they close, children first."""
 
-    def __init__(self, cuts: list[tuple[bytes, int]]):
-        self.cuts, self.ids, self.out = cuts, skeleton_ids(cuts), _Rows([c.split()[0] for c in _OUT.split(", ")])
+    def __init__(self, cuts: list[tuple[bytes, int]], segment_ids: int):
+        self.cuts, self.ids, self.out, self.segment_ids = cuts, skeleton_ids(cuts), _Rows(), segment_ids
         self.shard: int | None = None
 
     def start(self, shard: int) -> None:
@@ -243,7 +243,7 @@ class _Shard:
         self.low[d] = conv_id if self.low[d] is None else min(conv_id, self.low[d])
         if d < len(self.names):
             self.ends[d].append(conv_id)
-            if 8 * len(self.ends[d]) >= SEGMENT_BYTES:
+            if len(self.ends[d]) >= self.segment_ids:
                 self.segment(d)
         elif self.sha[d] is None:
             self.sha[d] = hashlib.sha256(str(conv_id).encode())
@@ -260,9 +260,9 @@ def _deal(cuts):
     return run
 
 
-def _finish(cuts):
+def _finish(cuts, segment_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, shard = _schema(_OUT), _Shard(cuts.value)
+        schema, shard = _schema(_OUT), _Shard(cuts.value, segment_ids)
         for b in batches:
             columns = (b.column(c).to_pylist() for c in ("shard", "path", "conv_id", "chars"))
             for row in zip(*columns, strict=True):
@@ -293,7 +293,7 @@ def _parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _hash_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One hash for each skeleton node's segments, which come in order; a segment is held at a time."""
-    schema, out, key, sha = _schema("skeleton int, depth long, ends_sha256 string"), _Rows([]), None, None
+    schema, out, key, sha = _schema("skeleton int, depth long, ends_sha256 string"), _Rows(), None, None
     for b in batches:
         for name, depth, segment in zip(*(b.column(c).to_pylist() for c in ("skeleton", "depth", "segment")),
                                         strict=True):
@@ -332,11 +332,11 @@ def _roll_up(cuts):
     return run
 
 
-def trie_of_paths(paths: DataFrame, shards: int | None = None) -> DataFrame:
+def trie_of_paths(paths: DataFrame, shards: int | None = None, segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """Nodes of the trie of ``paths`` (conv_id long, path binary, chars array<int>), one row per conv_id.
 
-    ``shards`` is the number of range partitions, ``spark.sql.shuffle.partitions`` if not given; the
-    result does not depend on it.  Returns ``COLUMNS``; no rows without paths.
+    ``shards`` is the number of range partitions, ``spark.sql.shuffle.partitions`` if not given, and
+    ``segment_ids`` how many ids of a skeleton node's ends a row holds; the result depends on neither.  Returns ``COLUMNS``; no rows without paths.
     """
     spark = paths.sparkSession
     ship_package(spark)
@@ -347,7 +347,7 @@ def trie_of_paths(paths: DataFrame, shards: int | None = None) -> DataFrame:
 
     dealt = paths.mapInArrow(_deal(cuts), "shard int, conv_id long, path binary, chars array<int>")
     shard = dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "path", "conv_id")
-    nodes = (shard.mapInArrow(_finish(cuts), _OUT).sortWithinPartitions("shard", F.desc("seq"))
+    nodes = (shard.mapInArrow(_finish(cuts, segment_ids), _OUT).sortWithinPartitions("shard", F.desc("seq"))
              .mapInArrow(_parents, _OUT))
     nodes = cut_lineage(nodes, "trie-nodes")
 

@@ -87,10 +87,10 @@ def test_trie_equals_brute_force(spark, shards):
     assert _got(T.prefix_trie(spark.createDataFrame(rows, SCHEMA), shards)) == _brute(rows)
 
 
-def test_hot_conversation_is_cut_by_id_and_segments_hash_in_order(spark, monkeypatch):
-    monkeypatch.setattr(T, "SEGMENT_BYTES", 64)
+def test_hot_conversation_is_cut_by_id_and_segments_hash_in_order(spark):
     rows = _hot()
-    assert _got(T.prefix_trie(spark.createDataFrame(rows, SCHEMA), 12)) == _brute(rows)
+    every = T.rebuilt_paths(spark.createDataFrame(rows, SCHEMA))
+    assert _got(T.trie_of_paths(every, 12, segment_ids=7)) == _brute(rows)
     paths = [(bytes(r.path), r.conv_id) for r in T.rebuilt_paths(spark.createDataFrame(rows, SCHEMA)).collect()]
     cuts = T.choose_cuts(paths, 12)
     assert len(cuts) == 11
