@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every operator module and the corpus pipeline, which register their queries."""
     import corpus_pipeline
-    from scholarweave.llm import (bpe, decontam, lexical_search, licenses, linededup, neardup, pii,  # noqa: F401
+    from scholarweave.llm import (bpe, decontam, lexical_search, licenses, linededup, mixing, neardup, pii,  # noqa: F401
                                   prefix_trie, quality_gam, quality_rules, sharding, warc)
 
     if "pipeline" not in QUERIES:
