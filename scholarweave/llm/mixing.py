@@ -166,7 +166,9 @@ def _slots(sources: DataFrame, counts: DataFrame) -> DataFrame:
     placed = of_source.withColumns({
         "at": F.coalesce(F.sum("n").over(of_shard.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "in_shard": F.sum("n").over(of_shard)})
-    each = placed.withColumn("i", F.explode(F.expr("sequence(0L, n - 1)"))).join(sources, "sid")
+    # a row becomes up to a shard's slots: deal the few rows over all tasks, by a number so that they stay dealt
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = placed.repartition(tasks, "shard", "sid").withColumn("i", F.explode(F.expr("sequence(0L, n - 1)"))).join(sources, "sid")
     each = each.withColumn("k", F.col("k") + F.col("i"))
     block = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.col("sid"), F.expr("k div blocks"))
     each = each.withColumn("block", block)
