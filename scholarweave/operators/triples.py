@@ -82,13 +82,15 @@ def _present(name: str) -> str:
     return f"({c} IS NOT NULL AND {c} <> '')"
 
 
+def _array_sql(triples: list[str]) -> str:
+    return f"filter(array({', '.join(triples)}), t -> t IS NOT NULL AND t.o IS NOT NULL AND t.s IS NOT NULL)"
+
+
 def _emit(df: DataFrame, triples: list[str]) -> DataFrame:
-    arr = f"array({', '.join(triples)})"
-    return df.selectExpr(f"inline(filter({arr}, t -> t IS NOT NULL AND t.o IS NOT NULL AND t.s IS NOT NULL))") \
-             .select(*TRIPLE_COLS)
+    return df.selectExpr(f"inline({_array_sql(triples)})").select(*TRIPLE_COLS)
 
 
-def person_triples(persons: DataFrame, base: str = LOCAL) -> DataFrame:
+def _person_list(base: str) -> list[str]:
     """Person exporter without roles.
 
     Expects ``id, name, firstname, lastname, email, title, phone, position
@@ -105,7 +107,7 @@ def person_triples(persons: DataFrame, base: str = LOCAL) -> DataFrame:
     has_email, has_title, has_phone = _present("email"), _present("title"), _present("phone")
     pos_text = "array_join(`position`, ', ')"
     pos_label = f"CASE WHEN {pos_text} IS NOT NULL AND {pos_text} <> '' THEN {pos_text} ELSE {_q(DEFAULT_POSITION)} END"
-    t = [
+    return [
         _a(p, FOAF + "NonFacultyAcademic"),
         _when(structured, _a(i8, VCARD + "Name")),
         _when(structured, _lit(i8, VCARD + "familyName", "`lastname`")),
@@ -129,10 +131,9 @@ def person_triples(persons: DataFrame, base: str = LOCAL) -> DataFrame:
         _iri(m, CORE + "relates", p),
         _iri(m, CORE + "relates", org),
     ]
-    return _emit(persons, t)
 
 
-def role_triples(roles: DataFrame, base: str = LOCAL) -> DataFrame:
+def _role_list(base: str) -> list[str]:
     """Division membership of a person (R7); one set per resolved role row.
 
     Expects ``role_id, division_id, person_id, name`` (from ``resolve_roles``).
@@ -140,7 +141,7 @@ def role_triples(roles: DataFrame, base: str = LOCAL) -> DataFrame:
     dm = _iri_sql("role_id", "dm", "", base)
     od = _iri_sql("division_id", "od", "", base)
     p = _iri_sql("person_id", "p", "", base)
-    t = [
+    return [
         _a(dm, CORE + "MemberRole"),
         _a(od, CORE + "Division"),
         _lit(dm, RDFS_LABEL, "`name`"),
@@ -149,7 +150,6 @@ def role_triples(roles: DataFrame, base: str = LOCAL) -> DataFrame:
         _iri(p, ERO + "RO_0000053", dm),
         _iri(od, CORE + "contributingRole", dm),
     ]
-    return _emit(roles, t)
 
 
 # Address fields exported for an organisation: item field -> vCard property.
@@ -157,7 +157,7 @@ ORG_ADDRESS_FIELDS = [("street_address", "streetAddress"), ("country", "country"
                       ("postal_code", "postalCode"), ("city", "city")]
 
 
-def organization_triples(orgs: DataFrame, base: str = LOCAL) -> DataFrame:
+def _organization_list(base: str) -> list[str]:
     """Organisation exporter."""
     o = _iri_sql("id", "o", "", base)
     oi, oi1, oi2 = _iri_sql("id", "oi", "", base), _iri_sql("id", "oi", "1", base), _iri_sql("id", "oi", "2", base)
@@ -177,18 +177,37 @@ def organization_triples(orgs: DataFrame, base: str = LOCAL) -> DataFrame:
         _iri(oi, VCARD + "hasURL", oi2),
         _when(has_addr, _iri(oi, VCARD + "hasAddress", oi1)),
     ]
-    return _emit(orgs, t)
+    return t
 
 
-def division_triples(divisions: DataFrame, base: str = LOCAL) -> DataFrame:
+def _division_list(base: str) -> list[str]:
     """Division exporter."""
     od = _iri_sql("id", "od", "", base)
-    t = [
+    return [
         _a(od, CORE + "Division"),
         _lit(od, RDFS_LABEL, "`name`"),
         _iri(od, ERO + "BFO_0000050", _iri_sql("organization_id", "o", "", base)),
     ]
-    return _emit(divisions, t)
+
+
+_LISTS = {"Person": _person_list, "DivisionRole": _role_list, "Organization": _organization_list,
+          "Division": _division_list}
+
+
+def person_triples(persons: DataFrame, base: str = LOCAL) -> DataFrame:
+    return _emit(persons, _person_list(base))
+
+
+def role_triples(roles: DataFrame, base: str = LOCAL) -> DataFrame:
+    return _emit(roles, _role_list(base))
+
+
+def organization_triples(orgs: DataFrame, base: str = LOCAL) -> DataFrame:
+    return _emit(orgs, _organization_list(base))
+
+
+def division_triples(divisions: DataFrame, base: str = LOCAL) -> DataFrame:
+    return _emit(divisions, _division_list(base))
 
 
 def triple_set(*parts: DataFrame) -> DataFrame:
@@ -204,11 +223,27 @@ def _escape(c: Column) -> Column:
     return F.replace(c, F.lit("\t"), F.lit("\\t"))
 
 
+def ntriple(s: Column, p: Column, o: Column, o_kind: Column, o_datatype: Column) -> Column:
+    """The N-Triples line of a triple."""
+    obj = (F.when(o_kind == "iri", F.concat(F.lit("<"), o, F.lit(">")))
+           .when(o_datatype.isNotNull(), F.concat(F.lit('"'), _escape(o), F.lit('"^^<'), o_datatype, F.lit(">")))
+           .otherwise(F.concat(F.lit('"'), _escape(o), F.lit('"'))))
+    return F.concat(F.lit("<"), s, F.lit("> <"), p, F.lit("> "), obj, F.lit(" ."))
+
+
 def ntriples_lines(triples: DataFrame) -> DataFrame:
     """One N-Triples line per triple (K5): safe to concatenate across files."""
-    obj = (F.when(F.col("o_kind") == "iri", F.concat(F.lit("<"), F.col("o"), F.lit(">")))
-           .when(F.col("o_datatype").isNotNull(),
-                 F.concat(F.lit('"'), _escape(F.col("o")), F.lit('"^^<'), F.col("o_datatype"), F.lit(">")))
-           .otherwise(F.concat(F.lit('"'), _escape(F.col("o")), F.lit('"'))))
-    return triples.select(F.concat(F.lit("<"), F.col("s"), F.lit("> <"), F.col("p"), F.lit("> "),
-                                   obj, F.lit(" .")).alias("line"))
+    return triples.select(ntriple(*[F.col(c) for c in TRIPLE_COLS]).alias("line"))
+
+
+def entity_lines(item_type: str = "item_type", base: str = LOCAL) -> Column:
+    """Sorted N-Triples lines of one entity row (array), whatever its type; no line for types without an exporter.
+
+    The row holds the columns of every exporter; ``item_type`` names the column that tells the type.
+    """
+    lists = [(t, F.expr(_array_sql(make(base)))) for t, make in _LISTS.items()]
+    chosen = F.when(F.col(item_type) == lists[0][0], lists[0][1])
+    for name, triples in lists[1:]:
+        chosen = chosen.when(F.col(item_type) == name, triples)
+    line = lambda t: ntriple(*[t[c] for c in TRIPLE_COLS])
+    return F.array_sort(F.array_distinct(F.coalesce(F.transform(chosen, line), F.array().cast("array<string>"))))

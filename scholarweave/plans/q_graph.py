@@ -82,7 +82,7 @@ def render_roles(persons: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------------------- oracle SQL
 
-_SQL_RENDER = f"""
+SQL_RENDER = f"""
 orgs AS (
   SELECT r_regionkey AS source, '{ORG_ROOT}' || lower(r_name) || '/' AS source_url, r_name AS name,
          CASE WHEN r_name LIKE 'A%' THEN r_name || ' Strasse 1' ELSE '' END AS street_address,
@@ -112,18 +112,23 @@ roles AS (
          source_url AS person_url
   FROM pers)"""
 
-_SQL_IDS = """
+_ALL_KEYS = """
+    SELECT source_url, 'Organization' AS item_type, 0 AS arrival FROM orgs
+    UNION ALL SELECT source_url, 'Division', 0 FROM divs
+    UNION ALL SELECT source_url, 'Person', 0 FROM pers
+    UNION ALL SELECT source_url, 'DivisionRole', 0 FROM roles WHERE person_url <> '' AND division_url <> ''
+    UNION ALL SELECT division_url, 'Division', 0 FROM roles WHERE person_url <> '' AND division_url <> ''"""
+
+
+def sql_ids(all_keys: str = _ALL_KEYS) -> str:
+    """IDs of the keys (source_url, item_type, arrival), those of an arrival in source_url order, and what joins to them."""
+    return f"""
 keys AS (
-  SELECT DISTINCT source_url, item_type FROM (
-    SELECT source_url, 'Organization' AS item_type FROM orgs
-    UNION ALL SELECT source_url, 'Division' FROM divs
-    UNION ALL SELECT source_url, 'Person' FROM pers
-    UNION ALL SELECT source_url, 'DivisionRole' FROM roles WHERE person_url <> '' AND division_url <> ''
-    UNION ALL SELECT division_url, 'Division' FROM roles WHERE person_url <> '' AND division_url <> '')
-  WHERE source_url IS NOT NULL AND source_url <> ''),
+  SELECT source_url, item_type, min(arrival) AS arrival FROM ({all_keys})
+  WHERE source_url IS NOT NULL AND source_url <> '' GROUP BY ALL),
 ids AS (
   SELECT source_url, item_type,
-         CAST(row_number() OVER (PARTITION BY item_type ORDER BY source_url) AS BIGINT) AS id
+         CAST(row_number() OVER (PARTITION BY item_type ORDER BY arrival, source_url) AS BIGINT) AS id
   FROM keys),
 o AS (SELECT orgs.*, ids.id FROM orgs JOIN ids ON ids.item_type = 'Organization' AND ids.source_url = orgs.source_url),
 d AS (SELECT divs.*, ids.id, o.id AS organization_id FROM divs
@@ -221,8 +226,12 @@ def _division_sql() -> list[str]:
                where="organization_id IS NOT NULL")]
 
 
-RDF_TRIPLES_SQL = ("WITH " + _SQL_RENDER + "," + _SQL_IDS + "\n" +
-                   "\nUNION\n".join(_person_sql() + _role_sql() + _org_sql() + _division_sql()))
+def triples_sql(render: str, ids: str) -> str:
+    return ("WITH " + render + "," + ids + "\n" +
+            "\nUNION\n".join(_person_sql() + _role_sql() + _org_sql() + _division_sql()))
+
+
+RDF_TRIPLES_SQL = triples_sql(SQL_RENDER, sql_ids())
 
 
 def _graph(spark: SparkSession, sf: str):
@@ -255,8 +264,8 @@ def _nt_obj_sql() -> str:
             f"ELSE '\"' || {esc} || '\"' END")
 
 
-_LINES_SQL = (f"WITH t AS ({RDF_TRIPLES_SQL})\n"
-              f"SELECT '<' || s || '> <' || p || '> ' || {_nt_obj_sql()} || ' .' AS line FROM t")
+LINES_OF_T = f"SELECT '<' || s || '> <' || p || '> ' || {_nt_obj_sql()} || ' .' AS line FROM t"
+_LINES_SQL = f"WITH t AS ({RDF_TRIPLES_SQL})\n{LINES_OF_T}"
 
 
 @query("rdf_ntriples_lines", _LINES_SQL)

@@ -1,9 +1,7 @@
-"""Streaming twin of the batch DAG.
+"""Streaming IDs (X2): ``readStream`` over page files, then ``foreachBatch`` calling the batch functions.
 
-``readStream`` over page (or entity) files, then ``foreachBatch`` calling the
-same batch functions: IDs against the registry (X2) and organisation backfill
-(X3).  What a micro-batch writes is keyed by ``batchId``, so a replayed one
-rewrites its own folder with the same rows.
+What a micro-batch writes is keyed by ``batchId``, so a replayed one rewrites
+its own folder with the same rows.  Steps that need keyed state are in ``state.py``.
 """
 
 from __future__ import annotations
@@ -64,75 +62,6 @@ def stream_entity_ids(spark: SparkSession, source_dir: str, schema, registry_pat
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def backfill_batch(entities: DataFrame, orgs: DataFrame, pending: DataFrame | None,
-                   on: str = "source") -> tuple[DataFrame, DataFrame]:
-    """One micro-batch of organisation assignment.
-
-    Entities of this batch plus the pending ones are joined to all organisations
-    known so far; matched rows are emitted with ``organization_id``; the rest
-    become the new pending table.  No timeout: an entity waits until its
-    organisation arrives, as in the reference.
-    """
-    todo = entities if pending is None else entities.unionByName(pending)
-    o = orgs.select(F.col(on).alias("_org_src"), F.col("id").alias("organization_id"))
-    j = todo.join(o, todo[on] == o["_org_src"], "left").drop("_org_src")
-    done = j.where(F.col("organization_id").isNotNull())
-    still = j.where(F.col("organization_id").isNull()).drop("organization_id")
-    return done, still
-
-
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Rewrite one batch's folder, also when ``df`` is empty, so nothing of an earlier run of it stays."""
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
-
-
-def backfill_batch_writer(state_path: str, out_path: str, on: str = "source"):
-    """``foreachBatch`` body for X3 over rows of ``(entity, organization)``, one of the two set.
-
-    A batch logs its entities and the organisations first seen in it, then emits its own
-    entities whose organisation is known and the earlier ones that waited for an organisation
-    of this batch.  All of it depends on the batch and the logs before it alone, so a replayed
-    batch rewrites its folders with the same rows and each entity is emitted once.  Waiting
-    entities are never rewritten; they are looked up when an organisation arrives.
-    """
-    entity_log, org_log = f"{state_path.rstrip('/')}/entities", f"{state_path.rstrip('/')}/organizations"
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = F.col("batch_id") < batch_id
-        _write_batch(batch.where(F.col("entity").isNotNull()).select("entity.*"), entity_log, batch_id)
-        arrived = batch.where(F.col("organization").isNotNull()).select("organization.*") \
-            .where(F.col(on).isNotNull()).groupBy(on).agg(F.min("id").alias("id"))
-        if batch_id > 0:
-            arrived = arrived.join(spark.read.parquet(org_log).where(before), on, "left_anti")
-        _write_batch(arrived, org_log, batch_id)
-        entities, orgs = spark.read.parquet(entity_log), spark.read.parquet(org_log)
-        fresh = orgs.where(F.col("batch_id") == batch_id).drop("batch_id")
-        own = entities.where(F.col("batch_id") == batch_id).drop("batch_id")
-        done, _ = backfill_batch(own, orgs.where(F.col("batch_id") <= batch_id).drop("batch_id"), None, on)
-        if batch_id > 0 and not fresh.isEmpty():
-            waited, _ = backfill_batch(entities.where(before).drop("batch_id"), fresh, None, on)
-            done = done.unionByName(waited)
-        _write_batch(done, out_path, batch_id)
-    return run
-
-
-def stream_organization_backfill(spark: SparkSession, source_dir: str, schema, orgs_path: str,
-                                 state_path: str, out_path: str, checkpoint: str, on: str = "source",
-                                 max_files_per_trigger: int | None = None):
-    """Start the X3 stream (``availableNow``) and return the ``StreamingQuery``.
-
-    Entity files (``source_dir``) and organisation files (``orgs_path``: ``on``, ``id``) are both
-    sources of the one query, so an organisation that arrives after the last entity still
-    releases the entities that wait for it.
-    """
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    entities = reader.schema(schema).parquet(source_dir).select(F.struct("*").alias("entity"))
-    orgs = reader.schema(f"{on} string, id bigint").parquet(orgs_path).select(F.struct(on, "id").alias("organization"))
-    none = lambda df, name: F.lit(None).cast(df.schema[name].dataType).alias(name)
-    both = entities.select("entity", none(orgs, "organization")).unionByName(
-        orgs.select(none(entities, "entity"), "organization"))
-    return (both.writeStream.foreachBatch(backfill_batch_writer(state_path, out_path, on))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -1,4 +1,4 @@
-"""Sinks, registry persistence and the streaming twin."""
+"""Sinks, registry persistence and streaming IDs."""
 
 import os
 import tempfile
@@ -85,77 +85,3 @@ def test_stream_ids_replay_is_idempotent(spark):
     S.id_batch_writer(f"{work}/reg", "url", "Page")(batch1, 1)
     again = sorted((r.source_url, r.id) for r in spark.read.parquet(f"{work}/reg").collect())
     assert again == [("http://x/1", 1), ("http://x/2", 2), ("http://x/3", 3)]
-
-
-def test_organization_backfill_waits_for_its_organization(spark):
-    orgs0 = spark.createDataFrame([], "source string, id long")
-    e1 = spark.createDataFrame([("zbw", "p1")], "source string, source_url string")
-    done, pending = S.backfill_batch(e1, orgs0, None)
-    assert done.count() == 0 and pending.count() == 1
-    orgs1 = spark.createDataFrame([("zbw", 7)], "source string, id long")
-    e2 = spark.createDataFrame([("zbw", "p2")], "source string, source_url string")
-    done, pending = S.backfill_batch(e2, orgs1, pending)
-    assert sorted((r.source_url, r.organization_id) for r in done.collect()) == [("p1", 7), ("p2", 7)]
-    assert pending.count() == 0
-
-
-def test_stream_backfill_organization_arrives_later(spark):
-    work = _tmp()
-    src = f"{work}/entities"
-    os.makedirs(src)
-    e1 = spark.createDataFrame([("zbw", "p1"), ("hiig", "h1")], "source string, source_url string")
-    e1.coalesce(1).write.parquet(f"{work}/e1")
-    f1 = [f for f in os.listdir(f"{work}/e1") if f.endswith(".parquet")][0]
-    os.link(f"{work}/e1/{f1}", f"{src}/a.parquet")
-    spark.createDataFrame([("hiig", 3)], "source string, id long").write.parquet(f"{work}/orgs")
-    q = S.stream_organization_backfill(spark, src, "source string, source_url string", f"{work}/orgs",
-                                       f"{work}/pending", f"{work}/out", f"{work}/ckpt")
-    q.awaitTermination()
-    out = {r.source_url: r.organization_id for r in spark.read.parquet(f"{work}/out").collect()}
-    assert out == {"h1": 3}                                   # p1 waits for its organisation
-    spark.createDataFrame([("zbw", 7)], "source string, id long").write.mode("append").parquet(f"{work}/orgs")
-    e2 = spark.createDataFrame([("zbw", "p2")], "source string, source_url string")
-    e2.coalesce(1).write.parquet(f"{work}/e2")
-    f2 = [f for f in os.listdir(f"{work}/e2") if f.endswith(".parquet")][0]
-    os.link(f"{work}/e2/{f2}", f"{src}/b.parquet")
-    q = S.stream_organization_backfill(spark, src, "source string, source_url string", f"{work}/orgs",
-                                       f"{work}/pending", f"{work}/out", f"{work}/ckpt")
-    q.awaitTermination()
-    out = {r.source_url: r.organization_id for r in spark.read.parquet(f"{work}/out").collect()}
-    assert out == {"h1": 3, "p1": 7, "p2": 7}
-
-
-def _entity_batch(spark, entities, orgs):
-    rows = [((s, u), None) for s, u in entities] + [(None, o) for o in orgs]
-    return spark.createDataFrame(rows, "entity struct<source string, source_url string>, "
-                                       "organization struct<source string, id bigint>")
-
-
-def test_backfill_replay_emits_each_entity_once(spark):
-    work = _tmp()
-    run = S.backfill_batch_writer(f"{work}/state", f"{work}/out")
-    batches = [([("zbw", "p1"), ("hiig", "h1")], [("hiig", 3)]), ([], [("zbw", 7), ("zbw", 9)]), ([("zbw", "p2")], [("zbw", 8)])]
-
-    def out():
-        return sorted((r.batch_id, r.source_url, r.organization_id) for r in spark.read.parquet(f"{work}/out").collect())
-
-    for k, (entities, orgs) in enumerate(batches):
-        run(_entity_batch(spark, entities, orgs), k)
-    expected = [(0, "h1", 3), (1, "p1", 7), (2, "p2", 7)]       # the first registered id of a source stays
-    assert out() == expected
-    for k, (entities, orgs) in enumerate(batches):              # replays after later batches have been written
-        run(_entity_batch(spark, entities, orgs), k)
-    assert out() == expected
-
-
-def test_stream_backfill_late_organization_needs_no_later_entity(spark):
-    work = _tmp()
-    entity, org = "source string, source_url string", "source string, id bigint"
-    spark.createDataFrame([("zbw", "p1")], entity).write.parquet(f"{work}/entities")
-    spark.createDataFrame([("hiig", 3)], org).write.parquet(f"{work}/orgs")
-    args = (spark, f"{work}/entities", entity, f"{work}/orgs", f"{work}/state", f"{work}/out", f"{work}/ckpt")
-    S.stream_organization_backfill(*args).awaitTermination()
-    assert spark.read.parquet(f"{work}/out").count() == 0
-    spark.createDataFrame([("zbw", 7)], org).write.mode("append").parquet(f"{work}/orgs")
-    S.stream_organization_backfill(*args).awaitTermination()
-    assert [(r.source_url, r.organization_id) for r in spark.read.parquet(f"{work}/out").collect()] == [("p1", 7)]
