@@ -1,9 +1,18 @@
 """Cycle residue of a reference graph.
 
-Peel nodes with no incoming edge, round by round, until nothing changes.
-What remains -- every node of a surviving edge -- lies on a cycle or is
-reachable from one.  Each round is one semi join; the surviving edge set is
-checkpointed so the lineage never grows with the number of rounds.
+Peeling nodes without an incoming edge, round by round, leaves every node that lies on a cycle or is
+reachable from one.  A peel takes a round for each level, so a chain of n edges would take n rounds.
+Here a round contracts chains before it peels:
+
+- A node with a single incoming edge shares the fate of its parent.  Pointer jumping leads it, in
+  O(log length) steps, to the head of its chain: the first node with no or several incoming edges.
+  Pointers that never end run into a circle, so their nodes stay.
+- Edges between heads are the graph that is left.  Heads without an incoming edge are peeled with
+  their edges; a head with an edge to itself, or from a circle, stays.
+
+When no node can be peeled, every node has an incoming edge and stays.  The rounds are then undone in
+reverse, each with one join: a node stays if its head does.  All steps are equi joins and map-side
+combined aggregates on written tables; nothing is gathered, and a hub is summed before the shuffle.
 """
 
 from __future__ import annotations
@@ -14,20 +23,68 @@ from pyspark.sql import functions as F
 from scholarweave.session import cut_lineage
 
 
-def residual_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
-    e = cut_lineage(e, "residual-edges")
-    n = e.count()
+def chain_heads(parent: DataFrame) -> DataFrame:
+    """(node, head) for ``parent`` (node, up), one row a node: where the way up ends, null if it never does.
+
+    Pointers double each step.  The nodes of a chain have every distance up to its length, so a step
+    after which no further pointer has ended leaves only ways into a circle.
+    """
+    before = None
     while True:
-        has_in = e.select(F.col("dst").alias("node")).distinct()
-        nxt = cut_lineage(e.join(has_in, e["src"] == has_in["node"], "left_semi"), "residual-edges")
-        m = nxt.count()
-        if m == n:
-            return nxt
-        e, n = nxt, m
+        far = parent.select(F.col("node").alias("up"), F.col("up").alias("far"))
+        parent = cut_lineage(parent.select("node", "up").join(far, "up", "left").select(
+            "node", F.coalesce("far", "up").alias("up"), F.col("far").isNotNull().alias("moves")), "residual-jump")
+        moving = parent.where("moves").count()
+        if moving in (0, before):
+            return parent.select("node", F.when(~F.col("moves"), F.col("up")).alias("head"))
+        before = moving
+
+
+def _contract(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """One round: the contracted, peeled edges and (node, head) of the nodes taken out; None if none can be peeled.
+
+    A null src is a circle, so is a null head: the node stays.
+    """
+    into = cut_lineage(edges.groupBy("dst").agg(
+        F.count("*").alias("n"), F.min("src").alias("up"), F.count_if(F.col("src").isNull()).alias("circles")),
+        "residual-degree")
+    roots = cut_lineage(edges.select("src").dropna().distinct().join(
+        into.select(F.col("dst").alias("src")), "src", "left_anti"), "residual-roots")
+    if roots.isEmpty():
+        return None
+    stay = into.where("circles > 0").select(F.col("dst").alias("node"), F.lit(None).cast(edges.schema["src"].dataType)
+                                            .alias("head"))
+    single = into.where("circles = 0 and n = 1").select(F.col("dst").alias("node"), "up")
+    heads = cut_lineage(chain_heads(single).unionByName(stay), "residual-heads")
+    several = into.where("circles = 0 and n > 1").select("dst")
+    moved = heads.select(F.col("node").alias("src"), "head", F.lit(True).alias("taken"))
+    left = edges.join(several, "dst", "left_semi").join(moved, "src", "left").select(
+        F.when(F.col("taken"), F.col("head")).otherwise(F.col("src")).alias("src"), "dst").join(roots, "src", "left_anti")
+    circle = F.when(F.col("src") != F.col("dst"), F.col("src"))
+    return cut_lineage(left.select(circle.alias("src"), "dst").distinct(), "residual-edges"), heads
 
 
 def residual_nodes(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Nodes on a cycle or reachable from one (the reference's cycle check, on data)."""
-    e = residual_edges(edges, src, dst)
-    return e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
+    """Nodes on a cycle or reachable from one (the reference's cycle check, on data).
+
+    Edges with a null end are ignored, repeated ones count once, an edge from a node to itself is a cycle.
+    """
+    left = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).dropna()
+    left = cut_lineage(left.select(F.when(F.col("src") != F.col("dst"), F.col("src")).alias("src"), "dst").distinct(),
+                       "residual-edges")
+    rounds = []
+    while (done := _contract(left)) is not None:
+        left, heads = done
+        rounds.append(heads)
+    stay = left.select(F.explode(F.array("src", "dst")).alias("node")).dropna().distinct()
+    for heads in reversed(rounds):
+        stay = stay.unionByName(heads.where("head is null").select("node"))
+        back = heads.join(stay.select(F.col("node").alias("head")), "head", "left_semi").select("node")
+        stay = cut_lineage(stay.unionByName(back).distinct(), "residual-stay")
+    return stay
+
+
+def residual_edges(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """The edges that the peel leaves: those from a node that stays."""
+    every = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).dropna().distinct()
+    return every.join(residual_nodes(edges, src, dst).select(F.col("node").alias("src")), "src", "left_semi")

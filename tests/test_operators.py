@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from scholarweave.functions import names as N
 from scholarweave.operators import ids as idops
 from scholarweave.operators import triples as tr
-from scholarweave.operators.residual import residual_nodes
+from scholarweave.operators.residual import residual_edges, residual_nodes
 from scholarweave.sources.html_nodes import parse_html
 
 # --------------------------------------------------------------------------- J5 brute force
@@ -146,6 +146,37 @@ def test_residual_nodes_brute_force(spark):
     assert {"a", "b", "c", "d", "e"} <= got and "x" not in got
 
 
+def test_residual_of_many_random_graphs(spark):
+    """Sparse graphs, one after the other in one edge table, so that chains, circles and both occur."""
+    rnd = random.Random(11)
+    edges, want = [], set()
+    for g in range(60):
+        n, m = rnd.randint(2, 12), rnd.randint(1, 14)
+        own = [(f"{g}.{rnd.randrange(n)}", f"{g}.{rnd.randrange(n)}") for _ in range(m)]
+        edges += own
+        want |= _py_residual(own)
+    df = spark.createDataFrame(edges + [(None, "x"), ("x", None)], "src string, dst string")
+    assert {r.node for r in residual_nodes(df).collect()} == want
+    left = {tuple(r) for r in residual_edges(df).collect()}
+    assert left == {e for e in edges if e[0] in want}
+    assert residual_nodes(df.where("false")).collect() == []
+
+
+def test_a_long_chain_ends_in_few_rounds(spark, monkeypatch):
+    from scholarweave.operators import residual
+    steps = []
+    keep = residual.cut_lineage
+    monkeypatch.setattr(residual, "cut_lineage", lambda df, name: steps.append(name) or keep(df, name))
+    n = 10_000
+    chain = spark.range(n).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    assert residual_nodes(chain).collect() == []
+    assert steps.count("residual-jump") < 20 and steps.count("residual-degree") < 5
+    steps.clear()
+    tail = chain.unionByName(spark.createDataFrame([(n // 2, n // 2 - 5)], "src long, dst long"))
+    got = {r.node for r in residual_nodes(tail).collect()}
+    assert got == set(range(n // 2 - 5, n + 1)) and len([s for s in steps if s in ("residual-jump", "residual-degree")]) < 30
+
+
 # --------------------------------------------------------------------------- H0 hazards
 
 
