@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarweave.functions.text import present
+from scholarweave.operators.skew import skew_join
 from scholarweave.session import cut_lineage
 
 KEY = ["source_url", "item_type"]
@@ -119,14 +120,17 @@ def resolve_roles(roles: DataFrame, persons: DataFrame, ids: DataFrame) -> DataF
     reference nulls it).  The role's key is its ``source_url`` (the division
     URL in both sites that emit roles), so contacts of one division share it.
     Only roles of persons that exist (and have IDs) survive.
+
+    One division, or one person, may have a third of all roles: heavy URLs are split.
     """
-    r = roles.where(present("person_url") & present("division_url"))
-    r = attach_id(r, ids, "DivisionRole", "source_url", "role_id")
-    r = attach_id(r, ids, "Division", "division_url", "division_id")
-    p = persons.select(F.col("source_url").alias("_p_url"), F.col("id").alias("person_id"))
-    return (r.join(p, r["person_url"] == p["_p_url"], "inner").drop("_p_url")
-             .select("role_id", "name", "source_url", "division_url", "person_url",
-                     "division_id", "person_id"))
+    named = roles.where(present("person_url") & present("division_url")).select(
+        "name", "source_url", "division_url", "person_url")
+    for item_type, url, out in (("DivisionRole", "source_url", "role_id"), ("Division", "division_url", "division_id")):
+        known = ids.where(F.col("item_type") == item_type).select(F.col("source_url").alias("_url"), F.col("id").alias(out))
+        named = skew_join(named, known, F.col(url), F.col("_url"), "left").drop("_url")
+    p = persons.select(F.col("source_url").alias("_url"), F.col("id").alias("person_id"))
+    return skew_join(named, p, F.col("person_url"), F.col("_url")).select(
+        "role_id", "name", "source_url", "division_url", "person_url", "division_id", "person_id")
 
 
 def assign_organization(entities: DataFrame, orgs: DataFrame, on: str = "source",

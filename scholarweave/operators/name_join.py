@@ -1,9 +1,6 @@
 """Person equivalence across tables (J6): equi join on lastname + prefix residual.
 
-A popular lastname is a hot join key.  With ``salt_buckets > 1`` the left
-rows of every key are spread over that many sub-keys and the right rows are
-replicated to each, so no single task holds a hot key's whole left side; AQE's
-skew-join split covers the rest.  Never a cross join.
+A popular lastname is a hot join key: the heavy ones are found and split by ``skew_join``.  Never a cross join.
 """
 
 from __future__ import annotations
@@ -12,19 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarweave.functions.names import names_equivalent
+from scholarweave.operators.skew import skew_join
 
 
 def join_equivalent_names(left: DataFrame, right: DataFrame, left_name: str, right_name: str,
-                          how: str = "inner", salt_buckets: int = 1) -> DataFrame:
-    l = left.withColumn("_j_last", F.col(left_name)["lastname"])
-    r = right.withColumn("_j_last_r", F.col(right_name)["lastname"])
-    if salt_buckets > 1:
-        l = l.withColumn("_j_salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salt_buckets)))
-        r = r.withColumn("_j_salt_r", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")))
-        cond = (l["_j_last"] == r["_j_last_r"]) & (l["_j_salt"] == r["_j_salt_r"])
-        drop = ["_j_last", "_j_last_r", "_j_salt", "_j_salt_r"]
-    else:
-        cond = l["_j_last"] == r["_j_last_r"]
-        drop = ["_j_last", "_j_last_r"]
-    cond = cond & names_equivalent(l[left_name], r[right_name])
-    return l.join(r, cond, how).drop(*drop)
+                          how: str = "inner", partitions: int | None = None) -> DataFrame:
+    """Rows with equivalent names; the two name columns must have different names."""
+    return skew_join(left, right, F.col(left_name)["lastname"], F.col(right_name)["lastname"], how,
+                     names_equivalent(F.col(left_name), F.col(right_name)), partitions)

@@ -132,7 +132,7 @@ def name_equivalence_join(spark: SparkSession, sf: str) -> DataFrame:
     right = (p.select(F.struct(F.concat(F.substring(nm["firstname"], 1, 1), F.lit(".")).alias("firstname"),
                                nm["lastname"].alias("lastname")).alias("r_name"))
               .distinct())
-    j = join_equivalent_names(left, right, "name", "r_name", salt_buckets=4)
+    j = join_equivalent_names(left, right, "name", "r_name")
     return j.select("p_partkey", F.col("r_name.firstname").alias("r_firstname"),
                     F.col("r_name.lastname").alias("r_lastname"))
 
@@ -228,5 +228,5 @@ def names_without_person(spark: SparkSession, sf: str) -> DataFrame:
     right = (p.where(F.col("p_size") > 45)
               .select(F.struct(F.concat(F.substring(nm["firstname"], 1, 1), F.lit(".")).alias("firstname"),
                                nm["lastname"].alias("lastname")).alias("r_name")).distinct())
-    anti = join_equivalent_names(left, right, "name", "r_name", how="left_anti", salt_buckets=4)
+    anti = join_equivalent_names(left, right, "name", "r_name", how="left_anti")
     return anti.select("p_partkey", F.col("name.firstname").alias("firstname"), F.col("name.lastname").alias("lastname"))
