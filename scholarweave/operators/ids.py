@@ -33,18 +33,6 @@ def empty_registry(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], REGISTRY_SCHEMA)
 
 
-def read_registry(spark: SparkSession, path: str | None) -> DataFrame:
-    """Registry table at ``path`` (parquet), or an empty one."""
-    if not path:
-        return empty_registry(spark)
-    try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
-    except Exception as exc:  # noqa: BLE001 - a missing path means "no registry yet"
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return empty_registry(spark)
-        raise
-
-
 def needed_keys(*frames: DataFrame) -> DataFrame:
     """Union of ``(source_url, item_type)`` key frames, blanks dropped, distinct."""
     out = None

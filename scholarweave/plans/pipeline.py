@@ -12,13 +12,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarweave.operators import ids as idops
 from scholarweave.plans.graph import Graph, build_graph
 from scholarweave.plans.sites import gesis, hiig, knowcenter, zbw
 from scholarweave.schemas import ENTITY_FIELDS, conform
 from scholarweave.session import cut_lineage
 from scholarweave.sources.pages import domain_source, seed_domains
-from scholarweave.sinks.writers import append_registry, write_entities, write_ntriples
+from scholarweave.sinks.registry import append_registry, read_registry
+from scholarweave.sinks.writers import write_entities, write_ntriples
 
 SITES = {"gesis": gesis, "hiig": hiig, "zbw": zbw}
 # Item types a site run can emit; each run rewrites all of them for its source (K2).
@@ -83,7 +83,7 @@ def run_sites(spark: SparkSession, inputs: dict[str, DataFrame], out_dir: str |
     """
     crawled = {site: crawl_site(spark, site, pages) for site, pages in inputs.items()}
     ents = {item_type: unite(spark, crawled, item_type) for item_type in OUTPUT_TYPES}
-    registry = idops.read_registry(spark, registry_path) if registry_path else None
+    registry = read_registry(spark, registry_path) if registry_path else None
     graph = build_graph(ents["Organization"], ents["Division"], ents["Person"], ents["DivisionRole"].drop("source"),
                         registry, publications=ents["Publication"])
     paths: dict[str, str] = {}

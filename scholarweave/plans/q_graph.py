@@ -17,6 +17,8 @@ from scholarweave.operators import triples as tr
 from scholarweave.plans.graph import build_graph
 from scholarweave.plans.registry import query
 from scholarweave.session import table
+from scholarweave.sinks.registry import append_registry, read_registry
+from scholarweave.streaming.incremental import scratch_dir
 
 ORG_ROOT = "http://org.example.org/"
 PEOPLE_ROOT = "http://people.example.org/"
@@ -303,10 +305,12 @@ new AS (SELECT k.source_url, k.item_type,
 SELECT source_url, item_type, CAST(id AS BIGINT) AS id FROM reg
 UNION ALL SELECT source_url, item_type, CAST(id AS BIGINT) AS id FROM new""")
 def entity_ids_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Second run against a registry from a first run: old IDs kept, new ones after max."""
+    """Second run against the bucketed registry of a first run: old IDs kept, new ones after max."""
     keys = _customer_keys(spark, sf)
+    path = f"{scratch_dir(spark, 'ids')}/registry"
     _, first_rows = idops.assign_ids(keys.where(F.col("c_acctbal") < 5000))
-    ids, _ = idops.assign_ids(keys, registry=first_rows)
+    append_registry(first_rows, path)
+    ids, _ = idops.assign_ids(keys, registry=read_registry(spark, path))
     return ids
 
 

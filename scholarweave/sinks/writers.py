@@ -1,4 +1,4 @@
-"""Sinks: per-type CSV / JSON lines, N-Triples, registry appends.
+"""Sinks: per-type CSV / JSON lines, N-Triples.
 
 CSV cannot hold arrays or structs, so ``serialize_columns`` first applies the
 per-column serializers (K4): a name struct becomes ``"Last, First"``, a name
@@ -64,25 +64,3 @@ def write_ntriples(triples: DataFrame, path: str) -> str:
 def prefix_lines() -> list[str]:
     """Turtle/N3 prefix bindings foaf/core/ero/vcard (LOCAL is not bound) (K7)."""
     return [f"@prefix {k}: <{v}> ." for k, v in PREFIXES.items()]
-
-
-# Registry folder of batch runs; micro-batches are numbered from 0.
-BATCH_RUNS = -1
-
-
-def append_registry(new_rows: DataFrame, registry_path: str, batch_id: int | None = None) -> None:
-    """Add newly assigned IDs to the registry table (K6).
-
-    The table always has one ``batch_id=`` folder per writer, so batch runs and
-    streams can share it: batch runs append to ``BATCH_RUNS``, and a micro-batch
-    overwrites its own folder as a whole, so replaying it writes the same rows
-    again instead of duplicates.
-    """
-    rows = new_rows.select("source_url", "item_type", "id")
-    if batch_id is None:
-        (rows.withColumn("batch_id", F.lit(BATCH_RUNS)).write.mode("append")
-             .partitionBy("batch_id").parquet(registry_path))
-        return
-    (rows.withColumn("batch_id", F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(registry_path))

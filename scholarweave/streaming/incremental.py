@@ -9,12 +9,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from scholarweave.operators import ids as idops
 from scholarweave.session import ensure_checkpoint_dir
-from scholarweave.sinks.writers import append_registry
+from scholarweave.sinks.registry import append_registry, read_registry
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -23,25 +22,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def read_registry_excluding(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """Registry as of before ``batch_id`` (its own partition is left out, so a replay
-    recomputes exactly the rows it wrote the first time)."""
-    try:
-        reg = spark.read.parquet(path)
-    except AnalysisException as exc:          # no registry written yet (S5)
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
-        return idops.empty_registry(spark)
-    if "batch_id" in reg.columns:
-        reg = reg.where(F.col("batch_id") != batch_id)
-    return reg.select("source_url", "item_type", F.col("id").cast("bigint").alias("id"))
-
-
 def id_batch_writer(registry_path: str, url_col: str, item_type: str):
     """``foreachBatch`` body: register the batch's keys, idempotent per batchId."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        registry = read_registry_excluding(spark, registry_path, batch_id)
+        registry = read_registry(spark, registry_path, batch_id)
         keys = batch.select(F.col(url_col).alias("source_url"), F.lit(item_type).alias("item_type"))
         _, new_rows = idops.assign_ids(keys, registry)
         append_registry(new_rows, registry_path, batch_id)

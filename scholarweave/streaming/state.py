@@ -23,8 +23,8 @@ from scholarweave.functions.text import present
 from scholarweave.operators import ids as idops
 from scholarweave.operators.triples import LOCAL, entity_lines
 from scholarweave.schemas import ENTITY_FIELDS
-from scholarweave.sinks.writers import append_registry
-from scholarweave.streaming.incremental import read_registry_excluding, write_batch
+from scholarweave.sinks.registry import append_registry, read_registry
+from scholarweave.streaming.incremental import write_batch
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -226,7 +226,7 @@ def identify_writer(registry_path: str, out_path: str):
         keys = idops.needed_keys(rows.select(F.col("url").alias("source_url"), "item_type"),
                                  rows.where(role).select(F.col("division_url").alias("source_url"),
                                                          F.lit("Division").alias("item_type")))
-        ids, new = idops.assign_ids(keys, read_registry_excluding(spark, registry_path, batch_id))
+        ids, new = idops.assign_ids(keys, read_registry(spark, registry_path, batch_id))
         append_registry(new, registry_path, batch_id)
         own = ids.select(F.col("source_url").alias("url"), "item_type", "id")
         division = ids.where("item_type = 'Division'").select(F.col("source_url").alias("division_url"),

@@ -6,6 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from scholarweave.operators import ids as idops
+from scholarweave.sinks import registry as R
 from scholarweave.sinks import writers as W
 from scholarweave.streaming import incremental as S
 
@@ -53,14 +54,14 @@ def test_json_lines_and_ntriples(spark):
 
 def test_registry_append_and_second_run(spark):
     reg_path = f"{_tmp()}/registry"
-    assert idops.read_registry(spark, reg_path).count() == 0                  # S5
+    assert R.read_registry(spark, reg_path).count() == 0                  # S5
     keys = spark.createDataFrame([("b", "T"), ("a", "T")], "source_url string, item_type string")
-    _, new = idops.assign_ids(keys, idops.read_registry(spark, reg_path))
-    W.append_registry(new, reg_path)
+    _, new = idops.assign_ids(keys, R.read_registry(spark, reg_path))
+    R.append_registry(new, reg_path)
     more = spark.createDataFrame([("c", "T"), ("a", "T")], "source_url string, item_type string")
-    ids, new2 = idops.assign_ids(more, idops.read_registry(spark, reg_path))
-    W.append_registry(new2, reg_path)
-    got = {r.source_url: r.id for r in idops.read_registry(spark, reg_path).collect()}
+    ids, new2 = idops.assign_ids(more, R.read_registry(spark, reg_path))
+    R.append_registry(new2, reg_path)
+    got = {r.source_url: r.id for r in R.read_registry(spark, reg_path).collect()}
     assert got == {"a": 1, "b": 2, "c": 3}
     assert {r.source_url: r.id for r in ids.collect()} == {"a": 1, "c": 3}
 
@@ -85,3 +86,36 @@ def test_stream_ids_replay_is_idempotent(spark):
     S.id_batch_writer(f"{work}/reg", "url", "Page")(batch1, 1)
     again = sorted((r.source_url, r.id) for r in spark.read.parquet(f"{work}/reg").collect())
     assert again == [("http://x/1", 1), ("http://x/2", 2), ("http://x/3", 3)]
+
+
+def test_lookup_leaves_the_registry_in_its_buckets(spark):
+    reg_path = f"{_tmp()}/registry"
+    keys = spark.range(500).selectExpr("concat('u', id) source_url", "if(id % 3 = 0, 'A', 'B') item_type")
+    for part in (keys.where("source_url < 'u3'"), keys):
+        _, new = idops.assign_ids(part, R.read_registry(spark, reg_path))
+        R.append_registry(new, reg_path, buckets=16)
+    got = R.read_registry(spark, reg_path)
+    assert got.count() == 500 and got.dropDuplicates(["item_type", "id"]).count() == 500
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = keys.join(got, ["source_url", "item_type"], "left")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "FileScan" in line)
+    lines = plan.splitlines()
+    assert sum("Exchange" in line for line in lines) == 1                # of the run's keys
+    assert "Bucketed: true" in lines[scan] and not any("Exchange" in line for line in lines[scan - 3:scan])
+
+
+def test_a_replayed_micro_batch_replaces_its_ids(spark):
+    reg_path = f"{_tmp()}/registry"
+    rows = lambda *r: spark.createDataFrame(list(r), "source_url string, item_type string, id long")
+    R.append_registry(rows(("a", "T", 1)), reg_path)
+    R.append_registry(rows(("b", "T", 2), ("c", "T", 3)), reg_path, 0)
+    R.append_registry(rows(("d", "T", 4)), reg_path, 1)
+    R.append_registry(rows(("b", "T", 2)), reg_path, 0)
+    ids = lambda b=None: sorted(r.id for r in R.read_registry(spark, reg_path, b).collect())
+    assert ids() == [1, 2, 4] and ids(0) == [1, 4]
+    R.append_registry(rows().limit(0), reg_path, 0)
+    assert ids() == [1, 4]
