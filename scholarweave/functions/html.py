@@ -218,6 +218,30 @@ def preceding(nodes, ctx: Column, pred: Pred) -> Column:
     return F.try_element_at(cand, F.lit(-1))
 
 
+def with_preceding(nodes, items: Pred, marks: Pred, build: Callable[[Column, Column], Column]) -> Column:
+    """``build(item, mark)`` of every item with the nearest mark that ends before it, or NULL.
+
+    One pass over the page's items and marks in document order: the item at place i that is the k-th
+    item has i - k marks before it, so its mark is looked up, not searched.  Only an item inside a mark
+    looks among the earlier ones.
+    """
+    both = F.transform(F.filter(_c(nodes), any_of(items, marks)), lambda n, i: F.struct(
+        n.alias("n"), i.alias("i"), F.coalesce(items(n), F.lit(False)).alias("item")))
+
+    def build_all(b):
+        heads = F.transform(F.filter(b, lambda x: ~x["item"]), lambda x: x["n"])
+
+        def one_item(x, k):
+            last = x["i"] - k
+            near = F.get(heads, last - 1)
+            earlier = F.filter(F.slice(heads, F.lit(1), last), lambda h: h["end"] < x["n"]["pos"])
+            before = F.when(last > 0, F.when(near["end"] < x["n"]["pos"], near).otherwise(
+                F.try_element_at(earlier, F.lit(-1))))
+            return build(x["n"], before)
+        return F.transform(F.filter(b, lambda x: x["item"]), one_item)
+    return F.flatten(F.transform(F.array(both), build_all))
+
+
 def following_text_sibling(nodes, ctx: Column) -> Column:
     """``following-sibling::text()[1]``."""
     arr = _c(nodes)

@@ -28,13 +28,14 @@ Hook = Callable[[Column, Callable[[str], Column]], Column]   # (value, value of
 def explode_feed(df: DataFrame, json_col: str = "doc") -> DataFrame:
     """One row per document of a nested feed, with its position in the feed (S3).
 
-    A feed is one input row: its documents are dealt over the tasks by position.
+    A feed is one input row: its documents are dealt over the tasks by feed and position, so that neither
+    one large feed nor many feeds of one document end up in one task.
     """
-    parsed = df.withColumn("_feed", F.from_json(json_col, FEED))
+    parsed = df.withColumn("_feed", F.from_json(json_col, FEED)).withColumn("_hash", F.xxhash64(json_col))
     return (parsed.select("*", F.posexplode("_feed.DataSet.documents.document").alias("doc_pos", "_d"))
                   .select(*[c for c in df.columns if c != json_col], "doc_pos",
-                          F.col("_d.features.feature").alias("features"))
-                  .repartition("doc_pos"))
+                          F.col("_d.features.feature").alias("features"), F.xxhash64("_hash", "doc_pos").alias("_deal"))
+                  .repartition("_deal").drop("_deal"))
 
 
 def parse_document(json_col: str = "doc") -> Column:

@@ -55,7 +55,7 @@ def _contract(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     stay = into.where("circles > 0").select(F.col("dst").alias("node"), F.lit(None).cast(edges.schema["src"].dataType)
                                             .alias("head"))
     single = into.where("circles = 0 and n = 1").select(F.col("dst").alias("node"), "up")
-    heads = cut_lineage(chain_heads(single).unionByName(stay), "residual-heads")
+    heads = chain_heads(single).unionByName(stay)               # reads of two written tables
     several = into.where("circles = 0 and n > 1").select("dst")
     moved = heads.select(F.col("node").alias("src"), "head", F.lit(True).alias("taken"))
     left = edges.join(several, "dst", "left_semi").join(moved, "src", "left").select(

@@ -12,8 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholarweave.session import cut_lineage
-
 LANES_A_PARTITION = 8       # a lane is this part of a mean partition, so that lanes fill partitions evenly
 _MOST_TRACKED = 1_000_000   # Spark's limit for items of a sketch
 
@@ -33,22 +31,35 @@ def heavy_hitters(df: DataFrame, key: Column, partitions: int) -> DataFrame:
     return counted.where(F.col("rows") > lane).select("key", F.ceil(F.col("rows") / lane).cast("int").alias("lanes"))
 
 
+def _broadcast(df: DataFrame) -> bool:
+    """The planner will broadcast ``df``: by its statistics it is within ``spark.sql.autoBroadcastJoinThreshold``."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def skew_join(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, how: str = "inner",
               residual: Column | None = None, partitions: int | None = None) -> DataFrame:
     """``left`` joined to ``right`` on equal keys (and ``residual``); inner, left, left_semi or left_anti.
 
     A key that is heavy on the left is split into lanes: a left row takes one by its hash, right rows go
     to each.  In an inner join a key heavy on the right is split too, and then left rows go to each of
-    those lanes.  Both tables are read twice, so cut the lineage of dear ones first.
+    those lanes.  Both tables are read twice, so cut the lineage of dear ones first.  A right side that is
+    small enough to be broadcast is joined plainly: nothing is dealt by key then.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot split the rows of a {how} join")
-    n = partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = heavy_hitters(left, left_key, n).withColumnRenamed("lanes", "a")
-    b = heavy_hitters(right, right_key, n).withColumnRenamed("lanes", "b")
-    lanes = a.join(b, "key", "full") if how == "inner" else a.withColumn("b", F.lit(1))
-    lanes = cut_lineage(lanes.select("key", F.coalesce("a", F.lit(1)).alias("a"), F.coalesce("b", F.lit(1)).alias("b")),
-                        "heavy")
+    spark = left.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = left_key == right_key if residual is None else (left_key == right_key) & residual
+    if _broadcast(right):
+        return left.join(right, plain, how)
+    # one row a heavy key, so never more than LANES_A_PARTITION * n of a side
+    a = {r.key: r.lanes for r in heavy_hitters(left, left_key, n).collect()}
+    b = {r.key: r.lanes for r in heavy_hitters(right, right_key, n).collect()} if how == "inner" else {}
+    if not a and not b:
+        return left.join(right, plain, how)
+    kind = left.select(left_key.alias("key")).schema["key"].dataType.simpleString()
+    lanes = spark.createDataFrame([(k, a.get(k, 1), b.get(k, 1)) for k in {**a, **b}], f"key {kind}, a int, b int")
 
     def dealt(df: DataFrame, key: Column, own: str, other: str, side: str) -> DataFrame:
         """Own lane by the row's hash, all lanes of the other side."""

@@ -12,12 +12,13 @@ from scholarweave.functions import html as H
 from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.operators import triples as tr
+from scholarweave.plans.pipeline import unite
 from scholarweave.plans.q_graph import render_divisions, render_orgs, render_persons
 from scholarweave.plans.q_records import _class_sql, _heading, _heading_sql
 from scholarweave.plans.registry import query
 from scholarweave.session import table
 from scholarweave.sources.html_nodes import parse_pages
-from scholarweave.sources.pages import follow_links
+from scholarweave.sources.pages import follow_links, merge_detail
 
 NBSP = " "
 W1 = "split_part(p_name, ' ', 1)"
@@ -350,10 +351,8 @@ def detail_merge_left_outer(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
     det = li.groupBy("l_orderkey").agg(F.year(F.min("l_shipdate")).cast("string").alias("d_year")) \
             .withColumn("d_type", F.lit("Article"))
-    j = lst.join(det, lst.o_orderkey == det.l_orderkey, "left")
-    hit = F.col("l_orderkey").isNotNull()
-    return j.select("o_orderkey", F.when(hit, F.col("d_year")).otherwise(F.col("l_year")).alias("year"),
-                    F.coalesce("l_type", "d_type").alias("publication_type"), hit.alias("has_detail"))
+    items = lst.withColumnsRenamed({"l_year": "year", "l_type": "publication_type"})
+    return merge_detail(items, det, "o_orderkey", "l_orderkey", {"year": "d_year"}, {"publication_type": "d_type"})
 
 
 @query("academic_titles", """
@@ -388,15 +387,14 @@ SELECT 'supplier', 'http://people.example.org/s/' || CAST(s_suppkey AS VARCHAR),
 def entity_union(spark: SparkSession, sf: str) -> DataFrame:
     """Items of one type from several sources in one table; missing fields NULL."""
     c = table(spark, sf, "customer").select(
-        F.lit("customer").alias("source"),
         F.concat(F.lit("http://people.example.org/c/"), F.col("c_custkey").cast("string")).alias("source_url"),
-        F.replace("c_name", F.lit("#"), F.lit(" ")).alias("name"), F.col("c_mktsegment").alias("position"))
+        F.replace("c_name", F.lit("#"), F.lit(" ")).alias("name"), F.array("c_mktsegment").alias("position"))
     s = table(spark, sf, "supplier").select(
-        F.lit("supplier").alias("source"),
         F.concat(F.lit("http://people.example.org/s/"), F.col("s_suppkey").cast("string")).alias("source_url"),
         F.replace("s_name", F.lit("#"), F.lit(" ")).alias("name"),
         F.concat(F.lit("+49 40 "), F.col("s_suppkey").cast("string")).alias("phone"))
-    return c.unionByName(s, allowMissingColumns=True).select("source", "source_url", "name", "position", "phone")
+    people = unite(spark, {"customer": {"Person": c}, "supplier": {"Person": s}}, "Person")
+    return people.select("source", "source_url", "name", F.get("position", 0).alias("position"), "phone")
 
 
 @query("unexported_counts", """

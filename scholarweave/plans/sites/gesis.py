@@ -12,7 +12,7 @@ from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
-from scholarweave.sources.pages import dedup_requests, follow_links, route, with_nodes
+from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, with_nodes
 
 ROOT = "http://www.gesis.org/"
 SEEDS = ["http://www.gesis.org/das-institut/adresse-und-anreise/standort-koeln/",
@@ -126,10 +126,9 @@ def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     person_pages = follow_links(dedup_requests(linked.select(F.col("link").alias("url")), "url"), p, "url")
     fetched = person_pages.select(F.col("url").alias("source_url"))
     merged = linked.join(fetched, linked.link == fetched.source_url, "inner")
-    # a person linked by several contacts is one person: the first division's contact counts
-    once = merged.groupBy("source_url").agg(
-        F.min_by(F.struct("name", "firstname", "lastname", "title"), "division_url").alias("c"))
-    persons = (once.select("source_url", "c.*")
+    # a person linked by several contacts is one person: the first contact of the first division counts
+    once = first_of(merged, "source_url", ["division_url", "contact_pos"], ["name", "firstname", "lastname", "title"])
+    persons = (once
                .unionByName(people.where(F.col("link").isNull())
                             .select(F.lit(None).cast("string").alias("source_url"), "name", "firstname",
                                     "lastname", "title")))

@@ -12,7 +12,7 @@ from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
-from scholarweave.sources.pages import dedup_requests, follow_links, route, with_nodes
+from scholarweave.sources.pages import dedup_requests, follow_links, merge_detail, route, with_nodes
 
 SEEDS = ["http://www.hiig.de/institute/organisation/", "http://www.hiig.de/personen/",
          "http://www.hiig.de/publikationen-des-hiig/"]
@@ -56,19 +56,16 @@ def extract_person(pages: DataFrame) -> DataFrame:
 
 def extract_publication_list(pages: DataFrame) -> DataFrame:
     items = desc(find(H.has_id("content")), H.has_class("publication-APA"))
-    heads = F.transform(H.select(NODES, H.element("h3")), lambda h: F.struct(
-        h["end"].alias("end"), F.array_join(H.child_texts(NODES, h), "").alias("text")))
 
-    def item(it):
-        before = F.filter("heads", lambda h: h["end"] < it["pos"])        # H10
+    def item(it, head):
         return F.struct(
             H.child_texts(NODES, it).alias("t"), H.step_text(NODES, H.children(NODES, it, el("em"))).alias("em"),
             F.get(H.children(NODES, it, el("a")), 0)["attrs"]["href"].alias("source_url"),
-            F.coalesce(F.try_element_at(before, F.lit(-1))["text"], F.lit("")).alias("heading"))
+            F.coalesce(F.when(head.isNotNull(), F.array_join(H.child_texts(NODES, head), "")), F.lit("")).alias("heading"))
 
     # only finished items are exploded, never the page's nodes
-    rows = (pages.select("nodes", heads.alias("heads"))
-            .select(F.posexplode(F.transform(nodes_of(items), item)).alias("item_pos", "it")).select("item_pos", "it.*"))
+    cut = H.with_preceding(NODES, items, H.element("h3"), item)           # H10
+    rows = pages.select(F.posexplode(cut).alias("item_pos", "it")).select("item_pos", "it.*")
     cit = C.hiig_citation(F.get("t", 0), F.get("t", 1), F.col("em"), F.col("heading"))
     return rows.select(
         "source_url", "item_pos",
@@ -113,16 +110,13 @@ def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     # Details are requested per list item (dont_filter): fetch each URL's page once, join back per item.
     detail_pages = with_nodes(follow_links(lst.select(F.col("source_url").alias("url")).distinct(), p, "url"))
     det = extract_publication_detail(detail_pages)
-    j = lst.join(det, lst.source_url == det.d_url, "left")       # J2: list row kept when the detail is missing
-    hit = F.col("d_url").isNotNull()
-    pubs = j.select(
-        "source_url", "title",
-        F.when(hit, F.col("d_year")).otherwise(F.col("year")).alias("year"),            # J4
-        F.coalesce("publication_type", F.when(hit, F.col("d_type"))).alias("publication_type"),
-        F.when(hit & F.col("d_published_in").isNotNull(), F.col("d_published_in"))
-         .otherwise(F.col("published_in")).alias("published_in"),
-        F.col("d_publisher").alias("publisher"), "startpage", "endpage",
-        F.when(hit, F.col("d_author_urls")).alias("author_urls"),
-        F.when(hit, F.col("d_author_names")).otherwise(F.col("author_names")).alias("author_names"),
-        F.col("d_abstract").alias("abstract"), "parsed_ok")
+    # The detail's year, authors and, if it names one, place of publication win; its type fills in
+    pubs = merge_detail(lst, det, "source_url", "d_url",
+                        wins={"year": "d_year", "author_names": "d_author_names"},
+                        fills={"publication_type": "d_type"},
+                        adds={"d_in": "d_published_in", "publisher": "d_publisher", "author_urls": "d_author_urls",
+                              "abstract": "d_abstract"})
+    pubs = pubs.withColumn("published_in", F.coalesce("d_in", "published_in")).select(
+        "source_url", "title", "year", "publication_type", "published_in", "publisher", "startpage", "endpage",
+        "author_urls", "author_names", "abstract", "parsed_ok")
     return {"Organization": orgs, "Person": persons, "Publication": pubs}

@@ -12,7 +12,7 @@ from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.plans.sites._sel import NODES, all_text, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
-from scholarweave.sources.pages import dedup_requests, follow_links, route, with_nodes
+from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, with_nodes
 
 ROOT = "http://www.zbw.eu"
 SEEDS = ["http://www.zbw.eu/de/forschung/", "http://www.zbw.eu/de/impressum/"]
@@ -118,8 +118,7 @@ def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     pinfo = cut_lineage(extract_person_page(person_pages), "persons")
     # a person linked from several divisions is one person: the first division's contact box counts
     fields = ["name", "firstname", "lastname", "title", "phone", "street_address", "postal_code", "city"]
-    contacts = (contacts.groupBy("person_url")
-                .agg(F.min_by(F.struct(*fields), "division_url").alias("c")).select("person_url", "c.*"))
+    contacts = first_of(contacts, "person_url", ["division_url"], fields)
     persons = contacts.join(pinfo, contacts.person_url == pinfo.source_url, "inner").select(
         "source_url", "name", "firstname", "lastname", "title", "phone", "street_address", "postal_code", "city",
         "position")

@@ -91,6 +91,16 @@ def dedup_requests(frontier: DataFrame, url_col: str = "url", dont_filter: bool
     return frontier if dont_filter else frontier.dropDuplicates([url_col])
 
 
+def first_of(rows: DataFrame, key: str, order: list[str], fields: list[str]) -> DataFrame:
+    """One entity per ``key``: the ``fields`` of its first row by ``order``, rest of a tie by the fields.
+
+    An aggregate with map-side combine; a key may have any number of rows.  ``order`` columns sort nulls first.
+    """
+    by = [F.col(c).alias(f"_by{i}") for i, c in enumerate(order)]
+    return rows.groupBy(key).agg(F.min(F.struct(*by, *fields)).alias("_first")).select(
+        key, *[F.col(f"_first.{f}").alias(f) for f in fields])
+
+
 def follow_links(frontier: DataFrame, pages: DataFrame, url_col: str = "url",
                  how: str = "inner", page_url: str = "url") -> DataFrame:
     """``Request(url, meta=...)`` -> the fetched page row plus the carried columns.
@@ -101,3 +111,20 @@ def follow_links(frontier: DataFrame, pages: DataFrame, url_col: str = "url",
     """
     p = pages.withColumnRenamed(page_url, "_page_url")
     return frontier.join(p, frontier[url_col] == p["_page_url"], how).drop("_page_url")
+
+
+def merge_detail(items: DataFrame, details: DataFrame, item_key: str, detail_key: str, wins: dict[str, str],
+                 fills: dict[str, str], adds: dict[str, str] | None = None) -> DataFrame:
+    """List rows with what their detail page says; a row whose detail is missing is kept as it is.
+
+    Item column -> detail column: ``wins`` takes the detail's value whenever there is a detail, ``fills``
+    only where the item has none, ``adds`` are new columns.  ``has_detail`` tells if there was one.
+    """
+    hit = F.col("_hit").isNotNull()
+    d = details.select(F.col(detail_key).alias("_key"), F.lit(True).alias("_hit"),
+                       *[F.col(c).alias(f"_d_{c}") for c in {*wins.values(), *fills.values(), *(adds or {}).values()}])
+    merged = {**{c: F.when(hit, F.col(f"_d_{v}")).otherwise(F.col(c)) for c, v in wins.items()},
+              **{c: F.coalesce(F.col(c), F.col(f"_d_{v}")) for c, v in fills.items()}}
+    return items.join(d, items[item_key] == d["_key"], "left").select(
+        *[merged.get(c, F.col(c)).alias(c) for c in items.columns],
+        *[F.col(f"_d_{v}").alias(c) for c, v in (adds or {}).items()], hit.alias("has_detail"))
