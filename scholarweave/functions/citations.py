@@ -26,8 +26,7 @@ HIIG_TYPES = [
 ]
 
 # Fixed value: a date (or semester) at the end of a talk citation.
-TALK_DATE_AT_END = (r"(((\d{2}\.\s*)?\d{2}\.?\s*-\s*)?(\d{2}\.\s*)?(\d{1,2}\.?|Januar|Februar|M.+rz|April|Mai|Juni|"
-                    r"Juli|August|September|Oktober|November|Dezember)\s*|[WS]S (\d{4}/)?)?\d{4}[.\s]+$")
+TALK_DATE_AT_END = r"(((\d{2}\.\s*)?\d{2}\.?\s*-\s*)?(\d{2}\.\s*)?(\d{1,2}\.?|Januar|Februar|M.+rz|April|Mai|Juni|Juli|August|September|Oktober|November|Dezember)\s*|[WS]S (\d{4}/)?)?\d{4}[.\s]+$"  # noqa: E501
 
 
 def classify(heading, classes: list[tuple[str, str | None]]) -> Column:
@@ -120,6 +119,7 @@ def gesis_citation(title_and_source, heading) -> Column:
     )
 
 
+# The location and the source at the end of a talk citation.
 TALK_LOCATION_RX = r"([^.]+?)[\s.,]+$"
 TALK_SOURCE_RX = r".\s*([^.]+)\.?$"
 # Anchored forms of the two searches.  An unanchored search retries from every

@@ -103,12 +103,6 @@ def parent_is(pred: Pred, nodes="nodes") -> Pred:
     return lambda n: (n["parent"] >= 0) & F.coalesce(pred(F.get(arr, n["parent"])), F.lit(False))
 
 
-def self_or_under(pred: Pred, nodes="nodes") -> Pred:
-    """``descendant-or-self`` by ancestry."""
-    u = under(pred, nodes)
-    return lambda n: F.coalesce(pred(n), F.lit(False)) | u(n)
-
-
 def within(ctxs: Column) -> Pred:
     """Descendant step (H2): inside any node of an explicit context array.
 

@@ -147,15 +147,8 @@ def split_name_title(c) -> Column:
     )
 
 
-def set_name_columns(df, name_col: str = "name_struct"):
-    """Store label, firstname and lastname from one struct."""
-    n = F.col(name_col)
-    return (df.withColumn("firstname", n["firstname"])
-              .withColumn("lastname", n["lastname"]))
-
-
 __all__ = [
     "FIRST_LAST", "LAST_FIRST", "split_name", "split_names", "names_to_lists", "name_label",
     "names_equal", "names_equivalent", "first_equivalent", "name_or_split_list",
-    "link_authors", "split_academic_title", "split_name_title", "set_name_columns", "present",
+    "link_authors", "split_academic_title", "split_name_title", "present",
 ]

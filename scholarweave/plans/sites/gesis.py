@@ -12,11 +12,9 @@ from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
-from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, with_nodes
+from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, seed_urls, with_nodes
 
 ROOT = "http://www.gesis.org/"
-SEEDS = ["http://www.gesis.org/das-institut/adresse-und-anreise/standort-koeln/",
-         "http://www.gesis.org/forschung/angewandte-informatik-und-informationswissenschaft/"]
 # Fixed value: the organisation's name as the site job sets it.
 ORG_NAME = "GESIS - Leibniz-Institut für Sozialwissenschaften"
 
@@ -115,7 +113,7 @@ def extract_publications(pages: DataFrame) -> DataFrame:
 
 def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     p = pages.select("url", "html")
-    seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(SEEDS)).withColumn(
+    seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(seed_urls("gesis"))).withColumn(
         "kind", route("url", [("institut", "organization")], "overview"))), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     div_pages = with_nodes(follow_links(dedup_requests(division_links(seeds.where(F.col("kind") == "overview")),

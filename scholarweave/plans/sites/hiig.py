@@ -12,10 +12,8 @@ from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
-from scholarweave.sources.pages import dedup_requests, follow_links, merge_detail, route, with_nodes
+from scholarweave.sources.pages import dedup_requests, follow_links, merge_detail, route, seed_urls, with_nodes
 
-SEEDS = ["http://www.hiig.de/institute/organisation/", "http://www.hiig.de/personen/",
-         "http://www.hiig.de/publikationen-des-hiig/"]
 ROUTES = [("organisation", "organization"), ("publi", "publications")]
 # Fixed value: the site prefix cut from the organisation page title.
 TITLE_PREFIX = "Organisation | "
@@ -100,7 +98,7 @@ def extract_publication_detail(pages: DataFrame) -> DataFrame:
 
 def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     p = pages.select("url", "html")
-    seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(SEEDS))
+    seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(seed_urls("hiig")))
                                    .withColumn("kind", route("url", ROUTES, "overview"))), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     person_pages = with_nodes(follow_links(dedup_requests(staff_links(seeds.where(F.col("kind") == "overview")),

@@ -12,10 +12,9 @@ from scholarweave.functions import names as N
 from scholarweave.functions import text as T
 from scholarweave.plans.sites._sel import NODES, all_text, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
-from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, with_nodes
+from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, seed_urls, with_nodes
 
 ROOT = "http://www.zbw.eu"
-SEEDS = ["http://www.zbw.eu/de/forschung/", "http://www.zbw.eu/de/impressum/"]
 
 
 def _fix(url) -> F.Column:
@@ -103,7 +102,7 @@ def extract_publications(pages: DataFrame) -> DataFrame:
 def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     """All ZBW entities from a page table ``(url, html)``."""
     p = pages.select("url", "html")
-    seeds = p.where(F.col("url").isin(SEEDS)).withColumn("kind", route("url", [("impressum", "organization")], "overview"))
+    seeds = p.where(F.col("url").isin(seed_urls("zbw"))).withColumn("kind", route("url", [("impressum", "organization")], "overview"))
     seeds = cut_lineage(with_nodes(seeds), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     div_urls = dedup_requests(division_links(seeds.where(F.col("kind") == "overview")), "url")

@@ -38,11 +38,6 @@ def sources_table(spark: SparkSession, rows=None) -> DataFrame:
     return spark.createDataFrame(rows if rows is not None else SEEDS, SOURCES_SCHEMA)
 
 
-def scan_pages(spark: SparkSession, path: str) -> DataFrame:
-    """``pages(page_id, url, html)``."""
-    return spark.read.parquet(path)
-
-
 def host_of(url) -> Column:
     return F.lower(F.try_parse_url(_c(url), F.lit("HOST")))
 
@@ -68,6 +63,11 @@ def domain_filter(pages: DataFrame, domains: list[tuple[str, str]], url_col: str
                  .withColumn("host", host_of(url_col)))
 
 
+def seed_urls(source: str) -> list[str]:
+    """The URLs that a source's crawl starts from."""
+    return [url for s, _, url, _ in SEEDS if s == source]
+
+
 def seed_domains() -> list[tuple[str, str]]:
     return list(dict.fromkeys((s, d) for s, d, _, _ in SEEDS))
 

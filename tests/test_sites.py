@@ -5,6 +5,7 @@ import json
 import pytest
 
 from scholarweave.plans.sites import gesis, hiig, knowcenter, zbw
+from scholarweave.sources.pages import seed_urls
 
 ZBW = {
     "http://www.zbw.eu/de/impressum/":
@@ -38,10 +39,10 @@ ZBW = {
 
 GESIS_PERSON = "http://www.gesis.org/personen/mm/"
 GESIS = {
-    gesis.SEEDS[0]:
+    seed_urls("gesis")[0]:
         '<div id="col3"><div class="csc-default"><p>Unter Sachsenhausen 6-8<br>50667&nbsp;Köln</p>'
         '<p>Tel.: +49 (0)221 47694-0<br>Fax: +49 (0)221 47694-199</p></div></div>',
-    gesis.SEEDS[1]:
+    seed_urls("gesis")[1]:
         '<div id="c12546"><ul><li><a href="../ki/">KI</a></li></ul></div>',
     "http://www.gesis.org/forschung/ki/":
         '<div id="main"><div id="col3"><div class="csc-default"><h1>Knowledge Technologies</h1>'
@@ -58,8 +59,8 @@ GESIS = {
 }
 
 HIIG = {
-    hiig.SEEDS[0]: "<html><head><title>Organisation | HIIG Institut </title></head><body></body></html>",
-    hiig.SEEDS[1]:
+    seed_urls("hiig")[0]: "<html><head><title>Organisation | HIIG Institut </title></head><body></body></html>",
+    seed_urls("hiig")[1]:
         '<ul id="menu-staff"><li><a>Team</a><ul><li><a href="http://www.hiig.de/personen/anna/">Anna</a></li>'
         '<li><a href="http://www.hiig.de/personen/bob/">Bob</a></li></ul></li></ul>',
     "http://www.hiig.de/personen/anna/":
@@ -68,7 +69,7 @@ HIIG = {
         '<a href="mailto:anna|a|hiig.de">Mail</a><a href="http://anna.example">Web</a></div></div>'
         '<div class="research"><div class="staff_position">Researcher</div></div></div>',
     "http://www.hiig.de/personen/bob/": '<div id="main"><div><div><h1>Bob Jones</h1></div></div></div>',
-    hiig.SEEDS[2]:
+    seed_urls("hiig")[2]:
         '<div id="content"><h3>Wissenschaftliche Artikel</h3>'
         '<div class="publication-APA">Schmidt, A., &amp; Jones, B. (2014). A study. <em>Journal X</em>'
         '<a href="http://www.hiig.de/publication/a-study/">more</a></div>'
@@ -276,7 +277,7 @@ def test_long_list_pages_are_cut_in_linear_time(spark):
     body = "".join((f"<h3>{heads[k // 50 % 2]}</h3>" if k % 50 == 0 else "") +
                    f'<div class="publication-APA">Roe, J. (2015). T{k} In E, <em>B{k}</em>, pp.{k}-{k + 1}. X.'
                    f'<a href="http://www.hiig.de/publication/{k}/">m</a></div>' for k in range(n))
-    pages = spark.createDataFrame([(hiig.SEEDS[2], f'<div id="content">{body}</div>')], "url string, html string")
+    pages = spark.createDataFrame([(seed_urls("hiig")[2], f'<div id="content">{body}</div>')], "url string, html string")
     start = time.monotonic()
     rows = hiig.extract_publication_list(with_nodes(pages)).collect()
     assert time.monotonic() - start < 60
