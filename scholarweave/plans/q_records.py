@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from scholarweave.functions import citations as C
 from scholarweave.functions import names as N
 from scholarweave.functions import text as T
-from scholarweave.operators.features import (FEED_PAGE_BASE, feed_publications, parse_document,
+from scholarweave.operators.features import (FEED_PAGE_BASE, feature_value, feed_publications, parse_document,
                                              publication_type_of)
 from scholarweave.plans.registry import query
 from scholarweave.session import table
@@ -157,9 +157,10 @@ def feature_pivot(spark: SparkSession, sf: str) -> DataFrame:
 @query("json_feature_value", """
 SELECT event_id, props->>'$.k' AS k FROM events""")
 def json_feature_value(spark: SparkSession, sf: str) -> DataFrame:
-    """A JSON value as text, scalars unquoted (S3)."""
-    e = table(spark, sf, "events")
-    return e.select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    """A feature's value as text, scalars unquoted, whether it comes as an object or as a plain string (S3)."""
+    e = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    values = F.when(F.col("event_id") % 3 == 0, F.col("k")).otherwise(F.to_json(F.struct(F.col("k").alias("value"))))
+    return e.select("event_id", feature_value(values).alias("k"))
 
 
 # Fixed stand-in headings per part type (test input only).
