@@ -236,6 +236,27 @@ def ntriples_lines(triples: DataFrame) -> DataFrame:
     return triples.select(ntriple(*[F.col(c) for c in TRIPLE_COLS]).alias("line"))
 
 
+def n3_lines(triples: DataFrame) -> DataFrame:
+    """One N3 line per triple, with predicates, classes and datatypes as prefixed names where a binding fits (K5).
+
+    Only IRIs whose rest after the prefix is letters, digits and ``_`` from a letter on are shortened; the
+    lines need the bindings of ``PREFIXES`` before them.
+    """
+    def short(iri: Column) -> Column:
+        out = F.concat(F.lit("<"), iri, F.lit(">"))
+        for name, base in PREFIXES.items():
+            rest = F.substr(iri, F.lit(len(base) + 1))
+            out = F.when(iri.startswith(base) & rest.rlike("^[A-Za-z][A-Za-z0-9_]*$"),
+                         F.concat(F.lit(f"{name}:"), rest)).otherwise(out)
+        return out
+
+    s, p, o, kind, datatype = (F.col(c) for c in TRIPLE_COLS)
+    text = F.concat(F.lit('"'), _escape(o), F.lit('"'))
+    obj = F.when(kind == "iri", short(o)).when(
+        datatype.isNotNull(), F.concat(text, F.lit("^^"), short(datatype))).otherwise(text)
+    return triples.select(F.concat(F.lit("<"), s, F.lit("> "), short(p), F.lit(" "), obj, F.lit(" .")).alias("line"))
+
+
 def entity_lines(item_type: str = "item_type", base: str = LOCAL) -> Column:
     """Sorted N-Triples lines of one entity row (array), whatever its type; no line for types without an exporter.
 

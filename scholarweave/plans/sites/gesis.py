@@ -10,6 +10,7 @@ from scholarweave.functions import citations as C
 from scholarweave.functions import html as H
 from scholarweave.functions import names as N
 from scholarweave.functions import text as T
+from scholarweave.operators.counters import Counters
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
 from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, seed_urls, with_nodes
@@ -68,7 +69,7 @@ def extract_division(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return division, people
 
 
-def extract_publications(pages: DataFrame) -> DataFrame:
+def extract_publications(pages: DataFrame, counters: Counters | None = None) -> DataFrame:
     """Sections under ``.gs_publication > .gs_publication_list .gs_publication_list``; one row per ``p``."""
     outer = kids(find(H.has_class("gs_publication")), H.has_class("gs_publication_list"))
     lists = desc(outer, H.has_class("gs_publication_list"))
@@ -94,7 +95,10 @@ def extract_publications(pages: DataFrame) -> DataFrame:
                                                & T.is_download_link(l["text"])), lambda l: l["href"]), F.lit(-1))
     base = T.fragment_base(F.col("url"))
     t = C.parse_talks(t.withColumn("rest", F.col("ay.rest")), "rest", "talk")
-    is_talk = C.classify(F.col("heading"), C.GESIS_TYPES) == 2
+    kind = C.classify(F.col("heading"), C.GESIS_TYPES)
+    is_talk = kind == 2
+    if counters is not None:
+        t = counters.watch(t, unknown_headings=kind.isNull(), unparsed_talks=is_talk & ~F.col("talk.ok"))
     out = t.select(
         T.publication_key(dl, doi, base, F.col("text")).alias("source_url"),
         F.when(is_talk, F.col("talk.title")).otherwise(cit["title"]).alias("title"),
@@ -111,13 +115,13 @@ def extract_publications(pages: DataFrame) -> DataFrame:
     return kept.drop("_keep")
 
 
-def crawl(pages: DataFrame) -> dict[str, DataFrame]:
+def crawl(pages: DataFrame, counters: Counters | None = None) -> dict[str, DataFrame]:
     p = pages.select("url", "html")
     seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(seed_urls("gesis"))).withColumn(
-        "kind", route("url", [("institut", "organization")], "overview"))), "seeds")
+        "kind", route("url", [("institut", "organization")], "overview")), counters=counters), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     div_pages = with_nodes(follow_links(dedup_requests(division_links(seeds.where(F.col("kind") == "overview")),
-                                                       "url"), p, "url"))
+                                                       "url"), p, "url"), counters=counters)
     division, people = extract_division(div_pages)
     linked = people.where(F.col("link").isNotNull())
     # Each person page is fetched and parsed once, however many contacts link to it.
@@ -132,6 +136,6 @@ def crawl(pages: DataFrame) -> dict[str, DataFrame]:
                                     "lastname", "title")))
     roles = merged.select(F.col("division_url").alias("source_url"), F.lit("Leiter").alias("name"),
                           F.col("source_url").alias("person_url"), "division_url")
-    pubs = extract_publications(with_nodes(person_pages))
+    pubs = extract_publications(with_nodes(person_pages, counters=counters), counters)
     return {"Organization": orgs, "Division": division, "DivisionRole": roles, "Person": persons,
             "Publication": pubs}

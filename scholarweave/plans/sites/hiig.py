@@ -10,6 +10,7 @@ from scholarweave.functions import citations as C
 from scholarweave.functions import html as H
 from scholarweave.functions import names as N
 from scholarweave.functions import text as T
+from scholarweave.operators.counters import Counters
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
 from scholarweave.sources.pages import dedup_requests, follow_links, merge_detail, route, seed_urls, with_nodes
@@ -69,7 +70,8 @@ def extract_publication_list(pages: DataFrame) -> DataFrame:
         "source_url", "item_pos",
         cit["author_names"].alias("author_names"), cit["year"].alias("year"), cit["title"].alias("title"),
         cit["published_in"].alias("published_in"), cit["publication_type"].alias("publication_type"),
-        cit["startpage"].alias("startpage"), cit["endpage"].alias("endpage"), cit["parsed_ok"].alias("parsed_ok"))
+        cit["startpage"].alias("startpage"), cit["endpage"].alias("endpage"), cit["parsed_ok"].alias("parsed_ok"),
+        C.classify(F.col("heading"), C.HIIG_TYPES).isNull().alias("unknown_heading"))
 
 
 def extract_publication_detail(pages: DataFrame) -> DataFrame:
@@ -96,18 +98,21 @@ def extract_publication_detail(pages: DataFrame) -> DataFrame:
         abstract.alias("d_abstract"))
 
 
-def crawl(pages: DataFrame) -> dict[str, DataFrame]:
+def crawl(pages: DataFrame, counters: Counters | None = None) -> dict[str, DataFrame]:
     p = pages.select("url", "html")
     seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(seed_urls("hiig")))
-                                   .withColumn("kind", route("url", ROUTES, "overview"))), "seeds")
+                                   .withColumn("kind", route("url", ROUTES, "overview")), counters=counters), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     person_pages = with_nodes(follow_links(dedup_requests(staff_links(seeds.where(F.col("kind") == "overview")),
-                                                          "url"), p, "url"))
+                                                          "url"), p, "url"), counters=counters)
     persons = extract_person(person_pages)
-    lst = cut_lineage(extract_publication_list(seeds.where(F.col("kind") == "publications")), "publications")
+    lst = extract_publication_list(seeds.where(F.col("kind") == "publications"))
+    if counters is not None:
+        lst = counters.watch(lst, unknown_headings=F.col("unknown_heading"))
+    lst = cut_lineage(lst, "publications")
     # Details are requested per list item (dont_filter): fetch each URL's page once, join back per item.
-    detail_pages = with_nodes(follow_links(lst.select(F.col("source_url").alias("url")).distinct(), p, "url"))
-    det = extract_publication_detail(detail_pages)
+    detail_pages = with_nodes(follow_links(lst.select(F.col("source_url").alias("url")).distinct(), p, "url"), counters=counters)
+    det = cut_lineage(extract_publication_detail(detail_pages), "details")
     # The detail's year, authors and, if it names one, place of publication win; its type fills in
     pubs = merge_detail(lst, det, "source_url", "d_url",
                         wins={"year": "d_year", "author_names": "d_author_names"},

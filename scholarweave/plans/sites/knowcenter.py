@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scholarweave.operators.counters import Counters
 from scholarweave.operators.features import explode_feed, feed_publications
 
 FEED_URL = ("http://oldknowsite.know-center.tugraz.at/wp-content/visualisation-output/"
             "publications/publications.json")
 
 
-def crawl(feeds: DataFrame, body_col: str = "body") -> dict[str, DataFrame]:
+def crawl(feeds: DataFrame, counters: Counters | None = None, body_col: str = "body") -> dict[str, DataFrame]:
     """``feeds(url, body)``: each body a whole feed; documents are exploded, then pivoted in-row."""
     docs = explode_feed(feeds.select("url", F.col(body_col).alias("doc")), "doc")
     pubs = feed_publications(docs, "features", keep=["doc_pos"])
+    if counters is not None:
+        pubs = counters.watch_sums(pubs, unknown_features=F.col("unknown_features"))
     return {"Publication": pubs}

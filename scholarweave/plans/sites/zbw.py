@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scholarweave.functions import html as H
 from scholarweave.functions import names as N
 from scholarweave.functions import text as T
+from scholarweave.operators.counters import Counters
 from scholarweave.plans.sites._sel import NODES, all_text, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
 from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, seed_urls, with_nodes
@@ -99,21 +100,21 @@ def extract_publications(pages: DataFrame) -> DataFrame:
                       "title", "year", "person_url")
 
 
-def crawl(pages: DataFrame) -> dict[str, DataFrame]:
+def crawl(pages: DataFrame, counters: Counters | None = None) -> dict[str, DataFrame]:
     """All ZBW entities from a page table ``(url, html)``."""
     p = pages.select("url", "html")
     seeds = p.where(F.col("url").isin(seed_urls("zbw"))).withColumn("kind", route("url", [("impressum", "organization")], "overview"))
-    seeds = cut_lineage(with_nodes(seeds), "seeds")
+    seeds = cut_lineage(with_nodes(seeds, counters=counters), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     div_urls = dedup_requests(division_links(seeds.where(F.col("kind") == "overview")), "url")
-    div_pages = with_nodes(follow_links(div_urls, p, "url"))
+    div_pages = with_nodes(follow_links(div_urls, p, "url"), counters=counters)
     divs = cut_lineage(extract_division(div_pages), "divisions")
     division = divs.select("source_url", "name", "description")
     roles = divs.select(F.col("source_url"), F.lit("Leiter").alias("name"),
                         F.col("contact.person_url").alias("person_url"), F.col("source_url").alias("division_url"))
     contacts = divs.select(F.col("contact.*"), F.col("source_url").alias("division_url"))
     person_pages = with_nodes(follow_links(dedup_requests(contacts.select(F.col("person_url").alias("url")), "url"),
-                                           p, "url"))
+                                           p, "url"), counters=counters)
     pinfo = cut_lineage(extract_person_page(person_pages), "persons")
     # a person linked from several divisions is one person: the first division's contact box counts
     fields = ["name", "firstname", "lastname", "title", "phone", "street_address", "postal_code", "city"]
@@ -124,7 +125,7 @@ def crawl(pages: DataFrame) -> dict[str, DataFrame]:
     pub_req = pinfo.select(F.col("publications_url").alias("url"), F.col("source_url").alias("person_url"))
     # a publications page that several persons share is requested once (A5)
     pub_req = pub_req.groupBy("url").agg(F.min("person_url").alias("person_url"))
-    pub_pages = with_nodes(follow_links(pub_req, p, "url"))
+    pub_pages = with_nodes(follow_links(pub_req, p, "url"), counters=counters)
     pubs = extract_publications(pub_pages)
     return {"Organization": orgs, "Division": division, "DivisionRole": roles, "Person": persons,
             "Publication": pubs}

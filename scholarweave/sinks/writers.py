@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarweave.functions.names import name_label, names_to_lists
-from scholarweave.operators.triples import PREFIXES, ntriples_lines
+from scholarweave.operators.triples import PREFIXES, n3_lines, ntriples_lines
 
 
 def _is_name(dt: T.DataType) -> bool:
@@ -61,6 +61,17 @@ def write_ntriples(triples: DataFrame, path: str) -> str:
     return path
 
 
+def write_n3(triples: DataFrame, path: str) -> str:
+    """N3 text files with short predicates; the first part holds the prefix bindings, and only it (K5, K7).
+
+    The parts in the order of their names are one valid document.  Bindings and triples are written by
+    one job, so its commit publishes all of them or none.
+    """
+    head = triples.sparkSession.createDataFrame([(line,) for line in prefix_lines()], "line string").coalesce(1)
+    head.union(n3_lines(triples)).write.mode("overwrite").text(path)
+    return path
+
+
 def prefix_lines() -> list[str]:
     """Turtle/N3 prefix bindings foaf/core/ero/vcard (LOCAL is not bound) (K7)."""
     return [f"@prefix {k}: <{v}> ." for k, v in PREFIXES.items()]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarweave.functions.text import _c
+from scholarweave.operators.counters import Counters
 from scholarweave.sources.html_nodes import parse_pages
 
 SOURCES_SCHEMA = T.StructType([
@@ -81,9 +82,15 @@ def route(url_col, rules: list[tuple[str, str]], default: str | None = None) ->
     return out.otherwise(F.lit(default)) if out is not None else F.lit(default)
 
 
-def with_nodes(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Parse each page once into its node array (H0); other columns are carried through."""
-    return parse_pages(pages, html, "nodes")
+def with_nodes(pages: DataFrame, html: str = "html", counters: Counters | None = None) -> DataFrame:
+    """Parse each page once into its node array (H0); other columns are carried through.
+
+    ``counters`` counts ``unparsable_pages``: pages with a text that yields no nodes.
+    """
+    if counters is None:
+        return parse_pages(pages, html, "nodes")
+    parsed = parse_pages(pages.withColumn("_has_html", F.col(html).isNotNull()), html, "nodes")
+    return counters.watch(parsed, unparsable_pages=F.col("_has_html") & F.col("nodes").isNull()).drop("_has_html")
 
 
 def dedup_requests(frontier: DataFrame, url_col: str = "url", dont_filter: bool = False) -> DataFrame:

@@ -52,6 +52,31 @@ def test_json_lines_and_ntriples(spark):
     assert W.prefix_lines()[0] == "@prefix foaf: <http://xmlns.com/foaf/0.1/> ."
 
 
+def test_n3_parts_share_one_set_of_bindings(spark):
+    import re
+
+    from scholarweave.operators.triples import PREFIXES
+    foaf, local = PREFIXES["foaf"], "http://vivo.mydomain.edu/individual/"
+    rows = [(f"{local}{k}", f"{foaf}firstName", f'a"{k}\n', "literal", None) for k in range(40)]
+    rows += [(f"{local}0", "http://www.w3.org/1999/02/22-rdf-syntax-ns#type", f"{foaf}Person", "iri", None),
+             (f"{local}0", f"{foaf}9x", f"{foaf}a/b", "iri", None),                       # no valid short names
+             (f"{local}0", f"{foaf}page", "http://x", "literal", "http://www.w3.org/2001/XMLSchema#anyURI")]
+    t = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, o_datatype string").repartition(4)
+    path = W.write_n3(t, f"{_tmp()}/g.n3")
+    parts = [open(os.path.join(path, f)).read().splitlines() for f in sorted(os.listdir(path)) if f.startswith("part-")]
+    assert parts[0] == W.prefix_lines() and len(parts) > 2
+    lines = [line for p in parts[1:] for line in p]
+    assert not any(line.startswith("@prefix") for line in lines)
+    # expanding the bound names gives the N-Triples lines again
+    bound = dict(re.fullmatch(r"@prefix (\w+): <(.*)> \.", line).groups() for line in parts[0])
+    name = re.compile(r"(?<=[ ^])(\w+):(\w+)(?= )")
+    full = [re.sub(name, lambda m: f"<{bound[m[1]]}{m[2]}>", line) for line in lines]
+    assert sorted(full) == sorted(r.line for r in W.ntriples_lines(t).collect())
+    assert any(" foaf:firstName " in line for line in lines) and any(f"<{foaf}9x> <{foaf}a/b> ." in line for line in lines)
+    empty = W.write_n3(t.limit(0), f"{_tmp()}/e.n3")
+    assert [r.value for r in spark.read.text(empty).collect()] == W.prefix_lines()
+
+
 def test_registry_append_and_second_run(spark):
     reg_path = f"{_tmp()}/registry"
     assert R.read_registry(spark, reg_path).count() == 0                  # S5

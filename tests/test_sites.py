@@ -286,6 +286,37 @@ def test_long_list_pages_are_cut_in_linear_time(spark):
                    for k in range(n)}
 
 
+def test_problems_are_counted_by_the_jobs_themselves(spark):
+    """Exact counts of what a crawl could not use; a site without pages has counts of 0."""
+    from scholarweave.operators.counters import Counters
+    from scholarweave.plans.pipeline import crawl_site
+
+    def problems(site, pages):
+        counters = Counters()
+        crawl_site(spark, site, pages, counters)
+        return counters.totals()
+
+    broken = "<p>a<![bad[x]]>b</p>"       # a marked section that no parser state knows
+    hiig_site = {url: html.replace("<h3>Wissenschaftliche Artikel</h3>", "<h3>Neues</h3>") for url, html in HIIG.items()}
+    changed = sum(hiig_site[u] != HIIG[u] for u in HIIG)
+    gesis_site = {**GESIS, GESIS_PERSON: GESIS[GESIS_PERSON].replace("Monographien", "Neues")}
+    zbw_site = {**ZBW, "http://www.zbw.eu/de/publikationen/kt/": broken,
+                "http://www.zbw.eu/de/forschung/div2/": None}       # no text is no unparsable page
+    feed = {"DataSet": {"documents": {"document": [
+        {"features": {"feature": [{"@id": i, "values": "v"} for i in ("title_DE", "mystery", "mystery", "other")]}},
+        {"features": {"feature": [{"@id": "vispagename", "values": "p"}]}}]}}}
+    feeds = spark.createDataFrame([(knowcenter.FEED_URL, json.dumps(feed))], "url string, body string")
+    p = {site: problems(site, pages) for site, pages in (
+        ("zbw", _pages(spark, zbw_site)), ("gesis", _pages(spark, gesis_site)), ("hiig", _pages(spark, hiig_site)),
+        ("knowcenter", feeds))}
+    assert p["zbw"]["unparsable_pages"] == 1
+    assert p["gesis"] == {"unparsable_pages": 0, "unknown_headings": 1, "unparsed_talks": 1, "items_without_key": 1}
+    assert changed == 1 and p["hiig"]["unknown_headings"] == 1 and p["hiig"]["unparsable_pages"] == 0
+    assert p["knowcenter"] == {"unknown_features": 3, "items_without_key": 1}
+    # no page at all: every count is there, and nothing waits for a hop that Spark found empty
+    assert set(problems("hiig", spark.createDataFrame([], "url string, html string")).values()) == {0}
+
+
 def test_publications_get_ids(spark):
     from scholarweave.plans.pipeline import run_site
     run = run_site(spark, "zbw", _pages(spark, ZBW))
