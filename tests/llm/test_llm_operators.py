@@ -125,12 +125,49 @@ def test_model_thresholds_and_undecided_forms():
     assert 0.9 <= model.threshold["phone"] <= 1 and model.threshold["email"] > 1
     p = model.probability(np.array(x))
     assert ((p >= model.threshold["phone"]) == (np.array(y) == 1)).all()
-    t = "call (523) 555-1055 now, not 12345678"
+    t = "call (523) 555-1055 now, not 12345678"       # bracketed: open; bare digits: implausible
     assert [label for _, label in pii.labelled(t, [])] == [-1, 0]
     assert pii.merge([("ip", 0, 3)], [("phone", 5, 9, 0.9), ("phone", 8, 12, 0.95)]) == [("ip", 0, 3), ("phone", 8, 12)]
     assert pii.redact("ab cd", [("x", 0, 2)]) == "<x> cd"
 
 
+SPELLED = {      # text -> spans beyond the fixed patterns, whatever the corpus holds
+    "write to joe (at) host (dot) org today": [("email", "joe (at) host (dot) org")],
+    "joe (At) host (dot) org": [("email", "joe (At) host (dot) org")],
+    "mail anna.b[at]my-firm.com. And then": [("email", "anna.b[at]my-firm.com")],
+    "we met (at) 12.30 there": [],
+    "call (555) 123-4567": [("phone", "(555) 123-4567")],
+    "reach us at 030 1234567 today": [("phone", "030 1234567")],
+    "or 555-123-4567, say": [("phone", "555-123-4567")],
+    "in 1999-2004, on 2012-05-09 at 12:30:45, of 12345678 and 1 234 567 rows": [],
+    "isbn 978-3-16-148410-0": [],
+    "host 2001:db8::ff00:42:8329 is up": [("ip", "2001:db8::ff00:42:8329")],
+    "fe80:0:0:0:204:61ff:fe9d:f156": [("ip", "fe80:0:0:0:204:61ff:fe9d:f156")],
+    "mac 00:1a:2b:3c:4d:5e, std::vector and 10:20:30": [],
+    "paid with 4111.1111.1111.1111 there": [("card", "4111.1111.1111.1111")],
+    "paid with 4111.1111.1111.1112 there": [],
+    "7536784127813050 4845168114407329": [],
+}
+
+
+@pytest.mark.parametrize("noise", [0, 300])
+def test_spelled_out_forms_do_not_depend_on_the_corpus(spark, noise):
+    """The same spans beside no other candidate, and beside many rejected ones of one kind."""
+    texts = [*SPELLED, *(f"item {10**15 + 7919 * k} of {k}" for k in range(noise))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    for i, (text, wanted) in enumerate(SPELLED.items()):
+        extra = [s for s in got[i].spans if s not in got[i].base]
+        assert [(s.kind, text[s.start:s.end]) for s in extra] == wanted, text
+
+
+def test_rule_made_examples_are_candidates():
+    from scholarweave.llm.pii_forms import examples
+    made = list(examples(100))
+    assert all((k, a, b) in pii.candidates(t) for t, k, a, b, label in made if label), "a form that no generator proposes"
+    assert len(made) == 100 * 2 * len(pii.KINDS) and made == list(examples(100))
+
+
 # ---------------------------------------------------------------- 4 near duplicates
 
 def _shingles(text):
