@@ -26,5 +26,5 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # Import for side effects: each module registers its queries.
-    from scholarweave.plans import (q_contacts, q_graph, q_names, q_pages, q_patterns,  # noqa: F401
+    from scholarweave.plans import (q_contacts, q_crawls, q_graph, q_names, q_pages, q_patterns,  # noqa: F401
                                    q_records, q_sites, q_stream)

@@ -13,9 +13,10 @@ from scholarweave.functions import text as T
 from scholarweave.operators.counters import Counters
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
-from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, seed_urls, with_nodes
+from scholarweave.sources.pages import dedup_requests, first_of, follow_links, seed_pages, with_nodes
 
 ROOT = "http://www.gesis.org/"
+ROUTES = [("institut", "organization")]
 # Fixed value: the organisation's name as the site job sets it.
 ORG_NAME = "GESIS - Leibniz-Institut für Sozialwissenschaften"
 
@@ -115,10 +116,10 @@ def extract_publications(pages: DataFrame, counters: Counters | None = None) ->
     return kept.drop("_keep")
 
 
-def crawl(pages: DataFrame, counters: Counters | None = None) -> dict[str, DataFrame]:
+def crawl(pages: DataFrame, counters: Counters | None = None, seeds: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All GESIS entities from a page table ``(url, html)``; ``seeds`` as in ``seed_pages``."""
     p = pages.select("url", "html")
-    seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(seed_urls("gesis"))).withColumn(
-        "kind", route("url", [("institut", "organization")], "overview")), counters=counters), "seeds")
+    seeds = cut_lineage(with_nodes(seed_pages(p, "gesis", ROUTES, "overview", seeds), counters=counters), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     div_pages = with_nodes(follow_links(dedup_requests(division_links(seeds.where(F.col("kind") == "overview")),
                                                        "url"), p, "url"), counters=counters)

@@ -13,7 +13,7 @@ from scholarweave.functions import text as T
 from scholarweave.operators.counters import Counters
 from scholarweave.plans.sites._sel import NODES, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
-from scholarweave.sources.pages import dedup_requests, follow_links, merge_detail, route, seed_urls, with_nodes
+from scholarweave.sources.pages import dedup_requests, follow_links, merge_detail, seed_pages, with_nodes
 
 ROUTES = [("organisation", "organization"), ("publi", "publications")]
 # Fixed value: the site prefix cut from the organisation page title.
@@ -98,10 +98,10 @@ def extract_publication_detail(pages: DataFrame) -> DataFrame:
         abstract.alias("d_abstract"))
 
 
-def crawl(pages: DataFrame, counters: Counters | None = None) -> dict[str, DataFrame]:
+def crawl(pages: DataFrame, counters: Counters | None = None, seeds: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All HIIG entities from a page table ``(url, html)``; ``seeds`` as in ``seed_pages``."""
     p = pages.select("url", "html")
-    seeds = cut_lineage(with_nodes(p.where(F.col("url").isin(seed_urls("hiig")))
-                                   .withColumn("kind", route("url", ROUTES, "overview")), counters=counters), "seeds")
+    seeds = cut_lineage(with_nodes(seed_pages(p, "hiig", ROUTES, "overview", seeds), counters=counters), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     person_pages = with_nodes(follow_links(dedup_requests(staff_links(seeds.where(F.col("kind") == "overview")),
                                                           "url"), p, "url"), counters=counters)

@@ -13,9 +13,10 @@ from scholarweave.functions import text as T
 from scholarweave.operators.counters import Counters
 from scholarweave.plans.sites._sel import NODES, all_text, desc, el, find, hrefs, kids, nodes_of, nth_el, text, texts
 from scholarweave.session import cut_lineage
-from scholarweave.sources.pages import dedup_requests, first_of, follow_links, route, seed_urls, with_nodes
+from scholarweave.sources.pages import dedup_requests, first_of, follow_links, seed_pages, with_nodes
 
 ROOT = "http://www.zbw.eu"
+ROUTES = [("impressum", "organization")]
 
 
 def _fix(url) -> F.Column:
@@ -100,11 +101,10 @@ def extract_publications(pages: DataFrame) -> DataFrame:
                       "title", "year", "person_url")
 
 
-def crawl(pages: DataFrame, counters: Counters | None = None) -> dict[str, DataFrame]:
-    """All ZBW entities from a page table ``(url, html)``."""
+def crawl(pages: DataFrame, counters: Counters | None = None, seeds: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All ZBW entities from a page table ``(url, html)``; ``seeds`` as in ``seed_pages``."""
     p = pages.select("url", "html")
-    seeds = p.where(F.col("url").isin(seed_urls("zbw"))).withColumn("kind", route("url", [("impressum", "organization")], "overview"))
-    seeds = cut_lineage(with_nodes(seeds, counters=counters), "seeds")
+    seeds = cut_lineage(with_nodes(seed_pages(p, "zbw", ROUTES, "overview", seeds), counters=counters), "seeds")
     orgs = extract_organization(seeds.where(F.col("kind") == "organization"))
     div_urls = dedup_requests(division_links(seeds.where(F.col("kind") == "overview")), "url")
     div_pages = with_nodes(follow_links(div_urls, p, "url"), counters=counters)

@@ -82,6 +82,18 @@ def route(url_col, rules: list[tuple[str, str]], default: str | None = None) ->
     return out.otherwise(F.lit(default)) if out is not None else F.lit(default)
 
 
+def seed_pages(pages: DataFrame, source: str, rules: list[tuple[str, str]], default: str | None = None,
+               seeds: DataFrame | None = None) -> DataFrame:
+    """The pages that a source's crawl starts from, with their ``kind``.
+
+    The source's own few seed URLs are routed by rules; a table ``seeds(url, kind)`` of any size, each URL
+    once, takes their place.
+    """
+    if seeds is None:
+        return pages.where(F.col("url").isin(seed_urls(source))).withColumn("kind", route("url", rules, default))
+    return pages.join(seeds.select("url", "kind"), "url")
+
+
 def with_nodes(pages: DataFrame, html: str = "html", counters: Counters | None = None) -> DataFrame:
     """Parse each page once into its node array (H0); other columns are carried through.
 
