@@ -6,6 +6,8 @@ would show) from real columns; the operators under test come from the library.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ from scholarweave.functions import text as T
 from scholarweave.operators.features import (FEED_PAGE_BASE, feature_value, feed_publications, parse_document,
                                              publication_type_of)
 from scholarweave.plans.registry import query
-from scholarweave.session import table
+from scholarweave.session import ensure_checkpoint_dir, table
+from scholarweave.sources.feed_ranges import read_feed
 
 W1 = "split_part(p_name, ' ', 1)"
 W2 = "split_part(p_name, ' ', 2)"
@@ -154,6 +157,28 @@ def feature_pivot(spark: SparkSession, sf: str) -> DataFrame:
                         "unknown_features"))
 
 
+FEED_SIZE = 500      # documents of one rendered feed
+
+
+@query("feed_document_ranges", f"""
+SELECT p_partkey // {FEED_SIZE} AS feed,
+       row_number() OVER (PARTITION BY p_partkey // {FEED_SIZE} ORDER BY p_partkey) - 1 AS doc_pos,
+       p_name AS title, CAST(p_size + 1990 AS VARCHAR) AS year, {_TYPE_CASE} AS publication_type,
+       '{FEED_PAGE_BASE}' || {_quote_sql("p_name || ' ' || p_brand")} || '.html' AS source_url, 1 AS unknown_features
+FROM part""")
+def feed_document_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Publications of feed files, each read by several tasks."""
+    docs = render_feature_docs(spark, sf).withColumn("feed", F.floor(F.col("p_partkey") / FEED_SIZE))
+    listed = docs.groupBy("feed").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "doc"))).alias("d"))
+    body = F.concat(F.lit('{"DataSet":{"documents":{"document":['),
+                    F.array_join(F.transform("d", lambda x: x["doc"]), ","), F.lit("]}}}"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/feeds-{uuid.uuid4().hex}"
+    listed.select("feed", body.alias("value")).write.partitionBy("feed").text(path)
+    pubs = feed_publications(read_feed(spark, path, range_bytes=64 << 10), keep=["url", "doc_pos"])
+    return pubs.select(F.regexp_extract("url", "feed=([0-9]+)", 1).cast("long").alias("feed"), "doc_pos", "title", "year",
+                       "publication_type", "source_url", "unknown_features")
+
+
 @query("json_feature_value", """
 SELECT event_id, props->>'$.k' AS k FROM events""")
 def json_feature_value(spark: SparkSession, sf: str) -> DataFrame:

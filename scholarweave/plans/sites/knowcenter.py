@@ -13,8 +13,11 @@ FEED_URL = ("http://oldknowsite.know-center.tugraz.at/wp-content/visualisation-o
 
 
 def crawl(feeds: DataFrame, counters: Counters | None = None, body_col: str = "body") -> dict[str, DataFrame]:
-    """``feeds(url, body)``: each body a whole feed; documents are exploded, then pivoted in-row."""
-    docs = explode_feed(feeds.select("url", F.col(body_col).alias("doc")), "doc")
+    """``feeds(url, body)``, each body a whole feed, or the documents that ``read_feed`` cut from feed files."""
+    if "features" in feeds.columns:
+        docs = feeds
+    else:
+        docs = explode_feed(feeds.select("url", F.col(body_col).alias("doc")), "doc")
     pubs = feed_publications(docs, "features", keep=["doc_pos"])
     if counters is not None:
         pubs = counters.watch_sums(pubs, unknown_features=F.col("unknown_features"))
