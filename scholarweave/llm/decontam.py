@@ -38,6 +38,9 @@ BAND = 16                   # candidates whose alignments lie so close are one
 BLOCK_CHARS = 4_000_000     # items searched in one pass over the texts; more items take more passes
 _BITS = 20                  # size of the table that tells most keys apart from all item keys
 _GRAM_BITS = 23             # size of the table of (item, substring) pairs
+LANES = 2048                # candidates whose edit distance is found at once
+POOL, POOL_CHUNKS = 8192, 16    # candidates, or chunks of text, that are verified together
+MAX_BLOCKS = 16             # items of more 64-character blocks are compared one at a time
 
 _PART = np.ones(256, dtype=bool)
 _PART[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
@@ -118,6 +121,15 @@ def _stream(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return out, ends - size, ends - 1
 
 
+def _allowed(chars: np.ndarray) -> np.ndarray:
+    """Edits that SIMILARITY allows an item of so many characters."""
+    return np.floor((1 - SIMILARITY) * chars + 1e-9).astype(np.int64)
+
+
+def _code_points(utf8: bytes) -> np.ndarray:
+    return np.frombuffer(utf8.decode("utf-8", "replace").encode("utf-32-le"), dtype="<u4")
+
+
 def _grams(stream: np.ndarray, n: int) -> np.ndarray:
     """The n <= 8 bytes from each position on as one number."""
     padded = np.concatenate([stream, np.zeros(8, np.uint8)])
@@ -143,7 +155,7 @@ class Index:
         self.bytes[some] = last[woff[some + 1] - 1] - self.lo[some]
         chars = np.array([len(t) for t in self.text], dtype=np.int64)
         wide = np.array([max((len(c.encode()) for c in set(t)), default=1) for t in self.text], dtype=np.int64)
-        edits = np.floor((1 - SIMILARITY) * chars).astype(np.int64)
+        edits = _allowed(chars)
         self.slack = edits * wide + 2
         self.least = self.bytes - (GRAM - 1) - edits * (wide + GRAM - 1)    # an edit changes so many substrings at most
         self.holds = np.zeros(1 << _GRAM_BITS, dtype=bool)      # (item, substring) pairs
@@ -152,9 +164,12 @@ class Index:
         of, at = self._places(some, SEED)
         seeds = tb.mix(_grams(stream, SEED)[at])
         order = np.argsort(seeds, kind="stable")
-        self.seeds, self.seed_item, self.seed_at = seeds[order], of[order], (at - self.lo[of])[order]
+        self.seeds, first = np.unique(seeds[order], return_index=True)
+        self.seed_run = np.append(first, len(order))
+        self.seed_item, self.seed_at = of[order], (at - self.lo[of])[order]
         self.maybe = np.zeros(1 << _GRAM_BITS, dtype=bool)
         self.maybe[seeds & np.uint64((1 << _GRAM_BITS) - 1)] = True
+        self._compile(some)
         self.classes: dict[int, list] = {}
         sizes = [n for n in self.size.tolist() if n >= MIN_ITEM_WORDS]
         of = {k: min(sizes) << int(math.log2(n / min(sizes))) for k, n in enumerate(self.size.tolist())
@@ -212,8 +227,10 @@ class Index:
         """Rows (text, item, first word, last word + 1) around the seeds of items in the texts."""
         keys = tb.mix(_grams(stream, SEED))
         hit = np.flatnonzero(self.maybe[(keys & np.uint64((1 << _GRAM_BITS) - 1)).view(np.int64)])
-        lo, hi = np.searchsorted(self.seeds, keys[hit]), np.searchsorted(self.seeds, keys[hit], side="right")
-        size = hi - lo
+        run = np.searchsorted(self.seeds, keys[hit])
+        real = np.append(self.seeds, 0)[run] == keys[hit]
+        hit, run = hit[real & (run < len(self.seeds))], run[real & (run < len(self.seeds))]
+        lo, size = self.seed_run[run], self.seed_run[run + 1] - self.seed_run[run]
         k = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
         hit = np.repeat(hit, size)
         text = np.searchsorted(woff, np.searchsorted(first, hit, side="right") - 1, side="right") - 1
@@ -256,31 +273,130 @@ class Index:
                 out.append(row)
         return out
 
-    def _may_hold(self, item: int, joined: str) -> bool:
-        """Whether enough of the item's substrings of GRAM characters stand in ``joined``; no match is rejected."""
-        grams = lambda t: [t[i:i + GRAM] for i in range(len(t) - GRAM + 1)]
-        pattern = self.text[item]
-        have = set(grams(joined))
-        least = len(pattern) - (GRAM - 1) - GRAM * math.floor((1 - SIMILARITY) * len(pattern))
-        return sum(g in have for g in grams(pattern)) >= least
+    def _compile(self, items: np.ndarray) -> None:
+        """Per number of 64-bit blocks: where each character stands in each item, as bits."""
+        points = {int(k): _code_points(self.text[k].encode()) for k in items}
+        alphabet = np.unique(np.concatenate([np.zeros(0, np.uint32), *points.values()]))
+        self.symbol = np.zeros(0x110000, dtype=np.int32)            # 0: in no item
+        self.symbol[alphabet] = np.arange(1, len(alphabet) + 1)
+        self.symbols = len(alphabet) + 1
+        self.chars = np.array([len(t) for t in self.text], dtype=np.int64)
+        self.blocks = -(-self.chars // 64)
+        self.where: dict[int, tuple[dict[int, tuple[np.ndarray, int]], np.ndarray]] = {}
+        for w in sorted({int(self.blocks[k]) for k in points} & set(range(1, MAX_BLOCKS + 1))):
+            rows, total, bits = {}, 1, [np.zeros((1, w), np.uint64)]
+            for k in (k for k in points if self.blocks[k] == w):
+                own, of = np.unique(self.symbol[points[k]], return_inverse=True)
+                mask, at = np.zeros((len(own), w), np.uint64), np.arange(len(of))
+                np.bitwise_or.at(mask, (of, at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
+                rows[k] = (own, total)
+                bits.append(mask)
+                total += len(own)
+            self.where[w] = (rows, np.ascontiguousarray(np.concatenate(bits).T))
+
+    def distances(self, item: np.ndarray, begin: np.ndarray, end: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Least edit distance between each item and a substring of symbols[begin:end]; 0 for very long items.
+
+        Exact where it is within SIMILARITY; a candidate that can no longer come so near is left at a
+        greater number.  The bit-parallel columns of ``edit_distance_in``, of LANES candidates at once and in 64-bit blocks.
+        """
+        # a long region is searched in parts twice as long as a match, each overlapping the next by its length
+        reach = self.chars[item] + _allowed(self.chars[item])
+        n = np.maximum(-(-(end - begin) // reach) - 1, 1)
+        whole, first = np.repeat(np.arange(len(item)), n), np.cumsum(n) - n
+        begin = begin[whole] + (np.arange(len(whole)) - first[whole]) * reach[whole]
+        end = np.minimum(begin + 2 * reach[whole], end[whole])
+        item = item[whole]
+        out = np.zeros(len(item), dtype=np.int64)
+        for w in self.where:
+            mine = np.flatnonzero(self.blocks[item] == w)
+            mine = mine[np.argsort((end - begin)[mine], kind="stable")]
+            for lo in range(0, len(mine), LANES):
+                part = mine[lo:lo + LANES]
+                out[part] = self._columns(w, item[part], begin[part], end[part], symbols)
+        return np.minimum.reduceat(out, first) if len(out) else out
+
+    def _columns(self, w: int, item: np.ndarray, begin: np.ndarray, end: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        rows, bits = self.where[w]
+        one, sign = np.uint64(1), np.uint64(63)
+        own, lane = np.unique(item, return_inverse=True)
+        row = np.zeros((len(own), self.symbols), dtype=np.int32)
+        for i, k in enumerate(own.tolist()):
+            held, first = rows[k]
+            row[i, held] = np.arange(first, first + len(held))
+        size, lane = end - begin, lane * self.symbols
+        allowed, score = _allowed(self.chars[item]), self.chars[item]
+        up = [np.full(len(item), ~np.uint64(0)) for _ in range(w)]
+        down = [np.zeros(len(item), np.uint64) for _ in range(w)]
+        top = ((score - 1) % 64).astype(np.uint64)
+        out, best, open_ = score.copy(), score.copy(), np.arange(len(item))
+        for t in range(int(size.max(initial=0))):
+            if t % 16 == 0:                     # a score falls by 1 a step at most
+                out[open_] = best
+                on = (size > t) & (np.minimum(best, score - (size - t)) <= allowed)
+                open_, size, begin, lane, top, allowed, score, best = (
+                    x[on] for x in (open_, size, begin, lane, top, allowed, score, best))
+                up, down = [u[on] for u in up], [d[on] for d in down]
+                # past a region's end stands a character of no item, which lowers no distance
+                steps = t + np.arange(16)[:, None]
+                ahead = row.take(lane + symbols.take(np.minimum(begin + steps, len(symbols) - 1)) * (steps < size))
+            at = ahead[t % 16]
+            rise_in = fall_in = np.zeros(len(lane), np.uint64)
+            for b in range(w):
+                eq, u, d = bits[b].take(at), up[b], down[b]
+                vertical = eq | d
+                if b:
+                    eq = eq | fall_in
+                diagonal = (((eq & u) + u) ^ u) | eq
+                rise, fall = d | ~(diagonal | u), u & diagonal
+                last = top if b == w - 1 else sign
+                rise_out, fall_out = (rise >> last) & one, (fall >> last) & one
+                rise, fall = (rise << one) | rise_in, (fall << one) | fall_in
+                up[b], down[b] = fall | ~(vertical | rise), rise & vertical
+                rise_in, fall_in = rise_out, fall_out
+            score += rise_in.view(np.int64) - fall_in.view(np.int64)
+            np.minimum(best, score, out=best)
+        out[open_] = best
+        return out
 
-    def matches(self, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, distance, start, end) of the first verified occurrence of each item in each text."""
+    def prepare(self, column: pa.Array) -> tuple:
+        """The candidates of a column of texts, with what ``verify`` needs: their own characters, the words' places."""
         data, off = tb.utf8(column)
         start, end, woff = tb.word_bounds(data, off, _PART)
-        words = tb.span_hashes(data, start, end)
+        spans = _stream(data, start, end)
+        rows = np.array(self.regions(tb.span_hashes(data, start, end), woff, spans), dtype=np.int64).reshape(-1, 4)
+        stream, first, last = spans
+        point = np.append(0, np.cumsum((stream & 0xC0) != 0x80))
+        a, b = point[first[rows[:, 2]]], point[last[rows[:, 3] - 1]]
+        ends = np.cumsum(b - a)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(a - (ends - (b - a)), b - a)
+        return data, off, start, end, rows, b - a, self.symbol[_code_points(stream.tobytes())[at]]
+
+    def verify(self, prepared: list[tuple]) -> list[list[tuple[int, int, int, int, int]]]:
+        """Per column (text, item, distance, start, end) of the first verified occurrence of each item in each text."""
+        size = np.concatenate([p[5] for p in prepared])
+        item = np.concatenate([p[4][:, 1] for p in prepared])
+        ends = np.cumsum(size)
+        near = self.distances(item, ends - size, ends, np.concatenate([p[6] for p in prepared])) \
+            <= _allowed(self.chars[item])
+        out, seen = [], 0
+        for data, off, start, end, rows, _, _ in prepared:
+            out.append(self._first_matches(data, off, start, end, rows[near[seen:seen + len(rows)]].tolist()))
+            seen += len(rows)
+        return out
+
+    def _first_matches(self, data: np.ndarray, off: np.ndarray, start: np.ndarray, end: np.ndarray,
+                       rows: list[list[int]]) -> list[tuple[int, int, int, int, int]]:
         raw = data.tobytes()
         out: list[tuple[int, int, int, int, int]] = []
         done = (-1, -1)
-        for text, item, a, b in self.regions(words, woff, _stream(data, start, end)):
+        for text, item, a, b in rows:
             if (text, item) == done:
                 continue
             pattern, region = self.text[item], _normal(raw, start[a:b], end[a:b])
             joined = " ".join(region)
-            if not self._may_hold(item, joined):
-                continue
             distance, stop = edit_distance_in(pattern, joined)
-            if distance <= (1 - SIMILARITY) * len(pattern):
+            if distance <= _allowed(len(pattern)):
                 done = (text, item)
                 _, back = edit_distance_in(pattern[::-1], joined[:stop][::-1])
                 lead = np.cumsum([0] + [len(r) + 1 for r in region])
@@ -290,6 +406,23 @@ class Index:
                 out.append((text, item, distance, points(start[a + first]), points(end[a + final])))
         return out
 
+    def matches(self, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
+        """``verify`` of one column."""
+        return self.verify([self.prepare(column)])[0]
+
+    def pooled(self, parts):
+        """(part, matches) of each (part, column); the candidates of many columns are verified at once."""
+        held, prepared, n = [], [], 0
+        for part, column in parts:
+            held.append(part)
+            prepared.append(self.prepare(column))
+            n += len(prepared[-1][4])
+            if n >= POOL or len(held) >= POOL_CHUNKS:
+                yield from zip(held, self.verify(prepared), strict=True)
+                held, prepared, n = [], [], 0
+        if held:
+            yield from zip(held, self.verify(prepared), strict=True)
+
 
 def _item_blocks(benchmark: DataFrame):
     """Blocks of (item_id, text) of about BLOCK_CHARS characters each, one at a time on the driver."""
@@ -343,16 +476,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches, shared=shared):
             index = _index(shared)
-            for batch in batches:
-                for part in tb.chunks(batch, "text"):
-                    rows = index.matches(part.column("text"))
-                    text, item, distance, start, end = (list(c) for c in zip(*rows, strict=True)) if rows else [[]] * 5
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id").take(pa.array(text, pa.int64())),
-                         pa.array([index.ids[i] for i in item], pa.int64()), pa.array(distance, pa.int64()),
-                         pa.array([len(index.text[i]) for i in item], pa.int64()), pa.array(start, pa.int64()),
-                         pa.array(end, pa.int64())],
-                        names=["doc_id", "item_id", "distance", "item_chars", "start", "end"])
+            parts = ((part.column("doc_id"), part.column("text"))
+                     for batch in batches for part in tb.chunks(batch, "text"))
+            for ids, rows in index.pooled(parts):
+                text, item, distance, start, end = (list(c) for c in zip(*rows, strict=True)) if rows else [[]] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(text, pa.int64())), pa.array([index.ids[i] for i in item], pa.int64()),
+                     pa.array(distance, pa.int64()), pa.array([len(index.text[i]) for i in item], pa.int64()),
+                     pa.array(start, pa.int64()), pa.array(end, pa.int64())],
+                    names=["doc_id", "item_id", "distance", "item_chars", "start", "end"])
 
         out = out.unionByName(docs.mapInArrow(run, _MATCHES))
     return out
@@ -373,11 +505,11 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches, shared=shared):
             index = _index(shared)
-            for batch in batches:
-                for part in tb.chunks(batch, "_text"):
-                    keep = np.ones(part.num_rows, dtype=bool)
-                    keep[[r[0] for r in index.matches(part.column("_text"))]] = False
-                    yield part.filter(pa.array(keep)).select(["row"])
+            parts = ((part, part.column("_text")) for batch in batches for part in tb.chunks(batch, "_text"))
+            for part, rows in index.pooled(parts):
+                keep = np.ones(part.num_rows, dtype=bool)
+                keep[[r[0] for r in rows]] = False
+                yield part.filter(pa.array(keep)).select(["row"])
 
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
         tagged = docs.select(row, F.col("text").cast("string").alias("_text"))
