@@ -6,9 +6,10 @@ moves on if a random bit that depends on t and the word is 1.  Sequences at smal
 in step and their outputs have small Hamming distance.  An LSH key is a hash of SAMPLE output
 positions; WALKS independent walks with TABLES keys each make up the target recall.
 
-Items of [l, 2l) words (l the shortest item's length times a power of two) are one class.  Its
-windows have w = l - l/2 + 1 words (l/2 rounded down); the windows of a text start at every l/2-th word and those of an item at every word, so any occurrence
-of an item holds windows that are aligned with item windows (at least two from 1.5 l words on).  All
+Items of fewer than MIN_ITEM_WORDS words are looked up by the hash of all their words.  Longer items of
+[l, 2l) words (l the shortest item's length times a power of two) are one class.  Its
+windows have w = l - l/2 + 1 words (l/2 rounded down); the windows of a text start at every l/2-th word and those
+of an item at every word, so any occurrence of an item holds windows that are aligned with item windows (at least two from 1.5 l words on).  All
 windows with an equal key are candidates, and so are all places where SEED bytes in a row of the
 normalised text stand in an item, which finds passages whose words are nearly all changed.  A candidate
 region that holds too few of the item's GRAM-byte substrings for SIMILARITY (a bound that rejects no
@@ -29,7 +30,7 @@ from scholarweave.llm.registry import query
 from scholarweave.session import ship_package, table
 
 SIMILARITY = 0.8            # distance <= (1 - SIMILARITY) * length of the item, in characters
-MIN_ITEM_WORDS = 8          # shorter items occur by chance and are not searched
+MIN_ITEM_WORDS = 8          # shorter items are found where exactly their words stand in a row
 WALKS, TABLES, SAMPLE = 2, 14, 6
 SEED = 8                    # bytes in a row that a passage shares with its item, where no walk finds it
 GRAM = 3                    # length of the substrings that are counted before the exact check
@@ -137,8 +138,16 @@ def _grams(stream: np.ndarray, n: int) -> np.ndarray:
     return whole & np.uint64((1 << 8 * n) - 1)
 
 
+def _runs(words: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n words from each position on."""
+    total = np.full(len(at), n, dtype=np.uint64)
+    for j, weight in enumerate(tb.constants(n, 60)):
+        total += words[at + j] * weight
+    return tb.mix(total)
+
+
 class Index:
-    """Item windows of a block of items by LSH key, and their seeds."""
+    """Item windows of a block of items by LSH key, and their seeds; short items by all their words."""
 
     def __init__(self, items: list[tuple[int, str]]):
         data, off = tb.utf8(pa.array([t for _, t in items], pa.string()))
@@ -170,6 +179,12 @@ class Index:
         self.maybe = np.zeros(1 << _GRAM_BITS, dtype=bool)
         self.maybe[seeds & np.uint64((1 << _GRAM_BITS) - 1)] = True
         self._compile(some)
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in sorted(set(self.size.tolist()) & set(range(1, MIN_ITEM_WORDS))):
+            item = np.flatnonzero(self.size == n)
+            keys = _runs(words, woff[item], n)
+            order = np.argsort(keys, kind="stable")
+            self.short[n] = keys[order], item[order]
         self.classes: dict[int, list] = {}
         sizes = [n for n in self.size.tolist() if n >= MIN_ITEM_WORDS]
         of = {k: min(sizes) << int(math.log2(n / min(sizes))) for k, n in enumerate(self.size.tolist())
@@ -213,6 +228,22 @@ class Index:
                         found.append(np.stack([text[a], item[k], at[a] - shift[k]], axis=1))
         return np.concatenate(found) if found else np.zeros((0, 3), np.int64)
 
+    def short_runs(self, words: np.ndarray, woff: np.ndarray) -> list[list[int]]:
+        """Rows [text, item, first word, last word + 1] where the words of a short item may stand, in order."""
+        found = [np.zeros((0, 4), np.int64)]
+        for n, (keys, items) in self.short.items():
+            at = np.arange(max(len(words) - n + 1, 0))
+            text = np.searchsorted(woff, at, side="right") - 1
+            at = at[at + n <= woff[text + 1]]
+            runs = _runs(words, at, n)
+            lo, hi = np.searchsorted(keys, runs), np.searchsorted(keys, runs, side="right")
+            size = hi - lo
+            k = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
+            at = np.repeat(at, size)
+            found.append(np.stack([np.searchsorted(woff, at, side="right") - 1, items[k], at, at + n], axis=1))
+        rows = np.concatenate(found)
+        return rows[np.lexsort(rows.T[::-1])].tolist()
+
     def _places(self, items: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(item, place) of all n-byte substrings of the items."""
         size = np.maximum(self.bytes[items] - n + 1, 0)
@@ -364,13 +395,15 @@ class Index:
         data, off = tb.utf8(column)
         start, end, woff = tb.word_bounds(data, off, _PART)
         spans = _stream(data, start, end)
-        rows = np.array(self.regions(tb.span_hashes(data, start, end), woff, spans), dtype=np.int64).reshape(-1, 4)
+        words = tb.span_hashes(data, start, end)
+        rows = np.array(self.regions(words, woff, spans), dtype=np.int64).reshape(-1, 4)
         stream, first, last = spans
         point = np.append(0, np.cumsum((stream & 0xC0) != 0x80))
         a, b = point[first[rows[:, 2]]], point[last[rows[:, 3] - 1]]
         ends = np.cumsum(b - a)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(a - (ends - (b - a)), b - a)
-        return data, off, start, end, rows, b - a, self.symbol[_code_points(stream.tobytes())[at]]
+        return data, off, start, end, rows, b - a, self.symbol[_code_points(stream.tobytes())[at]], \
+            self.short_runs(words, woff)
 
     def verify(self, prepared: list[tuple]) -> list[list[tuple[int, int, int, int, int]]]:
         """Per column (text, item, distance, start, end) of the first verified occurrence of each item in each text."""
@@ -380,8 +413,8 @@ class Index:
         near = self.distances(item, ends - size, ends, np.concatenate([p[6] for p in prepared])) \
             <= _allowed(self.chars[item])
         out, seen = [], 0
-        for data, off, start, end, rows, _, _ in prepared:
-            out.append(self._first_matches(data, off, start, end, rows[near[seen:seen + len(rows)]].tolist()))
+        for data, off, start, end, rows, _, _, short in prepared:
+            out.append(self._first_matches(data, off, start, end, rows[near[seen:seen + len(rows)]].tolist() + short))
             seen += len(rows)
         return out
 
@@ -395,6 +428,8 @@ class Index:
                 continue
             pattern, region = self.text[item], _normal(raw, start[a:b], end[a:b])
             joined = " ".join(region)
+            if self.size[item] < MIN_ITEM_WORDS and joined != pattern:
+                continue
             distance, stop = edit_distance_in(pattern, joined)
             if distance <= _allowed(len(pattern)):
                 done = (text, item)
@@ -462,8 +497,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``distance`` is the edit distance in characters between the normalised item and the passage, at
     most (1 - SIMILARITY) of item_chars; [start, end) are code points of the first verified
-    occurrence.  Null and empty texts and items match nothing, nor do items of fewer than
-    MIN_ITEM_WORDS words.  Null ids are returned as such; equal items under several ids match each;
+    occurrence.  An item of fewer than MIN_ITEM_WORDS words occurs where exactly its words stand in a row
+    (distance 0).  Null and empty texts and items, and items without a word, match nothing; empty tables
+    give no rows.  Null ids are returned as such; equal items under several ids match each;
     repeated rows are searched each; extra columns are ignored.  The items are searched in blocks of
     BLOCK_CHARS characters, one pass over the texts per block.
     """
@@ -493,10 +529,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 _MATCHES = "doc_id long, item_id long, distance long, item_chars long, start long, end long"
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item; all columns, no shuffle.
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_ITEM_WORDS) -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item of ``min_words`` words; all columns, no shuffle.
 
-    Rows with a null or empty text stay; see ``find_contamination`` for what matches.
+    Items of a few words occur by chance: ``find_contamination`` reports them, but they drop a document only
+    where ``min_words`` asks for it.  Rows with a null or empty text stay, and an empty benchmark drops none;
+    see ``find_contamination`` for what matches.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -508,7 +546,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             parts = ((part, part.column("_text")) for batch in batches for part in tb.chunks(batch, "_text"))
             for part, rows in index.pooled(parts):
                 keep = np.ones(part.num_rows, dtype=bool)
-                keep[[r[0] for r in rows]] = False
+                keep[[r[0] for r in rows if index.size[r[1]] >= min_words]] = False
                 yield part.filter(pa.array(keep)).select(["row"])
 
         row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

@@ -271,6 +271,55 @@ def test_contamination_with_changed_letters(spark, rate):
     assert near and len(found & near) >= 0.95 * len(near)
 
 
+def test_distances_of_many_candidates_match_the_single_ones(spark):
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    bench += [(1000, "ü漢字 " * 50 + "end"), (1001, "a b c d e f g h"), (1002, "word " * 230), (1003, "longer " * 200)]
+    index, rng = decontam.Index(bench), random.Random(5)
+    rows = []
+    for _ in range(400):
+        item = rng.randrange(len(bench))
+        rate = rng.choice([0.02, 0.15, 0.2, 0.9])
+        t = [rng.choice("abc éü漢") if rng.random() < rate else c for c in index.text[item]]
+        text = "".join(rng.choices("abcd e", k=rng.randrange(200))) + "".join(t) + "".join(rng.choices("ab c", k=rng.randrange(90)))
+        rows.append((item, text[:rng.choice([0, 30, 10_000, 10_000, 10_000])]))
+    item, size = np.array([i for i, _ in rows]), np.array([len(t) for _, t in rows])
+    ends = np.cumsum(size)
+    symbols = index.symbol[decontam._code_points("".join(t for _, t in rows).encode())]
+    got, near = index.distances(item, ends - size, ends, symbols).tolist(), 0
+    for (i, t), d in zip(rows, got, strict=True):
+        exact, allowed = decontam.edit_distance_in(index.text[i], t)[0], len(index.text[i]) // 5
+        long = len(index.text[i]) > 64 * decontam.MAX_BLOCKS
+        assert (long and d == 0) or (d == exact if exact <= allowed else d > allowed), (i, t, d, exact)
+        near += exact <= allowed
+    assert near > 40
+
+
+def test_contamination_equals_brute_force(spark, docs, texts):
+    """Every (document, item) pair by the plain edit distance over the whole text."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    index = decontam.Index([(r.item_id, r.text) for r in items.collect()])
+    plain = decontam.Index([(i, t or "") for i, t in texts.items()])
+    expected = {(i, k): d for i, t in zip(plain.ids, plain.text, strict=True) for k, p in zip(index.ids, index.text, strict=True)
+                if (d := decontam.edit_distance_in(p, t)[0]) <= 0.2 * len(p)}
+    got = {(r.doc_id, r.item_id): r.distance for r in decontam.find_contamination(docs, items).collect()}
+    assert expected and got.keys() == expected.keys()
+    assert {k for k, d in got.items() if d == 0} == {k for k, d in expected.items() if d == 0}
+
+
+def test_short_items_are_found_word_for_word(spark):
+    items = [(1, "Green  moss"), (2, "seven words stand here in a row"), (3, "moss"), (4, "!!"), (5, "漢字"), (6, "green moss")]
+    texts = [(10, "old GREEN, moss and moss"), (11, "greens moss"), (12, "so seven words stand here, in a row."), (13, "漢字"),
+             (14, "green"), (15, "moss"), (16, None), (17, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.distance, r.start, r.end) for r in decontam.find_contamination(docs, bench).collect()}
+    assert got == {(10, 1): (0, 4, 15), (10, 6): (0, 4, 15), (10, 3): (0, 11, 15), (11, 3): (0, 7, 11), (12, 2): (0, 3, 35),
+                   (13, 5): (0, 0, 2), (15, 3): (0, 0, 4)}
+    assert decontam.drop_contaminated(docs, bench).count() == 8         # by chance, as far as it can know
+    kept = {r.doc_id for r in decontam.drop_contaminated(docs, bench, min_words=2).collect()}
+    assert kept == {11, 13, 14, 15, 16, 17}
+
+
 def test_contamination_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "two words"), (None, "quick brown fox jumps over the lazy dog near"),
                                    (4, "quick brown fox jumps over the lazy dog near")], "item_id long, text string")
