@@ -10,6 +10,7 @@ from scholarweave.plans import q_graph as G
 from scholarweave.plans.registry import query
 from scholarweave.schemas import ENTITY_FIELDS
 from scholarweave.session import table
+from scholarweave.sinks.registry import read_registry
 from scholarweave.streaming import state
 from scholarweave.streaming.incremental import scratch_dir, stream_entity_ids as start_id_stream
 
@@ -22,13 +23,15 @@ SELECT url AS source_url, 'Page' AS item_type,
 FROM (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL AND url <> '')""")
 def stream_entity_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Page files streamed with ``availableNow``; IDs registered per micro-batch via
-    ``foreachBatch`` with the batch functions; equals the batch answer (X1, X2)."""
+    ``foreachBatch`` with the batch functions; equals the batch answer (X1, X2).
+
+    The table may be one file or a folder of files: as a glob, either is listed down to its files."""
     schema = table(spark, sf, "pages").schema
     work = scratch_dir(spark, "stream-ids")
-    q = start_id_stream(spark, sf, schema, f"{work}/registry", f"{work}/checkpoint",
-                        url_col="url", item_type="Page", glob="pages.parquet")
+    q = start_id_stream(spark, f"{sf.rstrip('/')}/pages.parque[t]", schema, f"{work}/registry", f"{work}/checkpoint",
+                        url_col="url", item_type="Page")
     q.awaitTermination()
-    return spark.read.parquet(f"{work}/registry").select("source_url", "item_type", "id")
+    return read_registry(spark, f"{work}/registry")
 
 
 @query("stream_organization_backfill", f"""

@@ -144,3 +144,18 @@ def test_a_replayed_micro_batch_replaces_its_ids(spark):
     assert ids() == [1, 2, 4] and ids(0) == [1, 4]
     R.append_registry(rows().limit(0), reg_path, 0)
     assert ids() == [1, 4]
+
+
+def test_stream_query_reads_a_table_of_several_files(spark):
+    from scholarweave.plans.q_stream import stream_entity_ids
+
+    for files in (1, 3):
+        sf = _tmp()
+        rows = spark.createDataFrame([(f"http://x/{k % 5}",) for k in range(9)] + [(None,), ("",)], "url string")
+        rows.repartition(files).write.parquet(f"{sf}/pages.parquet")
+        got = stream_entity_ids(spark, sf)
+        assert got.columns == ["source_url", "item_type", "id"]
+        assert sorted(map(tuple, got.collect())) == [(f"http://x/{k}", "Page", k + 1) for k in range(5)]
+    empty = _tmp()
+    rows.limit(0).write.parquet(f"{empty}/pages.parquet")
+    assert stream_entity_ids(spark, empty).count() == 0
