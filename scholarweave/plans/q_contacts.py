@@ -16,7 +16,7 @@ from scholarweave.plans.pipeline import unite
 from scholarweave.plans.q_graph import render_divisions, render_orgs, render_persons
 from scholarweave.plans.q_records import _class_sql, _heading, _heading_sql
 from scholarweave.plans.registry import query
-from scholarweave.session import table
+from scholarweave.session import spread, table
 from scholarweave.sources.html_nodes import parse_pages
 from scholarweave.sources.pages import follow_links, merge_detail
 
@@ -121,7 +121,7 @@ SELECT s_suppkey, replace(s_name, '#', ' ') AS fn, CASE WHEN s_acctbal > 5000 TH
 FROM supplier""")
 def hcard_fields(spark: SparkSession, sf: str) -> DataFrame:
     """hCard fields selected by class from parsed HTML."""
-    n = parse_pages(_hcard_html(table(spark, sf, "supplier")), "html", "nodes")
+    n = parse_pages(_hcard_html(spread(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal", "s_nationkey"))), "html", "nodes")
     # Selector chains resolve through each node's ancestor list (no nested re-filtering).
     vcard = H.all_of(H.has_class("vcard"), H.under(H.has_id("content_right")))
 
@@ -300,7 +300,7 @@ SELECT p_partkey, p_name || ' ' || p_brand AS title, ' ' || CAST(p_size + 1990 A
 FROM part""")
 def following_text(spark: SparkSession, sf: str) -> DataFrame:
     """``<li><b>title</b> year</li>``: bold text = title, first following text sibling = year."""
-    p = table(spark, sf, "part")
+    p = spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size"))
     html = F.concat(F.lit('<div class="csc-default box"><ul><li><b>'), F.col("p_name"), F.lit(" <i>"),
                     F.col("p_brand"), F.lit("</i></b> "), (F.col("p_size") + 1990).cast("string"),
                     F.lit(", <em>Verlag</em> Seiten</li></ul></div>"))

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from scholarweave.functions import names as N
 from scholarweave.operators.name_join import join_equivalent_names
 from scholarweave.plans.registry import query
-from scholarweave.session import table
+from scholarweave.session import spread, table
 
 
 def _line_parts(spark: SparkSession, sf: str) -> DataFrame:
     """Every part with its name words, lower-cased type and brand tag."""
-    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    p = spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size"))
     w = F.split("p_name", " ")
     return p.select("p_partkey", "p_size", F.get(w, 0).alias("w1"), F.get(w, 1).alias("w2"),
                     F.lower("p_type").alias("ty"),

@@ -17,7 +17,7 @@ from scholarweave.functions import text as T
 from scholarweave.operators.features import (FEED_PAGE_BASE, feature_value, feed_publications, parse_document,
                                              publication_type_of)
 from scholarweave.plans.registry import query
-from scholarweave.session import ensure_checkpoint_dir, table
+from scholarweave.session import ensure_checkpoint_dir, spread, table
 from scholarweave.sources.feed_ranges import read_feed
 
 W1 = "split_part(p_name, ' ', 1)"
@@ -104,7 +104,7 @@ def _obj(c) -> F.Column:
 
 def render_feature_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Each part as a feed document; mixed value shapes, a duplicate and an unknown feature."""
-    p = table(spark, sf, "part")
+    p = spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
     words = F.split("p_name", " ")
 
     def feat(fid, values):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from scholarweave.functions import names as N
 from scholarweave.plans.registry import query
 from scholarweave.plans.sites import gesis, hiig, zbw
-from scholarweave.session import table
+from scholarweave.session import spread, table
 from scholarweave.sources.pages import with_nodes
 
 
@@ -30,7 +30,7 @@ SELECT 'http://www.zbw.eu/de/forschung/' || s_suppkey || '/' AS source_url, 'Div
 FROM supplier""")
 def site_zbw_divisions(spark: SparkSession, sf: str) -> DataFrame:
     """Division, contact card and person link of a division page per supplier."""
-    pages = table(spark, sf, "supplier").select(
+    pages = spread(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")).select(
         _page("http://www.zbw.eu/de/forschung/%s/", "s_suppkey").alias("url"),
         _page('<div id="content_main"><div class="csc-default box"><h1 class="csc-firstHeader">Division %s</h1>'
               '<p>Mail x%s@ remove-this.zbw.eu <b>now</b></p></div></div><div id="content_right"><div class="vcard">'
@@ -54,7 +54,7 @@ def site_zbw_publications(spark: SparkSession, sf: str) -> DataFrame:
     item = lambda i: F.concat(F.lit("<li>Intro <b>Item "), i.cast("string"), F.lit(" <i>of</i> "), F.col("c_name"),
                               F.lit("</b> "), (1990 + i).cast("string"), F.lit(", Journal<em>x</em></li>"))
     items = F.array_join(F.transform(F.sequence(F.lit(1), (F.col("c_custkey") % 12 + 1).cast("int")), item), "")
-    pages = table(spark, sf, "customer").select(
+    pages = spread(table(spark, sf, "customer").select("c_custkey", "c_name")).select(
         _page("http://www.zbw.eu/de/publikationen/%s/", "c_custkey").alias("url"),
         _page("http://www.zbw.eu/de/personen/%s/", "c_custkey").alias("person_url"),
         _page('<div id="content"><div class="csc-default box"><ul>%s</ul></div></div>', items).alias("html"))
@@ -69,7 +69,7 @@ SELECT 'http://www.hiig.de/personen/' || c_custkey || '/' AS source_url, 'Anna '
 def site_hiig_persons(spark: SparkSession, sf: str) -> DataFrame:
     """Name, title, position and contact block of a person page per customer."""
     title = F.when(F.col("c_custkey") % 2 == 0, F.lit(", Dr.")).otherwise(F.lit(""))
-    pages = table(spark, sf, "customer").select(
+    pages = spread(table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")).select(
         _page("http://www.hiig.de/personen/%s/", "c_custkey").alias("url"),
         _page('<div id="main"><div><div><h1>Anna %s%s</h1></div></div></div><div id="secondary"><div class="kontakt">'
               '<div class="var_shbio">Raum 1 T. +49 030 %s <a href="mailto:anna%s|a|hiig.de">Mail</a>'
@@ -95,7 +95,7 @@ SELECT 'http://www.gesis.org/personen/' || p_partkey || '/#' ||
 def site_gesis_publications(spark: SparkSession, sf: str) -> DataFrame:
     """Books and talks of a person page per part; a talk without a place is dropped."""
     year = (F.col("p_size") + 1950).cast("string")
-    pages = table(spark, sf, "part").select(
+    pages = spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")).select(
         _page("http://www.gesis.org/personen/%s/", "p_partkey").alias("url"),
         _page('<div class="gs_publication"><div class="gs_publication_list"><div class="gs_publication_list">'
               '<h3>Monographien</h3><p>Muster, Maria; Roe, %s (%s): Book on %s. Verlag, Bonn '
