@@ -165,9 +165,11 @@ def read_feed(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) ->
     if not ranges:
         return spark.createDataFrame([], "url string, doc_pos long, doc string").select(
             "url", "doc_pos", parse_document("doc").alias("features"))
+    # many ranges may be short: a task takes about RANGE_BYTES of them, one at a time
+    tasks = min(ranges, max(sum(size for _, size in files) // RANGE_BYTES, 2 * spark.sparkContext.defaultParallelism))
     cut = spark.createDataFrame(files, "path string, size long").select(
         "path", "size", F.explode(F.sequence(F.lit(0), F.col("size") - 1, F.lit(range_bytes))).alias("lo")) \
-        .withColumn("hi", F.least(F.col("lo") + range_bytes, "size")).repartition(ranges)
+        .withColumn("hi", F.least(F.col("lo") + range_bytes, "size")).repartition(tasks)
     counts = "map<bigint,bigint>"
     seen = cut.mapInArrow(_summaries, "path string, size long, lo long, hi long, odd long, delta0 long, delta1 long, "
                                       f"opens0 {counts}, opens1 {counts}")
@@ -178,6 +180,6 @@ def read_feed(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) ->
               .withColumn("opens", F.when(F.col("inside") == 0, F.col("opens0")).otherwise(F.col("opens1")))
               .withColumn("first", so_far(F.coalesce(
                   F.try_element_at("opens", F.lit(LIST_DEPTH) - F.col("depth")), F.lit(0)))))
-    docs = placed.select("path", "size", "lo", "hi", "inside", "depth", "first").repartition(ranges) \
+    docs = placed.select("path", "size", "lo", "hi", "inside", "depth", "first").repartition(tasks) \
         .mapInArrow(_documents, "url string, doc_pos long, doc string")
     return docs.select("url", "doc_pos", parse_document("doc").alias("features"))

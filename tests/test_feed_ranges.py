@@ -80,3 +80,12 @@ def test_one_feed_is_read_by_several_tasks(spark, tmp_path):
                    F.countDistinct("task")).first()
     assert tuple(got)[:4] == (n, n, 0, n - 1) and got[4] >= 4
     assert rows.where("features[0]['values'] != concat('{\"value\":\"T', doc_pos, '\"}')").count() == 0
+
+
+def test_many_short_feeds_share_tasks(spark, tmp_path):
+    doc = '{"features":{"feature":[{"@id":"title_DE","values":{"value":"T%d"}}]}}'
+    for k in range(150):
+        (tmp_path / f"{k}.json").write_text('{"DataSet":{"documents":{"document":[%s]}}}' % ",".join(doc % j for j in range(k % 4)))
+    rows = read_feed(spark, str(tmp_path), range_bytes=64)
+    assert rows.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert rows.count() == sum(k % 4 for k in range(150))
