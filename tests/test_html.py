@@ -64,3 +64,21 @@ def test_large_pages_are_parsed_in_slices():
     batch = pa.RecordBatch.from_pydict({"k": [0, 1, 2, 3, 4], "html": ["x" * 3, None, "y" * 9, "", "z"]})
     assert [b.column("k").to_pylist() for b in _slices(batch, "html", 5)] == [[0, 1], [2], [3, 4]]
     assert [b.num_rows for b in _slices(batch.slice(0, 0), "html", 5)] == []
+
+
+def test_parse_of_a_large_batch_takes_little_memory_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from scholarweave.sources import html_nodes as P
+
+    page = "<ul>" + "<li>a <a href='/x'>b</a></li>" * 200 + "</ul>"
+    batch = pa.RecordBatch.from_arrays([pa.array([page] * 700)], names=["html"])
+    nodes = 0
+    tracemalloc.start()
+    for part in P._slices(batch, "html", P.PARSE_BYTES):
+        nodes += len(P.nodes_arrow(part.column("html").to_pylist()).flatten())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert nodes == 700 * 801 and peak < 100 << 20
