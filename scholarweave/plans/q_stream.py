@@ -102,10 +102,11 @@ def stream_rdf_deltas(spark: SparkSession, sf: str) -> DataFrame:
              _items(persons, "Person", arrival), _items(changed, "Person", F.lit(ARRIVALS - 1)),
              _items(G.render_roles(persons), "DivisionRole", (_number("person_url") + 1) % ARRIVALS)]
     work = scratch_dir(spark, "stream-rdf")
+    partitions = max(STATE_PARTITIONS, spark.sparkContext.defaultParallelism)     # a task for every core
     for k in range(ARRIVALS):
         for part in items:
             part.where(F.col("arrival") == k).drop("arrival").write.mode("append").parquet(f"{work}/items")
-        deltas = state.run_pipeline(spark, f"{work}/items", work, STATE_PARTITIONS)
+        deltas = state.run_pipeline(spark, f"{work}/items", work, partitions)
     return state.graph_of(deltas)
 
 

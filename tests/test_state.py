@@ -133,3 +133,23 @@ def test_deltas_of_any_split_sum_to_the_batch_graph(spark):
         assert (got - want, want - got) == (set(), set())
         # a line is added at most once; in the second split the old versions were out and are withdrawn
         assert {r.n for r in deltas.groupBy("line").agg(F.sum("sign").alias("n")).collect()} == signs
+
+
+def test_support_is_summed_by_spark_and_counted_once(spark):
+    """Most lines are one entity's: the pipeline keeps no Python state for each, and a replayed step adds nothing."""
+    orgs, divs, people, roles = _site()
+    work = _tmp()
+    items = [_item("Organization", s, source_url=u, name=n) for s, u, n in orgs]
+    items += [_item("Person", s, source_url=u, name=n) for s, u, n in people]
+    for batch in (items[:6], items[6:] + [_item("Person", "a", source_url="http://p/0", name="New name")]):
+        spark.createDataFrame(batch, S.ITEMS).write.mode("append").parquet(f"{work}/items")
+        deltas = S.run_pipeline(spark, f"{work}/items", work, 2)
+    assert not os.path.exists(f"{work}/deltas") and spark.read.parquet(f"{work}/support").columns == ["line", "n", "batch_id"]
+    first = sorted((r.line, r.sign) for r in deltas.collect())
+    assert {s for _, s in first} == {1, -1} and any("New name" in line for line, _ in first)
+    for step in ("changes", "support"):
+        for name in ("1", ".1.crc"):
+            if os.path.exists(f"{work}/checkpoint-{step}/commits/{name}"):
+                os.remove(f"{work}/checkpoint-{step}/commits/{name}")
+    again = S.run_pipeline(spark, f"{work}/items", work, 2)
+    assert sorted((r.line, r.sign) for r in again.collect()) == first
