@@ -37,3 +37,19 @@ def test_spread_keeps_every_row(spark):
     assert sorted(map(str, spread(odd, 1).collect())) == sorted(map(str, odd.collect()))
     assert spread(spark.range(100), 10).rdd.getNumPartitions() == 10
     assert spread(odd.limit(0)).count() == 0
+
+
+def test_triples_are_made_from_a_bounded_number_of_rows_a_task(spark, monkeypatch):
+    from scholarweave.plans import graph
+
+    monkeypatch.setattr(graph, "ROWS_PER_TASK", 100, raising=False)
+    url = "concat('http://p/', id) as source_url"
+    people = spark.range(1_000).coalesce(1).selectExpr("'a' as source", url, "concat('N ', id) as name")
+    orgs = spark.createDataFrame([("a", "http://a/", "A")], "source string, source_url string, name string")
+    roles = spark.range(1_000).coalesce(1).selectExpr("'http://a/d' as source_url", "'lead' as name",
+                                                      "'http://a/d' as division_url", "concat('http://p/', id) as person_url")
+    divisions = orgs.selectExpr("source", "'http://a/d' as source_url", "name")
+    g = graph.build_graph(orgs, divisions, people, roles)
+    plan = g.triples._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition 11, true") == 2
+    assert g.triples.count() == g.triples.distinct().count() > 1_000 * 8
