@@ -2,12 +2,13 @@
 
 High-recall generators propose overlapping candidate spans of four kinds.  Candidates that the fixed
 patterns and checks accept are the base spans, which always stay; the model decides on all others.  Boosted trees
-learn which format and context features mark personal data from a bounded sample of the corpus, the
-same number of each kind and verdict (accepted by the fixed patterns, or of a form that cannot be
-personal data), and from spellings written by rule (``pii_forms``), which are the same for every corpus.
-Platt scaling on a part that the trees have not seen turns their scores into probabilities, and each
-kind's threshold is the least probability at which that part reaches PRECISION, LEAST_PROBABILITY at
-least.  Candidates at or above their threshold are added, but for those of a form that cannot be
+learn which format and context features mark personal data from all such candidates of the corpus whose
+verdict is known (accepted by the fixed patterns, or of a form that cannot be personal data) and from
+spellings written by rule (``pii_forms``), which are the same for every corpus.  However many candidates a
+kind and verdict has, together they weigh STRATUM at most.  Platt scaling on a quarter that the trees have
+not seen turns their scores into probabilities, and each kind's threshold is the least probability at which
+that quarter reaches PRECISION, LEAST_PROBABILITY at least.  Equal binned candidates are counted on Spark; up
+to LOCAL_ROWS distinct ones are summed on the driver, more in blocks all over the cluster, to the same trees.  Candidates at or above their threshold are added, but for those of a form that cannot be
 personal data (a failed Luhn check, no valid address, a bare run of digits, a date).
 """
 
@@ -17,11 +18,12 @@ import bisect
 import ipaddress
 import itertools
 import math
+import pickle
 import re
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +34,15 @@ from scholarweave.llm.registry import query
 from scholarweave.session import cut_lineage, ship_package, table
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_ROWS = 2_000          # bound of the sample of each kind and verdict: the candidates with the smallest hash
+STRATUM = 2_000             # weight of all the corpus's candidates of a kind and verdict, one each if they are fewer
+LOCAL_ROWS = 20_000         # distinct binned candidates that the driver takes
+BLOCK_ROWS = 50_000         # distinct binned candidates of a block on the cluster
+RENEW = 10                  # trees after which blocks on the cluster keep their scores
+LARGEST = 999.0             # features are whole numbers up to this
 EXAMPLES = 400              # spellings by rule of each kind and label
 TREES, LEAVES, RATE, BINS = 60, 8, 0.2, 32
 PRECISION, LEAST_PROBABILITY = 0.99, 0.9
+GRID = np.append(0.0, bo.sigmoid(np.linspace(-20, 20, 4001)))    # probabilities that may be thresholds
 CONTEXT = 24                # characters before and after a candidate that its features see
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
@@ -171,7 +178,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     groups = [len(p) for p in parts]
     words = set(re.findall(r"[a-z-]+", before.lower()))
     last = re.split(r"[^A-Za-z0-9]+", s.rstrip(")]}. "))[-1]
-    return [
+    return [min(v, LARGEST) for v in (
         *[float(kind == k) for k in KINDS], float(len(s)), float(len(digits)), float(sum(c.isalpha() for c in s)),
         float(sum(c in " -./()_" for c in s)), float(s.count(".")), float(s.count("-")), float(s.count("(")),
         float(s[:1] == "+"), float("@" in s), float(len(set(digits))), float(luhn(digits)) if digits else -1.0,
@@ -183,7 +190,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(_AT.search(s) is not None), float(len(last) if last.isalpha() else 0), float(_valid_ip6(s)), float(s.count(":")),
         float(sum(bool(p) for p in s.split(":"))), float(_DATE.fullmatch(s) is not None), float(s[:1] == "0"),
         float(groups == [3, 3, 4]), float(groups[0] if groups else 0), float(groups[-1] if groups else 0),
-        float(len({c for c in s if not c.isalnum()}))]
+        float(len({c for c in s if not c.isalnum()})))]
 
 
 _SPAN = "array<struct<kind:string,start:long,end:long>>"
@@ -208,44 +215,55 @@ def _candidate_batches(batches):
                 names=["doc_id", "base", "cand"])
 
 
+def _block(x: np.ndarray, edges: list[np.ndarray], kind: np.ndarray, y: np.ndarray, weight: np.ndarray, held: np.ndarray):
+    """A block of training rows: bins, kind, label, weight, whether held from the trees, raw score."""
+    return (bo.to_bins(x, edges).astype(np.uint8), kind.astype(np.int64), y.astype(float), weight.astype(float), held, np.zeros(len(y)))
+
+
 class Model:
     """Boosted trees, their Platt scaling and a threshold per kind."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.trees, self.edges, self.scale = [], [], (0.0, -35.0)
+        """From rows in memory, each of weight one; every fourth is held from the trees."""
+        held = np.arange(len(y)) % 4 == 0
+        edges = bo.bin_edges(x[~held], BINS)
+        self._fit([_block(x, edges, x[:, :len(KINDS)].argmax(axis=1), y, np.ones(len(y)), held)], edges)
+
+    @classmethod
+    def of(cls, blocks, edges: list[np.ndarray]) -> Model:
+        """From a list or an RDD of blocks (``_block``), binned by ``edges``."""
+        model = cls.__new__(cls)
+        model._fit(blocks, edges)
+        return model
+
+    def _fit(self, blocks, edges: list[np.ndarray]) -> None:
+        self.trees, self.edges, self.scale = [], edges, (0.0, -35.0)
         self.threshold = dict.fromkeys(KINDS, math.inf)
-        fit = np.arange(len(y)) % 4 != 0                       # rows come in random order
-        if len(np.unique(y[fit])) < 2 or len(np.unique(y[~fit])) < 2:
+        if (bo.total(blocks, _part_weights) == 0).any():
             return
-        self.edges = bo.bin_edges(x[fit], BINS)
-        b = bo.to_bins(x[fit], self.edges)
-        raw = np.zeros(fit.sum())
+        width = max(map(len, edges)) + 1
+        recent: list = []                                      # trees that the blocks' raw scores lack
         for _ in range(TREES):
-            p = bo.sigmoid(raw)
-            tree = bo.grow(b, y[fit] - p, p * (1 - p), range(x.shape[1]), LEAVES)
+            tree = bo.grow_from(lambda tree, nodes: bo.total(blocks, _gradient_sums(tuple(recent), tree, nodes, width)), LEAVES)  # noqa: B023
             self.trees.append(tree)
-            raw += RATE * bo.evaluate(tree, b)
-        held, truth = self._raw(x[~fit]), y[~fit]
+            recent.append(tree)
+            if isinstance(blocks, list) or len(recent) == RENEW or len(self.trees) == TREES:
+                blocks, recent = bo.renewed(blocks, _with_scores(tuple(recent))), []
         slope, shift = 1.0, 0.0                                # Platt scaling by Newton steps, slightly ridged
         for _ in range(25):
-            p = bo.sigmoid(slope * held + shift)
-            g = np.array([((truth - p) * held).sum() - 1e-2 * (slope - 1), (truth - p).sum()])
-            w = p * (1 - p) + 1e-9
-            h = np.array([[(w * held * held).sum() + 1e-2, (w * held).sum()], [(w * held).sum(), w.sum() + 1e-2]])
+            s = bo.total(blocks, _platt_sums(slope, shift))
+            g = np.array([s[0] - 1e-2 * (slope - 1), s[1]])
+            h = np.array([[s[2] + 1e-2, s[3]], [s[3], s[4] + 1e-2]])
             step = np.linalg.solve(h, g)
             slope, shift = slope + float(step[0]), shift + float(step[1])
         self.scale = (slope, shift)
-        p = self.probability(x[~fit])
-        for k, kind in enumerate(KINDS):
-            own = x[~fit][:, k] == 1
-            pk, tk = p[own], truth[own]
-            order = np.argsort(-pk, kind="stable")
-            precise = np.cumsum(tk[order]) / np.arange(1, len(order) + 1)
-            good = np.flatnonzero(precise >= PRECISION)
+        at_least = bo.total(blocks, _grid_sums(slope, shift))[:, ::-1].cumsum(axis=1)[:, ::-1]
+        for kind, (true, every) in zip(KINDS, at_least.transpose(0, 2, 1), strict=True):
+            good = np.flatnonzero((every > 0) & (true >= PRECISION * every))
             if len(good):
-                # the least value that leaves out the best candidate after the precise ones
-                worse = pk[order[good[-1] + 1:good[-1] + 2]]
-                self.threshold[kind] = max(float(np.nextafter(worse[0], 1)) if len(worse) else 0.0, LEAST_PROBABILITY)
+                self.threshold[kind] = max(float(GRID[good[0]]), LEAST_PROBABILITY)
+        if not isinstance(blocks, list):
+            blocks.unpersist()
 
     def _raw(self, x: np.ndarray) -> np.ndarray:
         b = bo.to_bins(x, self.edges)
@@ -257,6 +275,49 @@ class Model:
         return bo.sigmoid(self.scale[0] * self._raw(x) + self.scale[1])
 
 
+def _part_weights(block) -> np.ndarray:
+    """Weights of labels 0 and 1 among the rows that the trees see and those held from them."""
+    _, _, y, w, held, _ = block
+    return np.bincount(2 * held + (y == 1), w, 4)
+
+
+def _with_scores(trees):
+    def run(block):
+        bins, kind, y, w, held, raw = block
+        return bins, kind, y, w, held, sum((RATE * bo.evaluate(t, bins) for t in trees), raw)
+    return run
+
+
+def _gradient_sums(trees, tree, nodes, width: int):
+    more = _with_scores(trees)
+
+    def run(block):
+        bins, _, y, w, held, raw = more(block)
+        p, w = bo.sigmoid(raw), w * ~held
+        return bo.node_sums(bins, bo.leaf_of(tree, bins), w * (y - p), w * p * (1 - p), nodes, width)
+    return run
+
+
+def _platt_sums(slope: float, shift: float):
+    def run(block):
+        _, _, y, w, held, raw = (v[block[4]] for v in block)
+        p = bo.sigmoid(slope * raw + shift)
+        v = w * (p * (1 - p) + 1e-9)
+        return np.array([(w * (y - p) * raw).sum(), (w * (y - p)).sum(), (v * raw * raw).sum(), (v * raw).sum(), v.sum()])
+    return run
+
+
+def _grid_sums(slope: float, shift: float):
+    """By kind and step of GRID: weight of the held rows of label 1, and of all."""
+    def run(block):
+        _, kind, y, w, _, raw = (v[block[4]] for v in block)
+        step = np.searchsorted(GRID, bo.sigmoid(slope * raw + shift), side="right") - 1
+        at = kind * len(GRID) + step
+        sums = [np.bincount(at, v, len(KINDS) * len(GRID)).reshape(len(KINDS), len(GRID)) for v in (w * y, w)]
+        return np.stack(sums, axis=2)
+    return run
+
+
 def merge(base: list[tuple], extra: list[tuple]) -> list[tuple]:
     """Base spans (kind, start, end) plus the extra (kind, start, end, score) that overlap no better extra one.
 
@@ -287,22 +348,69 @@ def _select(model):
     return run
 
 
-def training_rows(cand: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels: TRAIN_ROWS candidates at most of each kind and verdict, and the spellings by rule.
+_BINNED = "kind int, label int, held boolean, bins binary"
+
+
+def _binned_batches(edges):
+    def run(batches):
+        for batch in batches:
+            x = np.asarray(batch.column("x").flatten()).reshape(batch.num_rows, len(edges))
+            bins = np.ascontiguousarray(bo.to_bins(x, edges).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("kind"), batch.column("label"), batch.column("held"),
+                 pa.array(bins.view(f"V{len(edges)}").ravel().tolist(), pa.binary())], names=["kind", "label", "held", "bins"])
+    return run
+
+
+def _counted_block(rows: pa.Table, weight: dict[tuple[int, int], float], columns: int):
+    """The block of distinct binned rows and their counts."""
+    kind, label = np.asarray(rows["kind"]).astype(np.int64), np.asarray(rows["label"]).astype(np.int64)
+    bins = np.frombuffer(b"".join(rows["bins"].to_pylist()), np.uint8).reshape(len(kind), columns)
+    each = np.array([[weight.get((k, v), 0.0) for v in (0, 1)] for k in range(len(KINDS))])[kind, label]
+    return (bins, kind, label.astype(float), each * np.asarray(rows["count"]), np.asarray(rows["held"]).astype(bool),
+            np.zeros(len(kind)))
+
+
+def _packed(weight, columns):
+    def run(batches):
+        held = list(batches)
+        if held:
+            block = pickle.dumps(_counted_block(pa.Table.from_batches(held), weight, columns))
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], names=["block"])
+    return run
+
+
+def training_rows(cand: DataFrame):
+    """(blocks, bin edges): all labelled candidates as counted distinct rows, and the spellings by rule.
 
-    Of a larger stratum only the hash range that holds about twice the bound is sorted.
+    The blocks are a list if the distinct rows are LOCAL_ROWS at most, else an RDD.  A quarter of the candidates,
+    by a hash, is held from the trees.
     """
-    h = F.xxhash64("doc_id", "kind", "start", "end")
-    parts = []
-    for r in sorted(cand.groupBy("kind", "label").count().collect()):
-        own = cand.where((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]))
-        if r["count"] > 2 * TRAIN_ROWS:
-            own = own.where(h < F.lit(-(1 << 63) + (1 << 64) * 2 * TRAIN_ROWS // r["count"]))
-        parts.append(own.orderBy(h, *own.columns).limit(TRAIN_ROWS))
-    rows = [(r.x, r.label) for r in reduce(DataFrame.unionAll, parts).collect()] if parts else []
-    rows += [(features(text, k, a, b), label) for text, k, a, b, label in examples(EXAMPLES)]
-    order = np.random.default_rng(7).permutation(len(rows))        # any quarter holds all kinds and verdicts
-    return np.array([rows[i][0] for i in order]), np.array([float(rows[i][1]) for i in order])
+    kind = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int") - 1
+    cand = cand.select(kind.alias("kind"), "label", (F.pmod(F.xxhash64("doc_id", "kind", "start", "end"), F.lit(4)) == 0).alias("held"), "x")
+    values = (cand.select("kind", "label", F.posexplode("x").alias("column", "value"))
+              .groupBy("kind", "label", "column", "value").count().toPandas())
+    first = values[values["column"] == 0].groupby(["kind", "label"])["count"].sum()
+    weight = {(int(k), int(v)): min(1.0, STRATUM / n) for (k, v), n in first.items()}
+    values["weight"] = [n * weight[k, v] for k, v, n in zip(values["kind"], values["label"], values["count"], strict=True)]
+    made = list(examples(EXAMPLES))
+    x = np.array([features(text, k, a, b) for text, k, a, b, _ in made])
+    edges = []
+    for f in range(x.shape[1]):
+        own = values[values["column"] == f].sort_values(["value", "kind", "label"])
+        edges.append(bo.weighted_edges(np.append(own["value"].to_numpy(float), x[:, f]),
+                                       np.append(own["weight"].to_numpy(float), np.ones(len(x))), BINS))
+    block = _block(x, edges, np.array([KINDS.index(k) for _, k, _, _, _ in made]), np.array([m[4] for m in made]), np.ones(len(made)),
+                   np.arange(len(made)) // (2 * len(KINDS)) % 4 == 0)
+    rows = cut_lineage(cand.mapInArrow(_binned_batches(edges), _BINNED).groupBy("kind", "label", "held", "bins").count(), "binned")
+    n = rows.count()
+    if n <= LOCAL_ROWS:
+        return [_counted_block(rows.toArrow().sort_by([(c, "ascending") for c in ("bins", "kind", "label", "held")]), weight,
+                               len(edges)), block], edges
+    spark = cand.sparkSession
+    blocks = rows.repartition(-(-n // BLOCK_ROWS)).mapInArrow(_packed(weight, len(edges)), "block binary")
+    blocks = blocks.rdd.map(lambda r: pickle.loads(r.block)).union(spark.sparkContext.parallelize([block], 1))
+    return blocks.persist(StorageLevel.MEMORY_AND_DISK), edges
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
@@ -318,8 +426,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = cut_lineage(docs.mapInArrow(_candidate_batches, _CANDIDATES), "pii")
     c = found.select("doc_id", F.explode("cand").alias("c"))
-    x, y = training_rows(c.select("doc_id", "c.kind", "c.start", "c.end", "c.label", "c.x").where("label >= 0"))
-    model = spark.sparkContext.broadcast(Model(x, y))
+    blocks, edges = training_rows(c.select("doc_id", "c.kind", "c.start", "c.end", "c.label", "c.x").where("label >= 0"))
+    model = spark.sparkContext.broadcast(Model.of(blocks, edges))
     return found.mapInArrow(_select(model), f"doc_id long, base {_SPAN}, spans {_SPAN}")
 
 

@@ -161,6 +161,37 @@ def test_spelled_out_forms_do_not_depend_on_the_corpus(spark, noise):
         assert [(s.kind, text[s.start:s.end]) for s in extra] == wanted, text
 
 
+def test_every_labelled_candidate_is_learnt_from(spark, monkeypatch):
+    """A stratum over its weight is weighed down, not cut, and blocks on the cluster give the same model."""
+    monkeypatch.setattr(pii, "STRATUM", 40)
+    monkeypatch.setattr(pii, "TREES", 4)
+    rng = random.Random(13)
+    rows = [(i, f"{_prose(rng, i % 7)} item {rng.randint(10**7, 10**9)} of {'x' * (i % 30)}") for i in range(150)]
+    rows += [(1000 + i, f"mail joe{i}@host.org or +1 (523) 555-{1000 + i}") for i in range(90)]
+    cand = spark.createDataFrame(
+        [(i, k, a, b, label, pii.features(t, k, a, b)) for i, t in rows for (k, a, b), label in pii.labelled(t, pii.base_spans(t))],
+        "doc_id long, kind string, start long, end long, label int, x array<double>")
+    wanted = Counter((r.kind, r.label) for r in cand.select("kind", "label").collect() if r.label >= 0)
+    assert max(wanted.values()) > 100
+    models = []
+    for bound in (20_000, 0):
+        monkeypatch.setattr(pii, "LOCAL_ROWS", bound)
+        monkeypatch.setattr(pii, "BLOCK_ROWS", 60)
+        monkeypatch.setattr(pii, "RENEW", 3)
+        blocks, edges = pii.training_rows(cand.where("label >= 0"))
+        assert isinstance(blocks, list) == bool(bound)
+        got = Counter()
+        for _, kind, y, w, _, _ in (blocks[:-1] if bound else blocks.collect()[:-1]):
+            for k, v, n in zip(kind, y, w, strict=True):
+                key = (pii.KINDS[k], int(v))
+                got[key] += n / min(1, 40 / wanted[key])
+        assert {k: round(n) for k, n in got.items()} == wanted
+        models.append(pii.Model.of(blocks, edges))
+    assert models[0].threshold == models[1].threshold and len(models[0].trees) == 4
+    x = np.array([r.x for r in cand.collect()])
+    assert np.allclose(models[0].probability(x), models[1].probability(x))
+
+
 def test_rule_made_examples_are_candidates():
     from scholarweave.llm.pii_forms import examples
     made = list(examples(100))
