@@ -39,7 +39,7 @@ BLOCK = 256
 FILTER_BITS = 1 << 23
 SIGMA = 5.0
 
-_SIG_SCHEMA = "doc_id long, n_shingles long, d1 long, d2 long, sig array<long>, bands array<long>"
+SIG_SCHEMA = "doc_id long, n_shingles long, d1 long, d2 long, sig array<long>, bands array<long>"
 
 
 def _minima(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -79,27 +79,29 @@ def _list(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
+def signatures(sets: list[np.ndarray]) -> list[pa.Array]:
+    """The columns of SIG_SCHEMA after doc_id, from each document's shingle set."""
+    size = np.array([len(s) for s in sets], dtype=np.int64)
+    full = np.flatnonzero(size)
+    d = np.zeros((len(sets), 2), dtype=np.uint64)
+    sig, bands = np.zeros((0, WORDS), np.uint64), np.zeros((0, BANDS), np.uint64)
+    if len(full):
+        flat = np.concatenate([sets[i] for i in full])
+        starts = np.concatenate([[0], np.cumsum(size[full])[:-1]])
+        minima = _minima(flat, starts)
+        sig, bands = _pack(minima), _band_keys(minima)
+        d[full, 0] = np.add.reduceat(tb.mix(flat + np.uint64(1)), starts)
+        d[full, 1] = np.add.reduceat(tb.mix(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
+    ends = np.concatenate([[0], np.cumsum(size > 0)])
+    return [pa.array(size), pa.array(d[:, 0].view(np.int64).copy()), pa.array(d[:, 1].view(np.int64).copy()),
+            _list(sig.ravel(), ends * WORDS), _list(bands.ravel(), ends * BANDS)]
+
+
 def _signature_batches(batches):
     for batch in batches:
         for part in tb.chunks(batch, "text"):
-            sets = _sets(part)
-            size = np.array([len(s) for s in sets], dtype=np.int64)
-            full = np.flatnonzero(size)
-            d = np.zeros((len(sets), 2), dtype=np.uint64)
-            sig, bands = np.zeros((0, WORDS), np.uint64), np.zeros((0, BANDS), np.uint64)
-            if len(full):
-                flat = np.concatenate([sets[i] for i in full])
-                starts = np.concatenate([[0], np.cumsum(size[full])[:-1]])
-                minima = _minima(flat, starts)
-                sig, bands = _pack(minima), _band_keys(minima)
-                d[full, 0] = np.add.reduceat(tb.mix(flat + np.uint64(1)), starts)
-                d[full, 1] = np.add.reduceat(tb.mix(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
-            ends = np.concatenate([[0], np.cumsum(size > 0)])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(size), pa.array(d[:, 0].view(np.int64).copy()),
-                 pa.array(d[:, 1].view(np.int64).copy()), _list(sig.ravel(), ends * WORDS),
-                 _list(bands.ravel(), ends * BANDS)],
-                names=["doc_id", "n_shingles", "d1", "d2", "sig", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *signatures(_sets(part))],
+                                             names=["doc_id", "n_shingles", "d1", "d2", "sig", "bands"])
 
 
 def _set_batches(batches):
@@ -196,7 +198,7 @@ def _block_links(percent: int):
     return links
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, sigs: DataFrame | None = None) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept (doc_id = component_id).
 
     Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; a document's set is its distinct
@@ -205,10 +207,12 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     Null and empty texts have no shingles and are linked with nothing.  Rows that repeat a doc_id
     are all returned; if their texts differ each text is linked under that id, with its own n_shingles.
     A null doc_id is linked with nothing: component_id null, kept true.  Other columns are ignored.
+    ``sigs`` may bring the stored ``signatures`` of these rows, if a pass over the texts has made them already.
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sigs = cut_lineage(docs.mapInArrow(_signature_batches, _SIG_SCHEMA), "minhash")
+    if sigs is None:
+        sigs = cut_lineage(docs.mapInArrow(_signature_batches, SIG_SCHEMA), "minhash")
     labels = _labels(docs, sigs, percent)
     out = (sigs.select("doc_id", "n_shingles")
            .join(labels, "doc_id", "left")
@@ -261,27 +265,23 @@ def _labels(docs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
     return connected_components(edges).withColumnRenamed("node", "doc_id")
 
 
-def _maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id may be in ``ids``: a hashed bitmap of FILTER_BITS bits, 1 MB, is broadcast.
+def maybe_in(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` may be in ``keys``: a hashed bitmap of FILTER_BITS bits, in words of 64, is broadcast.
 
-    It spares most texts a shuffle.  Where ids outgrow the bitmap more rows pass; none is ever lost.
+    It spares most rows a shuffle.  Where keys outgrow the bitmap more rows pass; none but nulls is ever lost.
     """
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    bits = ids.select((h / 32768).cast("long").alias("part"), (h % 32768).alias("bit")) \
-        .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
-    at = (h % 32768).cast("int")
-    byte = F.conv(F.hex(F.expr("substring(bitmap, 1 + cast(_at / 8 as int), 1)")), 16, 10).cast("int")
-    return (docs.withColumn("part", (h / 32768).cast("long")).withColumn("_at", at)
-            .join(F.broadcast(bits), "part")
-            .where(F.expr("_at is not null") & (byte.bitwiseAND(
-                F.expr("cast(pow(2, _at % 8) as int)")) != 0))
-            .select("doc_id", "text"))
+    h = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    word, bit = F.shiftright(h, 6), h.bitwiseAND(F.lit(63)).cast("int")
+    bits = keys.where(F.col(key).isNotNull()).groupBy(word.alias("_word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64({key}), {FILTER_BITS}) & 63 as int))")).alias("_bits"))
+    return (rows.where(F.col(key).isNotNull()).withColumn("_word", word).withColumn("_at", bit)
+            .join(F.broadcast(bits), "_word").where(F.getbit("_bits", F.col("_at")) == 1).select(*rows.columns))
 
 
 def _shingles_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc_id, shingles) of the documents in ``ids``; one row per distinct set of a repeated doc_id."""
     ids = cut_lineage(ids, "wanted")
-    return cut_lineage(_maybe_in(docs, ids).join(ids, "doc_id", "left_semi").mapInArrow(
+    return cut_lineage(maybe_in(docs, ids, "doc_id").join(ids, "doc_id", "left_semi").mapInArrow(
         _set_batches, "doc_id long, shingles binary").distinct(), "sets")
 
 

@@ -18,6 +18,9 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 
+_PLAIN_VALUE = np.arange(1, 257, dtype=np.uint64)       # a byte's value in a hash
+_LOWER_VALUE = _PLAIN_VALUE[_LOWER]
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _POW: dict[str, np.ndarray] = {}
@@ -105,11 +108,11 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray,
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = True) -> np.ndarray:
     """64-bit hash of the bytes of each span, A-Z lower-cased first if asked."""
     up, down = _powers(len(data) + 1)
-    v = (_LOWER[data] if lower else data).astype(np.uint64)
-    v += np.uint64(1)
-    v *= up[:len(data)]
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(v, out=total[1:])
+    total = np.empty(len(data) + 1, dtype=np.uint64)
+    total[0] = 0
+    np.take(_LOWER_VALUE if lower else _PLAIN_VALUE, data, out=total[1:], mode="clip")
+    total[1:] *= up[:len(data)]
+    np.cumsum(total, out=total)
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 

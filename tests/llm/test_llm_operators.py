@@ -431,6 +431,28 @@ def test_several_templates_and_prose_share_a_leaf(spark):
     assert all(r.n_dropped == (r.doc_id < 1000) for r in out)
 
 
+def test_large_leaves_have_the_templates_of_small_ones(spark, monkeypatch):
+    """Comparing whole leaves in a task finds what the joins find, and tokens are kept for lines that can be generalised."""
+    rng = random.Random(14)
+    rows = [(i, f"this page was printed by user {_prose(rng, 1)} on the main office machine\nlog {i}\n{_prose(rng, 9)}") for i in range(8)]
+    rows += [(100 + i, f"see also the {_prose(rng, 6)}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "xxhash64(text) text_hash")
+    lines = docs.mapInArrow(linededup._text_batches, f"{linededup._LINES}, {linededup._SIGNATURE}").where("line is not null").cache()
+    assert {(r.doc_id, r.at): len(r.tokens) // 2 for r in lines.where("doc_id < 2").collect()} == {
+        (0, 0): 12, (0, 1): 0, (0, 2): 9, (1, 0): 12, (1, 1): 0, (1, 2): 9}
+    none = spark.createDataFrame([], "doc_id long, group long")
+    found = []
+    for bound in (500_000, 40):
+        monkeypatch.setattr(linededup, "LEAF_TOKENS", bound)
+        found.append({(r.leaf, r.line) for r in linededup.recurring_lines(lines, none).collect()})
+    assert found[0] == found[1] == {(r.leaf, r.line) for r in lines.where("doc_id < 100 and at = 0").collect()}
+
+
+def test_a_last_line_takes_its_line_feed_along():
+    assert [linededup._without("a\nb\nc\n", d) for d in ([2], [0], [0, 2], [0, 1, 2])] == ["a\nb", "b\nc\n", "b", ""]
+    assert [linededup._without("a\n\nb", d) for d in ([2], [0, 2], [0])] == ["a\n", "", "\nb"]
+
+
 def test_line_dedup_odd_rows(odd, none):
     out = linededup.drop_recurring_lines(odd)
     assert [c for c in out.columns if c not in ("n_lines", "n_dropped")] == [c for c in odd.columns if c != "n_dropped"]
