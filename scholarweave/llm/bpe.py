@@ -26,9 +26,9 @@ from scholarweave.session import ship_package, table
 #: Fixed value of the byte-level vocabularies: the split pattern.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-CACHE_PIECES = 400_000       # pieces a worker remembers; beyond it the memory starts anew (results stay equal)
+CACHE_PIECES = 150_000       # pieces a worker remembers; beyond it only those that came again (results stay equal)
 CACHE_PIECE_CHARS = 64       # longer pieces are encoded where they occur and not remembered
-_CHUNK = 2 << 20
+_CHUNK = 1 << 18            # bytes of text encoded at once: its pieces and symbols are Python objects, many times its size
 
 
 def _byte_symbols() -> list[str]:
@@ -72,11 +72,25 @@ class Vocabulary:
 
     def forget(self) -> None:
         self.slot: dict[str, int] = {}
+        self.known = 0
         self.ids = np.zeros(1 << 16, np.uint32)
         self.bounds = np.zeros(1 << 14, np.int64)
+        self.again = np.zeros(1 << 14, bool)        # slots of pieces that later texts held too
         for s, i in self.special.items():
             self._store([s], np.array([i], np.uint32), np.array([1]))
 
+    def forget_rare(self) -> None:
+        """Forgets the pieces that no later texts held; all of them where more than half came again."""
+        pieces = list(self.slot)
+        kept = np.flatnonzero(self.again[:len(pieces)])
+        ids, bounds = self.ids, self.bounds
+        self.forget()
+        kept = kept[kept >= len(self.slot)]         # special tokens are there already
+        if 0 < len(kept) <= len(pieces) // 2:
+            ids = [ids[a:b] for a, b in zip(bounds[kept].tolist(), bounds[kept + 1].tolist(), strict=True)]
+            self._store([pieces[k] for k in kept.tolist()], np.concatenate(ids),
+                        np.fromiter(map(len, ids), np.int64, len(ids)))
+
     def _store(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         n = len(self.slot)
         ends = self.bounds[n] + np.cumsum(counts)
@@ -84,6 +98,7 @@ class Vocabulary:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while len(self.bounds) < n + len(pieces) + 1:
             self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
+            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
         self.ids[self.bounds[n]:ends[-1]] = ids
         self.bounds[n + 1:n + 1 + len(pieces)] = ends
         self.slot.update(zip(pieces, range(n, n + len(pieces)), strict=True))
@@ -154,7 +169,8 @@ class Vocabulary:
         """Ids (uint32) of each text."""
         cut = [self.pieces(t) for t in texts]
         if len(self.slot) > CACHE_PIECES:
-            self.forget()
+            self.forget_rare()
+        self.known = len(self.slot)
         seen = set().union(*cut)
         new = [p for p in seen if p not in self.slot]
         long = {p for p in new if len(p) > CACHE_PIECE_CHARS}
@@ -179,6 +195,7 @@ class Vocabulary:
 
     def _gather(self, pieces: list[str]) -> np.ndarray:
         slots = np.fromiter(map(self.slot.__getitem__, pieces), np.int64, len(pieces))
+        self.again[slots[slots < self.known]] = True
         lo = self.bounds[slots]
         size = self.bounds[slots + 1] - lo
         ends = np.cumsum(size)
@@ -191,15 +208,8 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-_LOADED: dict[int, Vocabulary] = {}
-
-
 def _vocabulary(text: str) -> Vocabulary:
-    key = hash(text)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Vocabulary(text)
-    return _LOADED[key]
+    return tb.kept(("vocabulary", hash(text)), lambda: Vocabulary(text))
 
 
 def _spec(spark: SparkSession, tokenizer_path: str):

@@ -470,14 +470,8 @@ def _item_blocks(benchmark: DataFrame):
         yield sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0], r[1]))
 
 
-_INDEX: dict[int, tuple] = {}
-
-
 def _index(shared) -> Index:
-    if shared.id not in _INDEX:
-        _INDEX.clear()
-        _INDEX[shared.id] = Index(shared.value[1])
-    return _INDEX[shared.id]
+    return tb.kept(("items", shared.id), lambda: Index(shared.value[1]))
 
 
 class _Shared:

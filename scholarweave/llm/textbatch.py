@@ -24,6 +24,18 @@ _LOWER_VALUE = _PLAIN_VALUE[_LOWER]
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _POW: dict[str, np.ndarray] = {}
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(key: tuple, make):
+    """What ``make`` returns, remembered by this worker until another key is asked for.
+
+    Spark's workers go on from stage to stage, so tables that each operator kept for itself would add up.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

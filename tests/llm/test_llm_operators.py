@@ -6,11 +6,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from scholarweave.llm import (bpe, decontam, licenses, linededup, neardup, pii, quality_gam, quality_rules, sharding,
-                              warc)
+                              textbatch, warc)
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -491,6 +492,55 @@ def test_bpe_forgets_and_goes_on(monkeypatch, texts):
     assert [vocab.decode(vocab.encode([t])[0]) for t in some] == some
 
 
+def test_bpe_keeps_the_pieces_that_come_again(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 60)
+    text = open(bpe.default_path(), encoding="utf-8").read()
+    vocab, fresh, often = bpe.Vocabulary(text), bpe.Vocabulary(text), ["common", " words", " here"]
+    dropped = 0
+    for k in range(20):
+        t = "common words<|endoftext|> here" + "".join(f" rare{chr(97 + k)}{chr(97 + i)}" for i in range(20))
+        before = set(vocab.slot)
+        assert vocab.encode([t])[0].tolist() == fresh.encode_pieces(often[:2])[0].tolist() + [
+            fresh.special["<|endoftext|>"], *fresh.encode_pieces(fresh.pieces(t.split("<|endoftext|>")[1]))[0].tolist()]
+        if not before <= set(vocab.slot):
+            dropped += 1
+            # kept, not encoded anew: they have the first slots after the special tokens
+            assert {p for p, k in vocab.slot.items() if k < 1 + len(often)} == {"<|endoftext|>", *often}
+    assert dropped > 2
+
+
+def test_bpe_encodes_a_bounded_part_at_a_time():
+    import tracemalloc
+
+    vocab = bpe.Vocabulary(open(bpe.default_path(), encoding="utf-8").read())
+    texts = [" ".join(f"{(i * 7919 + k) * 2654435761 % 10**9:x}" for i in range(250)) for k in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    try:
+        for part in textbatch.chunks(batch, "text", bpe._CHUNK):
+            vocab.encode(part.column("text").to_pylist())
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_keeps_the_tables_of_one_operator():
+    import gc
+    import weakref
+    from types import SimpleNamespace
+
+    shared = SimpleNamespace(id=1, value=(None, [(1, "one two three four five six seven eight nine ten")]))
+    text = open(bpe.default_path(), encoding="utf-8").read()
+    index = weakref.ref(decontam._index(shared))
+    assert decontam._index(shared) is index()
+    vocab = weakref.ref(bpe._vocabulary(text))
+    gc.collect()
+    assert index() is None and bpe._vocabulary(text) is vocab()
+    decontam._index(shared)
+    gc.collect()
+    assert vocab() is None
+
+
 # ---------------------------------------------------------------- 8 quality rules
 
 def _rules(text):
