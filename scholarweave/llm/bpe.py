@@ -28,7 +28,7 @@ SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 
 CACHE_PIECES = 150_000       # pieces a worker remembers; beyond it only those that came again (results stay equal)
 CACHE_PIECE_CHARS = 64       # longer pieces are encoded where they occur and not remembered
-_CHUNK = 1 << 18            # bytes of text encoded at once: its pieces and symbols are Python objects, many times its size
+_CHUNK = 1 << 18            # bytes of text encoded at once; its pieces and symbols in Python take many times that
 
 
 def _byte_symbols() -> list[str]:
