@@ -5,6 +5,7 @@ import os
 import random
 import tempfile
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from scholarweave.operators import triples as tr
@@ -153,3 +154,103 @@ def test_support_is_summed_by_spark_and_counted_once(spark):
                 os.remove(f"{work}/checkpoint-{step}/commits/{name}")
     again = S.run_pipeline(spark, f"{work}/items", work, 2)
     assert sorted((r.line, r.sign) for r in again.collect()) == first
+
+
+class _Handle:
+    """State of one bucket in Python, counting the calls on it."""
+
+    def __init__(self):
+        self.calls, self.values, self.lists = 0, {}, {}
+
+    def getValueState(self, name, schema):
+        return _Value(self, name)
+
+    def getListState(self, name, schema):
+        return _List(self, name)
+
+
+class _Value:
+    def __init__(self, handle, name):
+        self.handle, self.name = handle, name
+
+    def get(self):
+        self.handle.calls += 1
+        return self.handle.values.get(self.name)
+
+    def update(self, value):
+        self.handle.calls += 1
+        self.handle.values[self.name] = value
+
+
+class _List:
+    def __init__(self, handle, name):
+        self.handle, self.name = handle, name
+
+    def get(self):
+        self.handle.calls += 1
+        return iter(list(self.handle.lists.get(self.name, [])))
+
+    def appendList(self, values):
+        self.handle.calls += 1
+        self.handle.lists.setdefault(self.name, []).extend(values)
+
+    def clear(self):
+        self.handle.calls += 1
+        self.handle.lists.pop(self.name, None)
+
+
+def _given(processor, handle, names, rows):
+    before = handle.calls
+    out = list(processor.handleInputRows((0,), iter([Row(*names)(*r) for r in rows]), None))
+    return out, handle.calls - before
+
+
+def test_state_is_called_once_a_bucket_not_once_a_key():
+    keys = [f"k{i}" for i in range(2500)]
+    diff, handle = S.EntityDiff(), _Handle()
+    diff.init(handle)
+    names = ("key", "version", "value")
+    out, calls = _given(diff, handle, names, [(k, 1, "a") for k in keys] + [("k0", 1, "b")])
+    assert calls == 2 and sorted((r.key, *r.new, *r.old) for r in out) == sorted(
+        [(k, "a") for k in keys[1:]] + [("k0", "a", "b")])
+    out, calls = _given(diff, handle, names, [(k, 2, "a") for k in keys] + [("k1", 3, "c"), ("k2", 1, "late")])
+    assert calls == 2 and [(r.key, r.new, r.old) for r in out] == [("k0", ["a"], ["a", "b"]), ("k1", ["c"], ["a"])]
+    assert _given(diff, handle, names, [("k1", 3, "c")]) == ([], 1)
+
+    wait, handle = S.AwaitReference(), _Handle()
+    wait.init(handle)
+    names = ("key", "entity", "ref")
+    assert _given(wait, handle, names, [(k, f"{k} first", None) for k in keys]) == ([], 2)
+    out, calls = _given(wait, handle, names, [(k, None, i) for i, k in enumerate(keys[:2000])] + [
+        ("k7", None, 5), ("k0", "k0 too", None), ("k2499", "last", None)])
+    assert calls <= 7 and sorted((r.entity, r.ref) for r in out) == sorted(
+        [(f"{k} first", 5 if k == "k7" else i) for i, k in enumerate(keys[:2000])] + [("k0 too", 0)])
+    out, _ = _given(wait, handle, names, [("k7", None, 1), ("k7", "later", None)] + [(k, None, 9) for k in keys[2000:]])
+    assert sorted((r.entity, r.ref) for r in out) == sorted(
+        [("later", 5), ("last", 9)] + [(f"{k} first", 9) for k in keys[2000:]])
+
+
+def test_lines_of_persons_and_organizations_are_theirs_alone(spark):
+    """Ids of eight and more digits too, whose numbers run into the suffixes of other nodes."""
+    ids = [1, 2, 12, 18, 1234567, 12345678, 12345681, 123456781, 123456788, 1234567881]
+    full = {"name": "N", "firstname": "F", "lastname": "L", "title": "T", "email": "E", "phone": "P", "position": ["Q"],
+            "street_address": "S", "postal_code": "Z", "city": "C", "country": "D", "source_url": "U"}
+    rows = [(f"{t}|{i}", json.dumps(full | {"item_type": t, "id": i, "role_id": i, "division_id": 1, "person_id": p,
+                                            "organization_id": 1}))
+            for t in ("Person", "Organization", "Division", "DivisionRole") for i in ids
+            for p in (ids if t == "DivisionRole" else [1])]
+    lines = spark.createDataFrame(rows, "key string, value string").select(
+        "key", S.alone_in(F.col("key")).alias("alone"), F.array("value").alias("values")).select(
+        "key", "alone", F.explode(S.entity_lines_of()("values")[0]).alias("line")).distinct()
+    shared = lines.groupBy("line").agg(F.count("*").alias("n"), F.max("alone").alias("alone")).where("n > 1")
+    assert shared.where("alone").collect() == [] and shared.count() > 0
+    assert {r.kind for r in lines.where("alone").select(F.split("key", r"\|")[0].alias("kind")).distinct().collect()} == {
+        "Person", "Organization"}
+
+
+def test_of_equal_versions_in_a_batch_the_greatest_lines_count(spark):
+    work = _tmp()
+    schema = "key string, version bigint, lines array<string>"
+    spark.createDataFrame([("k", 1, ["a"]), ("k", 1, ["b", "a"]), ("k", 1, ["b"])], schema).write.parquet(f"{work}/in")
+    S._run(spark, S.triple_deltas(S._read(spark, f"{work}/in", schema, None), 2), S.write_to(f"{work}/out"), f"{work}/ckpt", 2)
+    assert sorted((r.line, r.sign) for r in spark.read.parquet(f"{work}/out").collect()) == [("a", 1), ("b", 1)]
